@@ -33,6 +33,9 @@ NAME_DIGIT_NOISE = r"(?U)[\s\-+().]"
 # A Latin or Bengali letter must appear in a name.
 NAME_LETTER = "[A-Za-zঀ-৿]"
 PREVIEW_CHARS = 240
+# Digits of a Bangladesh mobile number, with optional country code.
+PHONE_SHAPE = r"(?U)^(?:880|88)?0?(1\d{9})$"
+PHONE_VALID = r"(?U)^01\d{9}$"
 # ---------------------------------------------------------------------------
 
 
@@ -50,13 +53,16 @@ def ascii_digits(col) -> Column:
 
 
 def norm_phone(col) -> Column:
-    """any Bangladesh phone form -> ``01XXXXXXXXX`` or null."""
+    """any Bangladesh phone form -> ``01XXXXXXXXX`` or null.
+
+    Digits only (Bengali digits first made ASCII); a leading ``880`` (13+
+    digits) or ``88`` (12+) is dropped and a 10-digit ``1...`` gets its ``0``.
+    As one anchored pattern: optional ``880``/``88``, optional ``0``, then
+    ``1`` and nine digits; anything else is null.
+    """
     d = F.regexp_replace(ascii_digits(col), r"(?U)\D+", "")
-    d = (F.when(d.startswith("880") & (F.length(d) >= 13), F.substring(d, 4, 1 << 20))
-         .when(d.startswith("88") & (F.length(d) >= 12), F.substring(d, 3, 1 << 20))
-         .otherwise(d))
-    d = F.when((F.length(d) == 10) & d.startswith("1"), F.concat(F.lit("0"), d)).otherwise(d)
-    return F.when((F.length(d) == 11) & d.startswith("01"), d)
+    r = F.regexp_replace(d, PHONE_SHAPE, "0$1")
+    return F.when(r.rlike(PHONE_VALID), r)
 
 
 def norm_name(col) -> Column:

@@ -81,57 +81,60 @@ def _name_candidates(line: Column, id_span: Column) -> Column:
     return F.array(c1, c2)
 
 
-def parse_columns(text: Column, ts: Column) -> dict[str, Column]:
-    """Column expressions of the parse of ``text`` sent at ``ts``."""
-    t = py_strip(text)
-    blank = text.isNull() | (t == "")
-    txn_date = F.to_date(ts)
-
-    # P2-P4 commands: first line, white-space tokens.
-    first_line = py_strip(F.try_element_at(F.split(t, LINE_BREAK), F.lit(1)))
-    tokens = F.split(first_line, r"(?U)\s+")
-    n_tok = F.size(tokens)
-    cmd_phone = norm_phone(F.try_element_at(tokens, F.lit(2)))
-    cmd_amount = _money(_rx(F.try_element_at(tokens, F.lit(-1)), COMMAND_AMOUNT))
-    cmd_name_raw = py_strip(F.array_join(F.slice(tokens, 3, F.greatest(n_tok - 3, F.lit(0))), " "))
-    cmd_name = F.when((cmd_name_raw != "") & valid_name(cmd_name_raw), cmd_name_raw)
-    cmd_ok = (n_tok >= 3) & cmd_phone.isNotNull() & cmd_amount.isNotNull() & (cmd_amount > 0)
-    is_cash = t.rlike(CASH_START)
-    is_income = t.rlike(INCOME_START)
-
-    # P5-P6 balance summary.
-    is_summary = t.rlike(SUMMARY_WORDS) & t.rlike(AMOUNT_MARK)
-    day = ascii_digits(_rx(t, SUMMARY_DATE, 1)).try_cast("int")
-    month = ascii_digits(_rx(t, SUMMARY_DATE, 2)).try_cast("int")
-    year = ascii_digits(_rx(t, SUMMARY_DATE, 3)).try_cast("int")
-    year = F.when(year < 100, year + 2000).otherwise(year)
-    summary_date = F.try_to_date(F.format_string("%04d-%02d-%02d", year, month, day), "yyyy-MM-dd")
-    due = _money(ascii_digits(_rx(t, SUMMARY_DUE)))
-    collected = _money(ascii_digits(_rx(t, SUMMARY_COLLECTED)))
-    summary = F.struct(
-        summary_date.alias("summary_date"),
-        _to_dec(F.when(due != 0, due)).alias("total_due"),
-        _to_dec(F.when(collected != 0, collected)).alias("total_collected"),
-    )
+def _stage(df: DataFrame, **cols: Column) -> DataFrame:
+    return df.withColumns(cols)
+
 
-    # P7-P12 payment.
-    t_ascii = ascii_digits(t)
-    pay_amount = _money(_rx(t_ascii, AMOUNT_MARK))
-    pay_ok = pay_amount.isNotNull() & (pay_amount > 0)
-    id_span = _rx(t, ID_PREFIX, 0)
-    id_phone = F.when(id_span != "", norm_phone(_rx(t, ID_PREFIX, 1)))
-    phones = F.filter(F.transform(F.regexp_extract_all(t_ascii, F.lit(PHONE_RUN), F.lit(0)),
-                                  lambda p: norm_phone(p)),
-                      lambda p: p.isNotNull())
-    payout = F.try_element_at(phones, F.lit(-1))
-    method_code = _rx(t, METHOD_TAG)
-    has_method = method_code != ""
-    method = F.when(has_method, norm_method(method_code)).otherwise(F.lit("unknown"))
-    lines = F.split(t, LINE_BREAK)
-    cands = F.flatten(F.transform(lines, lambda ln: _name_candidates(ln, id_span)))
-    name = F.try_element_at(F.filter(cands, lambda c: valid_name(c)), F.lit(1))
-    has_phone = payout.isNotNull()
-    has_name = name.isNotNull()
+def parse_frame(df: DataFrame, text_col: str, ts_col: str) -> DataFrame:
+    """Adds ``message_type``, ``payment``, ``summary``, ``confidence``.
+
+    Built in stages: each intermediate (stripped text, tokens, lines, the
+    extracted groups) is a column computed once, so the generated code stays
+    small and no regex runs twice on a row.
+    """
+    c = F.col
+    df = _stage(df, _t=py_strip(c(text_col)), _date=F.to_date(c(ts_col)))
+    df = _stage(df, _blank=c(text_col).isNull() | (c("_t") == ""), _ta=ascii_digits(c("_t")))
+    df = _stage(
+        df,
+        _tok=F.split(py_strip(F.try_element_at(F.split(c("_t"), LINE_BREAK), F.lit(1))), r"(?U)\s+"),
+        _is_cash=c("_t").rlike(CASH_START),
+        _is_income=c("_t").rlike(INCOME_START),
+        _is_sum=c("_t").rlike(SUMMARY_WORDS) & c("_t").rlike(AMOUNT_MARK),
+        _id_span=_rx(c("_t"), ID_PREFIX, 0),
+        _id_raw=_rx(c("_t"), ID_PREFIX, 1),
+        _mcode=_rx(c("_t"), METHOD_TAG),
+        _pay_txt=_rx(c("_ta"), AMOUNT_MARK),
+        _phones=F.regexp_extract_all(c("_ta"), F.lit(PHONE_RUN), F.lit(0)),
+        _sd=_rx(c("_t"), SUMMARY_DATE, 1), _sm=_rx(c("_t"), SUMMARY_DATE, 2), _sy=_rx(c("_t"), SUMMARY_DATE, 3),
+        _due=_rx(c("_t"), SUMMARY_DUE), _coll=_rx(c("_t"), SUMMARY_COLLECTED),
+    )
+    df = _stage(df, _command=c("_is_cash") | c("_is_income"))
+    df = _stage(
+        df,
+        _cmd_phone=norm_phone(F.try_element_at(c("_tok"), F.lit(2))),
+        _cmd_amount=_money(_rx(F.try_element_at(c("_tok"), F.lit(-1)), COMMAND_AMOUNT)),
+        _cmd_name=py_strip(F.array_join(F.slice(c("_tok"), 3, F.greatest(F.size(c("_tok")) - 3, F.lit(0))), " ")),
+        _pay_amount=_money(c("_pay_txt")),
+        _id_phone=F.when(c("_id_span") != "", norm_phone(c("_id_raw"))),
+        _payout=F.try_element_at(F.filter(F.transform(c("_phones"), lambda p: norm_phone(p)),
+                                          lambda p: p.isNotNull()), F.lit(-1)),
+        _cands=F.when(~c("_blank") & ~c("_command") & ~c("_is_sum"),
+                      F.flatten(F.transform(F.split(c("_t"), LINE_BREAK),
+                                            lambda ln: _name_candidates(ln, c("_id_span"))))),
+    )
+    df = _stage(
+        df,
+        _name=F.try_element_at(F.filter(c("_cands"), lambda x: valid_name(x)), F.lit(1)),
+        _cmd_name_ok=F.when((c("_cmd_name") != "") & valid_name(c("_cmd_name")), c("_cmd_name")),
+        _cmd_ok=(F.size(c("_tok")) >= 3) & c("_cmd_phone").isNotNull() & c("_cmd_amount").isNotNull()
+                & (c("_cmd_amount") > 0),
+        _pay_ok=c("_pay_amount").isNotNull() & (c("_pay_amount") > 0),
+        _has_method=c("_mcode") != "",
+    )
+    has_phone = c("_payout").isNotNull()
+    has_name = c("_name").isNotNull()
+    has_method = c("_has_method")
     confidence = (
         F.when(has_phone & has_method & has_name, CONF_ALL)
         .when(has_phone & has_method, CONF_PHONE_METHOD)
@@ -139,34 +142,45 @@ def parse_columns(text: Column, ts: Column) -> dict[str, Column]:
         .when(has_phone | has_method | has_name, CONF_ONE_FIELD)
         .otherwise(CONF_AMOUNT_ONLY)
     )
-
+    is_payment = ~c("_blank") & ~c("_command") & ~c("_is_sum") & c("_pay_ok")
     message_type = (
-        F.when(blank, "other")
-        .when(is_cash, F.when(cmd_ok, "cash_command").otherwise("other"))
-        .when(is_income, F.when(cmd_ok, "income_command").otherwise("other"))
-        .when(is_summary, "balance_summary")
-        .when(pay_ok, "payment")
+        F.when(c("_blank"), "other")
+        .when(c("_is_cash"), F.when(c("_cmd_ok"), "cash_command").otherwise("other"))
+        .when(c("_is_income"), F.when(c("_cmd_ok"), "income_command").otherwise("other"))
+        .when(c("_is_sum"), "balance_summary")
+        .when(c("_pay_ok"), "payment")
         .otherwise("other")
     )
-    command = is_cash | is_income
     payment = F.when(
-        ~blank & command & cmd_ok,
-        F.struct(cmd_phone.alias("id_phone"), cmd_name.alias("name_raw"),
-                 cmd_phone.alias("payout_phone"), F.lit("cash").alias("payout_method"),
-                 _to_dec(cmd_amount).alias("amount"), txn_date.alias("txn_date")),
+        ~c("_blank") & c("_command") & c("_cmd_ok"),
+        F.struct(c("_cmd_phone").alias("id_phone"), c("_cmd_name_ok").alias("name_raw"),
+                 c("_cmd_phone").alias("payout_phone"), F.lit("cash").alias("payout_method"),
+                 _to_dec(c("_cmd_amount")).alias("amount"), c("_date").alias("txn_date")),
     ).when(
-        ~blank & ~command & ~is_summary & pay_ok,
-        F.struct(id_phone.alias("id_phone"), name.alias("name_raw"),
-                 payout.alias("payout_phone"), method.alias("payout_method"),
-                 _to_dec(pay_amount).alias("amount"), txn_date.alias("txn_date")),
+        is_payment,
+        F.struct(c("_id_phone").alias("id_phone"), c("_name").alias("name_raw"),
+                 c("_payout").alias("payout_phone"),
+                 F.when(has_method, norm_method(c("_mcode"))).otherwise(F.lit("unknown")).alias("payout_method"),
+                 _to_dec(c("_pay_amount")).alias("amount"), c("_date").alias("txn_date")),
     )
-    conf = F.when(~blank & ~command & ~is_summary & pay_ok, confidence).otherwise(F.lit(1.0))
-    return {
-        "message_type": message_type,
-        "payment": payment.cast(PAYMENT_TYPE),
-        "summary": F.when(~blank & ~command & is_summary, summary).cast(SUMMARY_TYPE),
-        "confidence": conf.cast("double"),
-    }
+    year = ascii_digits(c("_sy")).try_cast("int")
+    year = F.when(year < 100, year + 2000).otherwise(year)
+    sdate = F.try_to_date(F.format_string("%04d-%02d-%02d", year, ascii_digits(c("_sm")).try_cast("int"),
+                                          ascii_digits(c("_sd")).try_cast("int")), "yyyy-MM-dd")
+    due = _money(ascii_digits(c("_due")))
+    coll = _money(ascii_digits(c("_coll")))
+    summary = F.when(~c("_blank") & ~c("_command") & c("_is_sum"), F.struct(
+        sdate.alias("summary_date"),
+        _to_dec(F.when(due != 0, due)).alias("total_due"),
+        _to_dec(F.when(coll != 0, coll)).alias("total_collected")))
+    df = _stage(
+        df,
+        message_type=message_type,
+        payment=payment.cast(PAYMENT_TYPE),
+        summary=summary.cast(SUMMARY_TYPE),
+        confidence=F.when(is_payment, confidence).otherwise(F.lit(1.0)).cast("double"),
+    )
+    return df.drop(*[x for x in df.columns if x.startswith("_")])
 
 
 def parse_messages(messages: DataFrame, text_col: str = "raw_content",
@@ -177,17 +191,11 @@ def parse_messages(messages: DataFrame, text_col: str = "raw_content",
     struct, ``confidence``, ``parser_version``, ``ai_enhanced``, plus the
     columns named in ``keep``.
     """
-    cols = parse_columns(F.col(text_col), F.col(ts_col))
-    extra = [F.col(c) for c in (keep or [])]
-    return messages.select(
-        F.col("id").alias("message_id"), *extra,
-        cols["message_type"].alias("message_type"),
-        cols["payment"].alias("payment"),
-        cols["summary"].alias("summary"),
-        cols["confidence"].alias("confidence"),
-        F.lit(PARSER_VERSION).alias("parser_version"),
-        F.lit(False).alias("ai_enhanced"),
-    )
+    base = messages.select(F.col("id").alias("message_id"), *[F.col(x) for x in (keep or [])],
+                           F.col(text_col).alias("_text"), F.col(ts_col).alias("_ts"))
+    out = parse_frame(base, "_text", "_ts")
+    return out.select("message_id", *(keep or []), "message_type", "payment", "summary", "confidence",
+                      F.lit(PARSER_VERSION).alias("parser_version"), F.lit(False).alias("ai_enhanced"))
 
 
 def apply_extractions(parsed: DataFrame, extractions: DataFrame, raw: DataFrame) -> DataFrame:

@@ -19,6 +19,23 @@ LETTERS = "abcdefghij"
 DIGITS = "0123456789"
 BENGALI_DIGITS = "০১২৩৪৫৬৭৮৯"
 
+# The 13 message shapes of FIXTURES.md §1 (shape = o_orderkey % 13).
+SHAPES = [
+    "ID: %1$s %2$s %1$s(N) %3$s/-",
+    "%2$s - +88%1$s ( B) = %3$s /-",
+    "%2$s %1$s(cash) %3$s/-",
+    "ID: %1$s\n%2$s- %1$s(B) %3$s/-",
+    "%2$s %1$s %3$s/-",
+    "%1$s %3$s/-",
+    "%3$s/-",
+    "Cash %1$s %2$s %3$s/-",
+    "Income %1$s %2$s %3$s",
+    "31/3/26=টোটাল বাকি =%3$s/-",
+    "ok noted",
+    "%2$s %1$s(N) %4$s/-",
+    "%2$s (B) %3$s/-",
+]
+
 
 def _phone(key: Column, base: int) -> Column:
     return F.concat(F.lit("01"), F.lpad((F.lit(base) + key).cast("string"), 9, "0"))
@@ -58,22 +75,10 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     amt = F.floor("o_totalprice").cast("long").cast("string")
     ph = _phone(F.col("o_custkey"), 700000000)
     nm = F.concat(F.lit("emp "), _word(F.col("o_custkey")))
-    s = k % 13
-    text = (
-        F.when(s == 0, F.concat(F.lit("ID: "), ph, F.lit(" "), nm, F.lit(" "), ph, F.lit("(N) "), amt, F.lit("/-")))
-        .when(s == 1, F.concat(nm, F.lit(" - +88"), ph, F.lit(" ( B) = "), amt, F.lit(" /-")))
-        .when(s == 2, F.concat(nm, F.lit(" "), ph, F.lit("(cash) "), amt, F.lit("/-")))
-        .when(s == 3, F.concat(F.lit("ID: "), ph, F.lit("\n"), nm, F.lit("- "), ph, F.lit("(B) "), amt, F.lit("/-")))
-        .when(s == 4, F.concat(nm, F.lit(" "), ph, F.lit(" "), amt, F.lit("/-")))
-        .when(s == 5, F.concat(ph, F.lit(" "), amt, F.lit("/-")))
-        .when(s == 6, F.concat(amt, F.lit("/-")))
-        .when(s == 7, F.concat(F.lit("Cash "), ph, F.lit(" "), nm, F.lit(" "), amt, F.lit("/-")))
-        .when(s == 8, F.concat(F.lit("Income "), ph, F.lit(" "), nm, F.lit(" "), amt))
-        .when(s == 9, F.concat(F.lit("31/3/26=টোটাল বাকি ="), amt, F.lit("/-")))
-        .when(s == 10, F.lit("ok noted"))
-        .when(s == 11, F.concat(nm, F.lit(" "), ph, F.lit("(N) "), F.translate(amt, DIGITS, BENGALI_DIGITS), F.lit("/-")))
-        .otherwise(F.concat(nm, F.lit(" (B) "), amt, F.lit("/-")))
-    )
+    # %1$s phone, %2$s name, %3$s amount, %4$s amount in Bengali digits
+    templates = F.array(*[F.lit(x) for x in SHAPES])
+    text = F.printf(F.try_element_at(templates, (k % 13 + 1).cast("int")),
+                    ph, nm, amt, F.translate(amt, DIGITS, BENGALI_DIGITS))
     return o.select(
         (k + 1).alias("id"),
         F.concat(F.lit("M"), k.cast("string")).alias("wa_message_id"),
