@@ -75,6 +75,14 @@ FROM orders WHERE o_orderkey % 6 <> 0""",
  CASE o_orderkey % 3 WHEN 0 THEN 'bridge1' WHEN 1 THEN 'bridge2' ELSE 'meta' END AS source,
  CASE WHEN o_orderkey % 27 = 0 THEN ' ' ELSE 'text' END AS content,
  o_orderkey % 9 <> 0 AS in_archive
+FROM orders""",
+    "fx_store_rows": """SELECT concat('M', CAST(o_orderkey AS VARCHAR)) AS wa_message_id,
+ CASE o_orderkey % 3 WHEN 0 THEN 'bridge1' WHEN 1 THEN 'bridge2' ELSE 'meta' END AS source,
+ concat('019000000', lpad(CAST(o_orderkey % 3 + 1 AS VARCHAR), 2, '0')) AS source_number,
+ concat('88', concat('01', lpad(CAST(700000000 + o_custkey AS VARCHAR), 9, '0')), '@s.whatsapp.net') AS chat_jid,
+ o_orderdate AS timestamp_wa,
+ CASE WHEN o_orderkey % 27 = 0 THEN ' ' ELSE 'text' END AS content,
+ o_orderkey % 9 <> 0 AS in_archive, o_orderkey % 5 = 0 AS redelivered
 FROM orders""",
     "fx_authorized": """SELECT 'cash_command' AS command, concat('01', lpad(CAST(700000000 + c_custkey AS VARCHAR), 9, '0')) AS phone
 FROM customer WHERE c_custkey % 2 = 0
@@ -84,9 +92,15 @@ FROM customer WHERE c_custkey % 3 = 0""",
 }
 
 
-def with_ctes(names: list[str], extra: list[tuple[str, str]], body: str) -> str:
-    parts = [f"{n} AS ({FIXTURE_CTES[n]})" for n in names] + [f"{n} AS ({sql})" for n, sql in extra]
-    return "WITH " + ",\n".join(parts) + "\n" + body
+def with_ctes(names: list[str], extra: list[tuple[str, str]], body: str, parse: bool = False,
+              recursive: bool = False) -> str:
+    """CTEs: the named fixture views, then the parse (``parsed``) if asked,
+    then ``extra`` in order, then ``body``."""
+    parts = [f"{n} AS ({FIXTURE_CTES[n]})" for n in names]
+    if parse:
+        parts.append(parse_sql())
+    parts += [f"{n} AS ({sql})" for n, sql in extra]
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(parts) + "\n" + body
 
 
 # --- text rules as SQL expressions ----------------------------------------
@@ -212,3 +226,80 @@ parsed AS (SELECT id AS message_id, source, is_from_me, sender_phone, raw_conten
   CASE WHEN NOT blank AND NOT command AND is_sum THEN
     try_cast(nullif({money(ascii_digits(f"regexp_extract(t, 'জমা{WS}*[=:\\t\\n\\x{{0B}}\\f\\r\\x{{85}}\\p{{Z}}]+([০-৯{D}][০-৯{D},]*){WS}*/[-–]', 1)"))}, 0) AS DECIMAL(12,2)) END AS total_collected
 FROM p4)"""
+
+
+# --- identity ---------------------------------------------------------------
+
+MASTER_CTES = [
+    ("emp", f"SELECT *, {norm_name('full_name')} AS name_normalized, NULL::VARCHAR AS employee_id_phone FROM fx_employees"),
+    ("walk", """SELECT id, id AS cur, 0 AS hops FROM emp
+UNION ALL
+SELECT w.id, e2.id, w.hops + 1 FROM walk w JOIN emp e1 ON e1.id = w.cur JOIN emp e2 ON e2.id = e1.canonical_employee_id
+WHERE w.hops < 8 AND e2.id <> e1.id"""),
+    ("canon", """SELECT w.id, arg_max(w.cur, w.hops) AS canonical_id FROM walk w GROUP BY w.id"""),
+    ("lookup", """SELECT kind, key, min(id) AS hit FROM (
+  SELECT 'primary' AS kind, primary_phone AS key, id FROM emp WHERE status = 'active'
+  UNION ALL SELECT 'idphone', employee_id_phone, id FROM emp WHERE status = 'active'
+  UNION ALL SELECT 'name', name_normalized, id FROM emp WHERE status = 'active'
+  UNION ALL SELECT 'alias', a.alias_value, a.employee_id FROM fx_aliases a JOIN emp e ON e.id = a.employee_id
+    WHERE a.alias_type = 'phone' AND e.status = 'active') x
+WHERE key IS NOT NULL AND key <> '' GROUP BY ALL"""),
+]
+
+
+def match_ctes(req: str) -> list[tuple[str, str]]:
+    """Exact tiers for the requests CTE ``req`` (payout_phone, id_phone, name_raw)."""
+    return [
+        ("mkeys", f"""SELECT DISTINCT coalesce(payout_phone, '') AS kp, coalesce(id_phone, '') AS ki,
+  coalesce(CASE WHEN name_raw IS NOT NULL THEN {norm_name('name_raw')} END, '') AS kn FROM {req}"""),
+        ("probes", """SELECT kp, ki, kn, 1 AS rank, 'primary' AS kind, kp AS key, 'exact_phone' AS tier FROM mkeys
+UNION ALL SELECT kp, ki, kn, 2, 'idphone', ki, 'exact_id_phone' FROM mkeys
+UNION ALL SELECT kp, ki, kn, 3, 'alias', kp, 'alias_phone' FROM mkeys
+UNION ALL SELECT kp, ki, kn, 4, 'alias', ki, 'alias_phone' FROM mkeys
+UNION ALL SELECT kp, ki, kn, 5, 'name', kn, 'exact_name' FROM mkeys"""),
+        ("best", """SELECT kp, ki, kn, arg_min(tier, rank) AS match_tier, arg_min(hit, rank) AS matched_id
+FROM probes p JOIN lookup l ON l.kind = p.kind AND l.key = p.key WHERE p.key <> '' GROUP BY ALL"""),
+        ("matched", f"""SELECT r.*, b.match_tier, b.matched_id, c.canonical_id AS employee_id
+FROM {req} r LEFT JOIN best b ON b.kp = coalesce(r.payout_phone, '') AND b.ki = coalesce(r.id_phone, '')
+  AND b.kn = coalesce(CASE WHEN r.name_raw IS NOT NULL THEN {norm_name('r.name_raw')} END, '')
+LEFT JOIN canon c ON c.id = b.matched_id"""),
+    ]
+
+
+def create_ctes() -> list[tuple[str, str]]:
+    """New employees for unmatched requests: one per identity (id phone, else
+    payout phone, else valid normal name, else Unknown), in first-message order."""
+    return [
+        ("miss", f"""SELECT *, coalesce('p:' || coalesce(id_phone, payout_phone),
+  CASE WHEN {valid_name('name_raw')} THEN 'n:' || {norm_name('name_raw')} END, 'unknown') AS ident
+FROM matched WHERE employee_id IS NULL"""),
+        ("firsts", "SELECT ident, min(message_id) AS first_msg FROM miss GROUP BY ident"),
+        ("newemp", "SELECT ident, (SELECT max(id) FROM emp) + row_number() OVER (ORDER BY first_msg, ident) AS id FROM firsts"),
+        ("assigned", """SELECT * EXCLUDE (ident) FROM (
+  SELECT m.*, NULL AS ident FROM matched m WHERE m.employee_id IS NOT NULL
+  UNION ALL SELECT mi.* EXCLUDE (employee_id, match_tier, matched_id, ident), 'auto_created', n.id, n.id, mi.ident
+  FROM miss mi JOIN newemp n USING (ident)) z"""),
+    ]
+
+
+ROUTE_CTES = [
+    ("routed", f"""SELECT p.*, coalesce({norm_phone('p.sender_phone')}, p.sender_phone, '') AS sender_norm,
+  a.phone IS NOT NULL AS authorized
+FROM parsed p LEFT JOIN (SELECT DISTINCT command, phone FROM fx_authorized) a
+  ON a.command = p.message_type AND a.phone = coalesce({norm_phone('p.sender_phone')}, p.sender_phone, '')"""),
+    ("req", """SELECT message_id, CASE WHEN message_type = 'income_command' THEN 'income' ELSE 'match' END AS action,
+  name_raw,
+  CASE WHEN message_type = 'income_command' THEN coalesce(payout_phone, id_phone) ELSE payout_phone END AS payout_phone,
+  CASE WHEN message_type = 'income_command' THEN coalesce(payout_phone, id_phone) ELSE id_phone END AS id_phone,
+  payout_method, amount, txn_date, raw_content, sender_norm
+FROM routed WHERE amount IS NOT NULL AND amount > 0 AND (
+  (message_type = 'payment' AND coalesce(is_from_me, false)) OR (message_type = 'income_command' AND authorized))"""),
+]
+
+CASH_CTES = [
+    ("cashreq", """SELECT message_id, coalesce(payout_phone, id_phone) AS emp_phone, name_raw, amount, txn_date, sender_norm
+FROM routed WHERE message_type = 'cash_command' AND authorized AND amount IS NOT NULL AND amount > 0"""),
+    ("byphone", """SELECT ph, min(id) AS emp FROM (SELECT id, primary_phone AS ph FROM emp
+  UNION ALL SELECT id, employee_id_phone FROM emp) x WHERE ph IS NOT NULL GROUP BY ph"""),
+    ("cashout", """SELECT c.*, b.emp AS employee_id FROM cashreq c LEFT JOIN byphone b ON b.ph = c.emp_phone"""),
+]

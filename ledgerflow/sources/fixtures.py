@@ -172,3 +172,22 @@ def authorized_senders(spark: SparkSession, sf_dir: str) -> DataFrame:
     cash = c.where(k % 2 == 0).select(F.lit("cash_command").alias("command"), ph.alias("phone"))
     income = c.where(k % 3 == 0).select(F.lit("income_command").alias("command"), ph.alias("phone"))
     return cash.unionByName(income)
+
+
+def store_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """fx_store with each row's chat and time (from the same order), as a
+    message store row for the gap scan; ``source_number`` is the bridge's own
+    number per source."""
+    o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
+    k = F.col("o_orderkey")
+    src = _source(k)
+    return o.select(
+        F.concat(F.lit("M"), k.cast("string")).alias("wa_message_id"),
+        src.alias("source"),
+        F.concat(F.lit("019000000"), F.lpad((k % 3 + 1).cast("string"), 2, "0")).alias("source_number"),
+        F.concat(F.lit("88"), _phone(F.col("o_custkey"), 700000000), F.lit("@s.whatsapp.net")).alias("chat_jid"),
+        F.col("o_orderdate").alias("timestamp_wa"),
+        F.when(k % 27 == 0, " ").otherwise("text").alias("content"),
+        (k % 9 != 0).alias("in_archive"),
+        (k % 5 == 0).alias("redelivered"),
+    )
