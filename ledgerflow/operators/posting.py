@@ -256,13 +256,25 @@ def ledger(payments: DataFrame, parity: bool = False, carry_forward: bool = Fals
     return out.withColumn("closing_balance", closing.cast("decimal(22,2)"))
 
 
-def ledger_running(payments: DataFrame) -> DataFrame:
+def ledger_running(payments: DataFrame, chunk: int = 1 << 16) -> DataFrame:
     """The closing balance after each payment, per employee and period,
-    in id order."""
-    w = Window.partitionBy("employee_id", "accounting_period").orderBy("id") \
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return payments.where(F.col("employee_id").isNotNull()).select(
-        "id", "employee_id", "accounting_period", "amount",
-        (-F.sum("amount").over(w)).cast("decimal(22,2)").alias("closing_after"),
-        F.row_number().over(Window.partitionBy("employee_id", "accounting_period").orderBy("id"))
-        .alias("seq"))
+    in id order.
+
+    A running sum split in two so a hot (employee, period) is not one task:
+    sums inside id chunks (window per group and chunk), then the totals of
+    earlier chunks (a window over one row per chunk) are added.
+    """
+    p = payments.where(F.col("employee_id").isNotNull()) \
+                .withColumn("_chunk", F.floor(F.col("id") / F.lit(chunk)))
+    grp = ["employee_id", "accounting_period"]
+    wl = Window.partitionBy(*grp, "_chunk").orderBy("id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = p.select("id", *grp, "_chunk", "amount",
+                     F.sum("amount").over(wl).alias("_run"), F.count(F.lit(1)).over(wl).alias("_seq"))
+    totals = p.groupBy(*grp, "_chunk").agg(F.sum("amount").alias("_ct"), F.count(F.lit(1)).alias("_cn"))
+    wp = Window.partitionBy(*grp).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offs = totals.select(*grp, "_chunk", F.coalesce(F.sum("_ct").over(wp), F.lit(0)).alias("_off"),
+                         F.coalesce(F.sum("_cn").over(wp), F.lit(0)).alias("_noff"))
+    j = local.join(offs, [*grp, "_chunk"])
+    return j.select("id", *grp, "amount",
+                    (-(F.col("_off") + F.col("_run"))).cast("decimal(22,2)").alias("closing_after"),
+                    (F.col("_noff") + F.col("_seq")).cast("long").alias("seq"))

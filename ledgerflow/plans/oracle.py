@@ -84,6 +84,11 @@ FROM orders""",
  CASE WHEN o_orderkey % 27 = 0 THEN ' ' ELSE 'text' END AS content,
  o_orderkey % 9 <> 0 AS in_archive, o_orderkey % 5 = 0 AS redelivered
 FROM orders""",
+    "fx_identity_reviews": """SELECT id, id AS candidate_employee_id, id - 1 AS suspected_match_id,
+ CASE WHEN id % 20 = 6 THEN 'name_collision' ELSE 'fuzzy_name_below_threshold' END AS match_reason,
+ CAST(CASE WHEN id % 20 = 6 THEN 0.95 ELSE 0.75 END AS DECIMAL(4,3)) AS confidence_score,
+ CASE WHEN id % 3 = 0 THEN 'rejected' ELSE 'pending' END AS review_status
+FROM (SELECT c_custkey + 1 AS id FROM customer) e WHERE id % 10 = 6""",
     "fx_authorized": """SELECT 'cash_command' AS command, concat('01', lpad(CAST(700000000 + c_custkey AS VARCHAR), 9, '0')) AS phone
 FROM customer WHERE c_custkey % 2 = 0
 UNION ALL
@@ -119,11 +124,12 @@ def norm_phone(x: str) -> str:
     return f"(CASE WHEN regexp_full_match({r}, '01{D}{{9}}') THEN {r} END)"
 
 
-def valid_name(x: str) -> str:
+def valid_name(x: str, extra: tuple[str, ...] = ()) -> str:
     s = strip(x)
+    words = ", ".join(f"'{w}'" for w in ("unknown", "unnamed", "none", "n/a", "na") + extra)
     digits_only = f"regexp_replace({s}, '{WS[:-1]}\\-+().]', '', 'g')"
     return (f"coalesce(({s} IS NOT NULL AND length({s}) >= 2 "
-            f"AND lower({s}) NOT IN ('unknown', 'unnamed', 'none', 'n/a', 'na') "
+            f"AND lower({s}) NOT IN ({words}) "
             f"AND NOT regexp_full_match({digits_only}, '{D}+') "
             f"AND regexp_matches({s}, '[A-Za-z\\x{{0980}}-\\x{{09FF}}]')), false)")
 
@@ -303,3 +309,13 @@ FROM routed WHERE message_type = 'cash_command' AND authorized AND amount IS NOT
   UNION ALL SELECT id, employee_id_phone FROM emp) x WHERE ph IS NOT NULL GROUP BY ph"""),
     ("cashout", """SELECT c.*, b.emp AS employee_id FROM cashreq c LEFT JOIN byphone b ON b.ph = c.emp_phone"""),
 ]
+
+
+def display_name_ok(x: str) -> str:
+    return valid_name(x, ("(unknown)", "(unnamed)"))
+
+
+def trigrams(x: str) -> str:
+    pad = "('  ' || w || ' ')"
+    return (f"list_distinct(flatten(list_transform(regexp_extract_all(lower(coalesce({x}, '')), '[\\p{{L}}\\p{{N}}]+', 0), "
+            f"lambda w: list_transform(range(1, length{pad} - 1), lambda i: substr({pad}, i, 3)))))")

@@ -349,3 +349,202 @@ def cash_commands_q(spark, sf):
                              F.col("detected_payout_phone").alias("emp_phone"), _dbl("detected_amount").alias("amount"),
                              F.lit(None).cast("string").alias("txn_ref"))
     return posted.unionByName(nothing)
+
+
+# ---------------------------------------------------------------------------
+# Payments, ledger, reversals, keys
+# ---------------------------------------------------------------------------
+
+_REV = [("pr", PAYMENTS_REV_SQL)]
+_CANON = o.MASTER_CTES[:3]
+
+
+@query("ledger", o.with_ctes(["fx_payments"], _REV, """SELECT employee_id, accounting_period,
+  CAST(sum(CASE WHEN txn_category <> 'advance' THEN amount ELSE 0 END) AS DOUBLE) AS total_paid,
+  CAST(sum(CASE WHEN txn_category = 'advance' THEN amount ELSE 0 END) AS DOUBLE) AS total_advance,
+  count(*) AS txn_count, CAST(-sum(amount) AS DOUBLE) AS closing_balance,
+  CAST(CASE WHEN count(*) = 1 THEN 0 ELSE -sum(amount) END AS DOUBLE) AS closing_parity
+FROM pr WHERE employee_id IS NOT NULL GROUP BY ALL"""))
+def ledger_q(spark, sf):
+    p = _payments_rev(spark, sf)
+    fixed = posting.ledger(p)
+    par = posting.ledger(p, parity=True).select("employee_id", "accounting_period",
+                                                F.col("closing_balance").alias("closing_parity"))
+    j = fixed.join(par, ["employee_id", "accounting_period"])
+    return j.select("employee_id", "accounting_period", _dbl("total_paid").alias("total_paid"),
+                    _dbl("total_advance").alias("total_advance"), F.col("txn_count").cast("long").alias("txn_count"),
+                    _dbl("closing_balance").alias("closing_balance"), _dbl("closing_parity").alias("closing_parity"))
+
+
+@query("ledger_running", o.with_ctes(["fx_payments"], _REV, """SELECT id, employee_id, accounting_period,
+  CAST(-sum(amount) OVER w AS DOUBLE) AS closing_after, row_number() OVER w AS seq
+FROM pr WHERE employee_id IS NOT NULL
+WINDOW w AS (PARTITION BY employee_id, accounting_period ORDER BY id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""))
+def ledger_running_q(spark, sf):
+    r = posting.ledger_running(_payments_rev(spark, sf))
+    return r.select("id", "employee_id", "accounting_period", _dbl("closing_after").alias("closing_after"), "seq")
+
+
+def _posted(spark, sf):
+    p = fx.payments(spark, sf)
+    return p.select("id", tx.payment_ref("id", "employee_id", "amount", "accounting_period", "payout_method").alias("txn_ref"),
+                    F.col("id").alias("message_id"), "employee_id", F.lit(None).cast("string").alias("employee_name_raw"),
+                    "amount", F.lit(None).cast("string").alias("payout_phone"), "payout_method", "txn_date",
+                    "txn_category", F.lit(False).alias("is_reversal"), "accounting_period", "was_reversed")
+
+
+@query("reversal_net", o.with_ctes(["fx_payments"], [
+    ("reqs", """SELECT id AS request_id, id AS txn_id FROM fx_payments WHERE was_reversed
+UNION ALL SELECT id + 1000000000, id FROM fx_payments WHERE was_reversed AND id % 2 = 0
+UNION ALL SELECT id + 2000000000, id + 1000000000 FROM fx_payments WHERE id % 1000 = 1"""),
+    ("j", """SELECT r.*, p.id AS pid, p.amount, row_number() OVER (PARTITION BY r.txn_id ORDER BY r.request_id) AS n
+FROM reqs r LEFT JOIN fx_payments p ON p.id = r.txn_id""")],
+    """SELECT request_id, txn_id,
+  CASE WHEN pid IS NULL THEN 'not_found' WHEN n > 1 THEN 'already_reversed' ELSE 'reversed' END AS outcome,
+  CASE WHEN pid IS NOT NULL AND n = 1 THEN CAST(-amount AS DOUBLE) END AS amount
+FROM j"""))
+def reversal_net(spark, sf):
+    posted = _posted(spark, sf)
+    reqs = (posted.where("was_reversed").select(F.col("id").alias("request_id"), F.col("id").alias("txn_id"))
+            .unionByName(posted.where(F.col("was_reversed") & (F.col("id") % 2 == 0))
+                         .select((F.col("id") + 1000000000).alias("request_id"), F.col("id").alias("txn_id")))
+            .unionByName(posted.where(F.col("id") % 1000 == 1)
+                         .select((F.col("id") + 2000000000).alias("request_id"), (F.col("id") + 1000000000).alias("txn_id")))
+            .withColumn("reason", F.lit("requested")).withColumn("actor", F.lit("admin")))
+    rows, rejected = posting.reverse_payments(posted.drop("was_reversed"), reqs)
+    done = rows.select(F.col("reversed_txn_id").alias("txn_id"), _dbl("amount").alias("amount"))
+    ok = reqs.join(done, "txn_id").join(rejected.select("request_id"), "request_id", "left_anti") \
+             .select("request_id", "txn_id", F.lit("reversed").alias("outcome"), "amount")
+    bad = rejected.select("request_id", "txn_id", F.col("reject_reason").alias("outcome"),
+                          F.lit(None).cast("double").alias("amount"))
+    return ok.unionByName(bad)
+
+
+@query("payment_refs", o.with_ctes(["fx_payments"], [], """SELECT id,
+  'fpe-' || sha256(concat_ws('|', CAST(id AS VARCHAR), CAST(employee_id AS VARCHAR), CAST(amount AS VARCHAR),
+     accounting_period, payout_method))[1:16] AS txn_ref,
+  'fpe-' || sha256(concat_ws('|', CAST(id AS VARCHAR), CAST(employee_id AS VARCHAR),
+     regexp_replace(regexp_replace(CAST(amount AS VARCHAR), '0$', ''), '\\.$', '.0'),
+     accounting_period, payout_method))[1:16] AS txn_ref_parity,
+  'REV-fpe-' || sha256(concat_ws('|', CAST(id AS VARCHAR), CAST(employee_id AS VARCHAR), CAST(amount AS VARCHAR),
+     accounting_period, payout_method))[1:16] AS reversal_ref,
+  'inc-' || sha256(concat_ws('|', CAST(id AS VARCHAR), CAST(employee_id AS VARCHAR), CAST(amount AS VARCHAR),
+     accounting_period))[1:16] AS income_ref,
+  'EMP-' || lpad(CAST(employee_id AS VARCHAR), 5, '0') AS employee_code
+FROM fx_payments"""))
+def payment_refs(spark, sf):
+    p = fx.payments(spark, sf)
+    ref = tx.payment_ref("id", "employee_id", "amount", "accounting_period", "payout_method")
+    return p.select("id", ref.alias("txn_ref"),
+                    tx.payment_ref("id", "employee_id", "amount", "accounting_period", "payout_method",
+                                   parity=True).alias("txn_ref_parity"),
+                    tx.reversal_ref(ref).alias("reversal_ref"),
+                    tx.income_ref("id", "employee_id", "amount", "accounting_period").alias("income_ref"),
+                    tx.employee_code("employee_id").alias("employee_code"))
+
+
+@query("payments_summary", o.with_ctes(["fx_payments"], _REV, """SELECT count(*) AS n, CAST(sum(amount) AS DOUBLE) AS total,
+  strftime(min(txn_date), '%Y-%m-%d') AS first_date, strftime(max(txn_date), '%Y-%m-%d') AS last_date
+FROM pr WHERE NOT is_reversal AND payout_method = 'bkash' AND txn_date BETWEEN DATE '1995-01-01' AND DATE '1996-12-31'"""))
+def payments_summary(spark, sf):
+    p = reports.filter_payments(_payments_rev(spark, sf), method="bkash", date_from="1995-01-01", date_to="1996-12-31")
+    s = reports.payments_summary(p)
+    return s.select("n", _dbl("total").alias("total"), _day("first_date").alias("first_date"),
+                    _day("last_date").alias("last_date"))
+
+
+@query("payments_by_method", o.with_ctes(["fx_payments"], _REV, """SELECT payout_method, count(*) AS n,
+  CAST(sum(amount) AS DOUBLE) AS total FROM pr WHERE NOT is_reversal GROUP BY ALL"""))
+def payments_by_method_q(spark, sf):
+    r = reports.payments_by_method(_payments_rev(spark, sf))
+    return r.select("payout_method", "n", _dbl("total").alias("total"))
+
+
+@query("state_counts", o.with_ctes(["fx_message_state"], [], "SELECT status, count(*) AS n FROM fx_message_state GROUP BY ALL"))
+def state_counts_q(spark, sf):
+    return reports.state_counts(fx.message_state(spark, sf))
+
+
+@query("payments_page", o.with_ctes(["fx_payments", "fx_employees"], _REV + _CANON + [
+    ("pg", f"SELECT * FROM pr WHERE NOT is_reversal ORDER BY txn_date DESC, id DESC LIMIT {PAGE_SIZE}")],
+    f"""SELECT pg.id, pg.employee_id, coalesce(c.canonical_id, pg.employee_id) AS canonical_employee_id,
+  coalesce(CASE WHEN {o.display_name_ok('ce.full_name')} THEN ce.full_name END,
+           CASE WHEN {o.display_name_ok('e.full_name')} THEN e.full_name END, '(unknown)') AS display_name,
+  coalesce(ce.primary_phone, e.primary_phone) AS display_phone,
+  CAST(pg.amount AS DOUBLE) AS amount, pg.payout_method, strftime(pg.txn_date, '%Y-%m-%d') AS txn_date
+FROM pg LEFT JOIN emp e ON e.id = pg.employee_id LEFT JOIN canon c ON c.id = pg.employee_id
+LEFT JOIN emp ce ON ce.id = c.canonical_id""", recursive=True))
+def payments_page_q(spark, sf):
+    p = reports.filter_payments(_payments_rev(spark, sf)).withColumn("employee_name_raw", F.lit(None).cast("string"))
+    emp = fx.employees(spark, sf)
+    r = reports.payments_page(p, emp, identity.resolve_canonical(emp), page=1, size=PAGE_SIZE)
+    return r.select("id", "employee_id", "canonical_employee_id", "display_name", "display_phone",
+                    _dbl("amount").alias("amount"), "payout_method", _day("txn_date").alias("txn_date"))
+
+
+@query("employee_totals", o.with_ctes(["fx_payments", "fx_employees"], _REV + _CANON, """SELECT c.canonical_id,
+  count(*) FILTER (WHERE NOT is_reversal) AS txn_count,
+  CAST(sum(amount) FILTER (WHERE NOT is_reversal) AS DOUBLE) AS gross_amount,
+  CAST(sum(amount) AS DOUBLE) AS net_amount,
+  strftime(max(txn_date) FILTER (WHERE NOT is_reversal), '%Y-%m-%d') AS last_date
+FROM pr JOIN canon c ON c.id = pr.employee_id GROUP BY c.canonical_id""", recursive=True))
+def employee_totals_q(spark, sf):
+    emp = fx.employees(spark, sf)
+    t = reports.employee_totals(_payments_rev(spark, sf), identity.members(emp))
+    return t.select("canonical_id", "txn_count", _dbl("gross_amount").alias("gross_amount"),
+                    _dbl("net_amount").alias("net_amount"), _day("last_date").alias("last_date"))
+
+
+@query("employee_history", o.with_ctes(["fx_payments", "fx_employees"], _REV + _CANON, f"""SELECT c.canonical_id,
+  count(*) AS n, CAST(sum(amount) AS DOUBLE) AS total,
+  strftime(min(txn_date), '%Y-%m-%d') AS first_date, strftime(max(txn_date), '%Y-%m-%d') AS last_date
+FROM pr JOIN canon c ON c.id = pr.employee_id
+WHERE NOT is_reversal AND txn_date BETWEEN DATE '{HISTORY_FROM}' AND DATE '{HISTORY_TO}' GROUP BY c.canonical_id""",
+    recursive=True))
+def employee_history_q(spark, sf):
+    emp = fx.employees(spark, sf)
+    h = reports.employee_history(_payments_rev(spark, sf), identity.members(emp), HISTORY_FROM, HISTORY_TO)
+    return h.select("canonical_id", "n", _dbl("total").alias("total"), _day("first_date").alias("first_date"),
+                    _day("last_date").alias("last_date"))
+
+
+@query("employee_list_page", o.with_ctes(["fx_payments", "fx_employees", "fx_aliases"], _REV + _CANON + [
+    ("page", f"""SELECT * FROM emp WHERE status = 'active' AND canonical_employee_id IS NULL
+ORDER BY CASE WHEN regexp_matches(coalesce(full_name, ''), '[A-Za-z\\x{{0980}}-\\x{{09FF}}]') THEN 0 ELSE 1 END,
+  lower(coalesce(full_name, primary_phone)) ASC NULLS LAST, id LIMIT {LIST_PAGE_SIZE}"""),
+    ("mem", "SELECT p.id AS canonical_id, c.id AS member_id FROM page p JOIN canon c ON c.canonical_id = p.id"),
+    ("tot", """SELECT m.canonical_id, count(*) FILTER (WHERE NOT is_reversal) AS txn_count,
+  sum(amount) FILTER (WHERE NOT is_reversal) AS total, max(txn_date) FILTER (WHERE NOT is_reversal) AS last_date
+FROM mem m JOIN pr ON pr.employee_id = m.member_id GROUP BY m.canonical_id"""),
+    ("al", """SELECT m.canonical_id, array_to_string(list_sort(list_distinct(list(a.alias_value))), ',') AS name_aliases
+FROM mem m JOIN fx_aliases a ON a.employee_id = m.member_id AND a.alias_type = 'name' GROUP BY m.canonical_id""")],
+    """SELECT p.id, p.employee_code, p.full_name, coalesce(t.txn_count, 0) AS txn_count, CAST(t.total AS DOUBLE) AS total,
+  strftime(t.last_date, '%Y-%m-%d') AS last_date, al.name_aliases
+FROM page p LEFT JOIN tot t ON t.canonical_id = p.id LEFT JOIN al ON al.canonical_id = p.id""", recursive=True))
+def employee_list_page(spark, sf):
+    emp = fx.employees(spark, sf)
+    has_letter = F.coalesce(F.col("full_name"), F.lit("")).rlike(tx.NAME_LETTER)
+    page = (emp.where((F.col("status") == "active") & F.col("canonical_employee_id").isNull())
+            .orderBy(F.when(has_letter, 0).otherwise(1), F.lower(F.coalesce("full_name", "primary_phone")).asc_nulls_last(),
+                     "id").limit(LIST_PAGE_SIZE))
+    mem = identity.members(emp).join(page.select(F.col("id").alias("canonical_id")), "canonical_id")
+    p = _payments_rev(spark, sf)
+    tot = (mem.join(p, p.employee_id == mem.member_id).groupBy("canonical_id").agg(
+        F.count_if(~F.col("is_reversal")).alias("txn_count"),
+        F.sum(F.when(~F.col("is_reversal"), F.col("amount"))).alias("total"),
+        F.max(F.when(~F.col("is_reversal"), F.col("txn_date"))).alias("last_date")))
+    a = fx.aliases(spark, sf).where(F.col("alias_type") == "name")
+    al = (mem.join(a, a.employee_id == mem.member_id).groupBy("canonical_id")
+          .agg(F.array_join(F.array_sort(F.collect_set("alias_value")), ",").alias("name_aliases")))
+    j = page.join(tot, page.id == tot.canonical_id, "left").drop("canonical_id") \
+            .join(al, page.id == al.canonical_id, "left")
+    return j.select("id", "employee_code", "full_name", F.coalesce("txn_count", F.lit(0)).alias("txn_count"),
+                    _dbl("total").alias("total"), _day("last_date").alias("last_date"), "name_aliases")
+
+
+@query("alias_first_wins", o.with_ctes(["fx_aliases"], [], """SELECT alias_type, alias_value, min(employee_id) AS employee_id,
+  count(*) - 1 AS rejected FROM fx_aliases WHERE alias_value <> '' GROUP BY ALL"""))
+def alias_first_wins(spark, sf):
+    a = fx.aliases(spark, sf).where(F.col("alias_value") != "")
+    return a.groupBy("alias_type", "alias_value").agg(F.min("employee_id").alias("employee_id"),
+                                                      (F.count(F.lit(1)) - 1).alias("rejected"))

@@ -191,3 +191,15 @@ def store_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         (k % 9 != 0).alias("in_archive"),
         (k % 5 == 0).alias("redelivered"),
     )
+
+
+def identity_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Identity reviews for the dashboards: every tenth employee (id ending
+    6) is a candidate suspected to be the row before it."""
+    e = employees(spark, sf_dir).select("id")
+    i = F.col("id")
+    return e.where(i % 10 == 6).select(
+        i.alias("id"), i.alias("candidate_employee_id"), (i - 1).alias("suspected_match_id"),
+        F.when(i % 20 == 6, "name_collision").otherwise("fuzzy_name_below_threshold").alias("match_reason"),
+        F.when(i % 20 == 6, 0.95).otherwise(0.75).cast("decimal(4,3)").alias("confidence_score"),
+        F.when(i % 3 == 0, "rejected").otherwise("pending").alias("review_status"))
