@@ -127,6 +127,7 @@ def reconciliation(parsed: DataFrame, messages: DataFrame, payments: DataFrame,
         msg_cond = msg_cond & (F.col("_mper") == period_)
     if source is not None:
         msg_cond = msg_cond & (F.col("source") == source)
+    parsed = parsed.select("message_id", "message_type", "payment")
     pr = parsed.join(m, parsed.message_id == m._mid)
     parser_sum = pr.where((F.col("message_type") == "payment") & F.col("payment.amount").isNotNull()
                           & F.col("is_from_me") & msg_cond) \
@@ -161,6 +162,7 @@ def reconciliation_by_period_source(parsed: DataFrame, messages: DataFrame, paym
     the ledger side per accounting period (it has no source, Q10)."""
     m = messages.select(F.col("id").alias("_mid"), "source", "is_from_me",
                         period("timestamp_wa").alias("period"))
+    parsed = parsed.select("message_id", "message_type", "payment")
     pr = parsed.join(m, parsed.message_id == m._mid).where(
         (F.col("message_type") == "payment") & F.col("payment.amount").isNotNull() & F.col("is_from_me"))
     ps = pr.groupBy("period", "source").agg(F.sum("payment.amount").alias("parser_detected_sum"))

@@ -548,3 +548,216 @@ def alias_first_wins(spark, sf):
     a = fx.aliases(spark, sf).where(F.col("alias_value") != "")
     return a.groupBy("alias_type", "alias_value").agg(F.min("employee_id").alias("employee_id"),
                                                       (F.count(F.lit(1)) - 1).alias("rejected"))
+
+
+# ---------------------------------------------------------------------------
+# Reconciliation, review and identity dashboards, audit
+# ---------------------------------------------------------------------------
+
+_RECON_CTES = _REV + [
+    ("ps", """SELECT CAST(coalesce(sum(amount), 0) AS DECIMAL(22,2)) AS parser_detected_sum FROM parsed
+WHERE message_type = 'payment' AND amount IS NOT NULL AND is_from_me"""),
+    ("ls", "SELECT CAST(coalesce(sum(amount), 0) AS DECIMAL(22,2)) AS ledger_sum FROM pr WHERE NOT is_reversal"),
+    ("us", """SELECT CAST(coalesce(sum(r.detected_amount), 0) AS DECIMAL(22,2)) AS unmatched_review_sum
+FROM fx_review_items r JOIN fx_messages m ON m.id = r.message_id
+WHERE r.review_status = 'pending' AND r.detected_amount IS NOT NULL"""),
+]
+
+
+@query("reconciliation", o.with_ctes(["fx_messages", "fx_payments", "fx_review_items", "fx_message_state"], _RECON_CTES,
+    """SELECT CAST(parser_detected_sum AS DOUBLE) AS parser_detected_sum, CAST(ledger_sum AS DOUBLE) AS ledger_sum,
+  CAST(unmatched_review_sum AS DOUBLE) AS unmatched_review_sum,
+  CAST(ledger_sum + unmatched_review_sum AS DOUBLE) AS accounted_sum,
+  CAST(parser_detected_sum - (ledger_sum + unmatched_review_sum) AS DOUBLE) AS delta,
+  abs(parser_detected_sum - (ledger_sum + unmatched_review_sum)) <= 0.01 AS ok,
+  (SELECT count(*) FROM fx_review_items WHERE review_status = 'pending') AS pending_review_count,
+  (SELECT count(*) FROM fx_message_state WHERE status = 'failed' AND attempts >= 5) AS dlq_count
+FROM ps, ls, us""", parse=True))
+def reconciliation_q(spark, sf):
+    r = reports.reconciliation(_parsed(spark, sf), fx.messages(spark, sf), _payments_rev(spark, sf),
+                               fx.review_items(spark, sf), fx.message_state(spark, sf))
+    return r.select(*[_dbl(c).alias(c) for c in ["parser_detected_sum", "ledger_sum", "unmatched_review_sum",
+                                                   "accounted_sum", "delta"]], "ok", "pending_review_count", "dlq_count")
+
+
+@query("reconciliation_by_period_source", o.with_ctes(["fx_messages", "fx_payments", "fx_review_items"], _REV + [
+    ("ps", """SELECT strftime(timestamp_wa, '%Y-%m') AS period, source, sum(amount) AS parser_detected_sum FROM parsed
+WHERE message_type = 'payment' AND amount IS NOT NULL AND is_from_me GROUP BY ALL"""),
+    ("us", """SELECT strftime(m.timestamp_wa, '%Y-%m') AS period, m.source, sum(r.detected_amount) AS unmatched_review_sum
+FROM fx_review_items r JOIN fx_messages m ON m.id = r.message_id
+WHERE r.review_status = 'pending' AND r.detected_amount IS NOT NULL GROUP BY ALL"""),
+    ("ls", "SELECT accounting_period AS period, sum(amount) AS ledger_sum FROM pr WHERE NOT is_reversal GROUP BY ALL")],
+    """SELECT coalesce(ps.period, us.period) AS period, coalesce(ps.source, us.source) AS source,
+  CAST(coalesce(ps.parser_detected_sum, 0) AS DOUBLE) AS parser_detected_sum,
+  CAST(coalesce(us.unmatched_review_sum, 0) AS DOUBLE) AS unmatched_review_sum,
+  CAST(coalesce(ls.ledger_sum, 0) AS DOUBLE) AS period_ledger_sum
+FROM ps FULL OUTER JOIN us ON ps.period = us.period AND ps.source = us.source
+LEFT JOIN ls ON ls.period = coalesce(ps.period, us.period)""", parse=True))
+def reconciliation_by_period_source(spark, sf):
+    r = reports.reconciliation_by_period_source(_parsed(spark, sf), fx.messages(spark, sf), _payments_rev(spark, sf),
+                                                fx.review_items(spark, sf))
+    return r.select("period", "source", *[_dbl(c).alias(c) for c in
+                                          ["parser_detected_sum", "unmatched_review_sum", "period_ledger_sum"]])
+
+
+@query("review_summary", o.with_ctes(["fx_review_items", "fx_message_state"], [], """SELECT
+  count(*) FILTER (WHERE review_status = 'pending') AS pending,
+  count(*) FILTER (WHERE review_status = 'pending' AND parser_confidence < 0.5) AS low_confidence,
+  CAST(coalesce(sum(detected_amount) FILTER (WHERE review_status = 'pending'), 0) AS DOUBLE) AS pending_amount,
+  count(*) FILTER (WHERE review_status = 'dismissed') AS rejected,
+  count(*) FILTER (WHERE review_status = 'promoted') AS promoted,
+  (SELECT count(*) FROM fx_message_state WHERE status = 'failed' AND attempts >= 5) AS dead_letters
+FROM fx_review_items"""))
+def review_summary_q(spark, sf):
+    r = reports.review_summary(fx.review_items(spark, sf), fx.message_state(spark, sf))
+    return r.select("pending", "low_confidence", _dbl("pending_amount").alias("pending_amount"), "rejected",
+                    "promoted", "dead_letters")
+
+
+@query("needs_review", o.with_ctes(["fx_review_items", "fx_messages"], [
+    ("pg", f"SELECT * FROM fx_review_items WHERE review_status = 'pending' ORDER BY id DESC LIMIT {LIST_PAGE_SIZE}")],
+    """SELECT pg.id, pg.message_id, pg.reason, CAST(pg.detected_amount AS DOUBLE) AS detected_amount, pg.parser_confidence,
+  m.source, m.chat_jid, left(coalesce(m.raw_content, ''), 240) AS preview
+FROM pg JOIN fx_messages m ON m.id = pg.message_id"""))
+def needs_review_q(spark, sf):
+    r = reports.needs_review(fx.review_items(spark, sf), fx.messages(spark, sf), size=LIST_PAGE_SIZE)
+    return r.select("id", "message_id", "reason", _dbl("detected_amount").alias("detected_amount"),
+                    "parser_confidence", "source", "chat_jid", "preview")
+
+
+@query("dead_letters", o.with_ctes(["fx_message_state", "fx_messages"], [], """SELECT s.message_id, s.attempts, m.source,
+  left(coalesce(m.raw_content, ''), 240) AS preview
+FROM fx_message_state s JOIN fx_messages m ON m.id = s.message_id WHERE s.status = 'failed' AND s.attempts >= 5"""))
+def dead_letters_q(spark, sf):
+    return reports.dead_letters(fx.message_state(spark, sf), fx.messages(spark, sf))
+
+
+@query("identity_summary", o.with_ctes(["fx_employees", "fx_aliases", "fx_identity_reviews"], [], """
+SELECT 'employees_total' AS metric, count(*) AS value FROM fx_employees
+UNION ALL SELECT 'employees_active', count(*) FILTER (WHERE status = 'active') FROM fx_employees
+UNION ALL SELECT 'employees_inactive', count(*) FILTER (WHERE status = 'inactive') FROM fx_employees
+UNION ALL SELECT 'canonical_rows', count(*) FILTER (WHERE canonical_employee_id IS NULL) FROM fx_employees
+UNION ALL SELECT 'linked_duplicates', count(*) FILTER (WHERE canonical_employee_id IS NOT NULL) FROM fx_employees
+UNION ALL SELECT 'aliases_total', count(*) FROM fx_aliases
+UNION ALL SELECT 'aliases_phone', count(*) FILTER (WHERE alias_type = 'phone') FROM fx_aliases
+UNION ALL SELECT 'aliases_name', count(*) FILTER (WHERE alias_type = 'name') FROM fx_aliases
+UNION ALL SELECT 'reviews_pending', count(*) FILTER (WHERE review_status = 'pending') FROM fx_identity_reviews
+UNION ALL SELECT 'reviews_closed', count(*) FILTER (WHERE review_status <> 'pending') FROM fx_identity_reviews"""))
+def identity_summary_q(spark, sf):
+    return reports.identity_summary(fx.employees(spark, sf), fx.aliases(spark, sf), fx.identity_reviews(spark, sf))
+
+
+@query("identity_reviews", o.with_ctes(["fx_employees", "fx_identity_reviews"], [], """SELECT r.id, r.candidate_employee_id,
+  r.suspected_match_id, r.match_reason, CAST(r.confidence_score AS DOUBLE) AS confidence_score,
+  c.full_name AS candidate_name, c.primary_phone AS candidate_phone, s.full_name AS suspected_name, s.primary_phone AS suspected_phone
+FROM fx_identity_reviews r LEFT JOIN fx_employees c ON c.id = r.candidate_employee_id
+LEFT JOIN fx_employees s ON s.id = r.suspected_match_id WHERE r.review_status = 'pending'"""))
+def identity_reviews_q(spark, sf):
+    r = reports.pending_reviews(fx.identity_reviews(spark, sf), fx.employees(spark, sf))
+    return r.withColumn("confidence_score", _dbl("confidence_score"))
+
+
+def _employees_after(emp: DataFrame) -> DataFrame:
+    """An edited copy of the employees: every 7th marked inactive (I9), every
+    13th renamed to upper case (I13)."""
+    i = F.col("id")
+    return emp.select("id", F.when(i % 13 == 0, F.upper("full_name")).otherwise(F.col("full_name")).alias("full_name"),
+                      F.when(i % 7 == 0, F.lit("inactive")).otherwise(F.col("status")).alias("status"))
+
+
+@query("audit_rows", o.with_ctes(["fx_employees"], [
+    ("aft", """SELECT id, CASE WHEN id % 13 = 0 THEN upper(full_name) ELSE full_name END AS full_name,
+  CASE WHEN id % 7 = 0 THEN 'inactive' ELSE status END AS status FROM fx_employees""")],
+    """SELECT 'identity' AS family, 'employee' AS entity_type, b.id AS entity_id, 'update' AS action,
+  to_json(struct_pack(full_name := b.full_name, status := b.status)) AS before_state,
+  to_json(struct_pack(full_name := a.full_name, status := a.status)) AS after_state, 'admin' AS actor, 'edit' AS reason
+FROM fx_employees b JOIN aft a ON a.id = b.id WHERE a.full_name <> b.full_name OR a.status <> b.status"""))
+def audit_rows_q(spark, sf):
+    from ledgerflow.operators.review import audit_rows
+    emp = fx.employees(spark, sf)
+    return audit_rows(emp, _employees_after(emp), "id", ["full_name", "status"], "identity", "employee",
+                      actor="admin", reason="edit")
+
+
+# ---------------------------------------------------------------------------
+# Trigram join and name suggest (F18, J13, A15-A17, I15 exact/prefix tiers)
+# ---------------------------------------------------------------------------
+
+@query("trigram_match", o.with_ctes(["fx_messages", "fx_employees"], [
+    ("q", "SELECT DISTINCT " + o.norm_name("name_raw") + " AS query FROM parsed WHERE message_type = 'payment' AND name_raw IS NOT NULL"),
+    ("qg", "SELECT query, " + o.trigrams("query") + " AS g FROM q"),
+    ("eg", "SELECT id, " + o.trigrams("lower(coalesce(full_name, ''))") + " AS g FROM fx_employees WHERE status = 'active'"),
+    ("pairs", """SELECT qg.query, eg.id AS employee_id,
+  len(list_intersect(qg.g, eg.g)) / (len(qg.g) + len(eg.g) - len(list_intersect(qg.g, eg.g))) AS similarity
+FROM qg, eg WHERE len(qg.g) > 0 AND len(eg.g) > 0""")],
+    """SELECT query, arg_max(employee_id, struct_pack(s := similarity, n := -employee_id)) AS employee_id,
+  round(max(similarity), 6) AS similarity FROM pairs WHERE similarity >= 0.3 GROUP BY query""", parse=True))
+def trigram_match(spark, sf):
+    p = _parsed(spark, sf).where((F.col("message_type") == "payment") & F.col("payment.name_raw").isNotNull())
+    q = p.select(tx.norm_name("payment.name_raw").alias("query")).distinct()
+    e = fx.employees(spark, sf).where(F.col("status") == "active")
+    pairs = similarity.similarity_join(q, "query", F.col("query"), e, "id", F.lower(F.coalesce("full_name", F.lit(""))))
+    best = similarity.best_match(pairs.withColumnRenamed("id", "employee_id"), "query", "employee_id")
+    return best.select("query", "employee_id", F.round("similarity", 6).alias("similarity"))
+
+
+def _suggest_queries(emp: DataFrame) -> DataFrame:
+    """Search texts typed against the employee list: whole names (id ending
+    01 of 50) and names missing the last letter (02 of 50)."""
+    i = F.col("id")
+    whole = emp.where(i % 50 == 1).select(F.col("full_name").alias("query"))
+    part = emp.where(i % 50 == 2).select(F.expr("substring(full_name, 1, length(full_name) - 1)").alias("query"))
+    return whole.unionByName(part).distinct()
+
+
+# (score, employee-side form, query-side form, prefix?)
+_SUGGEST_TIERS = [
+    (0.92, "name", "norm", False), (0.91, "cname", "coll", False),
+    (0.88, "alias", "norm", False), (0.87, "calias", "coll", False),
+    (0.80, "name", "norm", True), (0.79, "cname", "coll", True),
+    (0.78, "alias", "norm", True), (0.77, "calias", "coll", True),
+]
+
+
+@query("suggest_exact_prefix", o.with_ctes(["fx_employees", "fx_aliases"], _CANON + [
+    ("qs", """SELECT DISTINCT query FROM (SELECT full_name AS query FROM fx_employees WHERE id % 50 = 1
+  UNION ALL SELECT substr(full_name, 1, length(full_name) - 1) FROM fx_employees WHERE id % 50 = 2) x"""),
+    ("qf", f"SELECT query, {o.norm_name('query')} AS qn, regexp_replace(lower(query), '[^a-z0-9]+', '', 'g') AS qc FROM qs"),
+    ("forms", """SELECT id, 'name' AS form, name_normalized AS v FROM emp WHERE status = 'active'
+UNION ALL SELECT id, 'cname', regexp_replace(lower(full_name), '[^a-z0-9]+', '', 'g') FROM emp WHERE status = 'active'
+UNION ALL SELECT a.employee_id, 'alias', lower(a.alias_value) FROM fx_aliases a JOIN emp e ON e.id = a.employee_id WHERE e.status = 'active'
+UNION ALL SELECT a.employee_id, 'calias', regexp_replace(lower(a.alias_value), '[^a-z0-9]+', '', 'g') FROM fx_aliases a JOIN emp e ON e.id = a.employee_id WHERE e.status = 'active'"""),
+    ("hits", "\nUNION ALL ".join(
+        f"""SELECT query, id, {s} AS score FROM qf JOIN forms f ON f.form = '{form}' AND """
+        + (f"starts_with(f.v, {'qn' if qf == 'norm' else 'qc'})" if pre else f"f.v = {'qn' if qf == 'norm' else 'qc'}")
+        + (" AND length(qc) >= 2" if qf == "coll" else " AND qn <> ''")
+        for s, form, qf, pre in _SUGGEST_TIERS))],
+    """SELECT query, c.canonical_id AS employee_id, max(score) AS score FROM hits JOIN canon c ON c.id = hits.id
+GROUP BY query, c.canonical_id""", recursive=True))
+def suggest_exact_prefix(spark, sf):
+    emp = identity.prepare_master(fx.employees(spark, sf))
+    active = emp.where(F.col("status") == "active")
+    a = fx.aliases(spark, sf).join(active.select(F.col("id").alias("employee_id")), "employee_id")
+    coll = lambda c: F.regexp_replace(F.lower(c), "[^a-z0-9]+", "")
+    forms = (active.select("id", F.lit("name").alias("form"), F.col("name_normalized").alias("v"))
+             .unionByName(active.select("id", F.lit("cname").alias("form"), coll(F.col("full_name")).alias("v")))
+             .unionByName(a.select(F.col("employee_id").alias("id"), F.lit("alias").alias("form"), F.lower("alias_value").alias("v")))
+             .unionByName(a.select(F.col("employee_id").alias("id"), F.lit("calias").alias("form"), coll(F.col("alias_value")).alias("v")))
+             .where(F.col("v").isNotNull()))
+    # every prefix of every form, so a prefix search is an equi-join (bounded by name length)
+    prefixes = forms.select("id", "form", F.explode(F.sequence(F.lit(1), F.greatest(F.length("v"), F.lit(1)))).alias("_n"), "v") \
+                    .select("id", "form", F.expr("substring(v, 1, _n)").alias("v"), F.lit(True).alias("prefix"))
+    keys = forms.withColumn("prefix", F.lit(False)).unionByName(prefixes)
+    q = _suggest_queries(fx.employees(spark, sf)).select("query", tx.norm_name("query").alias("qn"),
+                                                       coll(F.col("query")).alias("qc"))
+    probes = q.select("query", "qn", "qc", F.explode(F.array(*[
+        F.struct(F.lit(s).alias("score"), F.lit(form).alias("form"), F.col("qn" if qf == "norm" else "qc").alias("v"),
+                 F.lit(pre).alias("prefix"),
+                 ((F.length("qc") >= 2) if qf == "coll" else (F.col("qn") != "")).alias("ok"))
+        for s, form, qf, pre in _SUGGEST_TIERS])).alias("_p")).where("_p.ok")
+    hits = probes.join(keys, (probes["_p.form"] == keys.form) & (probes["_p.v"] == keys.v)
+                       & (probes["_p.prefix"] == keys.prefix))
+    canon = identity.resolve_canonical(emp).select(F.col("id").alias("_cid"), "canonical_id")
+    out = hits.join(canon, hits.id == canon._cid).groupBy("query", F.col("canonical_id").alias("employee_id")) \
+              .agg(F.max("_p.score").alias("score"))
+    return out.select("query", "employee_id", F.col("score").cast("double").alias("score"))
