@@ -198,6 +198,19 @@ def parse_messages(messages: DataFrame, text_col: str = "raw_content",
                       F.lit(PARSER_VERSION).alias("parser_version"), F.lit(False).alias("ai_enhanced"))
 
 
+def parse_results(messages: DataFrame, keep: list[str] | None = None, **kw) -> DataFrame:
+    """``parse_messages`` persisted (memory, then disk) as the run's
+    parse_results table (S12).
+
+    Downstream filters (payments only, commands only) then sit above the
+    stored rows; without it Catalyst pushes them into the regex projection and
+    every row is parsed twice, once for the filter and once for the output.
+    A lost block is recomputed from lineage.
+    """
+    from pyspark import StorageLevel
+    return parse_messages(messages, keep=keep, **kw).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def apply_extractions(parsed: DataFrame, extractions: DataFrame, raw: DataFrame) -> DataFrame:
     """P14 re-aimed: where confidence < 0.7 and the text is not blank, take a
     supplied extraction (``extractions``: message_id, is_payment, employee_name,

@@ -38,18 +38,26 @@ def similarity(a: Column, b: Column) -> Column:
     return F.when(union > 0, shared / union).otherwise(F.lit(0.0))
 
 
-def _prefixes(sets: DataFrame, key: str, freq: DataFrame, t: float) -> DataFrame:
-    ex = sets.select(key, F.explode("_grams").alias("_g"), F.size("_grams").alias("_n"))
-    ex = ex.join(freq, "_g")
-    w = Window.partitionBy(key).orderBy("_f", "_g")
-    keep = F.col("_n") - F.ceil(F.lit(t) * F.col("_n") - F.lit(1e-9)) + 1
-    return ex.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= keep).select(key, "_g")
+def _ordered(sets: DataFrame, key: str, freq: DataFrame, t: float) -> DataFrame:
+    """Per set: grams in the global order (rarest first) and the prefix of
+    length ``n - ceil(t * n) + 1``."""
+    ex = sets.select(key, F.explode("_grams").alias("_g")).join(freq, "_g")
+    per = ex.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_f", "_g"))).alias("_s"))
+    n = F.size("_s")
+    keep = (n - F.ceil(F.lit(t) * n - F.lit(1e-9)) + 1).cast("int")
+    grams = F.transform("_s", lambda x: x["_g"])
+    return per.select(key, grams.alias("_all"), F.slice(grams, 1, keep).alias("_pre"))
 
 
 def similarity_join(left: DataFrame, left_key: str, left_text: Column,
                     right: DataFrame, right_key: str, right_text: Column,
                     threshold: float = MATCH_THRESHOLD) -> DataFrame:
-    """All (left_key, right_key, similarity) with similarity >= threshold."""
+    """All (left_key, right_key, similarity) with similarity >= threshold.
+
+    Each candidate pair is verified once: at the first gram (in the global
+    order) its two prefixes share, so no distinct over the candidates and no
+    re-join to fetch the gram arrays is needed.
+    """
     assert 0 < threshold <= 1
     lg = left.select(F.col(left_key).alias("_lk"), trigrams(left_text).alias("_grams")) \
              .where(F.size("_grams") > 0).dropDuplicates(["_lk"])
@@ -57,14 +65,14 @@ def similarity_join(left: DataFrame, left_key: str, left_text: Column,
               .where(F.size("_grams") > 0).dropDuplicates(["_rk"])
     freq = (lg.select(F.explode("_grams").alias("_g")).unionByName(rg.select(F.explode("_grams").alias("_g")))
             .groupBy("_g").agg(F.count(F.lit(1)).alias("_f")))
-    lp = _prefixes(lg, "_lk", freq, threshold)
-    rp = _prefixes(rg, "_rk", freq, threshold)
-    cand = lp.join(rp, "_g").select("_lk", "_rk").distinct()
-    la = lg.select("_lk", F.col("_grams").alias("_la"))
-    ra = rg.select("_rk", F.col("_grams").alias("_ra"))
-    pairs = cand.join(la, "_lk").join(ra, "_rk")
+    lo = _ordered(lg, "_lk", freq, threshold)
+    ro = _ordered(rg, "_rk", freq, threshold)
+    lp = lo.select("_lk", F.col("_all").alias("_la"), F.col("_pre").alias("_lpre"), F.explode("_pre").alias("_g"))
+    rp = ro.select("_rk", F.col("_all").alias("_ra"), F.col("_pre").alias("_rpre"), F.explode("_pre").alias("_g"))
     ratio = F.least(F.size("_la"), F.size("_ra")) / F.greatest(F.size("_la"), F.size("_ra"))
-    pairs = pairs.where(ratio >= threshold)
+    pairs = (lp.join(rp, "_g")
+             .where((ratio >= threshold)
+                    & (F.col("_g") == F.try_element_at(F.array_intersect("_lpre", "_rpre"), F.lit(1)))))
     sim = similarity(F.col("_la"), F.col("_ra"))
     return (pairs.select(F.col("_lk").alias(left_key), F.col("_rk").alias(right_key), sim.alias("similarity"))
             .where(F.col("similarity") >= threshold))

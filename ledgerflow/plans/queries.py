@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.functions import text as tx
 from ledgerflow.operators import identity, posting, reports, similarity
-from ledgerflow.operators.parse import METHOD_TAG, parse_messages
+from ledgerflow.operators.parse import METHOD_TAG, parse_messages, parse_results
 from ledgerflow.operators.topk import top_k_per_group
 from ledgerflow.plans import oracle as o
 from ledgerflow.sources import fixtures as fx
@@ -48,8 +48,8 @@ def _day(c) -> Column:
 
 
 def _parsed(spark: SparkSession, sf: str) -> DataFrame:
-    return parse_messages(fx.messages(spark, sf),
-                          keep=["source", "is_from_me", "sender_phone", "raw_content", "timestamp_wa"])
+    return parse_results(fx.messages(spark, sf),
+                         keep=["source", "is_from_me", "sender_phone", "raw_content", "timestamp_wa"])
 
 
 def _payments_rev(spark: SparkSession, sf: str) -> DataFrame:
@@ -302,7 +302,7 @@ LEFT JOIN canon c ON c.id = matched_id""", parse=True, recursive=True))
 def match_exact_tiers(spark, sf):
     from ledgerflow.operators.posting import match_requests, route
     from ledgerflow.operators.parse import parse_messages as pm
-    routed = route(pm(fx.messages(spark, sf), keep=["is_from_me", "sender_phone", "raw_content"]),
+    routed = route(parse_results(fx.messages(spark, sf), keep=["is_from_me", "sender_phone", "raw_content"]),
                    fx.authorized_senders(spark, sf))
     req = match_requests(routed)
     m = identity.match_exact(req, fx.employees(spark, sf), fx.aliases(spark, sf))
@@ -338,7 +338,7 @@ FROM cashout""", parse=True, recursive=True))
 def cash_commands_q(spark, sf):
     from ledgerflow.operators.posting import cash_commands, route
     from ledgerflow.operators.parse import parse_messages as pm
-    routed = route(pm(fx.messages(spark, sf), keep=["is_from_me", "sender_phone", "raw_content"]),
+    routed = route(parse_results(fx.messages(spark, sf), keep=["is_from_me", "sender_phone", "raw_content"]),
                    fx.authorized_senders(spark, sf))
     found, missing = cash_commands(routed, fx.employees(spark, sf))
     per = tx.period("txn_date")
