@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerflow.operators.ids import dense_ids
+
 MATCH_THRESHOLD = 0.3
 
 
@@ -38,15 +40,14 @@ def similarity(a: Column, b: Column) -> Column:
     return F.when(union > 0, shared / union).otherwise(F.lit(0.0))
 
 
-def _ordered(sets: DataFrame, key: str, freq: DataFrame, t: float) -> DataFrame:
-    """Per set: grams in the global order (rarest first) and the prefix of
+def _ordered(sets: DataFrame, key: str, ranks: DataFrame, t: float) -> DataFrame:
+    """Per set: its grams as ascending ranks (rarest first) and the prefix of
     length ``n - ceil(t * n) + 1``."""
-    ex = sets.select(key, F.explode("_grams").alias("_g")).join(freq, "_g")
-    per = ex.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_f", "_g"))).alias("_s"))
-    n = F.size("_s")
+    ex = sets.select(key, F.explode("_grams").alias("_g")).join(ranks, "_g")
+    per = ex.groupBy(key).agg(F.array_sort(F.collect_list("_rank")).alias("_all"))
+    n = F.size("_all")
     keep = (n - F.ceil(F.lit(t) * n - F.lit(1e-9)) + 1).cast("int")
-    grams = F.transform("_s", lambda x: x["_g"])
-    return per.select(key, grams.alias("_all"), F.slice(grams, 1, keep).alias("_pre"))
+    return per.select(key, "_all", F.slice("_all", 1, keep).alias("_pre"))
 
 
 def similarity_join(left: DataFrame, left_key: str, left_text: Column,
@@ -54,9 +55,11 @@ def similarity_join(left: DataFrame, left_key: str, left_text: Column,
                     threshold: float = MATCH_THRESHOLD) -> DataFrame:
     """All (left_key, right_key, similarity) with similarity >= threshold.
 
-    Each candidate pair is verified once: at the first gram (in the global
-    order) its two prefixes share, so no distinct over the candidates and no
-    re-join to fetch the gram arrays is needed.
+    Grams become integer ranks in the global order (dense ids over the gram
+    vocabulary), so each set is a sorted int array and its prefix a slice.
+    A candidate pair is verified once: at the first rank its two prefixes
+    share (no earlier prefix rank of the left set occurs in the right
+    prefix), so there is no distinct over the candidates and no re-join.
     """
     assert 0 < threshold <= 1
     lg = left.select(F.col(left_key).alias("_lk"), trigrams(left_text).alias("_grams")) \
@@ -65,14 +68,15 @@ def similarity_join(left: DataFrame, left_key: str, left_text: Column,
               .where(F.size("_grams") > 0).dropDuplicates(["_rk"])
     freq = (lg.select(F.explode("_grams").alias("_g")).unionByName(rg.select(F.explode("_grams").alias("_g")))
             .groupBy("_g").agg(F.count(F.lit(1)).alias("_f")))
-    lo = _ordered(lg, "_lk", freq, threshold)
-    ro = _ordered(rg, "_rk", freq, threshold)
-    lp = lo.select("_lk", F.col("_all").alias("_la"), F.col("_pre").alias("_lpre"), F.explode("_pre").alias("_g"))
-    rp = ro.select("_rk", F.col("_all").alias("_ra"), F.col("_pre").alias("_rpre"), F.explode("_pre").alias("_g"))
+    ranks = dense_ids(freq, [F.col("_f"), F.col("_g")], name="_rank").select("_g", "_rank")
+    lo = _ordered(lg, "_lk", ranks, threshold)
+    ro = _ordered(rg, "_rk", ranks, threshold)
+    lp = lo.select("_lk", F.col("_all").alias("_la"), F.col("_pre").alias("_lpre"),
+                   F.posexplode("_pre").alias("_lpos", "_r"))
+    rp = ro.select("_rk", F.col("_all").alias("_ra"), F.col("_pre").alias("_rpre"), F.explode("_pre").alias("_r"))
     ratio = F.least(F.size("_la"), F.size("_ra")) / F.greatest(F.size("_la"), F.size("_ra"))
-    pairs = (lp.join(rp, "_g")
-             .where((ratio >= threshold)
-                    & (F.col("_g") == F.try_element_at(F.array_intersect("_lpre", "_rpre"), F.lit(1)))))
+    first_shared = ~F.arrays_overlap(F.slice("_lpre", 1, F.col("_lpos")), "_rpre") | (F.col("_lpos") == 0)
+    pairs = lp.join(rp, "_r").where((ratio >= threshold) & first_shared)
     sim = similarity(F.col("_la"), F.col("_ra"))
     return (pairs.select(F.col("_lk").alias(left_key), F.col("_rk").alias(right_key), sim.alias("similarity"))
             .where(F.col("similarity") >= threshold))
