@@ -761,3 +761,18 @@ def suggest_exact_prefix(spark, sf):
     out = hits.join(canon, hits.id == canon._cid).groupBy("query", F.col("canonical_id").alias("employee_id")) \
               .agg(F.max("_p.score").alias("score"))
     return out.select("query", "employee_id", F.col("score").cast("double").alias("score"))
+
+
+# ---------------------------------------------------------------------------
+# Streaming
+# ---------------------------------------------------------------------------
+
+@query("stream_event_totals", """SELECT user_id, count(*) AS events, round(sum(value), 6) AS total_value,
+  sum(try_cast(json_extract_string(props, '$.k') AS BIGINT)) AS k_sum,
+  strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS last_ts
+FROM (SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ts) = 1) e GROUP BY user_id""")
+def stream_event_totals(spark, sf):
+    from ledgerflow.streaming import jobs
+    out = jobs.run_to_table(spark, jobs.event_totals(jobs.event_stream(spark, sf)), "event-totals")
+    return out.select("user_id", "events", F.round("total_value", 6).alias("total_value"), "k_sum",
+                      F.date_format("last_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("last_ts"))
