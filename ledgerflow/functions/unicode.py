@@ -5,15 +5,22 @@ the identity on ASCII), so only non-ASCII names pay for ``unicodedata``.
 """
 from __future__ import annotations
 
+import sys
 import unicodedata
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType
 
 
+# Ship this module's code with the UDF (pickle by value), so executors need
+# no installed copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def _nfkc_one(v):
     if v is None or v.isascii():
         return v
