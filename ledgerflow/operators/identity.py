@@ -166,3 +166,71 @@ def members(employees: DataFrame, canonical: DataFrame | None = None) -> DataFra
     if canonical is None:
         canonical = resolve_canonical(employees)
     return canonical.select("canonical_id", F.col("id").alias("member_id"))
+
+
+# Search tiers (I14): (priority, employee column or alias type, query form)
+SEARCH_TIERS = [
+    (1, "employee_id_phone", "phone", "id_phone"),
+    (2, "primary_phone", "phone", "primary_phone"),
+    (3, "alias:phone", "phone", "alias_phone"),
+    (4, "name_normalized", "name", "exact_name"),
+    (5, "alias:name", "name", "alias_name"),
+]
+
+
+def search(queries: DataFrame, employees: DataFrame, aliases: DataFrame,
+           canonical: DataFrame | None = None) -> DataFrame:
+    """I14 for a batch of ``queries(query)``: phone-like queries (six or more
+    digits) probe id phone, primary phone and phone aliases; every query
+    probes exact normal name and name aliases. Hits resolve to their canonical
+    row (I6) and each canonical keeps its best (lowest) priority (A18).
+    Any status matches, as in the source system."""
+    master = prepare_master(employees)
+    q = queries.select("query").distinct()
+    raw = F.regexp_replace("query", r"(?U)^\s+|\s+$", "")
+    digits = F.regexp_replace(raw, r"(?U)\D", "")
+    from ledgerflow.functions.text import norm_phone
+    q = q.select("query", F.when(F.length(digits) >= 6, norm_phone(raw)).alias("_phone"),
+                 norm_name(raw).alias("_name")).where(raw != "")
+    rows = None
+    for prio, col, form, tier in SEARCH_TIERS:
+        if col.startswith("alias:"):
+            kind = col.split(":")[1]
+            side = aliases.where(F.col("alias_type") == kind).select(F.col("employee_id").alias("id"),
+                                                                     F.col("alias_value").alias("_v"))
+        else:
+            side = master.select("id", F.col(col).alias("_v"))
+        side = side.where(F.col("_v").isNotNull() & (F.col("_v") != ""))
+        key = "_phone" if form == "phone" else "_name"
+        hits = q.where(F.col(key).isNotNull() & (F.col(key) != "")).join(side, F.col(key) == side._v) \
+                .select("query", "id", F.lit(prio).alias("priority"), F.lit(tier).alias("match_type"))
+        rows = hits if rows is None else rows.unionByName(hits)
+    if canonical is None:
+        canonical = resolve_canonical(master)
+    c = canonical.select(F.col("id").alias("_cid"), "canonical_id")
+    best = rows.join(c, rows.id == c._cid).groupBy("query", F.col("canonical_id").alias("employee_id")).agg(
+        F.min_by("match_type", "priority").alias("match_type"), F.min("priority").alias("priority"))
+    return best
+
+
+def canonical_profiles(employees: DataFrame, aliases: DataFrame, canonical: DataFrame | None = None) -> DataFrame:
+    """I16 for every canonical row: member ids, distinct aliases ordered by
+    (type, value), and payout phones (U4): primary, id phone, then phone
+    aliases, first occurrence kept."""
+    master = prepare_master(employees)
+    if canonical is None:
+        canonical = resolve_canonical(master)
+    mem = canonical.select("canonical_id", F.col("id").alias("member_id"))
+    roots = master.join(canonical.where(F.col("id") == F.col("canonical_id")).select("id"), "id")
+    ids = mem.groupBy("canonical_id").agg(F.array_sort(F.collect_list("member_id")).alias("member_ids"))
+    al = (mem.join(aliases, mem.member_id == aliases.employee_id)
+          .groupBy("canonical_id").agg(F.array_sort(F.collect_set(F.struct("alias_type", "alias_value"))).alias("_al")))
+    j = roots.join(ids, roots.id == ids.canonical_id, "left").drop("canonical_id") \
+             .join(al, roots.id == al.canonical_id, "left")
+    phone_aliases = F.transform(F.filter(F.coalesce("_al", F.array()), lambda a: a["alias_type"] == "phone"),
+                                lambda a: a["alias_value"])
+    payout = F.filter(F.array_distinct(F.concat(F.array("primary_phone", "employee_id_phone"), phone_aliases)),
+                      lambda p: p.isNotNull())
+    return j.select(F.col("id").alias("canonical_id"), "employee_code", "full_name", "member_ids",
+                    F.transform(F.coalesce("_al", F.array()), lambda a: F.concat_ws(":", a["alias_type"], a["alias_value"]))
+                    .alias("aliases"), payout.alias("payout_phones"))

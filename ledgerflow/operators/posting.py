@@ -278,3 +278,30 @@ def ledger_running(payments: DataFrame, chunk: int = 1 << 16) -> DataFrame:
     return j.select("id", *grp, "amount",
                     (-(F.col("_off") + F.col("_run"))).cast("decimal(22,2)").alias("closing_after"),
                     (F.col("_noff") + F.col("_seq")).cast("long").alias("seq"))
+
+
+def manual_payments(requests: DataFrame, existing: DataFrame | None = None, parity: bool = False) -> DataFrame:
+    """``requests(request_id, employee_id, amount, payout_method, txn_date,
+    txn_category, note, actor)`` posted as payments with no message id and
+    ``manual: <note>`` as text. fixed (Q6): the request id is part of the key,
+    so two equal manual payments stay two; parity: the source system's key
+    (no message id) collapses them into one (first request wins)."""
+    per = period("txn_date")
+    key_id = F.lit(None).cast("long") if parity else F.concat(F.lit("manual-"), F.col("request_id"))
+    rows = requests.select(
+        "request_id",
+        payment_ref(key_id, "employee_id", "amount", per, "payout_method", parity).alias("txn_ref"),
+        F.lit(None).cast("long").alias("message_id"), "employee_id",
+        F.lit(None).cast("string").alias("employee_name_raw"), F.col("amount").cast("decimal(12,2)").alias("amount"),
+        F.lit(None).cast("string").alias("payout_phone"), "payout_method", "txn_date", "txn_category",
+        F.concat(F.lit("manual: "), F.coalesce("note", F.lit(""))).alias("source_message_text"),
+        F.lit(False).alias("is_reversal"), F.lit(None).cast("long").alias("reversed_txn_id"),
+        per.alias("accounting_period"), F.coalesce("actor", F.lit("admin")).alias("created_by"))
+    first = rows.groupBy("txn_ref").agg(F.min("request_id").alias("request_id"))
+    rows = rows.join(first, ["txn_ref", "request_id"])
+    if existing is not None:
+        rows = rows.join(existing.select("txn_ref"), "txn_ref", "left_anti")
+        start = existing.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
+    else:
+        start = 0
+    return dense_ids(rows, [F.col("request_id")], start=start)

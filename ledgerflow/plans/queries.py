@@ -776,3 +776,229 @@ def stream_event_totals(spark, sf):
     out = jobs.run_to_table(spark, jobs.event_totals(jobs.event_stream(spark, sf)), "event-totals")
     return out.select("user_id", "events", F.round("total_value", 6).alias("total_value"), "k_sum",
                       F.date_format("last_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("last_ts"))
+
+
+# ---------------------------------------------------------------------------
+# Search, profiles, manual payments, review decisions, state, health (I14, I16,
+# U4, T3, T8-T12, T15, T17, A13)
+# ---------------------------------------------------------------------------
+
+def _search_queries(spark, sf):
+    emp = fx.employees(spark, sf)
+    i = F.col("id")
+    return (emp.where(i % 20 == 1).select(F.col("primary_phone").alias("query"))
+            .unionByName(emp.where(i % 20 == 2).select(F.concat(F.lit("+88"), F.col("primary_phone")).alias("query")))
+            .unionByName(emp.where(i % 20 == 3).select(F.concat(F.lit("01"), F.lpad((F.lit(800000000) + i - 1).cast("string"), 9, "0")).alias("query")))
+            .unionByName(emp.where(i % 20 == 4).select(F.upper("full_name").alias("query")))
+            .unionByName(emp.where(i % 200 == 5).select(F.concat(F.lit("al-"), F.split("full_name", " ")[0]).alias("query"))))
+
+
+@query("employee_search", o.with_ctes(["fx_employees", "fx_aliases"], _CANON + [
+    ("qs", """SELECT primary_phone AS query FROM fx_employees WHERE id % 20 = 1
+UNION ALL SELECT '+88' || primary_phone FROM fx_employees WHERE id % 20 = 2
+UNION ALL SELECT concat('01', lpad(CAST(800000000 + id - 1 AS VARCHAR), 9, '0')) FROM fx_employees WHERE id % 20 = 3
+UNION ALL SELECT upper(full_name) FROM fx_employees WHERE id % 20 = 4
+UNION ALL SELECT 'al-' || split_part(full_name, ' ', 1) FROM fx_employees WHERE id % 200 = 5"""),
+    ("qf", f"""SELECT DISTINCT query,
+  CASE WHEN length(regexp_replace({o.strip('query')}, '\\P{{Nd}}', '', 'g')) >= 6 THEN {o.norm_phone(o.strip('query'))} END AS ph,
+  {o.norm_name('query')} AS nm FROM qs WHERE {o.strip('query')} <> ''"""),
+    ("hits", """SELECT query, e.id, 1 AS priority, 'id_phone' AS match_type FROM qf JOIN emp e ON e.employee_id_phone = qf.ph
+UNION ALL SELECT query, e.id, 2, 'primary_phone' FROM qf JOIN emp e ON e.primary_phone = qf.ph
+UNION ALL SELECT query, a.employee_id, 3, 'alias_phone' FROM qf JOIN fx_aliases a ON a.alias_type = 'phone' AND a.alias_value = qf.ph
+UNION ALL SELECT query, e.id, 4, 'exact_name' FROM qf JOIN emp e ON e.name_normalized = qf.nm AND qf.nm <> ''
+UNION ALL SELECT query, a.employee_id, 5, 'alias_name' FROM qf JOIN fx_aliases a ON a.alias_type = 'name' AND a.alias_value = qf.nm AND qf.nm <> ''""")],
+    """SELECT query, c.canonical_id AS employee_id, arg_min(match_type, priority) AS match_type, min(priority) AS priority
+FROM hits JOIN canon c ON c.id = hits.id GROUP BY query, c.canonical_id""", recursive=True))
+def employee_search(spark, sf):
+    return identity.search(_search_queries(spark, sf), fx.employees(spark, sf), fx.aliases(spark, sf)) \
+        .select("query", "employee_id", "match_type", "priority")
+
+
+@query("canonical_profile", o.with_ctes(["fx_employees", "fx_aliases"], _CANON + [
+    ("mem", "SELECT canonical_id, list_sort(list(id)) AS member_ids FROM canon GROUP BY canonical_id"),
+    ("al", """SELECT c.canonical_id, list_sort(list(DISTINCT {'t': a.alias_type, 'v': a.alias_value})) AS al
+FROM canon c JOIN fx_aliases a ON a.employee_id = c.id GROUP BY c.canonical_id""")],
+    """SELECT e.id AS canonical_id, e.employee_code, e.full_name, array_to_string(m.member_ids, ',') AS member_ids,
+  array_to_string(list_transform(al.al, lambda x: x.t || ':' || x.v), ',') AS aliases,
+  array_to_string(list_filter(list_distinct_ordered, lambda p: p IS NOT NULL), ',') AS payout_phones
+FROM (SELECT e.*, list_concat([e.primary_phone, e.employee_id_phone],
+        list_transform(list_filter(coalesce(al.al, []), lambda x: x.t = 'phone'), lambda x: x.v)) AS phones FROM emp e
+      LEFT JOIN al ON al.canonical_id = e.id) e
+JOIN canon c ON c.id = e.id AND c.canonical_id = e.id
+LEFT JOIN mem m ON m.canonical_id = e.id LEFT JOIN al ON al.canonical_id = e.id,
+LATERAL (SELECT list(p ORDER BY i) AS list_distinct_ordered FROM (
+  SELECT p, min(i) AS i FROM (SELECT unnest(e.phones) AS p, generate_subscripts(e.phones, 1) AS i) GROUP BY p)) d""",
+    recursive=True))
+def canonical_profile(spark, sf):
+    p = identity.canonical_profiles(fx.employees(spark, sf), fx.aliases(spark, sf))
+    return p.select("canonical_id", "employee_code", "full_name",
+                    F.array_join(F.transform("member_ids", lambda x: x.cast("string")), ",").alias("member_ids"),
+                    F.array_join("aliases", ",").alias("aliases"), F.array_join("payout_phones", ",").alias("payout_phones"))
+
+
+def _manual_requests(spark, sf):
+    p = fx.payments(spark, sf).where(F.col("id") % 10 == 0)
+    first = p.select(F.col("id").alias("request_id"), "employee_id", "amount", "payout_method", "txn_date",
+                     "txn_category", F.lit("adjust").alias("note"), F.lit("admin").alias("actor"))
+    again = p.where(F.col("id") % 20 == 0).select((F.col("id") + 1000000000).alias("request_id"), "employee_id", "amount",
+                                                  "payout_method", "txn_date", "txn_category",
+                                                  F.lit("adjust again").alias("note"), F.lit("admin").alias("actor"))
+    return first.unionByName(again)
+
+
+@query("manual_payments", o.with_ctes(["fx_payments"], [
+    ("reqs", """SELECT id AS request_id, employee_id, amount, payout_method, txn_date FROM fx_payments WHERE id % 10 = 0
+UNION ALL SELECT id + 1000000000, employee_id, amount, payout_method, txn_date FROM fx_payments WHERE id % 20 = 0"""),
+    ("keyed", """SELECT request_id,
+  'fpe-' || sha256(concat_ws('|', 'manual-' || CAST(request_id AS VARCHAR), CAST(employee_id AS VARCHAR), CAST(amount AS VARCHAR),
+     strftime(txn_date, '%Y-%m'), payout_method))[1:16] AS txn_ref,
+  'fpe-' || sha256(concat_ws('|', '', CAST(employee_id AS VARCHAR),
+     regexp_replace(regexp_replace(CAST(amount AS VARCHAR), '0$', ''), '\\.$', '.0'), strftime(txn_date, '%Y-%m'), payout_method))[1:16] AS parity_ref
+FROM reqs""")],
+    """SELECT request_id, txn_ref, row_number() OVER (ORDER BY request_id) AS id,
+  request_id = min(request_id) OVER (PARTITION BY parity_ref) AS kept_under_parity FROM keyed"""))
+def manual_payments_q(spark, sf):
+    reqs = _manual_requests(spark, sf)
+    fixed = posting.manual_payments(reqs)
+    par = posting.manual_payments(reqs, parity=True).select("request_id", F.lit(True).alias("kept_under_parity"))
+    return fixed.join(par, "request_id", "left").select(
+        "request_id", "txn_ref", "id", F.coalesce("kept_under_parity", F.lit(False)).alias("kept_under_parity"))
+
+
+@query("review_promote", o.with_ctes(["fx_review_items"], [
+    ("d", "SELECT id AS item_id, (message_id % 100) + 1 AS employee_id FROM fx_review_items WHERE id % 7 = 0")],
+    """SELECT d.item_id,
+  CASE WHEN r.review_status = 'promoted' THEN 'already_promoted'
+       WHEN r.detected_amount IS NULL OR r.detected_amount <= 0 THEN 'no_positive_amount' ELSE 'promoted' END AS outcome,
+  CASE WHEN r.review_status <> 'promoted' AND r.detected_amount > 0 THEN CAST(r.detected_amount AS DOUBLE) END AS amount,
+  CASE WHEN r.review_status <> 'promoted' AND r.detected_amount > 0 THEN
+    'fpe-' || sha256(concat_ws('|', CAST(r.message_id AS VARCHAR), CAST(d.employee_id AS VARCHAR), CAST(r.detected_amount AS VARCHAR),
+      '2026-01', 'unknown'))[1:16] END AS txn_ref
+FROM d JOIN fx_review_items r ON r.id = d.item_id"""))
+def review_promote(spark, sf):
+    from ledgerflow.operators.review import promote
+    r = fx.review_items(spark, sf).withColumn("detected_payout_method", F.lit(None).cast("string")) \
+        .withColumn("detected_txn_date", F.lit(None).cast("date")).withColumn("raw_content", F.lit(None).cast("string"))
+    d = r.where(F.col("id") % 7 == 0).select(
+        F.col("id").alias("item_id"), ((F.col("message_id") % 100) + 1).alias("employee_id"),
+        F.lit(None).cast("double").alias("amount"), F.lit(None).cast("string").alias("payout_method"),
+        F.lit("2026-01-15").cast("date").alias("txn_date"), F.lit("salary").alias("txn_category"),
+        F.lit("admin").alias("reviewer"))
+    ok, bad = promote(r, d)
+    posted = ok.select("item_id", F.lit("promoted").alias("outcome"), _dbl("amount").alias("amount"),
+                       tx.payment_ref("message_id", "employee_id", "amount", tx.period("txn_date"), "payout_method")
+                       .alias("txn_ref"))
+    return posted.unionByName(bad.select("item_id", F.col("reject_reason").alias("outcome"),
+                                         F.lit(None).cast("double").alias("amount"), F.lit(None).cast("string").alias("txn_ref")))
+
+
+@query("review_dismiss", o.with_ctes(["fx_review_items"], [], """SELECT id,
+  CASE WHEN id % 11 = 0 AND review_status <> 'promoted' THEN 'dismissed' ELSE review_status END AS review_status,
+  CASE WHEN id % 11 = 0 AND review_status <> 'promoted' THEN 'admin' END AS reviewer
+FROM fx_review_items"""))
+def review_dismiss(spark, sf):
+    from ledgerflow.operators.review import close_items
+    r = fx.review_items(spark, sf).withColumn("reviewer", F.lit(None).cast("string")) \
+        .withColumn("review_note", F.lit(None).cast("string"))
+    d = r.where(F.col("id") % 11 == 0).select(F.col("id").alias("item_id"), F.lit("admin").alias("reviewer"),
+                                                F.lit("not a payment").alias("note"))
+    return close_items(r, d, "dismissed").select("id", "review_status", "reviewer")
+
+
+@query("unmatched_list", o.with_ctes(["fx_review_items", "fx_messages"], [], """SELECT r.id, r.message_id, r.reason,
+  left(coalesce(m.raw_content, ''), 240) AS preview
+FROM fx_review_items r JOIN fx_messages m ON m.id = r.message_id WHERE r.id % 5 <> 0"""))
+def unmatched_list(spark, sf):
+    from ledgerflow.operators.review import mark_reviewed
+    r = fx.review_items(spark, sf).withColumn("reviewed", F.lit(False)).withColumn("reviewed_at", F.lit(None).cast("timestamp"))
+    r = mark_reviewed(r, r.where(F.col("id") % 5 == 0).select(F.col("id").alias("item_id")))
+    m = fx.messages(spark, sf).select(F.col("id").alias("_mid"), "raw_content")
+    u = r.where(~F.col("reviewed"))
+    return u.join(m, u.message_id == m._mid).select("id", "message_id", "reason", tx.preview("raw_content").alias("preview"))
+
+
+_TRANS_SQL = """SELECT message_id, 1 AS seq, CASE WHEN status = 'pending' THEN 'parsing' ELSE 'accounting' END AS status,
+  NULL AS error, queued_at + INTERVAL 1 MINUTE AS "at" FROM fx_message_state WHERE status IN ('pending', 'parsed')
+UNION ALL SELECT message_id, 2, CASE WHEN status = 'pending' THEN 'parsed' ELSE 'done' END, NULL, queued_at + INTERVAL 2 MINUTE
+  FROM fx_message_state WHERE status IN ('pending', 'parsed')
+UNION ALL SELECT message_id, 3, 'failed', 'boom', queued_at + INTERVAL 3 MINUTE
+  FROM fx_message_state WHERE status = 'pending' AND message_id % 3 = 0"""
+
+
+@query("state_transitions", o.with_ctes(["fx_message_state"], [("t", _TRANS_SQL),
+    ("g", """SELECT message_id, arg_max(status, seq) AS last_status, arg_max(error, seq) AS last_error, count(*) AS n,
+  count(*) FILTER (WHERE status = 'failed') AS fails,
+  max("at") FILTER (WHERE status IN ('done', 'skipped', 'failed')) AS done_at FROM t GROUP BY message_id""")],
+    """SELECT s.message_id, coalesce(g.last_status, s.status) AS status, g.last_error AS last_error,
+  s.attempts + coalesce(g.n, 0) AS attempts_parity, s.attempts + coalesce(g.fails, 0) AS attempts_fixed,
+  strftime(g.done_at, '%Y-%m-%d %H:%M:%S') AS processed_at
+FROM fx_message_state s LEFT JOIN g USING (message_id)"""))
+def state_transitions(spark, sf):
+    from ledgerflow.operators.review import apply_transitions
+    s = fx.message_state(spark, sf).withColumn("last_error", F.lit(None).cast("string")) \
+        .withColumn("processed_at", F.lit(None).cast("timestamp_ntz"))
+    src = s.where(F.col("status").isin("pending", "parsed"))
+    pend = F.col("status") == "pending"
+    t = (src.select("message_id", F.lit(1).alias("seq"), F.when(pend, "parsing").otherwise("accounting").alias("status"),
+                    F.lit(None).cast("string").alias("error"), (F.col("queued_at") + F.expr("INTERVAL 1 MINUTE")).alias("at"))
+         .unionByName(src.select("message_id", F.lit(2).alias("seq"), F.when(pend, "parsed").otherwise("done").alias("status"),
+                                 F.lit(None).cast("string").alias("error"),
+                                 (F.col("queued_at") + F.expr("INTERVAL 2 MINUTE")).alias("at")))
+         .unionByName(src.where(pend & (F.col("message_id") % 3 == 0)).select(
+             "message_id", F.lit(3).alias("seq"), F.lit("failed").alias("status"), F.lit("boom").alias("error"),
+             (F.col("queued_at") + F.expr("INTERVAL 3 MINUTE")).alias("at"))))
+    par = apply_transitions(s, t, parity=True)
+    fix = apply_transitions(s, t, parity=False).select("message_id", F.col("attempts").alias("attempts_fixed"))
+    return par.join(fix, "message_id").select(
+        "message_id", "status", "last_error", F.col("attempts").cast("long").alias("attempts_parity"),
+        F.col("attempts_fixed").cast("long").alias("attempts_fixed"),
+        F.date_format("processed_at", "yyyy-MM-dd HH:mm:ss").alias("processed_at"))
+
+
+@query("requeue_dead_letters", o.with_ctes(["fx_message_state"], [], """SELECT
+  CASE WHEN status = 'failed' AND attempts >= 5 THEN 'pending' ELSE status END AS status, count(*) AS n,
+  sum(CASE WHEN status = 'failed' AND attempts >= 5 THEN 0 ELSE attempts END) AS attempts_sum
+FROM fx_message_state GROUP BY 1"""))
+def requeue_dead_letters(spark, sf):
+    from ledgerflow.operators.review import requeue
+    s = fx.message_state(spark, sf).withColumn("last_error", F.lit(None).cast("string"))
+    dead = s.where((F.col("status") == "failed") & (F.col("attempts") >= 5)).select("message_id")
+    r = requeue(s, dead)
+    return r.groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.sum("attempts").cast("long").alias("attempts_sum"))
+
+
+@query("employee_ledger", o.with_ctes(["fx_payments"], _REV + [
+    ("l", """SELECT employee_id, accounting_period, CAST(sum(CASE WHEN txn_category <> 'advance' THEN amount ELSE 0 END) AS DOUBLE) AS total_paid,
+  count(*) AS txn_count FROM pr WHERE employee_id IS NOT NULL GROUP BY ALL""")],
+    """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY employee_id ORDER BY accounting_period DESC) AS rank FROM l)
+WHERE rank <= 36"""))
+def employee_ledger(spark, sf):
+    led = posting.ledger(_payments_rev(spark, sf))
+    top = top_k_per_group(led, ["employee_id"], [F.col("accounting_period").desc()], 36,
+                          salt_of=F.col("accounting_period"), rank_col="rank")
+    return top.select("employee_id", "accounting_period", _dbl("total_paid").alias("total_paid"),
+                      F.col("txn_count").cast("long").alias("txn_count"), F.col("rank").cast("long").alias("rank"))
+
+
+@query("health_counts", o.with_ctes(["fx_messages", "fx_message_state", "fx_payments", "fx_employees", "fx_review_items"], [], """
+SELECT 'messages' AS metric, count(*) AS value FROM fx_messages
+UNION ALL SELECT 'pending', count(*) FILTER (WHERE status = 'pending') FROM fx_message_state
+UNION ALL SELECT 'parsed', count(*) FILTER (WHERE status = 'parsed') FROM fx_message_state
+UNION ALL SELECT 'failed', count(*) FILTER (WHERE status = 'failed') FROM fx_message_state
+UNION ALL SELECT 'payments', count(*) FROM fx_payments
+UNION ALL SELECT 'employees', count(*) FROM fx_employees
+UNION ALL SELECT 'pending_review', count(*) FILTER (WHERE review_status = 'pending') FROM fx_review_items"""))
+def health_counts(spark, sf):
+    st = fx.message_state(spark, sf).agg(
+        F.count_if(F.col("status") == "pending").alias("pending"), F.count_if(F.col("status") == "parsed").alias("parsed"),
+        F.count_if(F.col("status") == "failed").alias("failed"))
+    parts = [fx.messages(spark, sf).agg(F.count(F.lit(1)).alias("messages")), st,
+             fx.payments(spark, sf).agg(F.count(F.lit(1)).alias("payments")),
+             fx.employees(spark, sf).agg(F.count(F.lit(1)).alias("employees")),
+             fx.review_items(spark, sf).agg(F.count_if(F.col("review_status") == "pending").alias("pending_review"))]
+    wide = parts[0].withColumn("_k", F.lit(1))
+    for p in parts[1:]:
+        wide = wide.join(p.withColumn("_k", F.lit(1)), "_k")
+    names = ["messages", "pending", "parsed", "failed", "payments", "employees", "pending_review"]
+    return wide.selectExpr("stack({}, {}) as (metric, value)".format(
+        len(names), ", ".join(f"'{n}', cast({n} as bigint)" for n in names)))
