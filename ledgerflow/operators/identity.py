@@ -9,6 +9,7 @@ share of the rows.
 """
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,9 +34,12 @@ def resolve_canonical(employees: DataFrame, rounds: int = CANONICAL_ROUNDS) -> D
     targets = employees.select(F.col("id").alias("_t"))
     ptr = (e.join(targets, e.canonical_employee_id == targets._t, "left")
            .select("id", F.coalesce("_t", "id").alias("p")))
+    # each round reads the previous one twice: persist it, or the plan doubles per round
+    ptr = ptr.persist(StorageLevel.MEMORY_AND_DISK)
     for _ in range(rounds):
         nxt = ptr.select(F.col("id").alias("_k"), F.col("p").alias("_pp"))
-        ptr = ptr.join(nxt, ptr.p == nxt._k, "left").select("id", F.coalesce("_pp", "p").alias("p"))
+        ptr = ptr.join(nxt, ptr.p == nxt._k, "left").select("id", F.coalesce("_pp", "p").alias("p")) \
+                 .persist(StorageLevel.MEMORY_AND_DISK)
     nxt = ptr.select(F.col("id").alias("_k"), F.col("p").alias("_pp"))
     return (ptr.join(nxt, ptr.p == nxt._k, "left")
             .select("id", F.col("p").alias("canonical_id"),
@@ -43,7 +47,10 @@ def resolve_canonical(employees: DataFrame, rounds: int = CANONICAL_ROUNDS) -> D
 
 
 def prepare_master(employees: DataFrame) -> DataFrame:
-    """Fill the derived columns a master table may lack."""
+    """Fill the derived columns a master table may lack (persisted: the
+    master feeds the lookups, the canonical map and creation)."""
+    if getattr(employees, "_lf_master", False):
+        return employees
     cols = set(employees.columns)
     out = employees
     if "name_normalized" not in cols:
@@ -52,6 +59,8 @@ def prepare_master(employees: DataFrame) -> DataFrame:
         out = out.withColumn("employee_id_phone", F.lit(None).cast("string"))
     if "canonical_employee_id" not in cols:
         out = out.withColumn("canonical_employee_id", F.lit(None).cast("long"))
+    out = out.persist(StorageLevel.MEMORY_AND_DISK)
+    out._lf_master = True
     return out
 
 
