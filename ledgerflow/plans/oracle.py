@@ -110,8 +110,12 @@ def with_ctes(names: list[str], extra: list[tuple[str, str]], body: str, parse:
 
 # --- text rules as SQL expressions ----------------------------------------
 
+PY_SPACES_SQL = "(" + " || ".join(f"chr({c})" for c in [9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 0x85, 0xA0, 0x1680,
+                                                           *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]) + ")"
+
+
 def strip(x: str) -> str:
-    return f"regexp_replace({x}, '^{WS}+|{WS}+$', '', 'g')"
+    return f"trim({x}, {PY_SPACES_SQL})"
 
 
 def ascii_digits(x: str) -> str:
