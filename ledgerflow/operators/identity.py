@@ -243,3 +243,76 @@ def canonical_profiles(employees: DataFrame, aliases: DataFrame, canonical: Data
     return j.select(F.col("id").alias("canonical_id"), "employee_code", "full_name", "member_ids",
                     F.transform(F.coalesce("_al", F.array()), lambda a: F.concat_ws(":", a["alias_type"], a["alias_value"]))
                     .alias("aliases"), payout.alias("payout_phones"))
+
+
+def link_duplicates(employees: DataFrame, decisions: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """I8 for a batch of ``decisions(request_id, duplicate_id, canonical_id,
+    score, actor)``: rejected when linking a row to itself, when either row is
+    missing, or when the target is itself a duplicate; a row linked twice in a
+    batch keeps its first request. Returns ``(new_employees, links,
+    rejected)``; payments are never touched, only the soft link."""
+    e = employees.select("id", "canonical_employee_id")
+    dup = e.select(F.col("id").alias("_d"), F.col("canonical_employee_id").alias("_d_link"))
+    tgt = e.select(F.col("id").alias("_t"), F.col("canonical_employee_id").alias("_t_link"))
+    j = (decisions.join(dup, decisions.duplicate_id == dup._d, "left")
+         .join(tgt, decisions.canonical_id == tgt._t, "left"))
+    first = j.groupBy("duplicate_id").agg(F.min("request_id").alias("_first"))
+    j = j.join(first, "duplicate_id")
+    reason = (F.when(F.col("duplicate_id") == F.col("canonical_id"), "self_link")
+              .when(F.col("_d").isNull(), "duplicate_missing")
+              .when(F.col("_t").isNull(), "canonical_missing")
+              .when(F.col("_t_link").isNotNull(), "target_is_duplicate")
+              .when(F.col("request_id") != F.col("_first"), "already_linked_in_batch"))
+    j = j.withColumn("reject_reason", reason)
+    ok = j.where(F.col("reject_reason").isNull())
+    links = ok.select(F.col("duplicate_id").alias("employee_id"), F.col("canonical_id").alias("canonical_employee_id"),
+                      F.lit("duplicate").alias("resolution_type"), F.col("score").cast("decimal(4,3)").alias("confidence_score"),
+                      F.coalesce("actor", F.lit("admin")).alias("created_by"))
+    upd = links.select(F.col("employee_id").alias("_u"), F.col("canonical_employee_id").alias("_new"),
+                       F.col("confidence_score").alias("_score"))
+    targets = links.select(F.col("canonical_employee_id").alias("_c")).distinct()
+    out = (employees.join(upd, employees.id == upd._u, "left").join(targets, employees.id == targets._c, "left"))
+    cols = [c for c in employees.columns if c not in ("canonical_employee_id", "resolution_status")]
+    new = out.select(*cols,
+                     F.coalesce("_new", "canonical_employee_id").alias("canonical_employee_id"),
+                     F.when(F.col("_u").isNotNull(), "duplicate").when(F.col("_c").isNotNull(), "canonical")
+                      .otherwise(F.col("resolution_status") if "resolution_status" in employees.columns
+                                 else F.lit("unresolved")).alias("resolution_status"))
+    return new, links, j.where(F.col("reject_reason").isNotNull()).select("request_id", "duplicate_id",
+                                                                         "canonical_id", "reject_reason")
+
+
+def resolve_reviews(reviews: DataFrame, decisions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``decisions(review_id, decision, reviewer)`` on pending reviews
+    only. ``approved_merge`` links the candidate to the suspected row with
+    the stored score; ``rejected`` / ``kept_separate`` only close the review.
+    Returns ``(new_reviews, link_decisions)`` (the latter feed I8)."""
+    d = decisions.select(F.col("review_id").alias("_r"), F.col("decision").alias("_dec"), F.col("reviewer").alias("_rv"))
+    j = reviews.join(d, reviews.id == d._r, "left")
+    apply = F.col("_r").isNotNull() & (F.col("review_status") == "pending") \
+        & F.col("_dec").isin("approved_merge", "rejected", "kept_separate")
+    new = j.select(*[c for c in reviews.columns if c not in ("review_status",)],
+                   F.when(apply, F.col("_dec")).otherwise(F.col("review_status")).alias("review_status"),
+                   F.when(apply, F.col("_rv")).alias("reviewer"))
+    merges = j.where(apply & (F.col("_dec") == "approved_merge")).select(
+        F.col("id").alias("request_id"), F.col("candidate_employee_id").alias("duplicate_id"),
+        F.col("suspected_match_id").alias("canonical_id"), F.col("confidence_score").alias("score"),
+        F.col("_rv").alias("actor"))
+    return new, merges
+
+
+def text_search(employees: DataFrame, aliases: DataFrame, text: str, status: str = "active",
+                canonical_only: bool = True) -> DataFrame:
+    """Employees by status (canonical rows only) whose name, id phone,
+    phone or code contains ``text`` case-insensitively, or that have an alias
+    containing it (EXISTS -> left semi join). Wild cards in the text are not
+    escaped, as in the source system. One scan of each table."""
+    pat = f"%{text}%"
+    e = employees.where(F.col("status") == status)
+    if canonical_only:
+        e = e.where(F.col("canonical_employee_id").isNull())
+    direct = (F.col("full_name").ilike(pat) | F.col("employee_id_phone").ilike(pat)
+              | F.col("primary_phone").ilike(pat) | F.col("employee_code").ilike(pat))
+    hit_alias = aliases.where(F.col("alias_value").ilike(pat)).select(F.col("employee_id").alias("id")).distinct()
+    by_alias = e.join(hit_alias, "id", "left_semi")
+    return e.where(F.coalesce(direct, F.lit(False))).unionByName(by_alias).distinct()

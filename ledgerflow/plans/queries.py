@@ -1002,3 +1002,141 @@ def health_counts(spark, sf):
     names = ["messages", "pending", "parsed", "failed", "payments", "employees", "pending_review"]
     return wide.selectExpr("stack({}, {}) as (metric, value)".format(
         len(names), ", ".join(f"'{n}', cast({n} as bigint)" for n in names)))
+
+
+# ---------------------------------------------------------------------------
+# Sender lookup, incremental read, sync and gap totals, text search,
+# duplicate links, review resolution
+# ---------------------------------------------------------------------------
+
+_LID_OFFSET = 5000000
+
+
+def _raw_senders(spark, sf):
+    o = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey"])
+    k = F.col("o_orderkey")
+    ph = F.concat(F.lit("01"), F.lpad((F.lit(700000000) + F.col("o_custkey")).cast("string"), 9, "0"))
+    sender = (F.when(k % 3 == 0, F.concat((F.col("o_custkey") + _LID_OFFSET).cast("string"), F.lit("@lid")))
+              .when(k % 3 == 1, F.concat(F.lit("88"), ph, F.lit("@s.whatsapp.net")))
+              .otherwise(F.concat(F.lit("+88"), ph)))
+    return o.select(F.concat(F.lit("M"), k.cast("string")).alias("wa_message_id"), sender.alias("sender"))
+
+
+def _lid_map(spark, sf):
+    c = read_table(spark, sf, "customer", ["c_custkey"]).where(F.col("c_custkey") % 4 != 0)
+    return c.select((F.col("c_custkey") + _LID_OFFSET).cast("string").alias("lid"),
+                    F.concat(F.lit("01"), F.lpad((F.lit(700000000) + F.col("c_custkey")).cast("string"), 9, "0")).alias("phone"))
+
+
+@query("sender_resolve", f"""WITH raw AS (SELECT concat('M', CAST(o_orderkey AS VARCHAR)) AS wa_message_id,
+  CASE o_orderkey % 3 WHEN 0 THEN CAST(o_custkey + {_LID_OFFSET} AS VARCHAR) || '@lid'
+    WHEN 1 THEN concat('88', concat('01', lpad(CAST(700000000 + o_custkey AS VARCHAR), 9, '0')), '@s.whatsapp.net')
+    ELSE '+88' || concat('01', lpad(CAST(700000000 + o_custkey AS VARCHAR), 9, '0')) END AS sender FROM orders),
+lid AS (SELECT CAST(c_custkey + {_LID_OFFSET} AS VARCHAR) AS lid, concat('01', lpad(CAST(700000000 + c_custkey AS VARCHAR), 9, '0')) AS phone
+  FROM customer WHERE c_custkey % 4 <> 0),
+r AS (SELECT raw.wa_message_id, raw.sender,
+  CASE WHEN contains(raw.sender, '@s.whatsapp.net') THEN {o.norm_phone("split_part(raw.sender, '@', 1)")}
+       WHEN ends_with(raw.sender, '@lid') THEN lid.phone ELSE split_part(raw.sender, '@', 1) END AS v
+  FROM raw LEFT JOIN lid ON ends_with(raw.sender, '@lid') AND split_part(raw.sender, '@', 1) = lid.lid)
+SELECT wa_message_id, sender, coalesce({o.norm_phone('v')}, v) AS sender_phone FROM r""")
+def sender_resolve(spark, sf):
+    from ledgerflow.sources import ingest as ing
+    return ing.resolve_sender(_raw_senders(spark, sf), _lid_map(spark, sf)).select("wa_message_id", "sender", "sender_phone")
+
+
+@query("read_increment", o.with_ctes(["fx_store_rows"], _CP_CTES[:1] + [
+    ("cp", "SELECT source, chat_jid, max(timestamp_wa) AS since FROM b1 GROUP BY ALL")],
+    """SELECT s.source, s.chat_jid, count(*) AS n, strftime(min(s.timestamp_wa), '%Y-%m-%d %H:%M:%S') AS first_ts
+FROM fx_store_rows s LEFT JOIN cp ON cp.source = s.source AND cp.chat_jid = s.chat_jid
+WHERE cp.since IS NULL OR s.timestamp_wa >= cp.since GROUP BY ALL"""))
+def read_increment_q(spark, sf):
+    from ledgerflow.sources import ingest as ing
+    s = fx.store_rows(spark, sf)
+    b1 = s.where(F.col("timestamp_wa") < F.lit(CHECKPOINT_SPLIT).cast("timestamp_ntz"))
+    cp = ing.checkpoint_batch(b1)
+    inc = ing.read_increment(s, cp)
+    return inc.groupBy("source", "chat_jid").agg(
+        F.count(F.lit(1)).alias("n"), F.date_format(F.min("timestamp_wa"), "yyyy-MM-dd HH:mm:ss").alias("first_ts"))
+
+
+@query("sync_counts", o.with_ctes(["fx_messages", "fx_store_rows"], _INGEST_CTES,
+                                  "SELECT source, count(*) AS ingested FROM j WHERE archived_id IS NULL GROUP BY source"))
+def sync_counts_q(spark, sf):
+    from ledgerflow.sources import ingest as ing
+    inserted, _ = ing.ingest(_archive(spark, sf), _incoming(spark, sf))
+    return ing.sync_counts(inserted)
+
+
+@query("gap_totals", o.with_ctes(["fx_messages", "fx_store_rows"], _GAP_CTES, """SELECT
+  count(*) FILTER (WHERE NOT in_arch) AS missing, count(*) FILTER (WHERE NOT in_arch AND NOT blank) AS backfilled,
+  count(*) FILTER (WHERE NOT in_arch AND blank) AS skipped_no_content FROM marked"""))
+def gap_totals_q(spark, sf):
+    from ledgerflow.sources import ingest as ing
+    t = ing.gap_totals(ing.gap_run_log(fx.store_rows(spark, sf), _archive(spark, sf), GAP_WINDOW))
+    return t.select(*[F.col(c).cast("long").alias(c) for c in ["missing", "backfilled", "skipped_no_content"]])
+
+
+SEARCH_TEXT = "aab"
+
+
+@query("employee_text_search", o.with_ctes(["fx_employees", "fx_aliases"], [], f"""SELECT id, employee_code, full_name
+FROM fx_employees e WHERE status = 'active' AND canonical_employee_id IS NULL AND (
+  full_name ILIKE '%{SEARCH_TEXT}%' OR primary_phone ILIKE '%{SEARCH_TEXT}%' OR employee_code ILIKE '%{SEARCH_TEXT}%'
+  OR EXISTS (SELECT 1 FROM fx_aliases a WHERE a.employee_id = e.id AND a.alias_value ILIKE '%{SEARCH_TEXT}%'))"""))
+def employee_text_search(spark, sf):
+    emp = identity.prepare_master(fx.employees(spark, sf))
+    return identity.text_search(emp, fx.aliases(spark, sf), SEARCH_TEXT).select("id", "employee_code", "full_name")
+
+
+def _link_decisions(spark, sf):
+    e = fx.employees(spark, sf).select("id")
+    i = F.col("id")
+    d = lambda cond, req, dup, can: e.where(cond).select(req.alias("request_id"), dup.alias("duplicate_id"),
+                                                         can.alias("canonical_id"))
+    return (d(i % 10 == 5, i, i, i - 4)
+            .unionByName(d(i % 100 == 15, i + 1000000, i, i))
+            .unionByName(d(i % 50 == 25, i + 3000000, i + 10000000, i))
+            .unionByName(d(i % 10 == 1, i, i, i + 7))
+            .unionByName(d(i % 30 == 5, i + 2000000, i, i - 3))
+            .withColumn("score", F.lit(0.9)).withColumn("actor", F.lit("admin")))
+
+
+@query("link_duplicates", o.with_ctes(["fx_employees"], [
+    ("d", """SELECT id AS request_id, id AS duplicate_id, id - 4 AS canonical_id FROM fx_employees WHERE id % 10 = 5
+UNION ALL SELECT id + 1000000, id, id FROM fx_employees WHERE id % 100 = 15
+UNION ALL SELECT id + 3000000, id + 10000000, id FROM fx_employees WHERE id % 50 = 25
+UNION ALL SELECT id, id, id + 7 FROM fx_employees WHERE id % 10 = 1
+UNION ALL SELECT id + 2000000, id, id - 3 FROM fx_employees WHERE id % 30 = 5"""),
+    ("j", """SELECT d.*, dd.id AS dd, t.id AS tid, t.canonical_employee_id AS t_link,
+  min(d.request_id) OVER (PARTITION BY d.duplicate_id) AS first_req
+FROM d LEFT JOIN fx_employees dd ON dd.id = d.duplicate_id LEFT JOIN fx_employees t ON t.id = d.canonical_id""")],
+    """SELECT request_id, duplicate_id, canonical_id,
+  CASE WHEN duplicate_id = canonical_id THEN 'self_link' WHEN dd IS NULL THEN 'duplicate_missing'
+       WHEN tid IS NULL THEN 'canonical_missing' WHEN t_link IS NOT NULL THEN 'target_is_duplicate'
+       WHEN request_id <> first_req THEN 'already_linked_in_batch' ELSE 'linked' END AS outcome
+FROM j"""))
+def link_duplicates_q(spark, sf):
+    emp = fx.employees(spark, sf).withColumn("resolution_status", F.lit("unresolved"))
+    new, links, rejected = identity.link_duplicates(emp, _link_decisions(spark, sf))
+    d = _link_decisions(spark, sf)
+    ok = d.join(links.select(F.col("employee_id").alias("duplicate_id"), F.col("canonical_employee_id").alias("canonical_id")),
+                ["duplicate_id", "canonical_id"]).join(rejected.select("request_id"), "request_id", "left_anti")
+    return ok.select("request_id", "duplicate_id", "canonical_id", F.lit("linked").alias("outcome")).unionByName(
+        rejected.select("request_id", "duplicate_id", "canonical_id", F.col("reject_reason").alias("outcome")))
+
+
+@query("resolve_reviews", o.with_ctes(["fx_identity_reviews"], [], """SELECT id,
+  CASE WHEN review_status = 'pending' AND id % 4 = 2 THEN 'approved_merge'
+       WHEN review_status = 'pending' AND id % 4 = 0 THEN 'rejected' ELSE review_status END AS review_status,
+  review_status = 'pending' AND id % 4 = 2 AS merged
+FROM fx_identity_reviews"""))
+def resolve_reviews_q(spark, sf):
+    r = fx.identity_reviews(spark, sf)
+    i = F.col("id")
+    dec = r.where(i % 4 == 2).select(F.col("id").alias("review_id"), F.lit("approved_merge").alias("decision"),
+                                     F.lit("admin").alias("reviewer")) \
+        .unionByName(r.where(i % 4 == 0).select(F.col("id").alias("review_id"), F.lit("rejected").alias("decision"),
+                                                F.lit("admin").alias("reviewer")))
+    new, merges = identity.resolve_reviews(r, dec)
+    m = merges.select(F.col("request_id").alias("id"), F.lit(True).alias("merged"))
+    return new.join(m, "id", "left").select("id", "review_status", F.coalesce("merged", F.lit(False)).alias("merged"))
