@@ -73,10 +73,15 @@ def similarity_join(left: DataFrame, left_key: str, left_text: Column,
     ro = _ordered(rg, "_rk", ranks, threshold)
     lp = lo.select("_lk", F.col("_all").alias("_la"), F.col("_pre").alias("_lpre"),
                    F.posexplode("_pre").alias("_lpos", "_r"))
-    rp = ro.select("_rk", F.col("_all").alias("_ra"), F.col("_pre").alias("_rpre"), F.explode("_pre").alias("_r"))
-    ratio = F.least(F.size("_la"), F.size("_ra")) / F.greatest(F.size("_la"), F.size("_ra"))
+    rp = ro.select("_rk", F.col("_all").alias("_ra"), F.col("_pre").alias("_rpre"),
+                   F.posexplode("_pre").alias("_rpos", "_r"))
+    nl, nr = F.size("_la"), F.size("_ra")
+    ratio = F.least(nl, nr) / F.greatest(nl, nr)
+    # positional filter: every shared gram sits at or after the first shared one in both sets
+    need = F.lit(threshold) * (nl + nr) / F.lit(1 + threshold) - F.lit(1e-9)
+    reach = F.lit(1) + F.least(nl - F.col("_lpos") - 1, nr - F.col("_rpos") - 1)
     first_shared = ~F.arrays_overlap(F.slice("_lpre", 1, F.col("_lpos")), "_rpre") | (F.col("_lpos") == 0)
-    pairs = lp.join(rp, "_r").where((ratio >= threshold) & first_shared)
+    pairs = lp.join(rp, "_r").where((ratio >= threshold) & (reach >= need) & first_shared)
     sim = similarity(F.col("_la"), F.col("_ra"))
     return (pairs.select(F.col("_lk").alias(left_key), F.col("_rk").alias(right_key), sim.alias("similarity"))
             .where(F.col("similarity") >= threshold))
