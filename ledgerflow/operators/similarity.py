@@ -13,12 +13,13 @@ mostly fall outside the prefixes. Candidates are verified on the full sets.
 """
 from __future__ import annotations
 
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.operators.ids import dense_ids
 
+
 MATCH_THRESHOLD = 0.3
 
 
@@ -66,9 +67,16 @@ def similarity_join(left: DataFrame, left_key: str, left_text: Column,
              .where(F.size("_grams") > 0).dropDuplicates(["_lk"])
     rg = right.select(F.col(right_key).alias("_rk"), trigrams(right_text).alias("_grams")) \
               .where(F.size("_grams") > 0).dropDuplicates(["_rk"])
+    # the gram sets feed the vocabulary and the prefixes, the ranks both sides:
+    # each is computed once (a lost block is recomputed from lineage)
+    lg, rg = lg.persist(StorageLevel.MEMORY_AND_DISK), rg.persist(StorageLevel.MEMORY_AND_DISK)
     freq = (lg.select(F.explode("_grams").alias("_g")).unionByName(rg.select(F.explode("_grams").alias("_g")))
             .groupBy("_g").agg(F.count(F.lit(1)).alias("_f")))
-    ranks = dense_ids(freq, [F.col("_f"), F.col("_g")], name="_rank").select("_g", "_rank")
+    # integer ranks in the global order (frequency, then gram). Both sides must
+    # see the same ranks and the ids come from partition positions, so the
+    # vocabulary is written once to the checkpoint directory (bounded by the
+    # number of distinct grams) and read back by both sides.
+    ranks = dense_ids(freq, [F.col("_f"), F.col("_g")], name="_rank").select("_g", "_rank").checkpoint()
     lo = _ordered(lg, "_lk", ranks, threshold)
     ro = _ordered(rg, "_rk", ranks, threshold)
     lp = lo.select("_lk", F.col("_all").alias("_la"), F.col("_pre").alias("_lpre"),
@@ -81,6 +89,11 @@ def similarity_join(left: DataFrame, left_key: str, left_text: Column,
     need = F.lit(threshold) * (nl + nr) / F.lit(1 + threshold) - F.lit(1e-9)
     reach = F.lit(1) + F.least(nl - F.col("_lpos") - 1, nr - F.col("_rpos") - 1)
     first_shared = ~F.arrays_overlap(F.slice("_lpre", 1, F.col("_lpos")), "_rpre") | (F.col("_lpos") == 0)
+    # The prefix rows are small, but the join emits every candidate pair: AQE would
+    # coalesce the small input to a task or two and verify all pairs there. An
+    # explicit key partitioning at the session's shuffle width is kept as is.
+    width = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lp, rp = lp.repartition(width, "_r"), rp.repartition(width, "_r")
     pairs = lp.join(rp, "_r").where((ratio >= threshold) & (reach >= need) & first_shared)
     sim = similarity(F.col("_la"), F.col("_ra"))
     return (pairs.select(F.col("_lk").alias(left_key), F.col("_rk").alias(right_key), sim.alias("similarity"))
