@@ -13,7 +13,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.functions.text import employee_code, norm_name, valid_name
+from ledgerflow.functions.text import employee_code, norm_name, py_strip, valid_name
 from ledgerflow.operators.ids import dense_ids
 
 # Hops followed from a duplicate to its canonical row (2 ** rounds).
@@ -316,3 +316,38 @@ def text_search(employees: DataFrame, aliases: DataFrame, text: str, status: str
     hit_alias = aliases.where(F.col("alias_value").ilike(pat)).select(F.col("employee_id").alias("id")).distinct()
     by_alias = e.join(hit_alias, "id", "left_semi")
     return e.where(F.coalesce(direct, F.lit(False))).unionByName(by_alias).distinct()
+
+
+PHONE_TIERS = ["exact_phone", "exact_id_phone", "alias_phone"]
+
+
+def enrich_names(matched: DataFrame, employees: DataFrame, aliases: DataFrame) -> DataFrame:
+    """I2 over a batch of matched requests.
+
+    A phone-tier match renames the resolved employee when its stored name is
+    not a valid name (F8) and the request's name is: in message order the
+    first valid name wins, since after it the stored name is valid. The
+    normal name also becomes a name alias unless that value is taken (an
+    existing alias, or an earlier rename in the batch: first writer wins).
+
+    One row per renamed employee: ``id``, ``old_name``, ``full_name``,
+    ``name_normalized``, ``first_message_id``, ``alias_added``. The per-
+    employee pick is a ``min_by`` aggregate, so a hot employee collapses in
+    the map-side partial aggregate.
+    """
+    cand = matched.where(F.col("match_tier").isin(PHONE_TIERS) & F.col("employee_id").isNotNull()
+                         & valid_name("name_raw"))
+    first = cand.groupBy("employee_id").agg(
+        F.min_by("name_raw", "message_id").alias("_name"), F.min("message_id").alias("first_message_id"))
+    master = prepare_master(employees)
+    emp = master.select(F.col("id"), F.col("full_name").alias("old_name"))
+    upd = (first.join(emp, first.employee_id == emp.id)
+           .where(~F.coalesce(valid_name("old_name"), F.lit(False)))
+           .select("id", "old_name", py_strip("_name").alias("full_name"),
+                   norm_name("_name").alias("name_normalized"), "first_message_id"))
+    taken = aliases.where(F.col("alias_type") == "name").select(F.col("alias_value").alias("name_normalized")).distinct()
+    winners = (upd.where(F.col("name_normalized") != "").join(taken, "name_normalized", "left_anti")
+               .groupBy("name_normalized").agg(F.min_by("id", "first_message_id").alias("_winner")))
+    return (upd.join(winners, "name_normalized", "left")
+            .withColumn("alias_added", F.coalesce(F.col("_winner") == F.col("id"), F.lit(False)))
+            .drop("_winner"))

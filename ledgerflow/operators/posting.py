@@ -7,6 +7,7 @@ period, partially aggregated map-side). Nothing is collected.
 """
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -104,7 +105,8 @@ def match_or_create(requests: DataFrame, employees: DataFrame, aliases: DataFram
     for the rest. Returns ``(assigned_requests, new_employees)``."""
     master = identity.prepare_master(employees)
     canon = identity.resolve_canonical(master)
-    m = identity.match_exact(requests, master, aliases, canon)
+    # hits and misses both read the match: run its joins once
+    m = identity.match_exact(requests, master, aliases, canon).persist(StorageLevel.MEMORY_AND_DISK)
     hit = m.where(F.col("employee_id").isNotNull())
     miss = m.where(F.col("employee_id").isNull()).drop("match_tier", "matched_id", "employee_id")
     new_emp, assign = identity.create_employees(miss, master)

@@ -255,3 +255,35 @@ def pending_reviews(reviews: DataFrame, employees: DataFrame) -> DataFrame:
             .select("id", "candidate_employee_id", "suspected_match_id", "match_reason", "confidence_score",
                     "candidate_name", "candidate_phone", "suspected_name", "suspected_phone")
             .orderBy("id"))
+
+
+def parse_queue(state: DataFrame, messages: DataFrame) -> DataFrame:
+    """Messages waiting for the parser (pending, below the retry
+    limit) with their text. The whole queue, not one poll's worth: a batch
+    run takes every waiting message."""
+    s = state.where((F.col("status") == "pending") & (F.col("attempts") < MAX_ATTEMPTS))
+    m = messages.select(F.col("id").alias("_mid"), "source", "chat_jid", "sender_phone", "is_from_me",
+                        "timestamp_wa", "raw_content")
+    return s.join(m, s.message_id == m._mid).drop("_mid")
+
+
+POSTABLE_TYPES = ["payment", "cash_command", "income_command"]
+
+
+def posting_queue(state: DataFrame, parsed: DataFrame, messages: DataFrame) -> DataFrame:
+    """Parsed payments and commands below the retry limit, with their
+    parse result and text. ``parsed`` holds one result per message (the
+    latest, Q8), so the joins do not multiply."""
+    s = state.where((F.col("status") == "parsed") & (F.col("attempts") < MAX_ATTEMPTS))
+    p = parsed.where(F.col("message_type").isin(POSTABLE_TYPES)).select(
+        F.col("message_id").alias("_pid"), "message_type", "payment", "confidence")
+    m = messages.select(F.col("id").alias("_mid"), "source", "chat_jid", "sender_phone", "is_from_me", "raw_content")
+    return (s.join(p, s.message_id == p._pid).join(m, s.message_id == m._mid).drop("_pid", "_mid"))
+
+
+def queue_gauges(review_items: DataFrame, state: DataFrame) -> DataFrame:
+    """Review-queue and dead-letter depth as (metric, value) rows."""
+    r = review_items.agg(F.count_if(F.col("review_status") == "pending").alias("value"))
+    d = state.agg(F.count_if((F.col("status") == "failed") & (F.col("attempts") >= MAX_ATTEMPTS)).alias("value"))
+    return (r.select(F.lit("pending_review").alias("metric"), "value")
+            .unionByName(d.select(F.lit("dead_letters").alias("metric"), "value")))

@@ -1140,3 +1140,70 @@ def resolve_reviews_q(spark, sf):
     new, merges = identity.resolve_reviews(r, dec)
     m = merges.select(F.col("request_id").alias("id"), F.lit(True).alias("merged"))
     return new.join(m, "id", "left").select("id", "review_status", F.coalesce("merged", F.lit(False)).alias("merged"))
+
+
+# ---------------------------------------------------------------------------
+# Work queues and gauges (W6, W7, J1, J2, A14), name enrichment
+# ---------------------------------------------------------------------------
+
+@query("parse_queue", o.with_ctes(["fx_message_state", "fx_messages"], [], """SELECT s.message_id, s.status, s.attempts,
+  strftime(s.queued_at, '%Y-%m-%d') AS queued_at, m.source, m.chat_jid, m.is_from_me, m.raw_content
+FROM fx_message_state s JOIN fx_messages m ON m.id = s.message_id WHERE s.status = 'pending' AND s.attempts < 5"""))
+def parse_queue_q(spark, sf):
+    q = reports.parse_queue(fx.message_state(spark, sf), fx.messages(spark, sf))
+    return q.select("message_id", "status", "attempts", _day("queued_at").alias("queued_at"), "source", "chat_jid",
+                    "is_from_me", "raw_content")
+
+
+@query("posting_queue", sql_with_parse(["fx_message_state", "fx_messages"], [], """SELECT s.message_id, p.message_type,
+  s.attempts, strftime(s.queued_at, '%Y-%m-%d') AS queued_at, m.source, p.payout_phone, CAST(p.amount AS DOUBLE) AS amount,
+  p.confidence
+FROM fx_message_state s JOIN parsed p ON p.message_id = s.message_id JOIN fx_messages m ON m.id = s.message_id
+WHERE s.status = 'parsed' AND s.attempts < 5 AND p.message_type IN ('payment', 'cash_command', 'income_command')"""))
+def posting_queue_q(spark, sf):
+    msgs = fx.messages(spark, sf)
+    q = reports.posting_queue(fx.message_state(spark, sf), parse_results(msgs), msgs)
+    return q.select("message_id", "message_type", "attempts", _day("queued_at").alias("queued_at"), "source",
+                    "payment.payout_phone", _dbl("payment.amount").alias("amount"), "confidence")
+
+
+@query("queue_gauges", o.with_ctes(["fx_review_items", "fx_message_state"], [], """
+SELECT 'pending_review' AS metric, count(*) FILTER (WHERE review_status = 'pending') AS value FROM fx_review_items
+UNION ALL SELECT 'dead_letters', count(*) FILTER (WHERE status = 'failed' AND attempts >= 5) FROM fx_message_state"""))
+def queue_gauges_q(spark, sf):
+    return reports.queue_gauges(fx.review_items(spark, sf), fx.message_state(spark, sf))
+
+
+def _employees_unnamed(emp: DataFrame) -> DataFrame:
+    """Employees whose stored name is a placeholder: every 11th is 'Unknown'
+    (as rows created from a phone alone are)."""
+    return emp.withColumn("full_name", F.when(F.col("id") % 11 == 0, F.lit("Unknown")).otherwise(F.col("full_name")))
+
+
+_UNNAMED_MASTER = [(o.MASTER_CTES[0][0], o.MASTER_CTES[0][1].replace(
+    "FROM fx_employees",
+    "FROM (SELECT * REPLACE (CASE WHEN id % 11 = 0 THEN 'Unknown' ELSE full_name END AS full_name) FROM fx_employees) fe"))] \
+    + o.MASTER_CTES[1:]
+
+
+@query("name_enrichment", o.with_ctes(["fx_messages", "fx_employees", "fx_aliases", "fx_authorized"],
+    _UNNAMED_MASTER + o.ROUTE_CTES + o.match_ctes("req") + [
+    ("cand", f"""SELECT employee_id, arg_min(name_raw, message_id) AS nm, min(message_id) AS first_message_id FROM matched
+WHERE match_tier IN ('exact_phone', 'exact_id_phone', 'alias_phone') AND employee_id IS NOT NULL
+  AND {o.valid_name('name_raw')} GROUP BY employee_id"""),
+    ("upd", f"""SELECT e.id, e.full_name AS old_name, {o.strip('c.nm')} AS full_name, {o.norm_name('c.nm')} AS name_normalized,
+  c.first_message_id FROM cand c JOIN emp e ON e.id = c.employee_id WHERE NOT {o.valid_name('e.full_name')}"""),
+    ("win", """SELECT name_normalized, arg_min(id, first_message_id) AS winner FROM upd
+WHERE name_normalized <> '' AND name_normalized NOT IN (SELECT alias_value FROM fx_aliases WHERE alias_type = 'name')
+GROUP BY name_normalized""")],
+    """SELECT u.id, u.old_name, u.full_name, u.name_normalized, u.first_message_id, coalesce(w.winner = u.id, false) AS alias_added
+FROM upd u LEFT JOIN win w USING (name_normalized)""", parse=True, recursive=True))
+def name_enrichment_q(spark, sf):
+    from ledgerflow.operators.posting import match_requests, route
+    emp = _employees_unnamed(fx.employees(spark, sf))
+    routed = route(parse_results(fx.messages(spark, sf), keep=["is_from_me", "sender_phone", "raw_content"]),
+                   fx.authorized_senders(spark, sf))
+    als = fx.aliases(spark, sf)
+    m = identity.match_exact(match_requests(routed), emp, als)
+    return identity.enrich_names(m, emp, als).select("id", "old_name", "full_name", "name_normalized",
+                                                     "first_message_id", "alias_added")

@@ -92,3 +92,23 @@ def test_reversal_rules(spark):
     rr = rows.collect()
     assert len(rr) == 1 and rr[0].amount == Decimal("-100.00") and rr[0].txn_ref == "REV-fpe-a"
     assert {(x.request_id, x.reject_reason) for x in rejected.collect()} == {(2, "already_reversed"), (3, "not_found")}
+
+
+def test_name_enrichment(spark):
+    """A phone match renames a placeholder name once (first valid name in
+    message order), never a valid one, never on a name match; the alias goes
+    to the first writer."""
+    emp = spark.createDataFrame(
+        [(1, "Unknown", "01700000001", "active", None), (2, "Rahim", "01700000002", "active", None),
+         (3, "", "01700000003", "active", None)],
+        "id long, full_name string, primary_phone string, status string, canonical_employee_id long")
+    als = spark.createDataFrame([(9, "name", "karim")], "employee_id long, alias_type string, alias_value string")
+    matched = spark.createDataFrame(
+        [(10, "exact_phone", 1, None), (11, "exact_phone", 1, "  Anis "), (12, "alias_phone", 1, "Babu"),
+         (13, "exact_phone", 2, "Anis"), (14, "exact_name", 3, "Selim"), (15, "exact_id_phone", 3, "Karim")],
+        "message_id long, match_tier string, employee_id long, name_raw string")
+    rows = {r.id: r for r in identity.enrich_names(matched, emp, als).collect()}
+    assert set(rows) == {1, 3}
+    assert (rows[1].full_name, rows[1].name_normalized, rows[1].first_message_id, rows[1].alias_added) == \
+        ("Anis", "anis", 11, True)
+    assert (rows[3].full_name, rows[3].alias_added) == ("Karim", False)
