@@ -702,11 +702,10 @@ def trigram_match(spark, sf):
 
 
 def _suggest_queries(emp: DataFrame) -> DataFrame:
-    """Search texts typed against the employee list: whole names (id ending
-    01 of 50) and names missing the last letter (02 of 50)."""
-    i = F.col("id")
-    whole = emp.where(i % 50 == 1).select(F.col("full_name").alias("query"))
-    part = emp.where(i % 50 == 2).select(F.expr("substring(full_name, 1, length(full_name) - 1)").alias("query"))
+    """Search texts typed against the employee list: every whole name and
+    every name missing its last letter."""
+    whole = emp.select(F.col("full_name").alias("query"))
+    part = emp.select(F.expr("substring(full_name, 1, length(full_name) - 1)").alias("query"))
     return whole.unionByName(part).distinct()
 
 
@@ -720,8 +719,8 @@ _SUGGEST_TIERS = [
 
 
 @query("suggest_exact_prefix", o.with_ctes(["fx_employees", "fx_aliases"], _CANON + [
-    ("qs", """SELECT DISTINCT query FROM (SELECT full_name AS query FROM fx_employees WHERE id % 50 = 1
-  UNION ALL SELECT substr(full_name, 1, length(full_name) - 1) FROM fx_employees WHERE id % 50 = 2) x"""),
+    ("qs", """SELECT DISTINCT query FROM (SELECT full_name AS query FROM fx_employees
+  UNION ALL SELECT substr(full_name, 1, length(full_name) - 1) FROM fx_employees) x"""),
     ("qf", f"SELECT query, {o.norm_name('query')} AS qn, regexp_replace(lower(query), '[^a-z0-9]+', '', 'g') AS qc FROM qs"),
     ("forms", """SELECT id, 'name' AS form, name_normalized AS v FROM emp WHERE status = 'active'
 UNION ALL SELECT id, 'cname', regexp_replace(lower(full_name), '[^a-z0-9]+', '', 'g') FROM emp WHERE status = 'active'
@@ -786,19 +785,21 @@ def stream_event_totals(spark, sf):
 def _search_queries(spark, sf):
     emp = fx.employees(spark, sf)
     i = F.col("id")
-    return (emp.where(i % 20 == 1).select(F.col("primary_phone").alias("query"))
-            .unionByName(emp.where(i % 20 == 2).select(F.concat(F.lit("+88"), F.col("primary_phone")).alias("query")))
-            .unionByName(emp.where(i % 20 == 3).select(F.concat(F.lit("01"), F.lpad((F.lit(800000000) + i - 1).cast("string"), 9, "0")).alias("query")))
-            .unionByName(emp.where(i % 20 == 4).select(F.upper("full_name").alias("query")))
-            .unionByName(emp.where(i % 200 == 5).select(F.concat(F.lit("al-"), F.split("full_name", " ")[0]).alias("query"))))
+    # for every employee: its phone, the phone with +88, a phone nobody has, the
+    # name in upper case, and its segment's shared alias
+    return (emp.select(F.col("primary_phone").alias("query"))
+            .unionByName(emp.select(F.concat(F.lit("+88"), F.col("primary_phone")).alias("query")))
+            .unionByName(emp.select(F.concat(F.lit("01"), F.lpad((F.lit(800000000) + i - 1).cast("string"), 9, "0")).alias("query")))
+            .unionByName(emp.select(F.upper("full_name").alias("query")))
+            .unionByName(emp.select(F.concat(F.lit("al-"), F.split("full_name", " ")[0]).alias("query"))))
 
 
 @query("employee_search", o.with_ctes(["fx_employees", "fx_aliases"], _CANON + [
-    ("qs", """SELECT primary_phone AS query FROM fx_employees WHERE id % 20 = 1
-UNION ALL SELECT '+88' || primary_phone FROM fx_employees WHERE id % 20 = 2
-UNION ALL SELECT concat('01', lpad(CAST(800000000 + id - 1 AS VARCHAR), 9, '0')) FROM fx_employees WHERE id % 20 = 3
-UNION ALL SELECT upper(full_name) FROM fx_employees WHERE id % 20 = 4
-UNION ALL SELECT 'al-' || split_part(full_name, ' ', 1) FROM fx_employees WHERE id % 200 = 5"""),
+    ("qs", """SELECT primary_phone AS query FROM fx_employees
+UNION ALL SELECT '+88' || primary_phone FROM fx_employees
+UNION ALL SELECT concat('01', lpad(CAST(800000000 + id - 1 AS VARCHAR), 9, '0')) FROM fx_employees
+UNION ALL SELECT upper(full_name) FROM fx_employees
+UNION ALL SELECT 'al-' || split_part(full_name, ' ', 1) FROM fx_employees"""),
     ("qf", f"""SELECT DISTINCT query,
   CASE WHEN length(regexp_replace({o.strip('query')}, '\\P{{Nd}}', '', 'g')) >= 6 THEN {o.norm_phone(o.strip('query'))} END AS ph,
   {o.norm_name('query')} AS nm FROM qs WHERE {o.strip('query')} <> ''"""),
