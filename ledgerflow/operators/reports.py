@@ -287,3 +287,40 @@ def queue_gauges(review_items: DataFrame, state: DataFrame) -> DataFrame:
     d = state.agg(F.count_if((F.col("status") == "failed") & (F.col("attempts") >= MAX_ATTEMPTS)).alias("value"))
     return (r.select(F.lit("pending_review").alias("metric"), "value")
             .unionByName(d.select(F.lit("dead_letters").alias("metric"), "value")))
+
+
+def employee_details(employees: DataFrame, aliases: DataFrame, payments: DataFrame,
+                     canonical: DataFrame | None = None) -> DataFrame:
+    """I17 for every canonical employee: display name (F10 over the full name
+    and the members' name aliases in value order, then id phone, primary
+    phone, ``(unnamed)``), mobile number, member count and the payment
+    totals over all members (A6: count, sum, first and last date; reversal
+    rows left out, Q4).
+
+    The name list is collected per canonical employee: it is the feature's
+    input and grows with one employee's aliases, not with the data.
+    """
+    from ledgerflow.functions.text import best_name
+    from ledgerflow.operators.identity import prepare_master, resolve_canonical
+    master = prepare_master(employees)
+    canon = canonical if canonical is not None else resolve_canonical(master)
+    mem = canon.select(F.col("id").alias("member_id"), "canonical_id")
+    names = (aliases.where(F.col("alias_type") == "name")
+             .join(mem, F.col("employee_id") == F.col("member_id"))
+             .groupBy("canonical_id").agg(F.array_sort(F.collect_set("alias_value")).alias("_names")))
+    pay = payments.where(~F.col("is_reversal"))
+    tot = (pay.join(mem, pay.employee_id == mem.member_id).groupBy("canonical_id")
+           .agg(F.count(F.lit(1)).alias("total_transactions"), F.sum("amount").alias("total_paid"),
+                F.min("txn_date").alias("first_payment_date"), F.max("txn_date").alias("last_payment_date")))
+    size = mem.groupBy("canonical_id").agg(F.count(F.lit(1)).alias("member_count"))
+    roots = master.join(canon.where(F.col("id") == F.col("canonical_id")).select("id"), "id")
+    out = (roots.join(names, roots.id == names.canonical_id, "left").drop("canonical_id")
+           .join(size, roots.id == size.canonical_id, "left").drop("canonical_id")
+           .join(tot, roots.id == tot.canonical_id, "left").drop("canonical_id"))
+    return out.select(
+        F.col("id").alias("canonical_id"), "employee_code",
+        F.coalesce(best_name("full_name", "_names"), "employee_id_phone", "primary_phone",
+                   F.lit("(unnamed)")).alias("display_name"),
+        F.coalesce("primary_phone", "employee_id_phone").alias("mobile_number"),
+        "member_count", F.coalesce("total_transactions", F.lit(0)).alias("total_transactions"),
+        F.coalesce("total_paid", F.lit(0)).alias("total_paid"), "first_payment_date", "last_payment_date")

@@ -1208,3 +1208,29 @@ def name_enrichment_q(spark, sf):
     m = identity.match_exact(match_requests(routed), emp, als)
     return identity.enrich_names(m, emp, als).select("id", "old_name", "full_name", "name_normalized",
                                                      "first_message_id", "alias_added")
+
+
+@query("employee_detail", o.with_ctes(["fx_payments", "fx_employees", "fx_aliases"], _REV + _CANON + [
+    ("nal", """SELECT c.canonical_id, list_sort(list(DISTINCT a.alias_value)) AS names
+FROM canon c JOIN fx_aliases a ON a.employee_id = c.id WHERE a.alias_type = 'name' GROUP BY c.canonical_id"""),
+    ("roots", """SELECT e.*, list_concat([e.full_name], coalesce(nal.names, [])) AS cands FROM emp e
+JOIN canon c ON c.id = e.id AND c.canonical_id = e.id LEFT JOIN nal ON nal.canonical_id = e.id"""),
+    ("cand", "SELECT r.id, unnest(r.cands) AS nm, generate_subscripts(r.cands, 1) AS i FROM roots r"),
+    ("best", f"""SELECT id, arg_max({o.strip('nm')}, struct_pack(w := len(string_split_regex({o.strip('nm')}, '\\s+')),
+  l := length({o.strip('nm')}), ni := -i)) AS best FROM cand WHERE {o.display_name_ok('nm')} GROUP BY id"""),
+    ("tot", """SELECT c.canonical_id, count(*) AS n, sum(amount) AS total, min(txn_date) AS first_d, max(txn_date) AS last_d
+FROM pr JOIN canon c ON c.id = pr.employee_id WHERE NOT is_reversal GROUP BY c.canonical_id"""),
+    ("mc", "SELECT canonical_id, count(*) AS member_count FROM canon GROUP BY canonical_id")],
+    """SELECT r.id AS canonical_id, r.employee_code,
+  coalesce(b.best, r.employee_id_phone, r.primary_phone, '(unnamed)') AS display_name,
+  coalesce(r.primary_phone, r.employee_id_phone) AS mobile_number, mc.member_count,
+  coalesce(t.n, 0) AS total_transactions, CAST(coalesce(t.total, 0) AS DOUBLE) AS total_paid,
+  strftime(t.first_d, '%Y-%m-%d') AS first_payment_date, strftime(t.last_d, '%Y-%m-%d') AS last_payment_date
+FROM roots r LEFT JOIN best b ON b.id = r.id LEFT JOIN tot t ON t.canonical_id = r.id LEFT JOIN mc ON mc.canonical_id = r.id""",
+    recursive=True))
+def employee_detail_q(spark, sf):
+    d = reports.employee_details(fx.employees(spark, sf), fx.aliases(spark, sf), _payments_rev(spark, sf))
+    return d.select("canonical_id", "employee_code", "display_name", "mobile_number", "member_count",
+                    "total_transactions", _dbl("total_paid").alias("total_paid"),
+                    _day("first_payment_date").alias("first_payment_date"),
+                    _day("last_payment_date").alias("last_payment_date"))
