@@ -13,7 +13,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.functions.text import employee_code, norm_name, py_strip, valid_name
+from ledgerflow.functions.text import employee_code, norm_name, norm_phone, py_strip, valid_name
 from ledgerflow.operators.ids import dense_ids
 
 # Hops followed from a duplicate to its canonical row (2 ** rounds).
@@ -351,3 +351,66 @@ def enrich_names(matched: DataFrame, employees: DataFrame, aliases: DataFrame) -
     return (upd.join(winners, "name_normalized", "left")
             .withColumn("alias_added", F.coalesce(F.col("_winner") == F.col("id"), F.lit(False)))
             .drop("_winner"))
+
+
+# Suggest, phone path (I15): (kind, score); the partial tier reads any 4-10
+# digit run inside an id phone or primary phone.
+SUGGEST_PHONE_TIERS = [("idphone", 1.00), ("primary", 0.95), ("alias", 0.93), ("payout", 0.90), ("partial", 0.78)]
+PARTIAL_MIN, PARTIAL_MAX = 4, 10
+
+
+def _substrings(col: str, lo: int, hi: int):
+    """Every substring of ``col`` with length in [lo, hi] (bounded by the
+    phone's length: at most 35 for an 11-digit phone)."""
+    n = F.length(col)
+    starts = F.sequence(F.lit(1), F.greatest(n - lo + 1, F.lit(1)))
+    return F.flatten(F.transform(starts, lambda i: F.transform(
+        F.sequence(F.lit(lo), F.greatest(F.least(F.lit(hi), n - i + 1), F.lit(lo))),
+        lambda ln: F.substring(col, i, ln))))
+
+
+def suggest_phone(queries: DataFrame, employees: DataFrame, aliases: DataFrame, payments: DataFrame,
+                  canonical: DataFrame | None = None) -> DataFrame:
+    """I15 phone path: ``(query, employee_id, score)`` per canonical employee
+    with the best score over the tiers (no status filter, as the source).
+
+    A query's digits are its Unicode decimal digits; it is phone-like with at
+    least 4 digits and at most 3 other characters; the exact tiers use its
+    normalised phone (F1, phone-like with at least 6 digits), the partial tier
+    its last 10 digits (any query with at least 4). Every tier is one equi-join
+    against a single lookup of ``(kind, key, id)``; the partial tier's keys
+    are the phones' substrings, so "contains" needs no scan of all phones per
+    query. A frequent key only multiplies rows for a query that asks for it,
+    and those rows are that query's answer.
+    """
+    master = prepare_master(employees)
+    raw = py_strip("query")
+    digits = F.regexp_replace(raw, r"\P{Nd}", "")
+    nd = F.length(digits)
+    phone_like = (nd >= 4) & (nd >= F.length(raw) - 3)
+    q = (queries.select("query").distinct()
+         .select("query", F.when(phone_like & (nd >= 6), norm_phone(raw)).alias("_ph"),
+                 F.when(nd >= 4, digits.substr(F.greatest(nd - (PARTIAL_MAX - 1), F.lit(1)), F.lit(PARTIAL_MAX)))
+                 .alias("_tail")))
+    probes = q.select("query", F.explode(F.array(*[
+        F.struct(F.lit(k).alias("kind"), F.col("_tail" if k == "partial" else "_ph").alias("key"),
+                 F.lit(s).alias("score")) for k, s in SUGGEST_PHONE_TIERS])).alias("_p")) \
+        .where(F.col("_p.key").isNotNull()).select("query", "_p.kind", "_p.key", "_p.score")
+    phones = master.select("id", F.array("employee_id_phone", "primary_phone").alias("_phs"))
+    lookup = (master.select(F.lit("idphone").alias("kind"), F.col("employee_id_phone").alias("key"), "id")
+              .unionByName(master.select(F.lit("primary").alias("kind"), F.col("primary_phone").alias("key"), "id"))
+              .unionByName(aliases.where(F.col("alias_type") == "phone")
+                           .select(F.lit("alias").alias("kind"), F.col("alias_value").alias("key"),
+                                   F.col("employee_id").alias("id")))
+              .unionByName(payments.where(F.col("employee_id").isNotNull())
+                           .select(F.lit("payout").alias("kind"), F.col("payout_phone").alias("key"),
+                                   F.col("employee_id").alias("id")))
+              .unionByName(phones.select("id", F.explode("_phs").alias("_v")).where(F.col("_v").isNotNull())
+                           .select(F.lit("partial").alias("kind"),
+                                   F.explode(_substrings("_v", PARTIAL_MIN, PARTIAL_MAX)).alias("key"), "id"))
+              .where(F.col("key").isNotNull()).distinct())
+    hits = probes.join(lookup, ["kind", "key"])
+    canon = (canonical if canonical is not None else resolve_canonical(master)) \
+        .select(F.col("id").alias("_cid"), F.col("canonical_id").alias("employee_id"))
+    return (hits.join(canon, hits.id == canon._cid).groupBy("query", "employee_id")
+            .agg(F.max("score").alias("score")))

@@ -1234,3 +1234,37 @@ def employee_detail_q(spark, sf):
                     "total_transactions", _dbl("total_paid").alias("total_paid"),
                     _day("first_payment_date").alias("first_payment_date"),
                     _day("last_payment_date").alias("last_payment_date"))
+
+
+def _payments_payout(p: DataFrame) -> DataFrame:
+    """Payments with a payout phone: each was paid to the next customer's
+    number (a relative's wallet), so a phone finds its owner and the
+    employee paid through it."""
+    return p.withColumn("payout_phone", F.concat(F.lit("01"), F.lpad((F.lit(700000000) + F.col("employee_id")).cast("string"), 9, "0")))
+
+
+def _phone_queries(emp: DataFrame) -> DataFrame:
+    """Phone searches: every employee's whole phone and its last six digits."""
+    return emp.select(F.col("primary_phone").alias("query")).unionByName(
+        emp.select(F.expr("right(primary_phone, 6)").alias("query")))
+
+
+@query("suggest_phone", o.with_ctes(["fx_employees", "fx_aliases", "fx_payments"], _CANON + [
+    ("qs", "SELECT primary_phone AS query FROM fx_employees UNION ALL SELECT right(primary_phone, 6) FROM fx_employees"),
+    ("qd", f"""SELECT DISTINCT query, {o.strip('query')} AS raw, regexp_replace({o.strip('query')}, '\\P{{Nd}}', '', 'g') AS d FROM qs"""),
+    ("qp", f"""SELECT query,
+  CASE WHEN length(d) >= 4 AND length(d) >= length(raw) - 3 AND length(d) >= 6 THEN {o.norm_phone('raw')} END AS ph,
+  CASE WHEN length(d) >= 4 THEN right(d, 10) END AS tail FROM qd"""),
+    ("pay", "SELECT employee_id, concat('01', lpad(CAST(700000000 + employee_id AS VARCHAR), 9, '0')) AS payout_phone FROM fx_payments"),
+    ("hits", """SELECT query, e.id, 1.00 AS score FROM qp JOIN emp e ON e.employee_id_phone = qp.ph
+UNION ALL SELECT query, e.id, 0.95 FROM qp JOIN emp e ON e.primary_phone = qp.ph
+UNION ALL SELECT query, a.employee_id, 0.93 FROM qp JOIN fx_aliases a ON a.alias_type = 'phone' AND a.alias_value = qp.ph
+UNION ALL SELECT query, p.employee_id, 0.90 FROM qp JOIN pay p ON p.payout_phone = qp.ph WHERE p.employee_id IS NOT NULL
+UNION ALL SELECT query, e.id, 0.78 FROM qp JOIN emp e ON qp.tail IS NOT NULL
+  AND (contains(e.employee_id_phone, qp.tail) OR contains(e.primary_phone, qp.tail))""")],
+    """SELECT query, c.canonical_id AS employee_id, CAST(max(score) AS DOUBLE) AS score
+FROM hits JOIN canon c ON c.id = hits.id GROUP BY query, c.canonical_id""", recursive=True))
+def suggest_phone_q(spark, sf):
+    emp = fx.employees(spark, sf)
+    s = identity.suggest_phone(_phone_queries(emp), emp, fx.aliases(spark, sf), _payments_payout(fx.payments(spark, sf)))
+    return s.select("query", "employee_id", F.col("score").cast("double").alias("score"))

@@ -112,3 +112,21 @@ def test_name_enrichment(spark):
     assert (rows[1].full_name, rows[1].name_normalized, rows[1].first_message_id, rows[1].alias_added) == \
         ("Anis", "anis", 11, True)
     assert (rows[3].full_name, rows[3].alias_added) == ("Karim", False)
+
+
+def test_suggest_phone(spark):
+    """I15 phone path: id phone 1.00, primary 0.95, alias 0.93, payout 0.90,
+    digits inside a phone 0.78; best score per canonical employee."""
+    emp = spark.createDataFrame(
+        [(1, "A", "01711111111", "01799999999", "active", None), (2, "B", "01722222222", None, "inactive", None),
+         (3, "C", "01733333333", None, "active", 2)],
+        "id long, full_name string, primary_phone string, employee_id_phone string, status string, "
+        "canonical_employee_id long")
+    als = spark.createDataFrame([(3, "phone", "01744444444")], "employee_id long, alias_type string, alias_value string")
+    pay = spark.createDataFrame([(1, "01744444444")], "employee_id long, payout_phone string")
+    qs = spark.createDataFrame([("01799999999",), ("+8801722222222",), ("01744444444",), ("333333",),
+                                ("rahim",), ("ab 12",)], "query string")
+    got = {(r.query, r.employee_id): r.score
+           for r in identity.suggest_phone(qs, emp, als, pay).collect()}
+    assert got == {("01799999999", 1): 1.00, ("+8801722222222", 2): 0.95, ("01744444444", 2): 0.93,
+                   ("01744444444", 1): 0.90, ("333333", 2): 0.78}
