@@ -1268,3 +1268,29 @@ def suggest_phone_q(spark, sf):
     emp = fx.employees(spark, sf)
     s = identity.suggest_phone(_phone_queries(emp), emp, fx.aliases(spark, sf), _payments_payout(fx.payments(spark, sf)))
     return s.select("query", "employee_id", F.col("score").cast("double").alias("score"))
+
+
+PROFILE_LEDGER_ROWS = 12
+
+
+@query("profile_ledger", o.with_ctes(["fx_payments", "fx_employees"], _REV + _CANON + [
+    ("l", """SELECT employee_id, accounting_period,
+  CAST(sum(CASE WHEN txn_category <> 'advance' THEN amount ELSE 0 END) AS DOUBLE) AS total_paid,
+  CAST(sum(CASE WHEN txn_category = 'advance' THEN amount ELSE 0 END) AS DOUBLE) AS total_advance,
+  CAST(-sum(amount) AS DOUBLE) AS closing_balance, count(*) AS txn_count
+FROM pr WHERE employee_id IS NOT NULL GROUP BY ALL""")],
+    f"""SELECT * FROM (SELECT c.canonical_id, l.employee_id, l.accounting_period, l.total_paid, l.total_advance,
+  l.closing_balance, l.txn_count,
+  row_number() OVER (PARTITION BY c.canonical_id ORDER BY l.accounting_period DESC, l.employee_id) AS rank
+FROM l JOIN canon c ON c.id = l.employee_id) WHERE rank <= {PROFILE_LEDGER_ROWS}""", recursive=True))
+def profile_ledger(spark, sf):
+    """O4 (I17's ledger part): the newest 12 ledger rows over all members of
+    each canonical employee, one row per (member, period), not merged. Ties
+    on a period go to the lower member id."""
+    emp = fx.employees(spark, sf)
+    led = posting.ledger(_payments_rev(spark, sf)).join(identity.members(emp), F.col("employee_id") == F.col("member_id"))
+    top = top_k_per_group(led, ["canonical_id"], [F.col("accounting_period").desc(), F.col("employee_id")],
+                          PROFILE_LEDGER_ROWS, salt_of=F.col("employee_id"), rank_col="rank")
+    return top.select("canonical_id", "employee_id", "accounting_period", _dbl("total_paid").alias("total_paid"),
+                      _dbl("total_advance").alias("total_advance"), _dbl("closing_balance").alias("closing_balance"),
+                      F.col("txn_count").cast("long").alias("txn_count"), F.col("rank").cast("long").alias("rank"))
