@@ -10,10 +10,11 @@ share of the rows.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.functions.text import employee_code, norm_name, norm_phone, py_strip, valid_name
+from ledgerflow.functions.text import (collapse_text, employee_code, norm_name, norm_phone, py_strip,
+                                       valid_name)
 from ledgerflow.operators.ids import dense_ids
 
 # Hops followed from a duplicate to its canonical row (2 ** rounds).
@@ -414,3 +415,76 @@ def suggest_phone(queries: DataFrame, employees: DataFrame, aliases: DataFrame,
         .select(F.col("id").alias("_cid"), F.col("canonical_id").alias("employee_id"))
     return (hits.join(canon, hits.id == canon._cid).groupBy("query", "employee_id")
             .agg(F.max("score").alias("score")))
+
+
+# Suggest, substring tiers of the name path (I15): (form, score, query form,
+# shortest query). "name" is the lower-cased full name; the c-forms keep only
+# a-z0-9 (full name, name alias, raw name on a payment).
+SUGGEST_SUBSTRING_TIERS = [("name", 0.70, "low", 1), ("cname", 0.72, "coll", 3),
+                           ("calias", 0.71, "coll", 3), ("craw", 0.74, "coll", 3)]
+
+
+def _collapsed_sql(c: Column) -> Column:
+    return F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), "[^a-z0-9]+", "")
+
+
+def _grams(col: str, n: int) -> Column:
+    """All substrings of length ``n`` of ``col`` (empty when shorter)."""
+    return F.transform(F.sequence(F.lit(1), F.greatest(F.length(col) - n + 1, F.lit(0))),
+                       lambda i: F.substring(col, i, n))
+
+
+def suggest_substring(queries: DataFrame, employees: DataFrame, aliases: DataFrame, payments: DataFrame,
+                      canonical: DataFrame | None = None) -> DataFrame:
+    """I15 substring tiers: ``(query, employee_id, score)`` per canonical
+    employee, for queries that are not phone-like (no status filter).
+
+    "Value contains query" without a scan of all values per query: a query of
+    three or more characters is joined on its rarest 3-gram (fewest values of
+    that form hold it) to the values holding that gram, and the candidates are
+    verified with ``contains``; shorter queries join an index of the values'
+    one- and two-character substrings. A query's fan-out is then at most the
+    number of values holding its rarest gram, which for a short query is its
+    answer.
+    """
+    master = prepare_master(employees)
+    full = F.col("full_name")
+    values = (master.select(F.lit("name").alias("form"), F.lower(F.coalesce(full, F.lit(""))).alias("v"), "id")
+              .unionByName(master.select(F.lit("cname").alias("form"), _collapsed_sql(full).alias("v"), "id"))
+              .unionByName(aliases.where(F.col("alias_type") == "name")
+                           .select(F.lit("calias").alias("form"), _collapsed_sql(F.col("alias_value")).alias("v"),
+                                   F.col("employee_id").alias("id")))
+              .unionByName(payments.where(F.col("employee_id").isNotNull())
+                           .select(F.lit("craw").alias("form"), _collapsed_sql(F.col("employee_name_raw")).alias("v"),
+                                   F.col("employee_id").alias("id")))
+              .where(F.col("v") != "").distinct())
+    distinct_v = values.select("form", "v").distinct()
+    vgrams = distinct_v.select("form", "v", F.explode(F.array_distinct(_grams("v", 3))).alias("g"))
+    df_g = vgrams.groupBy("form", "g").agg(F.count(F.lit(1)).alias("_df"))
+    short = distinct_v.select("form", "v", F.explode(F.array_distinct(
+        F.concat(_grams("v", 1), _grams("v", 2)))).alias("g"))
+
+    raw = py_strip("query")
+    nd = F.length(F.regexp_replace(raw, r"\P{Nd}", ""))
+    phone_like = (nd >= 4) & (nd >= F.length(raw) - 3)
+    q = (queries.select("query").distinct()
+         .select("query", F.lower(raw).alias("_low"), collapse_text(raw).alias("_coll"), phone_like.alias("_pl"))
+         .where((F.col("_low") != "") & ~F.col("_pl")))
+    probes = q.select("query", F.explode(F.array(*[
+        F.struct(F.lit(form).alias("form"), F.lit(score).alias("score"),
+                 F.col("_low" if qf == "low" else "_coll").alias("qv"), F.lit(m).alias("m"))
+        for form, score, qf, m in SUGGEST_SUBSTRING_TIERS])).alias("_p")) \
+        .select("query", "_p.form", "_p.score", "_p.qv", "_p.m").where(F.length("qv") >= F.col("m"))
+    long_p = probes.where(F.length("qv") >= 3)
+    pg = long_p.select("query", "form", "qv", F.explode(F.array_distinct(_grams("qv", 3))).alias("g")) \
+        .join(df_g, ["form", "g"])
+    rarest = pg.groupBy("query", "form", "qv").agg(F.min_by("g", F.struct("_df", "g")).alias("g"))
+    long_hits = (rarest.join(vgrams, ["form", "g"]).where(F.col("v").contains(F.col("qv")))
+                 .join(long_p, ["query", "form", "qv"]).select("query", "form", "v", "score"))
+    short_hits = (probes.where(F.length("qv") < 3).join(short, (probes.form == short.form) & (probes.qv == short.g))
+                  .select("query", probes.form, "v", "score"))
+    hits = long_hits.unionByName(short_hits).join(values, ["form", "v"])
+    canon = (canonical if canonical is not None else resolve_canonical(master)) \
+        .select(F.col("id").alias("_cid"), F.col("canonical_id").alias("employee_id"))
+    return (hits.join(canon, hits.id == canon._cid).groupBy("query", "employee_id")
+            .agg(F.max("score").alias("score")))

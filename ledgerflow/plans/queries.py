@@ -1294,3 +1294,37 @@ def profile_ledger(spark, sf):
     return top.select("canonical_id", "employee_id", "accounting_period", _dbl("total_paid").alias("total_paid"),
                       _dbl("total_advance").alias("total_advance"), _dbl("closing_balance").alias("closing_balance"),
                       F.col("txn_count").cast("long").alias("txn_count"), F.col("rank").cast("long").alias("rank"))
+
+
+def _payments_named(p: DataFrame) -> DataFrame:
+    """Payments with the raw name typed in their message ('emp' and the
+    customer's letter code, as in fx_messages)."""
+    code = F.translate(F.lpad((F.col("employee_id") - 1).cast("string"), 6, "0"), "0123456789", "abcdefghij")
+    return p.withColumn("employee_name_raw", F.concat(F.lit("emp "), code))
+
+
+def _name_queries(emp: DataFrame) -> DataFrame:
+    """Name searches: every employee's letter code and its segment word."""
+    parts = F.split("full_name", " ")
+    return emp.select(parts[1].alias("query")).unionByName(emp.select(parts[0].alias("query")))
+
+
+@query("suggest_substring", o.with_ctes(["fx_employees", "fx_aliases", "fx_payments"], _CANON + [
+    ("qs", "SELECT split_part(full_name, ' ', 2) AS query FROM fx_employees UNION ALL SELECT split_part(full_name, ' ', 1) FROM fx_employees"),
+    ("qd", f"""SELECT DISTINCT query, {o.strip('query')} AS raw, length(regexp_replace({o.strip('query')}, '\\P{{Nd}}', '', 'g')) AS nd FROM qs"""),
+    ("qf", """SELECT query, lower(raw) AS qlow, regexp_replace(lower(raw), '[^a-z0-9]+', '', 'g') AS qc FROM qd
+WHERE raw <> '' AND NOT (nd >= 4 AND nd >= length(raw) - 3)"""),
+    ("praw", """SELECT DISTINCT employee_id, regexp_replace(lower('emp ' || translate(lpad(CAST(employee_id - 1 AS VARCHAR), 6, '0'),
+  '0123456789', 'abcdefghij')), '[^a-z0-9]+', '', 'g') AS c FROM fx_payments WHERE employee_id IS NOT NULL"""),
+    ("hits", """SELECT query, e.id, 0.70 AS score FROM qf JOIN emp e ON contains(lower(coalesce(e.full_name, '')), qf.qlow)
+UNION ALL SELECT query, e.id, 0.72 FROM qf JOIN emp e ON length(qf.qc) >= 3
+  AND contains(regexp_replace(lower(coalesce(e.full_name, '')), '[^a-z0-9]+', '', 'g'), qf.qc)
+UNION ALL SELECT query, a.employee_id, 0.71 FROM qf JOIN fx_aliases a ON a.alias_type = 'name' AND length(qf.qc) >= 3
+  AND contains(regexp_replace(lower(coalesce(a.alias_value, '')), '[^a-z0-9]+', '', 'g'), qf.qc)
+UNION ALL SELECT query, p.employee_id, 0.74 FROM qf JOIN praw p ON length(qf.qc) >= 3 AND contains(p.c, qf.qc)""")],
+    """SELECT query, c.canonical_id AS employee_id, CAST(max(score) AS DOUBLE) AS score
+FROM hits JOIN canon c ON c.id = hits.id GROUP BY query, c.canonical_id""", recursive=True))
+def suggest_substring_q(spark, sf):
+    emp = fx.employees(spark, sf)
+    s = identity.suggest_substring(_name_queries(emp), emp, fx.aliases(spark, sf), _payments_named(fx.payments(spark, sf)))
+    return s.select("query", "employee_id", F.col("score").cast("double").alias("score"))

@@ -130,3 +130,18 @@ def test_suggest_phone(spark):
            for r in identity.suggest_phone(qs, emp, als, pay).collect()}
     assert got == {("01799999999", 1): 1.00, ("+8801722222222", 2): 0.95, ("01744444444", 2): 0.93,
                    ("01744444444", 1): 0.90, ("333333", 2): 0.78}
+
+
+def test_suggest_substring(spark):
+    """I15 substring tiers: short queries use the 1-2 character index, longer
+    ones the rarest 3-gram; collapsed forms need 3 characters; phone-like
+    queries skip the name path."""
+    emp = spark.createDataFrame(
+        [(1, "Rahim Uddin", "01711111111", "active", None), (2, "Karim", "01722222222", "inactive", None),
+         (3, "Al-Momin", "01733333333", "active", 2)],
+        "id long, full_name string, primary_phone string, status string, canonical_employee_id long")
+    als = spark.createDataFrame([(1, "name", "Babu Bhai")], "employee_id long, alias_type string, alias_value string")
+    pay = spark.createDataFrame([(1, "Rahim-Ud"), (None, "nobody")], "employee_id long, employee_name_raw string")
+    qs = spark.createDataFrame([("ri",), ("im u",), ("mom",), ("ubh",), ("himud",), ("0171 1111",)], "query string")
+    got = {(r.query, r.employee_id): r.score for r in identity.suggest_substring(qs, emp, als, pay).collect()}
+    assert got == {("ri", 2): 0.70, ("im u", 1): 0.74, ("mom", 2): 0.72, ("ubh", 1): 0.71, ("himud", 1): 0.74}
