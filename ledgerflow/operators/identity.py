@@ -488,3 +488,67 @@ def suggest_substring(queries: DataFrame, employees: DataFrame, aliases: DataFra
         .select(F.col("id").alias("_cid"), F.col("canonical_id").alias("employee_id"))
     return (hits.join(canon, hits.id == canon._cid).groupBy("query", "employee_id")
             .agg(F.max("score").alias("score")))
+
+
+# Suggest, trigram-scored tiers (I15): tier -> (minimum similarity, base,
+# slope, cap); score = min(cap, base + slope * s).
+SUGGEST_TRIGRAM_TIERS = {"name": (0.30, 0.40, 0.45, 0.85), "alias": (0.30, 0.38, 0.45, 0.83),
+                         "raw": (0.40, 0.35, 0.40, 0.78)}
+
+
+def suggest_trigram(queries: DataFrame, employees: DataFrame, aliases: DataFrame, payments: DataFrame,
+                    canonical: DataFrame | None = None) -> DataFrame:
+    """I15 trigram tiers: ``(query, employee_id, score)`` per canonical
+    employee, for queries that are not phone-like with 3 or more characters
+    (lower-cased or collapsed).
+
+    s per (query, tier, employee) is the best pg_trgm similarity (F18) over
+    the tier's forms: lower-cased text against the lower-cased query and
+    collapsed text against the collapsed query (the lower-cased one when the
+    collapse is empty); the name tier also reads the normal name. All the
+    pairings run as one exact similarity join at t = 0.3 on distinct texts:
+    each set's grams carry a namespace (L or C), so only like forms pair.
+    """
+    from ledgerflow.operators.similarity import similarity_join
+    master = prepare_master(employees)
+    low = lambda c: F.lower(F.coalesce(c, F.lit("")))
+    vals = (master.select(F.lit("name").alias("tier"), F.lit("L").alias("ns"), low(F.col("full_name")).alias("t"), "id")
+            .unionByName(master.select(F.lit("name").alias("tier"), F.lit("L").alias("ns"),
+                                       F.coalesce("name_normalized", F.lit("")).alias("t"), "id"))
+            .unionByName(master.select(F.lit("name").alias("tier"), F.lit("C").alias("ns"),
+                                       _collapsed_sql(F.col("full_name")).alias("t"), "id")))
+    al = aliases.where(F.col("alias_type") == "name").select(F.col("employee_id").alias("id"), "alias_value")
+    vals = (vals.unionByName(al.select(F.lit("alias").alias("tier"), F.lit("L").alias("ns"), low(F.col("alias_value")).alias("t"), "id"))
+            .unionByName(al.select(F.lit("alias").alias("tier"), F.lit("C").alias("ns"),
+                                   _collapsed_sql(F.col("alias_value")).alias("t"), "id")))
+    pr = payments.where(F.col("employee_id").isNotNull()).select(F.col("employee_id").alias("id"), "employee_name_raw")
+    vals = (vals.unionByName(pr.select(F.lit("raw").alias("tier"), F.lit("L").alias("ns"), low(F.col("employee_name_raw")).alias("t"), "id"))
+            .unionByName(pr.select(F.lit("raw").alias("tier"), F.lit("C").alias("ns"),
+                                   _collapsed_sql(F.col("employee_name_raw")).alias("t"), "id"))
+            .where(F.col("t") != "").distinct())
+    texts = vals.select(F.concat("ns", F.lit("|"), "t").alias("_rk"), "ns", "t").distinct()
+
+    raw = py_strip("query")
+    nd = F.length(F.regexp_replace(raw, r"\P{Nd}", ""))
+    phone_like = (nd >= 4) & (nd >= F.length(raw) - 3)
+    q = (queries.select("query").distinct()
+         .select("query", F.lower(raw).alias("_low"), collapse_text(raw).alias("_coll"), phone_like.alias("_pl"))
+         .where(~F.col("_pl") & ((F.length("_low") >= 3) | (F.length("_coll") >= 3))))
+    qt = (q.select("query", F.lit("L").alias("ns"), F.col("_low").alias("t"))
+          .unionByName(q.select("query", F.lit("C").alias("ns"),
+                                F.when(F.col("_coll") != "", F.col("_coll")).otherwise(F.col("_low")).alias("t")))
+          .withColumn("_lk", F.concat("ns", F.lit("|"), "query")))
+    pairs = similarity_join(qt, "_lk", F.col("t"), texts, "_rk", F.col("t"), threshold=0.3,
+                            left_ns=F.col("ns"), right_ns=F.col("ns"))
+    hits = (pairs.join(qt.select("_lk", "query"), "_lk")
+            .join(vals.select(F.concat("ns", F.lit("|"), "t").alias("_rk"), "tier", "id"), "_rk")
+            .groupBy("query", "tier", "id").agg(F.max("similarity").alias("s")))
+    score = None
+    for tier, (lo, base, slope, cap) in SUGGEST_TRIGRAM_TIERS.items():
+        rule = F.when((F.col("tier") == tier) & (F.col("s") >= lo), F.least(F.lit(cap), F.lit(base) + F.lit(slope) * F.col("s")))
+        score = rule if score is None else F.coalesce(score, rule)
+    scored = hits.select("query", "id", score.alias("score")).where(F.col("score").isNotNull())
+    canon = (canonical if canonical is not None else resolve_canonical(master)) \
+        .select(F.col("id").alias("_cid"), F.col("canonical_id").alias("employee_id"))
+    return (scored.join(canon, scored.id == canon._cid).groupBy("query", "employee_id")
+            .agg(F.max("score").alias("score")))

@@ -51,9 +51,16 @@ def _ordered(sets: DataFrame, key: str, ranks: DataFrame, t: float) -> DataFrame
     return per.select(key, "_all", F.slice("_all", 1, keep).alias("_pre"))
 
 
+def _spaced(grams: Column, ns: Column | None) -> Column:
+    """Grams prefixed with a namespace: sets of different namespaces share no
+    gram, so one join scores several (form, form) pairings at once."""
+    return grams if ns is None else F.transform(grams, lambda g: F.concat(ns, F.lit("|"), g))
+
+
 def similarity_join(left: DataFrame, left_key: str, left_text: Column,
                     right: DataFrame, right_key: str, right_text: Column,
-                    threshold: float = MATCH_THRESHOLD) -> DataFrame:
+                    threshold: float = MATCH_THRESHOLD,
+                    left_ns: Column | None = None, right_ns: Column | None = None) -> DataFrame:
     """All (left_key, right_key, similarity) with similarity >= threshold.
 
     Grams become integer ranks in the global order (dense ids over the gram
@@ -63,9 +70,9 @@ def similarity_join(left: DataFrame, left_key: str, left_text: Column,
     prefix), so there is no distinct over the candidates and no re-join.
     """
     assert 0 < threshold <= 1
-    lg = left.select(F.col(left_key).alias("_lk"), trigrams(left_text).alias("_grams")) \
+    lg = left.select(F.col(left_key).alias("_lk"), _spaced(trigrams(left_text), left_ns).alias("_grams")) \
              .where(F.size("_grams") > 0).dropDuplicates(["_lk"])
-    rg = right.select(F.col(right_key).alias("_rk"), trigrams(right_text).alias("_grams")) \
+    rg = right.select(F.col(right_key).alias("_rk"), _spaced(trigrams(right_text), right_ns).alias("_grams")) \
               .where(F.size("_grams") > 0).dropDuplicates(["_rk"])
     # the gram sets feed the vocabulary and the prefixes, the ranks both sides:
     # each is computed once (a lost block is recomputed from lineage)

@@ -1328,3 +1328,41 @@ def suggest_substring_q(spark, sf):
     emp = fx.employees(spark, sf)
     s = identity.suggest_substring(_name_queries(emp), emp, fx.aliases(spark, sf), _payments_named(fx.payments(spark, sf)))
     return s.select("query", "employee_id", F.col("score").cast("double").alias("score"))
+
+
+_COLL = "regexp_replace(lower(coalesce({}, '')), '[^a-z0-9]+', '', 'g')"
+
+
+@query("suggest_trigram", o.with_ctes(["fx_employees", "fx_aliases", "fx_payments"], _CANON + [
+    ("qs", "SELECT split_part(full_name, ' ', 2) AS query FROM fx_employees UNION ALL SELECT split_part(full_name, ' ', 1) FROM fx_employees"),
+    ("qd", f"""SELECT DISTINCT query, {o.strip('query')} AS raw, length(regexp_replace({o.strip('query')}, '\\P{{Nd}}', '', 'g')) AS nd FROM qs"""),
+    ("qf", """SELECT query, lower(raw) AS qlow, regexp_replace(lower(raw), '[^a-z0-9]+', '', 'g') AS qc FROM qd
+WHERE NOT (nd >= 4 AND nd >= length(raw) - 3)"""),
+    ("qt", """SELECT query, 'L' AS ns, qlow AS t FROM qf WHERE length(qlow) >= 3 OR length(qc) >= 3
+UNION ALL SELECT query, 'C', CASE WHEN qc <> '' THEN qc ELSE qlow END FROM qf WHERE length(qlow) >= 3 OR length(qc) >= 3"""),
+    ("praw", """SELECT employee_id AS id, 'emp ' || translate(lpad(CAST(employee_id - 1 AS VARCHAR), 6, '0'), '0123456789', 'abcdefghij') AS r
+FROM fx_payments WHERE employee_id IS NOT NULL"""),
+    ("vals", f"""SELECT DISTINCT * FROM (
+  SELECT 'name' AS tier, 'L' AS ns, lower(coalesce(full_name, '')) AS t, id FROM emp
+  UNION ALL SELECT 'name', 'L', coalesce(name_normalized, ''), id FROM emp
+  UNION ALL SELECT 'name', 'C', {_COLL.format('full_name')}, id FROM emp
+  UNION ALL SELECT 'alias', 'L', lower(coalesce(alias_value, '')), employee_id FROM fx_aliases WHERE alias_type = 'name'
+  UNION ALL SELECT 'alias', 'C', {_COLL.format('alias_value')}, employee_id FROM fx_aliases WHERE alias_type = 'name'
+  UNION ALL SELECT 'raw', 'L', lower(r), id FROM praw
+  UNION ALL SELECT 'raw', 'C', {_COLL.format('r')}, id FROM praw) x WHERE t <> ''"""),
+    ("qg", f"SELECT query, ns, {o.trigrams('t')} AS g FROM qt"),
+    ("vg", f"SELECT ns, t, {o.trigrams('t')} AS g FROM (SELECT DISTINCT ns, t FROM vals)"),
+    ("sims", """SELECT qg.query, qg.ns, vg.t,
+  len(list_intersect(qg.g, vg.g)) / (len(qg.g) + len(vg.g) - len(list_intersect(qg.g, vg.g))) AS s
+FROM qg JOIN vg ON qg.ns = vg.ns WHERE len(qg.g) > 0 AND len(vg.g) > 0"""),
+    ("hits", """SELECT s.query, v.tier, v.id, max(s.s) AS s FROM sims s JOIN vals v ON v.ns = s.ns AND v.t = s.t
+WHERE s.s >= 0.3 GROUP BY ALL"""),
+    ("scored", """SELECT query, id, CASE tier WHEN 'name' THEN least(0.85, 0.40 + 0.45 * s)
+  WHEN 'alias' THEN least(0.83, 0.38 + 0.45 * s) ELSE CASE WHEN s >= 0.40 THEN least(0.78, 0.35 + 0.40 * s) END END AS score
+FROM hits""")],
+    """SELECT query, c.canonical_id AS employee_id, round(CAST(max(score) AS DOUBLE), 6) AS score
+FROM scored JOIN canon c ON c.id = scored.id WHERE score IS NOT NULL GROUP BY query, c.canonical_id""", recursive=True))
+def suggest_trigram_q(spark, sf):
+    emp = fx.employees(spark, sf)
+    s = identity.suggest_trigram(_name_queries(emp), emp, fx.aliases(spark, sf), _payments_named(fx.payments(spark, sf)))
+    return s.select("query", "employee_id", F.round(F.col("score").cast("double"), 6).alias("score"))
