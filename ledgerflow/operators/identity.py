@@ -435,9 +435,11 @@ def _grams(col: str, n: int) -> Column:
 
 
 def suggest_substring(queries: DataFrame, employees: DataFrame, aliases: DataFrame, payments: DataFrame,
-                      canonical: DataFrame | None = None) -> DataFrame:
+                      canonical: DataFrame | None = None, include_phone_like: bool = False) -> DataFrame:
     """I15 substring tiers: ``(query, employee_id, score)`` per canonical
-    employee, for queries that are not phone-like (no status filter).
+    employee, for queries that are not phone-like (all queries with
+    ``include_phone_like``, for the fall-through of a phone-like query with no
+    phone hit); no status filter.
 
     "Value contains query" without a scan of all values per query: a query of
     three or more characters is joined on its rarest 3-gram (fewest values of
@@ -469,7 +471,7 @@ def suggest_substring(queries: DataFrame, employees: DataFrame, aliases: DataFra
     phone_like = (nd >= 4) & (nd >= F.length(raw) - 3)
     q = (queries.select("query").distinct()
          .select("query", F.lower(raw).alias("_low"), collapse_text(raw).alias("_coll"), phone_like.alias("_pl"))
-         .where((F.col("_low") != "") & ~F.col("_pl")))
+         .where((F.col("_low") != "") & (F.lit(include_phone_like) | ~F.col("_pl"))))
     probes = q.select("query", F.explode(F.array(*[
         F.struct(F.lit(form).alias("form"), F.lit(score).alias("score"),
                  F.col("_low" if qf == "low" else "_coll").alias("qv"), F.lit(m).alias("m"))
@@ -497,7 +499,7 @@ SUGGEST_TRIGRAM_TIERS = {"name": (0.30, 0.40, 0.45, 0.85), "alias": (0.30, 0.38,
 
 
 def suggest_trigram(queries: DataFrame, employees: DataFrame, aliases: DataFrame, payments: DataFrame,
-                    canonical: DataFrame | None = None) -> DataFrame:
+                    canonical: DataFrame | None = None, include_phone_like: bool = False) -> DataFrame:
     """I15 trigram tiers: ``(query, employee_id, score)`` per canonical
     employee, for queries that are not phone-like with 3 or more characters
     (lower-cased or collapsed).
@@ -533,7 +535,7 @@ def suggest_trigram(queries: DataFrame, employees: DataFrame, aliases: DataFrame
     phone_like = (nd >= 4) & (nd >= F.length(raw) - 3)
     q = (queries.select("query").distinct()
          .select("query", F.lower(raw).alias("_low"), collapse_text(raw).alias("_coll"), phone_like.alias("_pl"))
-         .where(~F.col("_pl") & ((F.length("_low") >= 3) | (F.length("_coll") >= 3))))
+         .where((F.lit(include_phone_like) | ~F.col("_pl")) & ((F.length("_low") >= 3) | (F.length("_coll") >= 3))))
     qt = (q.select("query", F.lit("L").alias("ns"), F.col("_low").alias("t"))
           .unionByName(q.select("query", F.lit("C").alias("ns"),
                                 F.when(F.col("_coll") != "", F.col("_coll")).otherwise(F.col("_low")).alias("t")))
@@ -552,3 +554,75 @@ def suggest_trigram(queries: DataFrame, employees: DataFrame, aliases: DataFrame
         .select(F.col("id").alias("_cid"), F.col("canonical_id").alias("employee_id"))
     return (scored.join(canon, scored.id == canon._cid).groupBy("query", "employee_id")
             .agg(F.max("score").alias("score")))
+
+
+SUGGEST_LIMIT = 8
+SHOWN_ALIASES = 6
+
+
+def phone_like(col: str = "query") -> Column:
+    """A search text is phone-like with at least 4 digits and at most 3 other
+    characters (after Python strip)."""
+    raw = py_strip(col)
+    nd = F.length(F.regexp_replace(raw, r"\P{Nd}", ""))
+    return (nd >= 4) & (nd >= F.length(raw) - 3)
+
+
+def suggest_rank(hits: DataFrame, queries: DataFrame, employees: DataFrame, aliases: DataFrame,
+                 payments: DataFrame, k: int = SUGGEST_LIMIT, canonical: DataFrame | None = None) -> DataFrame:
+    """I15 stages 2-4 over the tier hits ``(query, employee_id, score)``
+    (employee_id canonical): best score per canonical employee (A17), display
+    name (F10 over the full name and the members' sorted name aliases, then id
+    phone, then ``#id``), totals over members (A7), the order of O6 (score
+    rounded to 3 places desc, total paid desc, last activity asc with none
+    first, then id) and the first ``k`` per query (N6).
+
+    The cut is a salted two-phase top-k, so a query that matches a large
+    share of all employees is ranked in many tasks. The alias list (U3) is
+    built for the kept rows only: name aliases plus the members' raw payment
+    names whose collapsed form holds the collapsed query, sorted, the display
+    name removed, the first 6 shown; ``alias_count`` counts them all.
+    ``payments`` needs ``is_reversal`` and ``employee_name_raw``.
+    """
+    from ledgerflow.functions.text import best_name
+    from ledgerflow.operators.topk import top_k_per_group
+    master = prepare_master(employees)
+    canon = canonical if canonical is not None else resolve_canonical(master)
+    mem = canon.select(F.col("id").alias("member_id"), "canonical_id")
+    best = hits.groupBy("query", "employee_id").agg(F.max("score").alias("score"))
+    pay = payments.where(~F.col("is_reversal"))
+    tot = (pay.join(mem, pay.employee_id == mem.member_id).groupBy("canonical_id")
+           .agg(F.sum("amount").alias("total_paid"), F.max("txn_date").alias("last_activity"),
+                F.count(F.lit(1)).alias("total_transactions")))
+    names = (aliases.where((F.col("alias_type") == "name") & F.col("alias_value").isNotNull())
+             .join(mem, F.col("employee_id") == F.col("member_id"))
+             .groupBy("canonical_id").agg(F.array_sort(F.collect_set("alias_value")).alias("_names")))
+    root = master.select(F.col("id").alias("_rid"), "full_name", "employee_id_phone", "primary_phone", "status")
+    c = (best.join(root, best.employee_id == root._rid)
+         .join(names, best.employee_id == names.canonical_id, "left").drop("canonical_id")
+         .join(tot, best.employee_id == tot.canonical_id, "left").drop("canonical_id"))
+    c = c.select("query", "employee_id", "_names",
+                 F.coalesce(best_name("full_name", "_names"), "employee_id_phone",
+                            F.concat(F.lit("#"), F.col("employee_id").cast("string"))).alias("display_name"),
+                 F.coalesce("employee_id_phone", "primary_phone").alias("mobile_number"), "status",
+                 F.round("score", 3).alias("similarity"),
+                 F.coalesce("total_paid", F.lit(0)).alias("total_paid"),
+                 F.coalesce("total_transactions", F.lit(0)).alias("total_transactions"), "last_activity")
+    top = top_k_per_group(c, ["query"], [F.col("similarity").desc(), F.col("total_paid").desc(),
+                                         F.col("last_activity").asc_nulls_first(), F.col("employee_id")],
+                          k, salt_of=F.col("employee_id"), rank_col="rank")
+    qc = queries.select("query").distinct().select("query", collapse_text(py_strip("query")).alias("_qc"))
+    raws = (payments.where(F.col("employee_name_raw").isNotNull())
+            .join(mem, F.col("employee_id") == F.col("member_id"))
+            .select(F.col("canonical_id").alias("_cid"), "employee_name_raw").distinct())
+    kept = top.select("query", F.col("employee_id").alias("_cid")).join(qc, "query").where(F.length("_qc") >= 2)
+    ra = (kept.join(raws, "_cid").where(_collapsed_sql(F.col("employee_name_raw")).contains(F.col("_qc")))
+          .groupBy(F.col("query").alias("_q"), "_cid").agg(F.collect_set("employee_name_raw").alias("_raws")))
+    out = top.join(ra, (F.col("query") == F.col("_q")) & (F.col("employee_id") == F.col("_cid")), "left").drop("_q", "_cid")
+    empty = F.array().cast("array<string>")
+    merged = F.array_sort(F.array_distinct(F.concat(F.coalesce("_names", empty), F.coalesce("_raws", empty))))
+    out = out.withColumn("_merged", merged)
+    shown = F.slice(F.filter("_merged", lambda x: x != F.col("display_name")), 1, SHOWN_ALIASES)
+    return out.select("query", "rank", "employee_id", "display_name", "mobile_number", "status",
+                      shown.alias("aliases"), F.size("_merged").alias("alias_count"), "similarity",
+                      "total_paid", "total_transactions", "last_activity")

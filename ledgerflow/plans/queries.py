@@ -724,8 +724,8 @@ _SUGGEST_TIERS = [
     ("qf", f"SELECT query, {o.norm_name('query')} AS qn, regexp_replace(lower(query), '[^a-z0-9]+', '', 'g') AS qc FROM qs"),
     ("forms", """SELECT id, 'name' AS form, name_normalized AS v FROM emp WHERE status = 'active'
 UNION ALL SELECT id, 'cname', regexp_replace(lower(full_name), '[^a-z0-9]+', '', 'g') FROM emp WHERE status = 'active'
-UNION ALL SELECT a.employee_id, 'alias', lower(a.alias_value) FROM fx_aliases a JOIN emp e ON e.id = a.employee_id WHERE e.status = 'active'
-UNION ALL SELECT a.employee_id, 'calias', regexp_replace(lower(a.alias_value), '[^a-z0-9]+', '', 'g') FROM fx_aliases a JOIN emp e ON e.id = a.employee_id WHERE e.status = 'active'"""),
+UNION ALL SELECT a.employee_id, 'alias', lower(a.alias_value) FROM fx_aliases a JOIN emp e ON e.id = a.employee_id WHERE e.status = 'active' AND a.alias_type = 'name'
+UNION ALL SELECT a.employee_id, 'calias', regexp_replace(lower(a.alias_value), '[^a-z0-9]+', '', 'g') FROM fx_aliases a JOIN emp e ON e.id = a.employee_id WHERE e.status = 'active' AND a.alias_type = 'name'"""),
     ("hits", "\nUNION ALL ".join(
         f"""SELECT query, id, {s} AS score FROM qf JOIN forms f ON f.form = '{form}' AND """
         + (f"starts_with(f.v, {'qn' if qf == 'norm' else 'qc'})" if pre else f"f.v = {'qn' if qf == 'norm' else 'qc'}")
@@ -734,9 +734,15 @@ UNION ALL SELECT a.employee_id, 'calias', regexp_replace(lower(a.alias_value), '
     """SELECT query, c.canonical_id AS employee_id, max(score) AS score FROM hits JOIN canon c ON c.id = hits.id
 GROUP BY query, c.canonical_id""", recursive=True))
 def suggest_exact_prefix(spark, sf):
-    emp = identity.prepare_master(fx.employees(spark, sf))
+    emp = fx.employees(spark, sf)
+    return _exact_prefix_hits(_suggest_queries(emp), emp, fx.aliases(spark, sf))
+
+
+def _exact_prefix_hits(queries: DataFrame, employees: DataFrame, aliases: DataFrame) -> DataFrame:
+    """I15 exact and prefix tiers: ``(query, employee_id, score)``."""
+    emp = identity.prepare_master(employees)
     active = emp.where(F.col("status") == "active")
-    a = fx.aliases(spark, sf).join(active.select(F.col("id").alias("employee_id")), "employee_id")
+    a = aliases.where(F.col("alias_type") == "name").join(active.select(F.col("id").alias("employee_id")), "employee_id")
     coll = lambda c: F.regexp_replace(F.lower(c), "[^a-z0-9]+", "")
     forms = (active.select("id", F.lit("name").alias("form"), F.col("name_normalized").alias("v"))
              .unionByName(active.select("id", F.lit("cname").alias("form"), coll(F.col("full_name")).alias("v")))
@@ -747,8 +753,8 @@ def suggest_exact_prefix(spark, sf):
     prefixes = forms.select("id", "form", F.explode(F.sequence(F.lit(1), F.greatest(F.length("v"), F.lit(1)))).alias("_n"), "v") \
                     .select("id", "form", F.expr("substring(v, 1, _n)").alias("v"), F.lit(True).alias("prefix"))
     keys = forms.withColumn("prefix", F.lit(False)).unionByName(prefixes)
-    q = _suggest_queries(fx.employees(spark, sf)).select("query", tx.norm_name("query").alias("qn"),
-                                                       coll(F.col("query")).alias("qc"))
+    q = queries.select("query").distinct().select("query", tx.norm_name("query").alias("qn"),
+                                                  coll(F.col("query")).alias("qc"))
     probes = q.select("query", "qn", "qc", F.explode(F.array(*[
         F.struct(F.lit(s).alias("score"), F.lit(form).alias("form"), F.col("qn" if qf == "norm" else "qc").alias("v"),
                  F.lit(pre).alias("prefix"),
@@ -1366,3 +1372,80 @@ def suggest_trigram_q(spark, sf):
     emp = fx.employees(spark, sf)
     s = identity.suggest_trigram(_name_queries(emp), emp, fx.aliases(spark, sf), _payments_named(fx.payments(spark, sf)))
     return s.select("query", "employee_id", F.round(F.col("score").cast("double"), 6).alias("score"))
+
+
+# One workload for the whole suggest: letter codes, segment words, phones and
+# their last six digits (the tier families' own workloads, together).
+_QS_NAME = "SELECT split_part(full_name, ' ', 2) AS query FROM fx_employees UNION ALL SELECT split_part(full_name, ' ', 1) FROM fx_employees"
+_QS_PHONE = "SELECT primary_phone AS query FROM fx_employees UNION ALL SELECT right(primary_phone, 6) FROM fx_employees"
+_QS_EXACT = """SELECT DISTINCT query FROM (SELECT full_name AS query FROM fx_employees
+  UNION ALL SELECT substr(full_name, 1, length(full_name) - 1) FROM fx_employees) x"""
+_QS_ALL = f"{_QS_NAME} UNION ALL {_QS_PHONE}"
+
+
+def _family(name: str, qs: str) -> str:
+    sql = ORACLE[name]
+    assert qs in sql, name
+    return "(" + sql.replace(qs, _QS_ALL, 1) + ")"
+
+
+_SUGGEST_SQL = o.with_ctes(["fx_employees", "fx_aliases", "fx_payments"], _CANON + [
+    ("qall", _QS_ALL),
+    ("qflag", f"""SELECT DISTINCT query, (nd >= 4 AND nd >= length(raw) - 3) AS pl FROM (SELECT query, {o.strip('query')} AS raw,
+  length(regexp_replace({o.strip('query')}, '\\P{{Nd}}', '', 'g')) AS nd FROM qall)"""),
+    ("ph", f"SELECT * FROM {_family('suggest_phone', _QS_PHONE)}"),
+    ("nm", f"""SELECT * FROM {_family('suggest_exact_prefix', _QS_EXACT)} UNION ALL SELECT * FROM {_family('suggest_substring', _QS_NAME)}
+UNION ALL SELECT * FROM {_family('suggest_trigram', _QS_NAME)}"""),
+    ("hits", """SELECT query, employee_id, score FROM ph UNION ALL
+SELECT n.query, n.employee_id, n.score FROM nm n JOIN qflag f USING (query) WHERE NOT f.pl OR n.query NOT IN (SELECT query FROM ph)"""),
+    ("best", "SELECT query, employee_id, max(score) AS score FROM hits GROUP BY ALL"),
+    ("nal", """SELECT c.canonical_id, list_sort(list(DISTINCT a.alias_value)) AS names FROM canon c JOIN fx_aliases a ON a.employee_id = c.id
+WHERE a.alias_type = 'name' AND a.alias_value IS NOT NULL GROUP BY c.canonical_id"""),
+    ("tot", """SELECT c.canonical_id, sum(p.amount) AS total_paid, max(p.txn_date) AS last_activity, count(*) AS n
+FROM fx_payments p JOIN canon c ON c.id = p.employee_id GROUP BY c.canonical_id"""),
+    ("cands", """SELECT e.id, list_concat([e.full_name], coalesce(nal.names, [])) AS cl FROM emp e LEFT JOIN nal ON nal.canonical_id = e.id
+WHERE e.id IN (SELECT employee_id FROM best)"""),
+    ("cu", "SELECT id, unnest(cl) AS nm, generate_subscripts(cl, 1) AS i FROM cands"),
+    ("bn", f"""SELECT id, arg_max({o.strip('nm')}, struct_pack(w := len(string_split_regex({o.strip('nm')}, '\\s+')),
+  l := length({o.strip('nm')}), ni := -i)) AS bname FROM cu WHERE {o.display_name_ok('nm')} GROUP BY id"""),
+    ("ranked", """SELECT b.query, b.employee_id, coalesce(bn.bname, e.employee_id_phone, '#' || CAST(b.employee_id AS VARCHAR)) AS display_name,
+  coalesce(e.employee_id_phone, e.primary_phone) AS mobile_number, e.status, round(CAST(b.score AS DOUBLE), 3) AS similarity,
+  CAST(coalesce(t.total_paid, 0) AS DOUBLE) AS total_paid, coalesce(t.n, 0) AS total_transactions, t.last_activity, nal.names,
+  row_number() OVER (PARTITION BY b.query ORDER BY round(CAST(b.score AS DOUBLE), 3) DESC, coalesce(t.total_paid, 0) DESC,
+    t.last_activity ASC NULLS FIRST, b.employee_id) AS rank
+FROM best b JOIN emp e ON e.id = b.employee_id LEFT JOIN bn ON bn.id = b.employee_id
+LEFT JOIN tot t ON t.canonical_id = b.employee_id LEFT JOIN nal ON nal.canonical_id = b.employee_id"""),
+    ("top", "SELECT *, regexp_replace(lower(" + o.strip("query") + "), '[^a-z0-9]+', '', 'g') AS qc FROM ranked WHERE rank <= 8"),
+    ("praw", """SELECT DISTINCT c.canonical_id, 'emp ' || translate(lpad(CAST(p.employee_id - 1 AS VARCHAR), 6, '0'), '0123456789', 'abcdefghij') AS r
+FROM fx_payments p JOIN canon c ON c.id = p.employee_id"""),
+    ("ra", """SELECT t.query, t.employee_id, list(DISTINCT pr.r) AS raws FROM top t JOIN praw pr ON pr.canonical_id = t.employee_id
+WHERE length(t.qc) >= 2 AND contains(regexp_replace(lower(pr.r), '[^a-z0-9]+', '', 'g'), t.qc) GROUP BY ALL"""),
+    ("mg", """SELECT t.*, list_sort(list_distinct(list_concat(coalesce(t.names, []), coalesce(ra.raws, [])))) AS merged
+FROM top t LEFT JOIN ra ON ra.query = t.query AND ra.employee_id = t.employee_id""")],
+    """SELECT query, rank, employee_id, display_name, mobile_number, status,
+  array_to_string(list_filter(merged, lambda x: x <> display_name)[1:6], '|') AS aliases, len(merged) AS alias_count,
+  similarity, total_paid, total_transactions, strftime(last_activity, '%Y-%m-%d') AS last_activity FROM mg""", recursive=True)
+
+
+@query("suggest", _SUGGEST_SQL)
+def suggest_q(spark, sf):
+    """I15 whole: phone path, then the name path for queries that are not
+    phone-like or found nothing by phone; ranked and cut per query."""
+    emp = fx.employees(spark, sf)
+    als = fx.aliases(spark, sf)
+    pay = _payments_named(_payments_payout(fx.payments(spark, sf))).withColumn("is_reversal", F.lit(False))
+    qs = _name_queries(emp).unionByName(_phone_queries(emp))
+    phone = identity.suggest_phone(qs, emp, als, pay)
+    name = (_exact_prefix_hits(qs, emp, als)
+            .unionByName(identity.suggest_substring(qs, emp, als, pay, include_phone_like=True))
+            .unionByName(identity.suggest_trigram(qs, emp, als, pay, include_phone_like=True)))
+    flags = qs.select("query").distinct().withColumn("_pl", identity.phone_like("query"))
+    path = (flags.where(~F.col("_pl")).select("query")
+            .unionByName(flags.join(phone.select("query").distinct(), "query", "left_anti").select("query"))).distinct()
+    hits = phone.unionByName(name.join(path, "query", "left_semi"))
+    r = identity.suggest_rank(hits, qs, emp, als, pay)
+    return r.select("query", F.col("rank").cast("long").alias("rank"), "employee_id", "display_name", "mobile_number",
+                    "status", F.array_join("aliases", "|").alias("aliases"), F.col("alias_count").cast("long").alias("alias_count"),
+                    F.col("similarity").cast("double").alias("similarity"), _dbl("total_paid").alias("total_paid"),
+                    F.col("total_transactions").cast("long").alias("total_transactions"),
+                    _day("last_activity").alias("last_activity"))
