@@ -738,7 +738,8 @@ def suggest_exact_prefix(spark, sf):
     return _exact_prefix_hits(_suggest_queries(emp), emp, fx.aliases(spark, sf))
 
 
-def _exact_prefix_hits(queries: DataFrame, employees: DataFrame, aliases: DataFrame) -> DataFrame:
+def _exact_prefix_hits(queries: DataFrame, employees: DataFrame, aliases: DataFrame,
+                       canonical: DataFrame | None = None) -> DataFrame:
     """I15 exact and prefix tiers: ``(query, employee_id, score)``."""
     emp = identity.prepare_master(employees)
     active = emp.where(F.col("status") == "active")
@@ -762,7 +763,8 @@ def _exact_prefix_hits(queries: DataFrame, employees: DataFrame, aliases: DataFr
         for s, form, qf, pre in _SUGGEST_TIERS])).alias("_p")).where("_p.ok")
     hits = probes.join(keys, (probes["_p.form"] == keys.form) & (probes["_p.v"] == keys.v)
                        & (probes["_p.prefix"] == keys.prefix))
-    canon = identity.resolve_canonical(emp).select(F.col("id").alias("_cid"), "canonical_id")
+    canon = (canonical if canonical is not None else identity.resolve_canonical(emp)) \
+        .select(F.col("id").alias("_cid"), "canonical_id")
     out = hits.join(canon, hits.id == canon._cid).groupBy("query", F.col("canonical_id").alias("employee_id")) \
               .agg(F.max("_p.score").alias("score"))
     return out.select("query", "employee_id", F.col("score").cast("double").alias("score"))
@@ -1431,19 +1433,20 @@ FROM top t LEFT JOIN ra ON ra.query = t.query AND ra.employee_id = t.employee_id
 def suggest_q(spark, sf):
     """I15 whole: phone path, then the name path for queries that are not
     phone-like or found nothing by phone; ranked and cut per query."""
-    emp = fx.employees(spark, sf)
+    emp = identity.prepare_master(fx.employees(spark, sf))
+    canon = identity.resolve_canonical(emp)  # one canonical map for every family
     als = fx.aliases(spark, sf)
     pay = _payments_named(_payments_payout(fx.payments(spark, sf))).withColumn("is_reversal", F.lit(False))
     qs = _name_queries(emp).unionByName(_phone_queries(emp))
-    phone = identity.suggest_phone(qs, emp, als, pay)
-    name = (_exact_prefix_hits(qs, emp, als)
-            .unionByName(identity.suggest_substring(qs, emp, als, pay, include_phone_like=True))
-            .unionByName(identity.suggest_trigram(qs, emp, als, pay, include_phone_like=True)))
+    phone = identity.suggest_phone(qs, emp, als, pay, canonical=canon)
+    name = (_exact_prefix_hits(qs, emp, als, canonical=canon)
+            .unionByName(identity.suggest_substring(qs, emp, als, pay, canonical=canon, include_phone_like=True))
+            .unionByName(identity.suggest_trigram(qs, emp, als, pay, canonical=canon, include_phone_like=True)))
     flags = qs.select("query").distinct().withColumn("_pl", identity.phone_like("query"))
     path = (flags.where(~F.col("_pl")).select("query")
             .unionByName(flags.join(phone.select("query").distinct(), "query", "left_anti").select("query"))).distinct()
     hits = phone.unionByName(name.join(path, "query", "left_semi"))
-    r = identity.suggest_rank(hits, qs, emp, als, pay)
+    r = identity.suggest_rank(hits, qs, emp, als, pay, canonical=canon)
     return r.select("query", F.col("rank").cast("long").alias("rank"), "employee_id", "display_name", "mobile_number",
                     "status", F.array_join("aliases", "|").alias("aliases"), F.col("alias_count").cast("long").alias("alias_count"),
                     F.col("similarity").cast("double").alias("similarity"), _dbl("total_paid").alias("total_paid"),

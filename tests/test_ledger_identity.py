@@ -145,3 +145,27 @@ def test_suggest_substring(spark):
     qs = spark.createDataFrame([("ri",), ("im u",), ("mom",), ("ubh",), ("himud",), ("0171 1111",)], "query string")
     got = {(r.query, r.employee_id): r.score for r in identity.suggest_substring(qs, emp, als, pay).collect()}
     assert got == {("ri", 2): 0.70, ("im u", 1): 0.74, ("mom", 2): 0.72, ("ubh", 1): 0.71, ("himud", 1): 0.74}
+
+
+def test_suggest_rank(spark):
+    """I15 stages 2-4: order by rounded score, total paid desc, last activity
+    with none first, id; display name from the name and aliases; alias list
+    sorted, display name removed, raw names holding the query merged in."""
+    emp = spark.createDataFrame(
+        [(1, "Anis", "01711111111", None, "active", None), (2, "Rahim", "01722222222", None, "active", None),
+         (3, "Karim", "01733333333", None, "active", None), (4, None, "01744444444", "01799999999", "active", None)],
+        "id long, full_name string, primary_phone string, employee_id_phone string, status string, "
+        "canonical_employee_id long")
+    als = spark.createDataFrame([(1, "name", "md anis"), (1, "name", "anis"), (3, "name", "k")],
+                                "employee_id long, alias_type string, alias_value string")
+    pay = spark.createDataFrame(
+        [(1, 100.0, dt.date(2024, 1, 1), "Anis-Bhai", False), (2, 100.0, dt.date(2024, 2, 1), "rahim", False),
+         (3, 500.0, None, None, True)],
+        "employee_id long, amount double, txn_date date, employee_name_raw string, is_reversal boolean")
+    hits = spark.createDataFrame([("anis", 1, 0.9), ("anis", 2, 0.9004), ("anis", 3, 0.9), ("anis", 4, 0.95)],
+                                 "query string, employee_id long, score double")
+    qs = spark.createDataFrame([("anis",)], "query string")
+    rows = identity.suggest_rank(hits, qs, emp, als, pay, k=3).orderBy("rank").collect()
+    assert [(r.employee_id, r.rank) for r in rows] == [(4, 1), (1, 2), (2, 3)]
+    assert rows[0].display_name == "01799999999" and rows[0].mobile_number == "01799999999"
+    assert rows[1].display_name == "md anis" and rows[1].aliases == ["Anis-Bhai", "anis"] and rows[1].alias_count == 3
