@@ -112,3 +112,19 @@ def apply_transitions(state: DataFrame, transitions: DataFrame, parity: bool = T
              .withColumn("attempts", (F.col("attempts") + F.coalesce(bump, F.lit(0))).cast("int"))
              .withColumn("processed_at", F.coalesce(F.col("_done_at"), F.col("processed_at")))
              .drop("_last", "_n", "_fails", "_done_at"))
+
+
+AUDIT_PAGE = 100
+
+
+def audit_list(audit: DataFrame, entity_id: int | None = None, action: str | None = None,
+               actor: str | None = None, limit: int = AUDIT_PAGE, offset: int = 0) -> DataFrame:
+    """Audit rows filtered by entity, action and actor, newest first
+    (O7), one page. Rows of one batch share its time, so the order inside a
+    batch is by entity id, descending. The page is a top-(offset + limit)
+    per partition merged once (``TakeOrderedAndProject``), never a full sort."""
+    f = audit
+    for col, val in (("entity_id", entity_id), ("action", action), ("actor", actor)):
+        if val is not None:
+            f = f.where(F.col(col) == F.lit(val))
+    return f.orderBy(F.col("entity_id").desc(), F.col("action")).offset(offset).limit(limit)

@@ -1452,3 +1452,20 @@ def suggest_q(spark, sf):
                     F.col("similarity").cast("double").alias("similarity"), _dbl("total_paid").alias("total_paid"),
                     F.col("total_transactions").cast("long").alias("total_transactions"),
                     _day("last_activity").alias("last_activity"))
+
+
+@query("audit_list", o.with_ctes(["fx_employees"], [
+    ("aft", """SELECT id, CASE WHEN id % 13 = 0 THEN upper(full_name) ELSE full_name END AS full_name,
+  CASE WHEN id % 7 = 0 THEN 'inactive' ELSE status END AS status FROM fx_employees""")],
+    """SELECT 'employee' AS entity_type, b.id AS entity_id, 'update' AS action, 'admin' AS actor,
+  to_json(struct_pack(full_name := a.full_name, status := a.status)) AS after_state
+FROM fx_employees b JOIN aft a ON a.id = b.id WHERE a.full_name <> b.full_name OR a.status <> b.status
+ORDER BY entity_id DESC LIMIT 100"""))
+def audit_list_q(spark, sf):
+    """T20/W9 over the identity audit rows of an edit batch: updates by the
+    admin, newest page."""
+    from ledgerflow.operators.review import audit_list, audit_rows
+    emp = fx.employees(spark, sf)
+    a = audit_rows(emp, _employees_after(emp), "id", ["full_name", "status"], "identity", "employee",
+                   actor="admin", reason="edit")
+    return audit_list(a, action="update", actor="admin").select("entity_type", "entity_id", "action", "actor", "after_state")
