@@ -626,3 +626,19 @@ def suggest_rank(hits: DataFrame, queries: DataFrame, employees: DataFrame, alia
     return out.select("query", "rank", "employee_id", "display_name", "mobile_number", "status",
                       shown.alias("aliases"), F.size("_merged").alias("alias_count"), "similarity",
                       "total_paid", "total_transactions", "last_activity")
+
+
+SEARCH_LIMIT = 20
+
+
+def search_page(best: DataFrame, employees: DataFrame, k: int = SEARCH_LIMIT) -> DataFrame:
+    """O5 over ``search`` results: per query, priority, then the canonical
+    row's lower-cased full name (then id), first ``k``. A salted two-phase
+    top-k, so a query hitting a large share of the employees (a shared alias)
+    is ranked in many tasks."""
+    from ledgerflow.operators.topk import top_k_per_group
+    names = prepare_master(employees).select(F.col("id").alias("_eid"), F.lower(F.coalesce("full_name", F.lit(""))).alias("_lname"))
+    j = best.join(names, best.employee_id == names._eid).drop("_eid")
+    top = top_k_per_group(j, ["query"], [F.col("priority"), F.col("_lname"), F.col("employee_id")], k,
+                          salt_of=F.col("employee_id"), rank_col="rank")
+    return top.drop("_lname")

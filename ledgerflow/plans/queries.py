@@ -1469,3 +1469,14 @@ def audit_list_q(spark, sf):
     a = audit_rows(emp, _employees_after(emp), "id", ["full_name", "status"], "identity", "employee",
                    actor="admin", reason="edit")
     return audit_list(a, action="update", actor="admin").select("entity_type", "entity_id", "action", "actor", "after_state")
+
+
+@query("employee_search_page", o.with_ctes(["fx_employees"], [("s", "SELECT * FROM (" + ORACLE["employee_search"] + ")")],
+    """SELECT * FROM (SELECT s.query, s.employee_id, s.match_type, s.priority,
+  row_number() OVER (PARTITION BY s.query ORDER BY s.priority, lower(coalesce(e.full_name, '')), s.employee_id) AS rank
+FROM s JOIN fx_employees e ON e.id = s.employee_id) WHERE rank <= 20"""))
+def employee_search_page(spark, sf):
+    emp = fx.employees(spark, sf)
+    best = identity.search(_search_queries(spark, sf), emp, fx.aliases(spark, sf))
+    return identity.search_page(best, emp).select("query", "employee_id", "match_type", "priority",
+                                                   F.col("rank").cast("long").alias("rank"))
