@@ -1480,3 +1480,28 @@ def employee_search_page(spark, sf):
     best = identity.search(_search_queries(spark, sf), emp, fx.aliases(spark, sf))
     return identity.search_page(best, emp).select("query", "employee_id", "match_type", "priority",
                                                    F.col("rank").cast("long").alias("rank"))
+
+
+_WS_IN = o.WS[1:-1]
+
+
+@query("name_forms", sql_with_parse(["fx_messages", "fx_employees", "fx_aliases"], [
+    ("n", """SELECT DISTINCT name FROM (SELECT name_raw AS name FROM parsed WHERE message_type = 'payment' AND name_raw IS NOT NULL
+  UNION ALL SELECT full_name FROM fx_employees WHERE full_name IS NOT NULL
+  UNION ALL SELECT alias_value FROM fx_aliases WHERE alias_type = 'name' AND alias_value IS NOT NULL) x""")],
+    f"""SELECT name, {o.norm_name('name')} AS name_normalized,
+  coalesce({o.strip(f"regexp_replace(regexp_replace(lower(name), '[^a-z0-9{_WS_IN}]+', ' ', 'g'), '{o.WS}+', ' ', 'g')")}, '') AS search_text,
+  coalesce(regexp_replace(lower(name), '[^a-z0-9]+', '', 'g'), '') AS collapsed,
+  {o.valid_name('name')} AS valid, {o.display_name_ok('name')} AS display_ok FROM n"""))
+def name_forms(spark, sf):
+    """F2, F3, F4, F8, F9 (and NFKC, the one Arrow UDF) over every distinct
+    name in the data: parsed payment names, employee names, name aliases."""
+    p = _parsed(spark, sf).where((F.col("message_type") == "payment") & F.col("payment.name_raw").isNotNull()) \
+        .select(F.col("payment.name_raw").alias("name"))
+    e = fx.employees(spark, sf).where(F.col("full_name").isNotNull()).select(F.col("full_name").alias("name"))
+    a = fx.aliases(spark, sf).where((F.col("alias_type") == "name") & F.col("alias_value").isNotNull()) \
+        .select(F.col("alias_value").alias("name"))
+    n = p.unionByName(e).unionByName(a).distinct()
+    return n.select("name", tx.norm_name("name").alias("name_normalized"), tx.search_text("name").alias("search_text"),
+                    tx.collapse_text("name").alias("collapsed"), F.coalesce(tx.valid_name("name"), F.lit(False)).alias("valid"),
+                    F.coalesce(tx.display_name_ok("name"), F.lit(False)).alias("display_ok"))
