@@ -9,12 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.functions import text as tx
 from ledgerflow.operators import identity, posting, reports, similarity
-from ledgerflow.operators.parse import METHOD_TAG, parse_messages, parse_results
+from ledgerflow.operators.parse import METHOD_TAG, parse_results
 from ledgerflow.operators.topk import top_k_per_group
 from ledgerflow.plans import oracle as o
 from ledgerflow.sources import fixtures as fx
@@ -301,7 +301,6 @@ def match_batch(spark, sf):
 LEFT JOIN canon c ON c.id = matched_id""", parse=True, recursive=True))
 def match_exact_tiers(spark, sf):
     from ledgerflow.operators.posting import match_requests, route
-    from ledgerflow.operators.parse import parse_messages as pm
     routed = route(parse_results(fx.messages(spark, sf), keep=["is_from_me", "sender_phone", "raw_content"]),
                    fx.authorized_senders(spark, sf))
     req = match_requests(routed)
@@ -337,7 +336,6 @@ def income_posting(spark, sf):
 FROM cashout""", parse=True, recursive=True))
 def cash_commands_q(spark, sf):
     from ledgerflow.operators.posting import cash_commands, route
-    from ledgerflow.operators.parse import parse_messages as pm
     routed = route(parse_results(fx.messages(spark, sf), keep=["is_from_me", "sender_phone", "raw_content"]),
                    fx.authorized_senders(spark, sf))
     found, missing = cash_commands(routed, fx.employees(spark, sf))
