@@ -9,8 +9,8 @@ adds column and offset indexes, so a reader can take the metadata columns
 alone, or the pages of a doc_id range.
 
 Defined cases: null text is the empty text, which has the end id only; a null
-doc_id sorts first; rows with equal doc_id are ordered by text and each keeps
-its own row; an empty table gives no rows; further input columns are ignored.
+doc_id sorts first; rows with equal doc_id are ordered by a hash of their text
+and each keeps its own row; an empty table gives no rows; further input columns are ignored.
 """
 from __future__ import annotations
 
@@ -55,8 +55,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, drop_spac
             yield pa.RecordBatch.from_arrays(
                 [t["doc_id"].combine_chunks(), pa.array(np.diff(bounds), pa.int32()), lists], ["doc_id", "n_tokens", "ids"])
 
-    ordered = (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-               .repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text"))
+    # ranges by id and hash: the sample of keys that reaches the driver holds no texts
+    ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+               .withColumn("tie", F.xxhash64("text"))
+               .repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text").select("doc_id", "text"))
     (ordered.mapInArrow(encode, FILE_SCHEMA).write
      .option("compression", "zstd").option("parquet.writer.version", "PARQUET_2_0")
      .option("parquet.block.size", row_group_bytes).option("parquet.page.size", page_bytes)
