@@ -22,6 +22,8 @@ KEY = ["_did", "_tk"]
 # Arrow batches sent to Python workers: bounded in bytes, as single texts may be long.
 ARROW_BATCH_BYTES = 8 << 20
 ARROW_BATCH_ROWS = 2000
+# Row groups of intermediate tables: a writer holds one in memory.
+ROW_GROUP_BYTES = 16 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,7 +44,7 @@ def scratch(spark: SparkSession, name: str) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: cuts lineage, survives lost executors."""
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
