@@ -45,9 +45,9 @@ BUCKETS = 1 << 14
 ITERATIONS = 3
 STRETCH = 512
 MAX_FREQUENT = 1 << 17
-COUNT_BYTES = 16 << 20
-TRAIN_BYTES = 8 << 20
-SCORE_BYTES = 16 << 20
+COUNT_BYTES = 8 << 20
+TRAIN_BYTES = 4 << 20
+SCORE_BYTES = 6 << 20
 FOLDS, HELD_OUT = 7, 2
 PRIOR = 200.0             # tokens' worth of the overall class distribution in each state
 END = b""
@@ -57,7 +57,7 @@ class Model(NamedTuple):
     start: np.ndarray     # K
     average: np.ndarray   # K: mean state distribution
     move: np.ndarray      # K x K
-    emit: np.ndarray      # BUCKETS x K
+    emit: np.ndarray      # K x BUCKETS
 
 
 def held_out(doc_id: Column) -> Column:
@@ -86,47 +86,47 @@ def forward(model: Model, obs: np.ndarray, starts: np.ndarray, sizes: np.ndarray
 
     Sequence i is obs[starts[i]:starts[i] + sizes[i]], longest first; begins
     says whether it starts a text. Returns the natural log likelihoods and,
-    with ``keep``, the scaled state distributions and scales of all tokens.
+    with ``keep``, for each step the classes, scaled state distributions
+    (K x sequences) and scales of the sequences that are that long.
     """
-    n, steps = len(sizes), int(sizes[0]) if len(sizes) else 0
+    steps = int(sizes[0]) if len(sizes) else 0
     active = np.searchsorted(-sizes, -np.arange(steps), side="left")       # sequences longer than t
-    loglik = np.zeros(n)
-    a = np.where(begins[:, None], model.start, model.average)
-    alphas = np.empty((len(obs), model.move.shape[0])) if keep else None
-    scales = np.empty(len(obs)) if keep else None
+    loglik = np.zeros(len(sizes))
+    a = np.where(begins, model.start[:, None], model.average[:, None])
+    seen = []
     for t in range(steps):
         k = active[t]
-        at = starts[:k] + t
-        a = a[:k] @ model.move if t else a[:k]
-        a = a * model.emit[obs[at]]
-        c = a.sum(axis=1)
-        a /= c[:, None]
+        o = obs[starts[:k] + t]
+        a = (model.move.T @ a[:, :k] if t else a) * np.take(model.emit, o, axis=1)
+        c = a.sum(axis=0)
+        a /= c
         loglik[:k] += np.log(c)
         if keep:
-            alphas[at] = a
-            scales[at] = c
-    return loglik, alphas, scales
+            seen.append((o, a, c))
+    return loglik, seen
 
 
 def expected_counts(model: Model, obs: np.ndarray, starts: np.ndarray, sizes: np.ndarray, begins: np.ndarray):
-    """Baum-Welch expected counts: starts (K), moves (K x K) and emissions (BUCKETS x K)."""
-    loglik, gamma, scales = forward(model, obs, starts, sizes, begins, keep=True)
-    k_states = model.move.shape[0]
-    steps = int(sizes[0]) if len(sizes) else 0
-    active = np.searchsorted(-sizes, -np.arange(steps + 1), side="left")
-    moves = np.zeros((k_states, k_states))
-    beta = np.ones((len(sizes), k_states))
-    for t in range(steps - 1, -1, -1):
-        k = active[t]
-        at = starts[:k] + t
-        own = beta[:k]
-        ahead = own * model.emit[obs[at]] / scales[at][:, None]       # before alpha is overwritten at t - 1
-        gamma[at] *= own
+    """Baum-Welch expected counts: starts (K), moves (K x K) and emissions (K x BUCKETS), and the log likelihood."""
+    loglik, seen = forward(model, obs, starts, sizes, begins, keep=True)
+    states = len(model.start)
+    moves, first = np.zeros((states, states)), np.zeros(states)
+    beta = np.ones((states, len(sizes)))
+    gammas = []
+    for t in range(len(seen) - 1, -1, -1):
+        o, a, c = seen[t]
+        own = beta[:, :len(c)]
+        gammas.append(a * own)
         if t:
-            moves += gamma[at - 1].T @ ahead
-            beta[:k] = ahead @ model.move.T
-    first = gamma[starts[begins]].sum(axis=0) if len(sizes) else np.zeros(k_states)
-    emits = np.stack([np.bincount(obs, weights=gamma[:, s], minlength=BUCKETS) for s in range(k_states)], axis=1)
+            ahead = own * np.take(model.emit, o, axis=1) / c
+            moves += seen[t - 1][1][:, :len(c)] @ ahead.T
+            beta[:, :len(c)] = model.move @ ahead
+        else:
+            first = gammas[-1][:, begins].sum(axis=1)
+    if not seen:
+        return first, moves, np.zeros((states, BUCKETS)), 0.0
+    classes, gamma = np.concatenate([x[0] for x in reversed(seen)]), np.concatenate(gammas, axis=1)
+    emits = np.stack([np.bincount(classes, weights=g, minlength=BUCKETS) for g in gamma])
     return first, moves * model.move, emits, float(loglik.sum())
 
 
@@ -161,25 +161,25 @@ def train(texts: DataFrame, class_tokens: np.ndarray, iterations: int = ITERATIO
     spark = texts.sparkSession
     rng = np.random.default_rng(11)
     prior = (class_tokens + 1.0) / (class_tokens.sum() + BUCKETS)
-    emit = prior[:, None] * rng.uniform(0.5, 1.5, (BUCKETS, states))
+    emit = prior * rng.uniform(0.5, 1.5, (states, BUCKETS))
     move = np.full((states, states), 0.1 / max(1, states - 1))
     np.fill_diagonal(move, 0.9 if states > 1 else 1.0)
     even = np.full(states, 1.0 / states)
-    model = Model(even, even, move, emit / emit.sum(axis=0))
+    model = Model(even, even, move, emit / emit.sum(axis=1, keepdims=True))
     for _ in range(iterations):
         shared = spark.sparkContext.broadcast(tuple(model))
 
         def expect(batches, shared=shared):
             m = Model(*shared.value)
             k = len(m.start)
-            total = [np.zeros(k), np.zeros((k, k)), np.zeros((BUCKETS, k))]
+            total = [np.zeros(k), np.zeros((k, k)), np.zeros((k, BUCKETS))]
             for t in gathered(batches, TRAIN_BYTES):
                 words, sizes = tokens_of(t[0].to_pylist())
                 obs = classes_of(words)
                 del words
                 for sum_, own in zip(total, expected_counts(m, obs, *_stretches(sizes, STRETCH))):
                     sum_ += own
-            rows = np.vstack([total[2], total[1], total[0][None, :]])
+            rows = np.vstack([total[2].T, total[1], total[0][None, :]])
             used = np.flatnonzero(rows.any(axis=1))
             yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), *[pa.array(rows[used, s]) for s in range(k)]],
                                              ["at", *[f"s{s}" for s in range(k)]])
@@ -188,11 +188,12 @@ def train(texts: DataFrame, class_tokens: np.ndarray, iterations: int = ITERATIO
         sums = own.groupBy("at").agg(*[F.sum(f"s{s}").alias(f"s{s}") for s in range(states)]).toArrow()
         rows = np.zeros((BUCKETS + states + 1, states))
         rows[sums["at"].to_numpy()] = np.stack([sums[f"s{s}"].to_numpy() for s in range(states)], axis=1)
-        emit = rows[:BUCKETS] + PRIOR * prior[:, None]
+        emit = rows[:BUCKETS].T + PRIOR * prior
         move = rows[BUCKETS:-1] + 1.0
         start = rows[-1] + 1.0
         average = rows[:BUCKETS].sum(axis=0) + 1.0
-        model = Model(start / start.sum(), average / average.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
+        model = Model(start / start.sum(), average / average.sum(), move / move.sum(axis=1, keepdims=True),
+                      emit / emit.sum(axis=1, keepdims=True))
         shared.unpersist()
     return model
 
@@ -234,7 +235,7 @@ def score(docs: DataFrame, iterations: int = ITERATIONS, states: int = STATES) -
             words, sizes = tokens_of(t["text"].to_pylist())
             obs = classes_of(words)
             starts, ordered, begins = _stretches(sizes, None)
-            loglik, _, _ = forward(m, obs, starts, ordered, begins, keep=False)
+            loglik, _ = forward(m, obs, starts, ordered, begins, keep=False)
             ll = np.empty(len(sizes))
             ll[np.argsort(-sizes, kind="stable")] = loglik
             got = list(map(gain.get, words))
