@@ -36,10 +36,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import KEY, doc_key, pieces, small_batches, whole_groups, written
+from ledgerflow.llm.common import KEY, NULL_ID, doc_key, pieces, small_batches, whole_groups, written
 
 LENGTH = 200
-GRAM = 64
+GRAM = 40
 SHALLOW = 32
 WORK_BYTES = 1 << 19          # of text in one pass of the anchor search; below 2 ** 20
 PLACE_BITS = 20
@@ -331,25 +331,30 @@ def _merged(spans: list[tuple[int, int]]) -> list[list[int]]:
     return out
 
 
+def _slim(docs: DataFrame) -> DataFrame:
+    """Keys and texts; both joins with texts take this, so that they share one shuffle of it."""
+    return docs.select(*doc_key(), F.col("text").cast("string").alias("text"))
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """_did, _tk and spans (from, to): the parts of each document that windows repeated elsewhere cover."""
     spark = docs.sparkSession
     small_batches(spark)
-    slim = docs.select(*doc_key(), F.col("text").cast("string").alias("text"))
+    slim = _slim(docs)
     anchors = slim.mapInArrow(lambda it: _anchors(it, length, gram),
                               "_did long, _tk long, lo int, m int, a int, gram long, seg long")
-    own = F.xxhash64("seg", "a", "m")
-    grams = (anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("c"), (F.min(own) != F.max(own)).alias("mixed"))
-             .where(F.col("c") > 1).select("gram", "mixed"))
+    grams = anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > 1).select("gram")
     found = written(anchors.join(grams, "gram"), "anchors")
+    ident = ["gram", "seg", "a", "m"]
+    distinct = written(found.groupBy(*ident).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*KEY, "lo")).alias("at")), "segments")
+    several = written(distinct.groupBy("gram").agg(F.count(F.lit(1)).alias("d")).where(F.col("d") > 1), "grams")
     # one distinct segment, found twice or more: all of its windows repeat
-    plain = found.where(~F.col("mixed")).select(*KEY, F.col("lo").alias("from"), (F.col("lo") + F.col("m") - 1 + length).alias("to"))
+    flagged = found.join(several.select("gram", F.lit(True).alias("mixed")), "gram", "left")
+    plain = flagged.where(F.col("mixed").isNull()).select(*KEY, F.col("lo").alias("from"), (F.col("lo") + F.col("m") - 1 + length).alias("to"))
     # several: order the suffixes of their distinct segments
-    mixed = found.where("mixed")
-    ident = ["gram", "seg", "a", "m"]
-    distinct = mixed.groupBy(*ident).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*KEY, "lo")).alias("at"))
-    distinct = written(distinct, "segments")
-    many = distinct.groupBy("gram").agg(F.count(F.lit(1)).alias("d")).where(F.col("d") > hot).select("gram")
+    mixed = found.join(several.select("gram"), "gram", "left_semi")
+    distinct = distinct.join(several.select("gram"), "gram", "left_semi")
+    many = several.where(F.col("d") > hot).select("gram")
 
     def with_text(segs: DataFrame) -> DataFrame:
         own_ = segs.select("at._did", "at._tk", F.struct(*ident, "n", "at.lo").alias("s")).groupBy(*KEY).agg(F.collect_list("s").alias("segs"))
@@ -375,8 +380,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
 
 def drop_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """For each document doc_id, n_bytes, n_removed, n_spans and kept (the bytes that stay, binary)."""
-    keyed = docs.select("doc_id", *doc_key(), F.col("text").cast("string").alias("text"))
-    joined = keyed.join(repeated_spans(docs, length, gram, hot), KEY, "left").select("doc_id", "text", "spans")
+    doc_id = F.when(F.col("_did") != NULL_ID, F.col("_did")).alias("doc_id")
+    joined = _slim(docs).join(repeated_spans(docs, length, gram, hot), KEY, "left").select(doc_id, "text", "spans")
 
     def apply(batches):
         for b in batches:
