@@ -32,7 +32,7 @@ os.environ["TOKENIZERS_PARALLELISM"] = "false"   # Spark runs one task on each c
 _SPACE = re.compile(r"[\s\x1c-\x1f\x85​﻿]")
 _LONE_STOP = re.compile(r"[A-Za-zÀ-ÖØ-öø-įı-ɏ][.,]\Z")
 _LETTERS = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-įı-ɏ]+\Z")
-_MAX_WORDS = 300_000    # in each of two generations; words in use move to the younger one
+_MAX_WORDS = 200_000    # in each of two generations; words in use move to the younger one
 _ENCODERS: dict[tuple[str, bool, bool], "WordEncoder"] = {}
 
 

@@ -34,7 +34,7 @@ from ledgerflow.llm.token_files import with_end
 
 MAX_TOKENS = 2048
 MAX_SEGMENTS = 256
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 PARTITION_SHIFT = 36      # sequence ids: partition number above, count within the partition below
 
 Piece = tuple[int, int, int]    # example, start, length

@@ -25,7 +25,7 @@ from ledgerflow.llm.common import gathered, small_batches
 from ledgerflow.llm.encode import encoder
 
 FILE_SCHEMA = "doc_id long, n_tokens int, ids array<int>"
-ENCODE_BYTES = 16 << 20
+ENCODE_BYTES = 12 << 20
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 2000
