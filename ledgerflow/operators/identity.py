@@ -17,19 +17,16 @@ from ledgerflow.functions.text import (collapse_text, employee_code, norm_name,
                                        valid_name)
 from ledgerflow.operators.ids import dense_ids
 
-# Hops followed from a duplicate to its canonical row (2 ** rounds).
-CANONICAL_ROUNDS = 3
-
 TIER_ORDER = ["exact_phone", "exact_id_phone", "alias_phone", "exact_name"]
 
 
-def resolve_canonical(employees: DataFrame, rounds: int = CANONICAL_ROUNDS) -> DataFrame:
+def resolve_canonical(employees: DataFrame) -> DataFrame:
     """``(id, canonical_id, resolved)`` for every employee.
 
     A link to a missing row stops at the last row that exists. Pointer
-    doubling: ``rounds`` self-joins follow 2 ** rounds hops. ``resolved`` is
-    false when the chain is longer than that or is a cycle (reported, not
-    hidden).
+    doubling goes on until no pointer moves, so a chain of n hops takes
+    log2(n) rounds. Only a cycle can keep pointers moving after log2(rows)
+    rounds; its rows have ``resolved`` false.
     """
     e = employees.select("id", "canonical_employee_id")
     targets = employees.select(F.col("id").alias("_t"))
@@ -37,10 +34,15 @@ def resolve_canonical(employees: DataFrame, rounds: int = CANONICAL_ROUNDS) -> D
            .select("id", F.coalesce("_t", "id").alias("p")))
     # each round reads the previous one twice: persist it, or the plan doubles per round
     ptr = ptr.persist(StorageLevel.MEMORY_AND_DISK)
+    rounds = max(1, ptr.count()).bit_length() + 1
     for _ in range(rounds):
         nxt = ptr.select(F.col("id").alias("_k"), F.col("p").alias("_pp"))
-        ptr = ptr.join(nxt, ptr.p == nxt._k, "left").select("id", F.coalesce("_pp", "p").alias("p")) \
-                 .persist(StorageLevel.MEMORY_AND_DISK)
+        step = ptr.join(nxt, ptr.p == nxt._k, "left").select("id", F.coalesce("_pp", "p").alias("p"), (F.col("_pp") != F.col("p")).alias("_moved")) \
+                  .persist(StorageLevel.MEMORY_AND_DISK)
+        moved = step.where("_moved").limit(1).count()
+        ptr = step.select("id", "p")
+        if not moved:
+            break
     nxt = ptr.select(F.col("id").alias("_k"), F.col("p").alias("_pp"))
     return (ptr.join(nxt, ptr.p == nxt._k, "left")
             .select("id", F.col("p").alias("canonical_id"),

@@ -19,7 +19,7 @@ BENGALI = "০১২৩৪৫৬৭৮৯"
 
 FIXTURE_CTES = {
     "fx_employees": """SELECT c_custkey + 1 AS id,
- concat('EMP-', lpad(CAST(c_custkey + 1 AS VARCHAR), 5, '0')) AS employee_code,
+ printf('EMP-%05d', c_custkey + 1) AS employee_code,
  concat(lower(c_mktsegment), ' ', translate(lpad(CAST(c_custkey AS VARCHAR), 6, '0'), '0123456789', 'abcdefghij')) AS full_name,
  concat('01', lpad(CAST(700000000 + c_custkey AS VARCHAR), 9, '0')) AS primary_phone,
  CASE WHEN c_custkey % 10 IN (7, 8, 9) THEN c_custkey ELSE NULL END AS canonical_employee_id,

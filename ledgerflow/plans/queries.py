@@ -428,7 +428,7 @@ def reversal_net(spark, sf):
      accounting_period, payout_method))[1:16] AS reversal_ref,
   'inc-' || sha256(concat_ws('|', CAST(id AS VARCHAR), CAST(employee_id AS VARCHAR), CAST(amount AS VARCHAR),
      accounting_period))[1:16] AS income_ref,
-  'EMP-' || lpad(CAST(employee_id AS VARCHAR), 5, '0') AS employee_code
+  printf('EMP-%05d', employee_id) AS employee_code
 FROM fx_payments"""))
 def payment_refs(spark, sf):
     p = fx.payments(spark, sf)
@@ -1045,7 +1045,7 @@ r AS (SELECT raw.wa_message_id, raw.sender,
   CASE WHEN contains(raw.sender, '@s.whatsapp.net') THEN {o.norm_phone("split_part(raw.sender, '@', 1)")}
        WHEN ends_with(raw.sender, '@lid') THEN lid.phone ELSE split_part(raw.sender, '@', 1) END AS v
   FROM raw LEFT JOIN lid ON ends_with(raw.sender, '@lid') AND split_part(raw.sender, '@', 1) = lid.lid)
-SELECT wa_message_id, sender, coalesce({o.norm_phone('v')}, v) AS sender_phone FROM r""")
+SELECT wa_message_id, sender, {o.norm_phone('v')} AS sender_phone FROM r""")
 def sender_resolve(spark, sf):
     from ledgerflow.sources import ingest as ing
     return ing.resolve_sender(_raw_senders(spark, sf), _lid_map(spark, sf)).select("wa_message_id", "sender", "sender_phone")

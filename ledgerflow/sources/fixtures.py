@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerflow.functions.text import employee_code
 from ledgerflow.sources.tables import read_table
 
 LETTERS = "abcdefghij"
@@ -57,7 +58,7 @@ def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     return c.select(
         (k + 1).alias("id"),
-        F.concat(F.lit("EMP-"), F.lpad((k + 1).cast("string"), 5, "0")).alias("employee_code"),
+        employee_code(k + 1).alias("employee_code"),
         F.concat(F.lower("c_mktsegment"), F.lit(" "), _word(k)).alias("full_name"),
         _phone(k, 700000000).alias("primary_phone"),
         F.when((k % 10).isin(7, 8, 9), k).cast("long").alias("canonical_employee_id"),
