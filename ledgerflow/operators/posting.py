@@ -131,17 +131,34 @@ def _payment_rows(df: DataFrame, parity: bool, created_by) -> DataFrame:
     )
 
 
+def _first_per_key(rows: DataFrame, existing: DataFrame | None, order_col: str) -> DataFrame:
+    """The first row of each ``txn_ref`` in ``order_col`` order (ties: the
+    smallest row), without the keys already posted. The aggregate combines
+    map-side, so a key repeated many times collapses before the shuffle."""
+    rest = [c for c in rows.columns if c not in ("txn_ref", order_col)]
+    first = rows.groupBy("txn_ref").agg(F.min(F.struct(order_col, *rest)).alias("_f")).select("txn_ref", "_f.*") \
+                .select(*rows.columns)
+    return first if existing is None else first.join(existing.select("txn_ref"), "txn_ref", "left_anti")
+
+
+def _next_id(existing: DataFrame | None):
+    return 0 if existing is None else existing.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
+
+
+def keyed_payments(candidates: DataFrame, existing: DataFrame | None, order_col: str = "message_id",
+                   parity: bool = False, created_by=None) -> DataFrame:
+    """The payments T1 adds, before they get ids: one per key, none posted before."""
+    rows = _payment_rows(candidates, parity, created_by if created_by is not None else F.lit("system"))
+    return _first_per_key(rows, existing, order_col)
+
+
 def post_payments(candidates: DataFrame, existing: DataFrame | None, order_col: str = "message_id",
                   parity: bool = False, created_by=None) -> DataFrame:
-    """Key each payment (F13), drop keys already posted (idempotent),
-    give new ids in ``order_col`` order after the current maximum."""
-    rows = _payment_rows(candidates, parity, created_by if created_by is not None else F.lit("system"))
-    if existing is not None:
-        rows = rows.join(existing.select("txn_ref"), "txn_ref", "left_anti")
-        start = existing.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
-    else:
-        start = 0
-    return dense_ids(rows, [F.col(order_col), F.col("txn_ref")], start=start)
+    """Key each payment (F13), keep the first of each key in the batch, drop
+    keys already posted (idempotent), give new ids in ``order_col`` order after
+    the current maximum."""
+    rows = keyed_payments(candidates, existing, order_col, parity, created_by)
+    return dense_ids(rows, [F.col(order_col), F.col("txn_ref")], start=_next_id(existing))
 
 
 def cash_commands(routed: DataFrame, employees: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -187,12 +204,8 @@ def post_income(assigned: DataFrame, existing: DataFrame | None = None, parity:
         "amount", "txn_date", per.alias("accounting_period"),
         norm_phone("sender_norm").alias("reported_by_phone"),
         F.col("raw_content").alias("source_message_text"))
-    if existing is not None:
-        rows = rows.join(existing.select("txn_ref"), "txn_ref", "left_anti")
-        start = existing.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
-    else:
-        start = 0
-    return dense_ids(rows, [F.col("message_id"), F.col("txn_ref")], start=start)
+    rows = _first_per_key(rows, existing, "message_id")
+    return dense_ids(rows, [F.col("message_id"), F.col("txn_ref")], start=_next_id(existing))
 
 
 def reverse_payments(payments: DataFrame, requests: DataFrame, reason_col: str = "reason",

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.functions.text import display_name_ok, period, preview
+from ledgerflow.functions.text import period, preview
 
 MAX_ATTEMPTS = 5
 RECONCILE_TOLERANCE = 0.01
@@ -70,22 +70,24 @@ def state_counts(state: DataFrame) -> DataFrame:
 def payments_page(p: DataFrame, employees: DataFrame, canonical: DataFrame,
                   page: int = 1, size: int = 20) -> DataFrame:
     """Newest payments first (date desc, id desc), one page, with
-    the payee's canonical identity and display fallbacks (F23)."""
+    the payee's canonical identity and display fallbacks (F23): name as parsed,
+    of the canonical row, of the row itself; id phone, then phone, of the
+    canonical row before the row itself, last the payout phone."""
     rows = p.orderBy(F.col("txn_date").desc(), F.col("id").desc()).offset((page - 1) * size).limit(size)
     e = employees.select(F.col("id").alias("_eid"), F.col("full_name").alias("_rec_name"),
-                         F.col("primary_phone").alias("_rec_phone"))
+                         F.col("employee_id_phone").alias("_rec_id_phone"), F.col("primary_phone").alias("_rec_phone"))
     c = canonical.select(F.col("id").alias("_cid"), F.col("canonical_id"))
     ce = employees.select(F.col("id").alias("_ceid"), F.col("full_name").alias("_can_name"),
-                          F.col("primary_phone").alias("_can_phone"))
+                          F.col("employee_id_phone").alias("_can_id_phone"), F.col("primary_phone").alias("_can_phone"))
     j = (rows.join(e, rows.employee_id == e._eid, "left")
          .join(c, rows.employee_id == c._cid, "left")
          .join(ce, F.col("canonical_id") == ce._ceid, "left"))
-    name = F.coalesce(F.when(display_name_ok("employee_name_raw"), F.col("employee_name_raw")),
-                      F.when(display_name_ok("_can_name"), F.col("_can_name")),
-                      F.when(display_name_ok("_rec_name"), F.col("_rec_name")), F.lit("(unknown)"))
+    name = F.coalesce("employee_name_raw", "_can_name", "_rec_name", F.lit("(unknown)"))
     return j.select("id", "employee_id", F.coalesce("canonical_id", "employee_id").alias("canonical_employee_id"),
                     name.alias("display_name"),
-                    F.coalesce("_can_phone", "_rec_phone").alias("display_phone"),
+                    F.coalesce("_can_id_phone", "_rec_id_phone", "_can_phone", "_rec_phone", "payout_phone")
+                    .alias("display_id_phone"),
+                    F.coalesce("_can_phone", "_rec_phone", "payout_phone").alias("display_phone"),
                     "amount", "payout_method", "txn_date")
 
 
@@ -180,16 +182,18 @@ def reconciliation_by_period_source(parsed: DataFrame, messages: DataFrame, paym
 
 
 def review_summary(review: DataFrame, state: DataFrame, today: Column | None = None) -> DataFrame:
-    """Pending, low confidence pending, pending amount, rejected
-    (dismissed), promoted today, dead letters; one pass per table."""
+    """Pending, low confidence pending, pending amount, rejected (dismissed
+    or duplicate), promoted on ``today`` (default: the current date), dead
+    letters; one pass per table."""
+    today = today if today is not None else F.current_date()
     r = review.agg(
         F.count_if(F.col("review_status") == "pending").alias("pending"),
         F.count_if((F.col("review_status") == "pending") & (F.col("parser_confidence") < LOW_CONFIDENCE))
         .alias("low_confidence"),
         F.coalesce(F.sum(F.when(F.col("review_status") == "pending", F.col("detected_amount"))),
                    F.lit(0)).cast("decimal(22,2)").alias("pending_amount"),
-        F.count_if(F.col("review_status") == "dismissed").alias("rejected"),
-        F.count_if(F.col("review_status") == "promoted").alias("promoted"))
+        F.count_if(F.col("review_status").isin("dismissed", "duplicate")).alias("rejected"),
+        F.count_if((F.col("review_status") == "promoted") & (F.to_date("reviewed_at") == today)).alias("promoted_today"))
     s = state.agg(F.count_if((F.col("status") == "failed") & (F.col("attempts") >= MAX_ATTEMPTS))
                   .alias("dead_letters"))
     return r.withColumn("_k", F.lit(1)).join(s.withColumn("_k", F.lit(1)), "_k").drop("_k")
@@ -221,25 +225,47 @@ def dead_letters(state: DataFrame, messages: DataFrame, include_below_limit: boo
         "message_id", "attempts", "source", preview("raw_content").alias("preview"))
 
 
-def identity_summary(employees: DataFrame, aliases: DataFrame, reviews: DataFrame) -> DataFrame:
-    """Identity counts as (metric, value) rows."""
-    e = employees.agg(
-        F.count(F.lit(1)).alias("employees_total"),
-        F.count_if(F.col("status") == "active").alias("employees_active"),
-        F.count_if(F.col("status") == "inactive").alias("employees_inactive"),
-        F.count_if(F.col("canonical_employee_id").isNull()).alias("canonical_rows"),
-        F.count_if(F.col("canonical_employee_id").isNotNull()).alias("linked_duplicates"))
-    a = aliases.agg(F.count(F.lit(1)).alias("aliases_total"),
-                    F.count_if(F.col("alias_type") == "phone").alias("aliases_phone"),
-                    F.count_if(F.col("alias_type") == "name").alias("aliases_name"))
-    r = reviews.agg(F.count_if(F.col("review_status") == "pending").alias("reviews_pending"),
-                    F.count_if(F.col("review_status") != "pending").alias("reviews_closed"))
-    wide = e.withColumn("_k", F.lit(1)).join(a.withColumn("_k", F.lit(1)), "_k") \
-            .join(r.withColumn("_k", F.lit(1)), "_k").drop("_k")
-    names = [c for c in wide.columns]
-    stack = "stack({}, {}) as (metric, value)".format(
-        len(names), ", ".join(f"'{n}', cast({n} as bigint)" for n in names))
-    return wide.selectExpr(stack)
+def identity_summary(employees: DataFrame, aliases: DataFrame, links: DataFrame, reviews: DataFrame,
+                     audit: DataFrame) -> DataFrame:
+    """The ten identity counts as (metric, value) rows; one aggregate per
+    table, each unpivoted, so no join is needed."""
+    resolution = F.col("resolution_status")
+    n = F.count(F.lit(1))
+    parts = [
+        employees.agg(n.alias("employees_total"),
+                      F.count_if(resolution == "canonical").alias("employees_canonical"),
+                      F.count_if(resolution == "duplicate").alias("employees_duplicate"),
+                      F.count_if(resolution == "unresolved").alias("employees_unresolved"),
+                      F.count_if(F.col("status") == "inactive").alias("employees_inactive")),
+        aliases.agg(n.alias("aliases_total")),
+        links.agg(n.alias("resolution_links")),
+        reviews.agg(F.count_if(F.col("review_status") == "pending").alias("review_pending"),
+                    F.count_if(F.col("review_status") != "pending").alias("review_resolved")),
+        audit.agg(n.alias("audit_entries")),
+    ]
+    return unpivot_counts(parts)
+
+
+def health(messages: DataFrame, state: DataFrame, payments: DataFrame, employees: DataFrame,
+           review: DataFrame) -> DataFrame:
+    """Table counts as (metric, value) rows; reversals are not payments."""
+    n = F.count(F.lit(1))
+    status = F.col("status")
+    return unpivot_counts([
+        messages.agg(n.alias("messages")),
+        state.agg(*[F.count_if(status == s).alias(s) for s in ("pending", "parsed", "failed")]),
+        payments.agg(F.count_if(~F.col("is_reversal")).alias("payments")),
+        employees.agg(n.alias("employees")),
+        review.agg(F.count_if(F.col("review_status") == "pending").alias("pending_review"))])
+
+
+def unpivot_counts(parts: list[DataFrame]) -> DataFrame:
+    """One-row frames of counts as (metric, value) rows."""
+    out = None
+    for p in parts:
+        rows = p.unpivot([], p.columns, "metric", "value")
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def pending_reviews(reviews: DataFrame, employees: DataFrame) -> DataFrame:

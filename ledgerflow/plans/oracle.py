@@ -69,8 +69,9 @@ FROM orders""",
  CASE o_orderkey % 3 WHEN 0 THEN 'accountant_other' WHEN 1 THEN 'cash_command_no_employee' ELSE 'accounting_failed' END AS reason,
  CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE CAST(o_totalprice AS DECIMAL(12,2)) END AS detected_amount,
  CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE CAST(o_orderkey % 11 AS DOUBLE) / 10 END AS parser_confidence,
- CASE o_orderkey % 4 WHEN 0 THEN 'promoted' WHEN 1 THEN 'dismissed' WHEN 2 THEN 'duplicate' ELSE 'pending' END AS review_status
-FROM orders WHERE o_orderkey % 6 <> 0""",
+ CASE o_orderkey % 4 WHEN 0 THEN 'promoted' WHEN 1 THEN 'dismissed' WHEN 2 THEN 'duplicate' ELSE 'pending' END AS review_status,
+ CASE WHEN o_orderkey % 4 <> 3 THEN CAST(o_orderdate AS DATE) END AS reviewed_at
+FROM orders""",
     "fx_store": """SELECT concat('M', CAST(o_orderkey AS VARCHAR)) AS wa_message_id,
  CASE o_orderkey % 3 WHEN 0 THEN 'bridge1' WHEN 1 THEN 'bridge2' ELSE 'meta' END AS source,
  CASE WHEN o_orderkey % 27 = 0 THEN ' ' ELSE 'text' END AS content,
@@ -81,14 +82,15 @@ FROM orders""",
  concat('019000000', lpad(CAST(o_orderkey % 3 + 1 AS VARCHAR), 2, '0')) AS source_number,
  concat('88', concat('01', lpad(CAST(700000000 + o_custkey AS VARCHAR), 9, '0')), '@s.whatsapp.net') AS chat_jid,
  o_orderdate AS timestamp_wa,
- CASE WHEN o_orderkey % 27 = 0 THEN ' ' ELSE 'text' END AS content,
+ CASE WHEN o_orderkey % 54 = 0 THEN ' ' WHEN o_orderkey % 54 = 27 THEN '' ELSE 'text' END AS content,
+ CASE WHEN o_orderkey % 108 IN (54, 81) THEN 'voice note' END AS processed_text,
  o_orderkey % 9 <> 0 AS in_archive, o_orderkey % 5 = 0 AS redelivered
 FROM orders""",
     "fx_identity_reviews": """SELECT id, id AS candidate_employee_id, id - 1 AS suspected_match_id,
- CASE WHEN id % 20 = 6 THEN 'name_collision' ELSE 'fuzzy_name_below_threshold' END AS match_reason,
- CAST(CASE WHEN id % 20 = 6 THEN 0.95 ELSE 0.75 END AS DECIMAL(4,3)) AS confidence_score,
+ CASE WHEN id % 2 = 0 THEN 'name_collision' ELSE 'fuzzy_name_below_threshold' END AS match_reason,
+ CAST(CASE WHEN id % 2 = 0 THEN 0.95 ELSE 0.75 END AS DECIMAL(4,3)) AS confidence_score,
  CASE WHEN id % 3 = 0 THEN 'rejected' ELSE 'pending' END AS review_status
-FROM (SELECT c_custkey + 1 AS id FROM customer) e WHERE id % 10 = 6""",
+FROM (SELECT c_custkey + 1 AS id FROM customer) e WHERE id > 1""",
     "fx_authorized": """SELECT 'cash_command' AS command, concat('01', lpad(CAST(700000000 + c_custkey AS VARCHAR), 9, '0')) AS phone
 FROM customer WHERE c_custkey % 2 = 0
 UNION ALL

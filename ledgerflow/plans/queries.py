@@ -23,7 +23,6 @@ from ledgerflow.sources.tables import read_table
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-GAP_WINDOW = 5000
 PAGE_SIZE = 20
 LIST_PAGE_SIZE = 50
 HISTORY_FROM, HISTORY_TO = "1995-01-01", "1997-12-31"
@@ -200,10 +199,9 @@ def ingest_dedup(spark, sf):
 
 _GAP_CTES = [
     ("arch", "SELECT id, wa_message_id, source, chat_jid FROM fx_messages WHERE (id - 1) % 9 <> 0"),
-    ("recent", """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source, chat_jid
-  ORDER BY timestamp_wa DESC, wa_message_id DESC) AS rn FROM fx_store_rows) WHERE rn <= 5000"""),
-    ("marked", f"""SELECT r.*, a.id IS NOT NULL AS in_arch, content IS NULL OR {o.strip('content')} = '' AS blank
-FROM recent r LEFT JOIN (SELECT DISTINCT source, wa_message_id, id FROM arch) a USING (source, wa_message_id)"""),
+    ("marked", f"""SELECT r.*, a.id IS NOT NULL AS in_arch,
+  {o.strip("coalesce(nullif(content, ''), processed_text, '')")} = '' AS blank
+FROM fx_store_rows r LEFT JOIN (SELECT DISTINCT source, wa_message_id, id FROM arch) a USING (source, wa_message_id)"""),
 ]
 
 
@@ -211,21 +209,19 @@ FROM recent r LEFT JOIN (SELECT DISTINCT source, wa_message_id, id FROM arch) a
   CASE WHEN blank THEN 'skipped_no_content' ELSE 'backfill' END AS action FROM marked WHERE NOT in_arch"""))
 def gap_scan_q(spark, sf):
     from ledgerflow.sources import ingest as ing
-    g = ing.gap_scan(fx.store_rows(spark, sf), _archive(spark, sf), GAP_WINDOW)
+    g = ing.gap_scan(fx.store_rows(spark, sf), _archive(spark, sf))
     return g.select("wa_message_id", "source", "chat_jid", "action")
 
 
 @query("gap_run_log", o.with_ctes(["fx_messages", "fx_store_rows"], _GAP_CTES, """SELECT m.source, m.chat_jid,
-  count(*) AS store_count, coalesce(any_value(ac.n), 0) AS archive_count,
+  count(*) AS store_count, count(*) FILTER (WHERE in_arch) AS archive_count,
   count(*) FILTER (WHERE NOT in_arch) AS missing_count,
   count(*) FILTER (WHERE NOT in_arch AND NOT blank) AS backfilled,
   count(*) FILTER (WHERE NOT in_arch AND blank) AS skipped_no_content
-FROM marked m LEFT JOIN (SELECT source, chat_jid, count(*) AS n FROM arch GROUP BY ALL) ac
-  ON ac.source = m.source AND ac.chat_jid = m.chat_jid
-GROUP BY m.source, m.chat_jid"""))
+FROM marked m GROUP BY m.source, m.chat_jid"""))
 def gap_run_log_q(spark, sf):
     from ledgerflow.sources import ingest as ing
-    return ing.gap_run_log(fx.store_rows(spark, sf), _archive(spark, sf), GAP_WINDOW).select(
+    return ing.gap_run_log(fx.store_rows(spark, sf), _archive(spark, sf)).select(
         "source", "chat_jid", "store_count", "archive_count", "missing_count", "backfilled", "skipped_no_content")
 
 
@@ -463,20 +459,30 @@ def state_counts_q(spark, sf):
     return reports.state_counts(fx.message_state(spark, sf))
 
 
+_PAGE_RAW = "CASE WHEN id % 3 = 0 THEN 'raw ' || CAST(id AS VARCHAR) END"
+_PAGE_PAYOUT = "'01' || lpad(CAST(900000000 + id AS VARCHAR), 9, '0')"
+_PAGE_EMPLOYEE = "CASE WHEN id % 4 <> 0 THEN employee_id END"
+
+
 @query("payments_page", o.with_ctes(["fx_payments", "fx_employees"], _REV + _CANON + [
-    ("pg", f"SELECT * FROM pr WHERE NOT is_reversal ORDER BY txn_date DESC, id DESC LIMIT {PAGE_SIZE}")],
-    f"""SELECT pg.id, pg.employee_id, coalesce(c.canonical_id, pg.employee_id) AS canonical_employee_id,
-  coalesce(CASE WHEN {o.display_name_ok('ce.full_name')} THEN ce.full_name END,
-           CASE WHEN {o.display_name_ok('e.full_name')} THEN e.full_name END, '(unknown)') AS display_name,
-  coalesce(ce.primary_phone, e.primary_phone) AS display_phone,
+    ("pg", f"""SELECT id, {_PAGE_EMPLOYEE} AS employee_id, {_PAGE_RAW} AS employee_name_raw, {_PAGE_PAYOUT} AS payout_phone,
+  amount, payout_method, txn_date FROM pr WHERE NOT is_reversal ORDER BY txn_date DESC, id DESC LIMIT {PAGE_SIZE}""")],
+    """SELECT pg.id, pg.employee_id, coalesce(c.canonical_id, pg.employee_id) AS canonical_employee_id,
+  coalesce(pg.employee_name_raw, ce.full_name, e.full_name, '(unknown)') AS display_name,
+  coalesce(ce.employee_id_phone, e.employee_id_phone, ce.primary_phone, e.primary_phone, pg.payout_phone) AS display_id_phone,
+  coalesce(ce.primary_phone, e.primary_phone, pg.payout_phone) AS display_phone,
   CAST(pg.amount AS DOUBLE) AS amount, pg.payout_method, strftime(pg.txn_date, '%Y-%m-%d') AS txn_date
 FROM pg LEFT JOIN emp e ON e.id = pg.employee_id LEFT JOIN canon c ON c.id = pg.employee_id
 LEFT JOIN emp ce ON ce.id = c.canonical_id""", recursive=True))
 def payments_page_q(spark, sf):
-    p = reports.filter_payments(_payments_rev(spark, sf)).withColumn("employee_name_raw", F.lit(None).cast("string"))
-    emp = fx.employees(spark, sf)
+    i = F.col("id")
+    p = (reports.filter_payments(_payments_rev(spark, sf))
+         .withColumn("employee_name_raw", F.when(i % 3 == 0, F.concat(F.lit("raw "), i.cast("string"))))
+         .withColumn("payout_phone", F.concat(F.lit("01"), F.lpad((i + 900000000).cast("string"), 9, "0")))
+         .withColumn("employee_id", F.when(i % 4 != 0, F.col("employee_id"))))
+    emp = identity.prepare_master(fx.employees(spark, sf))
     r = reports.payments_page(p, emp, identity.resolve_canonical(emp), page=1, size=PAGE_SIZE)
-    return r.select("id", "employee_id", "canonical_employee_id", "display_name", "display_phone",
+    return r.select("id", "employee_id", "canonical_employee_id", "display_name", "display_id_phone", "display_phone",
                     _dbl("amount").alias("amount"), "payout_method", _day("txn_date").alias("txn_date"))
 
 
@@ -602,14 +608,16 @@ def reconciliation_by_period_source(spark, sf):
   count(*) FILTER (WHERE review_status = 'pending') AS pending,
   count(*) FILTER (WHERE review_status = 'pending' AND parser_confidence < 0.5) AS low_confidence,
   CAST(coalesce(sum(detected_amount) FILTER (WHERE review_status = 'pending'), 0) AS DOUBLE) AS pending_amount,
-  count(*) FILTER (WHERE review_status = 'dismissed') AS rejected,
-  count(*) FILTER (WHERE review_status = 'promoted') AS promoted,
+  count(*) FILTER (WHERE review_status IN ('dismissed', 'duplicate')) AS rejected,
+  count(*) FILTER (WHERE review_status = 'promoted' AND reviewed_at = (SELECT max(reviewed_at) FROM fx_review_items)) AS promoted_today,
   (SELECT count(*) FROM fx_message_state WHERE status = 'failed' AND attempts >= 5) AS dead_letters
 FROM fx_review_items"""))
 def review_summary_q(spark, sf):
-    r = reports.review_summary(fx.review_items(spark, sf), fx.message_state(spark, sf))
+    items = fx.review_items(spark, sf)
+    today = items.agg(F.max("reviewed_at")).scalar()  # the fixture's last day of work
+    r = reports.review_summary(items, fx.message_state(spark, sf), today=today)
     return r.select("pending", "low_confidence", _dbl("pending_amount").alias("pending_amount"), "rejected",
-                    "promoted", "dead_letters")
+                    "promoted_today", "dead_letters")
 
 
 @query("needs_review", o.with_ctes(["fx_review_items", "fx_messages"], [
@@ -630,19 +638,25 @@ def dead_letters_q(spark, sf):
     return reports.dead_letters(fx.message_state(spark, sf), fx.messages(spark, sf))
 
 
-@query("identity_summary", o.with_ctes(["fx_employees", "fx_aliases", "fx_identity_reviews"], [], """
-SELECT 'employees_total' AS metric, count(*) AS value FROM fx_employees
-UNION ALL SELECT 'employees_active', count(*) FILTER (WHERE status = 'active') FROM fx_employees
-UNION ALL SELECT 'employees_inactive', count(*) FILTER (WHERE status = 'inactive') FROM fx_employees
-UNION ALL SELECT 'canonical_rows', count(*) FILTER (WHERE canonical_employee_id IS NULL) FROM fx_employees
-UNION ALL SELECT 'linked_duplicates', count(*) FILTER (WHERE canonical_employee_id IS NOT NULL) FROM fx_employees
+@query("identity_summary", o.with_ctes(["fx_employees", "fx_aliases", "fx_identity_reviews"], [
+    ("res", """SELECT *, CASE WHEN canonical_employee_id IS NOT NULL THEN 'duplicate'
+  WHEN id IN (SELECT canonical_employee_id FROM fx_employees WHERE canonical_employee_id IS NOT NULL) THEN 'canonical'
+  ELSE 'unresolved' END AS resolution_status FROM fx_employees""")], """
+SELECT 'employees_total' AS metric, count(*) AS value FROM res
+UNION ALL SELECT 'employees_canonical', count(*) FROM res WHERE resolution_status = 'canonical'
+UNION ALL SELECT 'employees_duplicate', count(*) FROM res WHERE resolution_status = 'duplicate'
+UNION ALL SELECT 'employees_unresolved', count(*) FROM res WHERE resolution_status = 'unresolved'
+UNION ALL SELECT 'employees_inactive', count(*) FROM res WHERE status = 'inactive'
 UNION ALL SELECT 'aliases_total', count(*) FROM fx_aliases
-UNION ALL SELECT 'aliases_phone', count(*) FILTER (WHERE alias_type = 'phone') FROM fx_aliases
-UNION ALL SELECT 'aliases_name', count(*) FILTER (WHERE alias_type = 'name') FROM fx_aliases
-UNION ALL SELECT 'reviews_pending', count(*) FILTER (WHERE review_status = 'pending') FROM fx_identity_reviews
-UNION ALL SELECT 'reviews_closed', count(*) FILTER (WHERE review_status <> 'pending') FROM fx_identity_reviews"""))
+UNION ALL SELECT 'resolution_links', count(*) FROM res WHERE canonical_employee_id IS NOT NULL
+UNION ALL SELECT 'review_pending', count(*) FROM fx_identity_reviews WHERE review_status = 'pending'
+UNION ALL SELECT 'review_resolved', count(*) FROM fx_identity_reviews WHERE review_status <> 'pending'
+UNION ALL SELECT 'audit_entries', count(*) FROM res WHERE canonical_employee_id IS NOT NULL OR status = 'inactive'"""))
 def identity_summary_q(spark, sf):
-    return reports.identity_summary(fx.employees(spark, sf), fx.aliases(spark, sf), fx.identity_reviews(spark, sf))
+    emp = fx.resolution(spark, sf)
+    links = emp.where(F.col("canonical_employee_id").isNotNull())
+    audit = emp.where(F.col("canonical_employee_id").isNotNull() | (F.col("status") == "inactive"))
+    return reports.identity_summary(emp, fx.aliases(spark, sf), links, fx.identity_reviews(spark, sf), audit)
 
 
 @query("identity_reviews", o.with_ctes(["fx_employees", "fx_identity_reviews"], [], """SELECT r.id, r.candidate_employee_id,
@@ -719,11 +733,12 @@ _SUGGEST_TIERS = [
 @query("suggest_exact_prefix", o.with_ctes(["fx_employees", "fx_aliases"], _CANON + [
     ("qs", """SELECT DISTINCT query FROM (SELECT full_name AS query FROM fx_employees
   UNION ALL SELECT substr(full_name, 1, length(full_name) - 1) FROM fx_employees) x"""),
-    ("qf", f"SELECT query, {o.norm_name('query')} AS qn, regexp_replace(lower(query), '[^a-z0-9]+', '', 'g') AS qc FROM qs"),
-    ("forms", """SELECT id, 'name' AS form, name_normalized AS v FROM emp WHERE status = 'active'
-UNION ALL SELECT id, 'cname', regexp_replace(lower(full_name), '[^a-z0-9]+', '', 'g') FROM emp WHERE status = 'active'
-UNION ALL SELECT a.employee_id, 'alias', lower(a.alias_value) FROM fx_aliases a JOIN emp e ON e.id = a.employee_id WHERE e.status = 'active' AND a.alias_type = 'name'
-UNION ALL SELECT a.employee_id, 'calias', regexp_replace(lower(a.alias_value), '[^a-z0-9]+', '', 'g') FROM fx_aliases a JOIN emp e ON e.id = a.employee_id WHERE e.status = 'active' AND a.alias_type = 'name'"""),
+    ("qf", f"SELECT query, lower({o.strip('query')}) AS qn, regexp_replace(lower({o.strip('query')}), '[^a-z0-9]+', '', 'g') AS qc FROM qs"),
+    ("forms", """SELECT id, 'name' AS form, lower(name_normalized) AS v FROM emp
+UNION SELECT id, 'name', lower(full_name) FROM emp
+UNION SELECT id, 'cname', regexp_replace(lower(coalesce(full_name, '')), '[^a-z0-9]+', '', 'g') FROM emp
+UNION SELECT a.employee_id, 'alias', lower(a.alias_value) FROM fx_aliases a JOIN emp e ON e.id = a.employee_id WHERE a.alias_type = 'name'
+UNION SELECT a.employee_id, 'calias', regexp_replace(lower(coalesce(a.alias_value, '')), '[^a-z0-9]+', '', 'g') FROM fx_aliases a JOIN emp e ON e.id = a.employee_id WHERE a.alias_type = 'name'"""),
     ("hits", "\nUNION ALL ".join(
         f"""SELECT query, id, {s} AS score FROM qf JOIN forms f ON f.form = '{form}' AND """
         + (f"starts_with(f.v, {'qn' if qf == 'norm' else 'qc'})" if pre else f"f.v = {'qn' if qf == 'norm' else 'qc'}")
@@ -740,20 +755,21 @@ def _exact_prefix_hits(queries: DataFrame, employees: DataFrame, aliases: DataFr
                        canonical: DataFrame | None = None) -> DataFrame:
     """I15 exact and prefix tiers: ``(query, employee_id, score)``."""
     emp = identity.prepare_master(employees)
-    active = emp.where(F.col("status") == "active")
-    a = aliases.where(F.col("alias_type") == "name").join(active.select(F.col("id").alias("employee_id")), "employee_id")
+    a = aliases.where(F.col("alias_type") == "name").join(emp.select(F.col("id").alias("employee_id")), "employee_id")
     coll = lambda c: F.regexp_replace(F.lower(c), "[^a-z0-9]+", "")
-    forms = (active.select("id", F.lit("name").alias("form"), F.col("name_normalized").alias("v"))
-             .unionByName(active.select("id", F.lit("cname").alias("form"), coll(F.col("full_name")).alias("v")))
-             .unionByName(a.select(F.col("employee_id").alias("id"), F.lit("alias").alias("form"), F.lower("alias_value").alias("v")))
-             .unionByName(a.select(F.col("employee_id").alias("id"), F.lit("calias").alias("form"), coll(F.col("alias_value")).alias("v")))
+    form = lambda df, eid, name, v: df.select(F.col(eid).alias("id"), F.lit(name).alias("form"), v.alias("v"))
+    forms = (form(emp.select("id", F.explode(F.array_distinct(F.array(F.lower("name_normalized"), F.lower("full_name")))).alias("n")),
+                  "id", "name", F.col("n"))
+             .unionByName(form(emp, "id", "cname", coll(F.coalesce("full_name", F.lit("")))))
+             .unionByName(form(a, "employee_id", "alias", F.lower("alias_value")))
+             .unionByName(form(a, "employee_id", "calias", coll(F.coalesce("alias_value", F.lit("")))))
              .where(F.col("v").isNotNull()))
     # every prefix of every form, so a prefix search is an equi-join (bounded by name length)
     prefixes = forms.select("id", "form", F.explode(F.sequence(F.lit(1), F.greatest(F.length("v"), F.lit(1)))).alias("_n"), "v") \
                     .select("id", "form", F.expr("substring(v, 1, _n)").alias("v"), F.lit(True).alias("prefix"))
     keys = forms.withColumn("prefix", F.lit(False)).unionByName(prefixes)
-    q = queries.select("query").distinct().select("query", tx.norm_name("query").alias("qn"),
-                                                  coll(F.col("query")).alias("qc"))
+    q = queries.select("query").distinct().select("query", F.lower(tx.py_strip("query")).alias("qn"),
+                                                  coll(tx.py_strip("query")).alias("qc"))
     probes = q.select("query", "qn", "qc", F.explode(F.array(*[
         F.struct(F.lit(s).alias("score"), F.lit(form).alias("form"), F.col("qn" if qf == "norm" else "qc").alias("v"),
                  F.lit(pre).alias("prefix"),
@@ -844,18 +860,18 @@ def canonical_profile(spark, sf):
 
 
 def _manual_requests(spark, sf):
-    p = fx.payments(spark, sf).where(F.col("id") % 10 == 0)
+    p = fx.payments(spark, sf)
     first = p.select(F.col("id").alias("request_id"), "employee_id", "amount", "payout_method", "txn_date",
                      "txn_category", F.lit("adjust").alias("note"), F.lit("admin").alias("actor"))
-    again = p.where(F.col("id") % 20 == 0).select((F.col("id") + 1000000000).alias("request_id"), "employee_id", "amount",
+    again = p.where(F.col("id") % 2 == 0).select((F.col("id") + 1000000000).alias("request_id"), "employee_id", "amount",
                                                   "payout_method", "txn_date", "txn_category",
                                                   F.lit("adjust again").alias("note"), F.lit("admin").alias("actor"))
     return first.unionByName(again)
 
 
 @query("manual_payments", o.with_ctes(["fx_payments"], [
-    ("reqs", """SELECT id AS request_id, employee_id, amount, payout_method, txn_date FROM fx_payments WHERE id % 10 = 0
-UNION ALL SELECT id + 1000000000, employee_id, amount, payout_method, txn_date FROM fx_payments WHERE id % 20 = 0"""),
+    ("reqs", """SELECT id AS request_id, employee_id, amount, payout_method, txn_date FROM fx_payments
+UNION ALL SELECT id + 1000000000, employee_id, amount, payout_method, txn_date FROM fx_payments WHERE id % 2 = 0"""),
     ("keyed", """SELECT request_id,
   'fpe-' || sha256(concat_ws('|', 'manual-' || CAST(request_id AS VARCHAR), CAST(employee_id AS VARCHAR), CAST(amount AS VARCHAR),
      strftime(txn_date, '%Y-%m'), payout_method))[1:16] AS txn_ref,
@@ -873,7 +889,7 @@ def manual_payments_q(spark, sf):
 
 
 @query("review_promote", o.with_ctes(["fx_review_items"], [
-    ("d", "SELECT id AS item_id, (message_id % 100) + 1 AS employee_id FROM fx_review_items WHERE id % 7 = 0")],
+    ("d", "SELECT id AS item_id, (message_id % 100) + 1 AS employee_id FROM fx_review_items")],
     """SELECT d.item_id,
   CASE WHEN r.review_status = 'promoted' THEN 'already_promoted'
        WHEN r.detected_amount IS NULL OR r.detected_amount <= 0 THEN 'no_positive_amount' ELSE 'promoted' END AS outcome,
@@ -886,7 +902,7 @@ def review_promote(spark, sf):
     from ledgerflow.operators.review import promote
     r = fx.review_items(spark, sf).withColumn("detected_payout_method", F.lit(None).cast("string")) \
         .withColumn("detected_txn_date", F.lit(None).cast("date")).withColumn("raw_content", F.lit(None).cast("string"))
-    d = r.where(F.col("id") % 7 == 0).select(
+    d = r.select(
         F.col("id").alias("item_id"), ((F.col("message_id") % 100) + 1).alias("employee_id"),
         F.lit(None).cast("double").alias("amount"), F.lit(None).cast("string").alias("payout_method"),
         F.lit("2026-01-15").cast("date").alias("txn_date"), F.lit("salary").alias("txn_category"),
@@ -987,28 +1003,17 @@ def employee_ledger(spark, sf):
                       F.col("txn_count").cast("long").alias("txn_count"), F.col("rank").cast("long").alias("rank"))
 
 
-@query("health_counts", o.with_ctes(["fx_messages", "fx_message_state", "fx_payments", "fx_employees", "fx_review_items"], [], """
+@query("health_counts", o.with_ctes(["fx_messages", "fx_message_state", "fx_payments", "fx_employees", "fx_review_items"], _REV, """
 SELECT 'messages' AS metric, count(*) AS value FROM fx_messages
 UNION ALL SELECT 'pending', count(*) FILTER (WHERE status = 'pending') FROM fx_message_state
 UNION ALL SELECT 'parsed', count(*) FILTER (WHERE status = 'parsed') FROM fx_message_state
 UNION ALL SELECT 'failed', count(*) FILTER (WHERE status = 'failed') FROM fx_message_state
-UNION ALL SELECT 'payments', count(*) FROM fx_payments
+UNION ALL SELECT 'payments', count(*) FROM pr WHERE NOT is_reversal
 UNION ALL SELECT 'employees', count(*) FROM fx_employees
 UNION ALL SELECT 'pending_review', count(*) FILTER (WHERE review_status = 'pending') FROM fx_review_items"""))
 def health_counts(spark, sf):
-    st = fx.message_state(spark, sf).agg(
-        F.count_if(F.col("status") == "pending").alias("pending"), F.count_if(F.col("status") == "parsed").alias("parsed"),
-        F.count_if(F.col("status") == "failed").alias("failed"))
-    parts = [fx.messages(spark, sf).agg(F.count(F.lit(1)).alias("messages")), st,
-             fx.payments(spark, sf).agg(F.count(F.lit(1)).alias("payments")),
-             fx.employees(spark, sf).agg(F.count(F.lit(1)).alias("employees")),
-             fx.review_items(spark, sf).agg(F.count_if(F.col("review_status") == "pending").alias("pending_review"))]
-    wide = parts[0].withColumn("_k", F.lit(1))
-    for p in parts[1:]:
-        wide = wide.join(p.withColumn("_k", F.lit(1)), "_k")
-    names = ["messages", "pending", "parsed", "failed", "payments", "employees", "pending_review"]
-    return wide.selectExpr("stack({}, {}) as (metric, value)".format(
-        len(names), ", ".join(f"'{n}', cast({n} as bigint)" for n in names)))
+    return reports.health(fx.messages(spark, sf), fx.message_state(spark, sf), _payments_rev(spark, sf),
+                          fx.employees(spark, sf), fx.review_items(spark, sf))
 
 
 # ---------------------------------------------------------------------------
@@ -1079,7 +1084,7 @@ def sync_counts_q(spark, sf):
   count(*) FILTER (WHERE NOT in_arch AND blank) AS skipped_no_content FROM marked"""))
 def gap_totals_q(spark, sf):
     from ledgerflow.sources import ingest as ing
-    t = ing.gap_totals(ing.gap_run_log(fx.store_rows(spark, sf), _archive(spark, sf), GAP_WINDOW))
+    t = ing.gap_totals(ing.gap_run_log(fx.store_rows(spark, sf), _archive(spark, sf)))
     return t.select(*[F.col(c).cast("long").alias(c) for c in ["missing", "backfilled", "skipped_no_content"]])
 
 
@@ -1105,6 +1110,8 @@ def _link_decisions(spark, sf):
             .unionByName(d(i % 50 == 25, i + 3000000, i + 10000000, i))
             .unionByName(d(i % 10 == 1, i, i, i + 7))
             .unionByName(d(i % 30 == 5, i + 2000000, i, i - 3))
+            .unionByName(d(i % 20 == 1, i + 4000000, i, i + 4))
+            .unionByName(d(i % 100 == 35, -i, i, i))
             .withColumn("score", F.lit(0.9)).withColumn("actor", F.lit("admin")))
 
 
@@ -1113,15 +1120,19 @@ def _link_decisions(spark, sf):
 UNION ALL SELECT id + 1000000, id, id FROM fx_employees WHERE id % 100 = 15
 UNION ALL SELECT id + 3000000, id + 10000000, id FROM fx_employees WHERE id % 50 = 25
 UNION ALL SELECT id, id, id + 7 FROM fx_employees WHERE id % 10 = 1
-UNION ALL SELECT id + 2000000, id, id - 3 FROM fx_employees WHERE id % 30 = 5"""),
-    ("j", """SELECT d.*, dd.id AS dd, t.id AS tid, t.canonical_employee_id AS t_link,
-  min(d.request_id) OVER (PARTITION BY d.duplicate_id) AS first_req
-FROM d LEFT JOIN fx_employees dd ON dd.id = d.duplicate_id LEFT JOIN fx_employees t ON t.id = d.canonical_id""")],
+UNION ALL SELECT id + 2000000, id, id - 3 FROM fx_employees WHERE id % 30 = 5
+UNION ALL SELECT id + 4000000, id, id + 4 FROM fx_employees WHERE id % 20 = 1
+UNION ALL SELECT -id, id, id FROM fx_employees WHERE id % 100 = 35"""),
+    ("j", """SELECT d.*, CASE WHEN dd.id IS NULL THEN 'duplicate_missing' WHEN duplicate_id = d.canonical_id THEN 'self_link'
+       WHEN t.id IS NULL THEN 'canonical_missing' WHEN t.canonical_employee_id IS NOT NULL THEN 'target_is_duplicate' END AS bad
+FROM d LEFT JOIN fx_employees dd ON dd.id = d.duplicate_id LEFT JOIN fx_employees t ON t.id = d.canonical_id"""),
+    # in this fixture a row that is a target is linked by requests whose own targets stay unlinked before them,
+    # so the first valid request of a row is its accepted one
+    ("firsts", "SELECT duplicate_id AS fd, min(request_id) AS fr FROM j WHERE bad IS NULL GROUP BY ALL")],
     """SELECT request_id, duplicate_id, canonical_id,
-  CASE WHEN duplicate_id = canonical_id THEN 'self_link' WHEN dd IS NULL THEN 'duplicate_missing'
-       WHEN tid IS NULL THEN 'canonical_missing' WHEN t_link IS NOT NULL THEN 'target_is_duplicate'
-       WHEN request_id <> first_req THEN 'already_linked_in_batch' ELSE 'linked' END AS outcome
-FROM j"""))
+  CASE WHEN bad IS NOT NULL THEN bad WHEN t.fr < request_id THEN 'target_is_duplicate'
+       WHEN f.fr < request_id THEN 'already_linked_in_batch' ELSE 'linked' END AS outcome
+FROM j LEFT JOIN firsts t ON t.fd = j.canonical_id LEFT JOIN firsts f ON f.fd = j.duplicate_id"""))
 def link_duplicates_q(spark, sf):
     emp = fx.employees(spark, sf).withColumn("resolution_status", F.lit("unresolved"))
     new, links, rejected = identity.link_duplicates(emp, _link_decisions(spark, sf))

@@ -136,11 +136,11 @@ def message_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def review_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_totalprice"])
+    o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_totalprice", "o_orderdate"])
     k = F.col("o_orderkey")
     m3 = k % 3
     m4 = k % 4
-    return o.where(k % 6 != 0).select(
+    return o.select(
         (k + 1).alias("id"),
         (k + 1).alias("message_id"),
         F.when(m3 == 0, "accountant_other").when(m3 == 1, "cash_command_no_employee")
@@ -149,6 +149,7 @@ def review_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(m3 != 0, (k % 11).cast("double") / 10).alias("parser_confidence"),
         F.when(m4 == 0, "promoted").when(m4 == 1, "dismissed").when(m4 == 2, "duplicate")
          .otherwise("pending").alias("review_status"),
+        F.when(m4 != 3, F.to_date("o_orderdate")).alias("reviewed_at"),
     )
 
 
@@ -188,19 +189,30 @@ def store_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("019000000"), F.lpad((k % 3 + 1).cast("string"), 2, "0")).alias("source_number"),
         F.concat(F.lit("88"), _phone(F.col("o_custkey"), 700000000), F.lit("@s.whatsapp.net")).alias("chat_jid"),
         F.col("o_orderdate").alias("timestamp_wa"),
-        F.when(k % 27 == 0, " ").otherwise("text").alias("content"),
+        F.when(k % 54 == 0, " ").when(k % 54 == 27, "").otherwise("text").alias("content"),
+        F.when((k % 108).isin(54, 81), "voice note").alias("processed_text"),
         (k % 9 != 0).alias("in_archive"),
         (k % 5 == 0).alias("redelivered"),
     )
 
 
+def resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Employees with their resolution status: a linked row is a duplicate, the
+    row a chain ends in is canonical, any other is unresolved."""
+    e = employees(spark, sf_dir)
+    ends = e.select(F.col("canonical_employee_id").alias("id")).where("id is not null").distinct()
+    j = e.join(ends.withColumn("_target", F.lit(True)), "id", "left")
+    return j.withColumn("resolution_status", F.when(F.col("canonical_employee_id").isNotNull(), "duplicate")
+                        .when(F.col("_target"), "canonical").otherwise("unresolved")).drop("_target")
+
+
 def identity_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Identity reviews for the dashboards: every tenth employee (id ending
-    6) is a candidate suspected to be the row before it."""
+    """Identity reviews for the dashboards: every employee but the first is a
+    candidate suspected to be the row before it."""
     e = employees(spark, sf_dir).select("id")
     i = F.col("id")
-    return e.where(i % 10 == 6).select(
+    return e.where(i > 1).select(
         i.alias("id"), i.alias("candidate_employee_id"), (i - 1).alias("suspected_match_id"),
-        F.when(i % 20 == 6, "name_collision").otherwise("fuzzy_name_below_threshold").alias("match_reason"),
-        F.when(i % 20 == 6, 0.95).otherwise(0.75).cast("decimal(4,3)").alias("confidence_score"),
+        F.when(i % 2 == 0, "name_collision").otherwise("fuzzy_name_below_threshold").alias("match_reason"),
+        F.when(i % 2 == 0, 0.95).otherwise(0.75).cast("decimal(4,3)").alias("confidence_score"),
         F.when(i % 3 == 0, "rejected").otherwise("pending").alias("review_status"))

@@ -43,3 +43,77 @@ def test_late_and_repeated_messages(spark, tmp_path):
     spark.createDataFrame([("m1",), ("m9",), ("m9",)], "wa_message_id string").selectExpr(
         "wa_message_id", "'s' AS source", "CAST('2023-01-01' AS timestamp) AS timestamp_wa").write.mode("append").parquet(src)
     assert sorted(r.wa_message_id for r in ingest_stream(spark, stream(), archive).collect()) == ["m0", "m1", "m2", "m9"]
+
+
+def _master(spark, ids, links=None):
+    rows = [(i, (links or {}).get(i)) for i in ids]
+    return spark.createDataFrame(rows, "id long, canonical_employee_id long")
+
+
+def _link(spark, emp, reqs):
+    """``reqs``: (request, duplicate, target) -> outcome per request."""
+    d = spark.createDataFrame([(*r, 0.9, "admin") for r in reqs],
+                              "request_id long, duplicate_id long, canonical_id long, score double, actor string")
+    new, links, rejected = identity.link_duplicates(emp, d)
+    out = {r.request_id: r.reject_reason for r in rejected.collect()}
+    linked = {(r.employee_id, r.canonical_employee_id) for r in links.collect()}
+    assert len(out) + len(linked) == len(reqs)
+    return out, linked, {r.id: r.canonical_employee_id for r in new.collect()}
+
+
+def test_links_in_one_batch_make_no_cycle(spark):
+    out, linked, now = _link(spark, _master(spark, [1, 2, 3]), [(1, 1, 2), (2, 2, 1), (3, 2, 3)])
+    assert out == {2: "target_is_duplicate"} and linked == {(1, 2), (2, 3)}
+    assert now == {1: 2, 2: 3, 3: None}
+
+
+def test_a_rejected_request_does_not_block_a_valid_one(spark):
+    out, linked, _ = _link(spark, _master(spark, [1, 2, 3], {3: 2}), [(1, 1, 1), (2, 1, 3), (3, 1, 2), (4, 1, 2), (5, 9, 1)])
+    assert linked == {(1, 2)}
+    assert out == {1: "self_link", 2: "target_is_duplicate", 4: "already_linked_in_batch", 5: "duplicate_missing"}
+
+
+def test_links_equal_a_fold_over_the_requests(spark):
+    import random
+    rng = random.Random(5)
+    ids = list(range(1, 13))
+    reqs = [(n, rng.choice(ids), rng.choice(ids)) for n in range(40)]
+    link, want, expect = {}, {}, set()
+    for n, dup, target in reqs:
+        if dup == target:
+            want[n] = "self_link"
+        elif target in link:
+            want[n] = "target_is_duplicate"
+        elif dup in link:
+            want[n] = "already_linked_in_batch"
+        else:
+            link[dup] = target
+            expect.add((dup, target))
+    out, linked, _ = _link(spark, _master(spark, ids), reqs)
+    assert out == want and linked == expect
+
+
+def test_equal_candidates_post_once(spark):
+    import datetime as dt
+    from ledgerflow.operators import posting
+    row = (7, 3, "a", 100.0, "01712345678", "cash", dt.date(2024, 1, 2), "salary", "text")
+    cands = spark.createDataFrame([row, row, (8, *row[1:])], "message_id long, employee_id long, name_raw string, amount double, "
+                                  "payout_phone string, payout_method string, txn_date date, txn_category string, raw_content string") \
+        .withColumn("amount", F.col("amount").cast("decimal(12,2)"))
+    first = posting.post_payments(cands, None)
+    assert sorted((r.message_id, r.id) for r in first.collect()) == [(7, 1), (8, 2)]
+    assert posting.post_payments(cands, first).count() == 0
+    assert [r.txn_count for r in posting.ledger(posting.keyed_payments(cands, None)).collect()] == [2]
+
+
+def test_gap_scan_reads_the_whole_store_and_processed_text(spark):
+    store = spark.range(6000).select(
+        F.concat(F.lit("m"), F.col("id").cast("string")).alias("wa_message_id"), F.lit("s").alias("source"),
+        F.when(F.col("id") % 2 == 0, "c").otherwise("d").alias("chat_jid"), F.timestamp_seconds("id").alias("timestamp_wa"),
+        F.when(F.col("id") > 2, "text").when(F.col("id") == 2, " ").otherwise("").alias("content"),
+        F.when(F.col("id").isin(1, 2), "voice").alias("processed_text"))
+    archive = store.where("timestamp_wa > timestamp_seconds(3)").withColumn("chat_jid", F.lit("c"))
+    got = {r.wa_message_id: r.action for r in ing.gap_scan(store, archive).collect()}
+    assert got == {"m0": "skipped_no_content", "m1": "backfill", "m2": "skipped_no_content", "m3": "backfill"}
+    log = {r.chat_jid: r for r in ing.gap_run_log(store, archive).collect()}
+    assert (log["c"].store_count, log["c"].archive_count, log["d"].archive_count) == (3000, 2998, 2998)
