@@ -140,8 +140,9 @@ def drop_repeated_lines(docs: DataFrame, min_docs: int = MIN_DOCS, keep_first: b
                 ["line", *KEY])
 
     found = written(slim.mapInArrow(suspects, "line string, _did long, _tk long"), "lines")
-    common = found.groupBy("line").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*KEY)).alias("first")) \
-        .where(F.col("n") >= min_docs).select("line", "first")
+    # a table of its own, so that both sides of the join below are plain exchanges, whose hot partitions Spark splits
+    common = written(found.groupBy("line").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*KEY)).alias("first"))
+                     .where(F.col("n") >= min_docs).select("line", "first"), "common")
     drops = (found.join(common, "line")
              .select(*KEY, F.struct("line", (F.lit(keep_first) & (F.struct(*KEY) == F.col("first"))).alias("first")).alias("d"))
              .groupBy(*KEY).agg(F.collect_set("d").alias("_drops")).toDF(did, tk, drops_name := free_name(docs, "_drops")))
