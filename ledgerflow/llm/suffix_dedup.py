@@ -343,7 +343,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
     slim = _slim(docs)
     anchors = slim.mapInArrow(lambda it: _anchors(it, length, gram),
                               "_did long, _tk long, lo int, m int, a int, gram long, seg long")
-    grams = anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > 1).select("gram")
+    # tables of their own, here and below: both sides of a join are then plain exchanges, whose hot partitions Spark splits
+    grams = written(anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > 1).select("gram"), "repeated")
     found = written(anchors.join(grams, "gram"), "anchors")
     ident = ["gram", "seg", "a", "m"]
     distinct = written(found.groupBy(*ident).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*KEY, "lo")).alias("at")), "segments")
@@ -372,7 +373,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
         found_ = _sorted_runs(pieces_, length).toDF("part", "id", "pa", "pm", "lo", "hi")
         runs = runs.unionByName(parts.drop("bytes").join(found_, ["part", "id", "pa", "pm"])
                                 .select(*ident, (F.col("lo") + F.col("skip")).alias("lo"), (F.col("hi") + F.col("skip")).alias("hi")))
-    per_segment = runs.groupBy(*ident).agg(F.collect_set(F.struct(F.col("lo").alias("f"), F.col("hi").alias("t"))).alias("runs"))
+    per_segment = written(runs.groupBy(*ident).agg(F.collect_set(F.struct(F.col("lo").alias("f"), F.col("hi").alias("t"))).alias("runs")), "runs")
     sorted_ = (mixed.join(per_segment, ident).select(*KEY, "lo", F.inline("runs"))
                .select(*KEY, (F.col("lo") + F.col("f")).alias("from"), (F.col("lo") + F.col("t") + length).alias("to")))
     return plain.unionByName(sorted_).groupBy(*KEY).agg(F.collect_set(F.struct("from", "to")).alias("spans"))
