@@ -246,7 +246,8 @@ def links(distinct: DataFrame, parts: list[tuple[list[int], int]], distance: int
                         [pa.array(np.full(len(fp), k), pa.int32()), pa.array((own ^ mask).view(np.int64)), b.column(0)], ["k", "value", "fp"])
 
     filed = distinct.mapInArrow(file, "k int, value long, fp long")
-    sizes = filed.groupBy("k", "value").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    # a table of its own: both sides of the join are then plain exchanges, whose hot partitions Spark splits
+    sizes = written(filed.groupBy("k", "value").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1), "files")
     own = F.pmod(F.xxhash64("fp"), F.col("c"))
     cut = (filed.join(sizes, ["k", "value"]).withColumn("c", F.ceil(F.col("n") / chunk))
            .withColumn("i", own)
@@ -269,12 +270,13 @@ def components(edges: DataFrame) -> DataFrame:
     pairs = written(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     before = None
     while True:
-        # large star: every larger neighbour of u moves to u's least neighbour
+        # large star: every larger neighbour of u moves to u's least neighbour; the least ones are tables of
+        # their own, so that Spark splits the partition of a node with very many neighbours in the joins
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+        large = written(both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "edges")
         # small star: u and its smaller neighbours move to the least of them
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = (large.join(low, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
         pairs = written(small, "edges")
