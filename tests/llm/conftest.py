@@ -1,4 +1,3 @@
-import hashlib
 import os
 
 import pytest
@@ -9,12 +8,6 @@ REPO = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 # Spark's Python workers import the operators too
 os.environ["PYTHONPATH"] = REPO + os.pathsep + os.environ.get("PYTHONPATH", "")
 
-DOCS = "doc_id long, text string, lang string, source string, n_chars long"
-
-
-def sha(data):
-    return hashlib.sha256(data if isinstance(data, bytes) else data.encode("utf-8")).hexdigest()
-
 
 @pytest.fixture(scope="session")
 def tokenizers():

@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import xxhash
-from conftest import sha
+from llm_helpers import sha
 
 from ledgerflow.llm import line_dedup, simhash, suffix_dedup
 

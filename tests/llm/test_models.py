@@ -8,7 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from conftest import DOCS, sha
+from llm_helpers import DOCS, sha
 
 from ledgerflow.llm import chat_tree, decontaminate, divergence, hmm, toxicity
 from ledgerflow.llm.common import read_table
