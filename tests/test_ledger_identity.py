@@ -9,7 +9,7 @@ from ledgerflow.operators.topk import top_k_per_group
 from ledgerflow.sources import fixtures as fx
 from ledgerflow.sources import ingest as ing
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 SCHEMA = "id long, employee_id long, accounting_period string, amount decimal(12,2), txn_category string"
 

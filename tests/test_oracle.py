@@ -4,7 +4,7 @@ import pytest
 from ledgerflow.plans.check import compare
 from ledgerflow.plans.queries import ORACLE, QUERIES
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

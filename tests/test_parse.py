@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ledgerflow.operators.parse import parse_messages
 from ledgerflow.sources import fixtures as fx
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 EXPECTED = {  # shape: (type, has id phone, has payout, method, has name, confidence)
     0: ("payment", True, True, "nagad", True, 1.0),
