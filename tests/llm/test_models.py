@@ -110,6 +110,21 @@ def test_divergence(spark, small_docs):
     assert divergence.quality(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_divergence_without_common_words(spark):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(4, 9)))
+    text = lambda common: " ".join(rng.choice(divergence.LANGUAGES["en"]) if rng.random() < common else word() for _ in range(300))
+    rows = [(i, text(0.21), "en", "s", 1) for i in range(40)]
+    rows += [(100, text(0), "en", "s", 1), (101, text(0.02), None, "s", 1), (102, text(0.12), "en", "s", 1), (103, " ".join(word() for _ in range(50)), "en", "s", 1)]
+    got = {r.doc_id: r for r in divergence.quality(spark.createDataFrame(rows, DOCS)).collect()}
+    assert all(not r.base_failed and (r.char_distance or 0) < 0.1 for r in got.values())
+    assert {d for d, r in got.items() if not r.kept} == {100, 101}
+    assert got[100].word_distance == 1 and got[103].word_distance is None
+    # a reference without common words asks for none
+    plain = spark.createDataFrame([(i, text(0), "en", "s", 1) for i in range(5)], DOCS)
+    assert divergence.keep_natural(plain).count() == 5
+
+
 def test_divergence_is_native(spark, small_docs):
     plan = divergence.with_features(small_docs[0].withColumn("_t", small_docs[0].text), "_t")._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
