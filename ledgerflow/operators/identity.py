@@ -26,8 +26,9 @@ def resolve_canonical(employees: DataFrame) -> DataFrame:
 
     A link to a missing row stops at the last row that exists. Pointer
     doubling goes on until no pointer moves, so a chain of n hops takes
-    log2(n) rounds. Only a cycle can keep pointers moving after log2(rows)
-    rounds; its rows have ``resolved`` false.
+    log2(n) rounds, and a cycle's pointers log2(rows) rounds at most. A row is
+    ``resolved`` if the row it ends at has no existing link of its own; in a
+    cycle and on the way into one none ends so, whatever its length.
     """
     e = employees.select("id", "canonical_employee_id")
     targets = employees.select(F.col("id").alias("_t"))
@@ -35,6 +36,7 @@ def resolve_canonical(employees: DataFrame) -> DataFrame:
            .select("id", F.coalesce("_t", "id").alias("p")))
     # each round reads the previous one twice: persist it, or the plan doubles per round
     ptr = ptr.persist(StorageLevel.MEMORY_AND_DISK)
+    ends = ptr.select(F.col("id").alias("_k"), (F.col("p") == F.col("id")).alias("_end"))
     rounds = max(1, ptr.count()).bit_length() + 1
     for _ in range(rounds):
         nxt = ptr.select(F.col("id").alias("_k"), F.col("p").alias("_pp"))
@@ -44,10 +46,8 @@ def resolve_canonical(employees: DataFrame) -> DataFrame:
         ptr = step.select("id", "p")
         if not moved:
             break
-    nxt = ptr.select(F.col("id").alias("_k"), F.col("p").alias("_pp"))
-    return (ptr.join(nxt, ptr.p == nxt._k, "left")
-            .select("id", F.col("p").alias("canonical_id"),
-                    F.coalesce(F.col("_pp") == F.col("p"), F.lit(True)).alias("resolved")))
+    return (ptr.join(ends, ptr.p == ends._k, "left")
+            .select("id", F.col("p").alias("canonical_id"), F.coalesce("_end", F.lit(True)).alias("resolved")))
 
 
 def prepare_master(employees: DataFrame) -> DataFrame:

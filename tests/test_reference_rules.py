@@ -15,6 +15,16 @@ def test_long_chains_resolve(spark):
     assert not any(got[i][1] for i in (100, 101, 102))
 
 
+def test_cycles_are_not_resolved(spark):
+    rows = [(10 * n + k, 10 * n + (k + 1) % n) for n in (2, 3, 4) for k in range(n)]
+    rows += [(90, 20), (91, 90), (92, 40), (1, None), (2, 1), (3, 3), (4, 3)]
+    emp = spark.createDataFrame(rows, "id long, canonical_employee_id long")
+    got = {r.id: (r.canonical_id, r.resolved) for r in identity.resolve_canonical(emp).collect()}
+    assert len(got) == len(rows)
+    assert {i for i, (_, resolved) in got.items() if resolved} == {1, 2, 3, 4}
+    assert [got[i][0] for i in (1, 2, 3, 4)] == [1, 1, 3, 3]
+
+
 def test_unnormalisable_sender_is_null(spark):
     rows = spark.createDataFrame([("abc",), ("12@lid",), ("+8801712345678",), ("8801712345678@s.whatsapp.net",)], "sender string")
     lids = spark.createDataFrame([("12", "not a phone")], "lid string, phone string")
