@@ -20,8 +20,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that ten or more of them share (operator 8); n_chars follows the text."""
-    out = line_dedup.drop_repeated_lines(docs).select(*docs.columns)
+    """Documents without the lines that ten or more of them share, but for the first of each (operator 8);
+    n_chars follows the text. Without the first, a text with ten copies would vanish from all of them."""
+    out = line_dedup.drop_repeated_lines(docs, keep_first=True).select(*docs.columns)
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
 
 

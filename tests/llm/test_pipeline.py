@@ -1,6 +1,8 @@
 """The pipeline's stages keep documents' columns and act on what the stage before kept."""
 from collections import defaultdict
 
+from llm_helpers import DOCS
+
 from ledgerflow.llm.common import read_table, written
 
 import corpus_pipeline
@@ -32,3 +34,9 @@ def test_extra_columns(spark):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         docs = written(stage(spark, docs, SF), "stage")
         assert docs.columns == columns, name
+
+
+def test_one_of_ten_copies_keeps_its_text(spark):
+    rows = [(i, "first line\nsecond line", "en", "s", 22) for i in range(5, 17)] + [(1, "own", "en", "s", 3)]
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.drop_lines(spark, spark.createDataFrame(rows, DOCS), SF).collect()}
+    assert got == {1: ("own", 3), 5: ("first line\nsecond line", 22), **{i: ("", 0) for i in range(6, 17)}}
