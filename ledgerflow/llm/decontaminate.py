@@ -13,9 +13,12 @@ never grows with the benchmark; documents are scanned in place and not
 shuffled. Items and documents are compared with ASCII letters lower-cased and
 white space collapsed to single spaces.
 
+Items shorter than ``MIN_CHARS`` after normalising have no error budget: they
+match as they stand, where no letter or digit at their ends runs on in the
+document. Such an item may be one word, which every document with that word holds.
+
 Defined cases: a null or empty document holds nothing; items that are null or
-shorter than ``MIN_CHARS`` after normalising identify no passage and match
-nothing; repeated item texts match each under their own id; repeated rows of
+blank match nothing; repeated item texts match each under their own id; repeated rows of
 documents give a row each; empty tables give no rows.
 """
 from __future__ import annotations
@@ -67,15 +70,20 @@ def myers(masks: dict[str, int], m: int, text: str, limit: int) -> tuple[int, in
     return best, end
 
 
+def whole_words(text: str, start: int, end: int) -> bool:
+    """No word of ``text`` is cut at either end of the stretch."""
+    return not any(0 < at < len(text) and text[at - 1].isalnum() and text[at].isalnum() for at in (start, end))
+
+
 class Matcher:
     def __init__(self, items: list[tuple[int, str]], rate: float):
         self.items, self.budget, self.masks = [], [], []
         pieces: dict[str, list[tuple[int, int]]] = {}
         for item_id, text in items:
             t = normal(text)
-            if len(t) < MIN_CHARS:
+            if not t:
                 continue
-            k, e = len(self.items), int(rate * len(t))
+            k, e = len(self.items), int(rate * len(t)) if len(t) >= MIN_CHARS else 0
             self.items.append((item_id, t))
             self.budget.append(e)
             self.masks.append(None)
@@ -106,10 +114,12 @@ class Matcher:
         for k, starts in sorted(places.items()):
             item_id, item = self.items[k]
             e, m = self.budget[k], len(item)
-            exact = min((s for s in starts if s >= 0 and text.startswith(item, s)), default=None)
+            exact = min((s for s in starts if s >= 0 and text.startswith(item, s) and (m >= MIN_CHARS or whole_words(text, s, s + m))), default=None)
             if exact is not None:
                 out.append((item_id, 0, exact + m))
                 continue
+            if m < MIN_CHARS:
+                continue
             best, at = e + 1, -1
             lo = hi = None
             for s in [*sorted(starts), None]:           # stretches that overlap are verified as one
@@ -138,7 +148,7 @@ def _blocks(benchmark: DataFrame, rate: float):
     """Broadcast blocks of items, each of about ``BLOCK_CHARS`` characters."""
     spark = benchmark.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")) \
-        .where(F.length("text") >= MIN_CHARS)
+        .where(F.length("text") > 0)
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = -(-chars // BLOCK_CHARS)
     for b in range(n):

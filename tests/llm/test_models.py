@@ -214,6 +214,17 @@ def test_decontaminate(spark):
     assert decontaminate.contaminated(df, empty).count() == 0 and decontaminate.without_contaminated(df, empty).count() == len(docs)
 
 
+def test_decontaminate_short_items(spark):
+    items = [(1, "Who wrote  Hamlet?"), (2, "pi is 3.14"), (3, " \n"), (4, None), (5, "x" * 30)]
+    docs = [(1, "Quiz: who wrote\nHAMLET? Nobody knows."), (2, "who wrote hamlets?"), (3, "pi is 3.141"), (4, "so pi is 3.14, is it"), (5, "api is 3.14"),
+            (6, "api is 3.14 but pi is 3.14"), (7, None), (8, " "), (9, "who wrote hamle?")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id, r.distance) for r in decontaminate.contaminated(df, bench).collect()}
+    assert got == {(1, 1, 0), (4, 2, 0), (6, 2, 0)}
+    assert {r.doc_id for r in decontaminate.without_contaminated(df, bench).collect()} == {2, 3, 5, 7, 8, 9}
+
+
 def test_toxicity(spark):
     docs, labels = (read_table(spark, "/root/testdata/sf0.1", t) for t in ("documents", "labels"))
     got = {r.doc_id: r for r in toxicity.toxicity(docs, labels).collect()}
