@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerflow.llm import (chat_tree, decontaminate, divergence, hmm, importance, line_dedup, packing, simhash,
-                            suffix_dedup, token_files, toxicity, whitening)
+from ledgerflow.llm import (chat_tree, decontaminate, divergence, hmm, importance, line_dedup, main_text, packing,
+                            simhash, suffix_dedup, token_files, toxicity, whitening)
 from ledgerflow.llm.common import read_table, scratch
 
 WORD_BPE = "word_bpe_49k.json"
@@ -69,6 +69,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = importance.ranked(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return rows.select("doc_id", "n_features", "weight", "score", "rank")
@@ -80,7 +84,7 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_token_files, op2_suffix_dedup, op3_chat_tree, op4_packing, op5_divergence, op6_hmm, op7_decontaminate,
-    op8_line_dedup, op9_simhash, op10_toxicity, op12_importance, op13_whitening)} | {"pipeline": corpus_pipeline.run}
+    op8_line_dedup, op9_simhash, op10_toxicity, op11_main_text, op12_importance, op13_whitening)} | {"pipeline": corpus_pipeline.run}
 
 _EDGES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _CASE = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
