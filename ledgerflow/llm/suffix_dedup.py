@@ -8,7 +8,9 @@ corpus in one place:
   ``GRAM``-byte grams with the smallest hash. Equal windows have equal grams at
   equal offsets, so only windows with one anchor gram can be equal. Windows
   that share an anchor position form a segment. Grams that occur once in the
-  corpus (nearly all) are counted out before anything else is shuffled.
+  corpus (nearly all) never leave their task: a Bloom filter of the grams seen
+  twice, at most 128 MB, is built first, and what it lets through by chance
+  is found out by the counts below.
 * Pre-aggregation. Equal segments under one gram are one segment with a count;
   all windows of a segment that occurs twice repeat, and a gram with one
   distinct segment needs no ordering.
@@ -22,7 +24,13 @@ whose common prefix with a neighbour reaches LENGTH repeats.
 
 Grams with more than ``HOT`` distinct segments are split before they reach a
 task: windows are dealt by the hash of the bytes that all windows of their
-offset class share, and equal parts are aggregated again.
+offset class share, and equal parts are aggregated again. A part that still
+has more than ``HOT`` pieces is not sorted at all: its windows are counted by
+offset and a 128-bit hash of their bytes in a plain aggregation.
+
+Texts are shuffled twice at most: those that own a segment to be sorted, and
+those that lose something. Bloom filters of the documents' keys hold back the
+others.
 
 Defined cases: null and empty texts, and texts shorter than LENGTH bytes, lose
 nothing; repeated rows are documents of their own, so all their windows
@@ -36,6 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerflow.llm import seen_filter
 from ledgerflow.llm.common import KEY, NULL_ID, doc_key, pieces, small_batches, whole_groups, written
 
 LENGTH = 200
@@ -121,7 +130,8 @@ def _work(texts: list[bytes], length: int):
         yield parts
 
 
-def _anchors(batches, length: int, gram: int):
+def _buffers(batches, length: int, gram: int):
+    """Segments of each buffer, with the batch, the texts and the parts it is made of."""
     for b in pieces(batches, 4 * WORK_BYTES):
         texts = [t.encode("utf-8") if t else b"" for t in b.column(2).to_pylist()]
         for parts in _work(texts, length):
@@ -131,18 +141,25 @@ def _anchors(batches, length: int, gram: int):
             # a later part of a long text begins with the windows that the part before could not hold
             for i, at, place, n in parts:
                 valid[place:place + min(n - length + 1, WORK_BYTES - length)] = True
-            lo, count, offset, h = segments(buf, valid, length, gram)
-            if not len(lo):
-                continue
-            where = np.searchsorted([p[2] for p in parts], lo, side="right") - 1
-            doc = np.array([p[0] for p in parts])[where]
-            begin = lo - np.array([p[2] - p[1] for p in parts])[where]
-            own = [xxhash.xxh3_64_intdigest(data[s:e]) for s, e in zip(lo.tolist(), (lo + count + (length - 1)).tolist())]
-            take = pa.array(doc)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(take), b.column(1).take(take), pa.array(begin, pa.int32()), pa.array(count, pa.int32()),
-                 pa.array(offset, pa.int32()), pa.array(h.view(np.int64)), pa.array(np.array(own, _U).view(np.int64))],
-                [*KEY, "lo", "m", "a", "gram", "seg"])
+            yield b, data, parts, segments(buf, valid, length, gram)
+
+
+def _anchors(batches, length: int, gram: int, repeated: np.ndarray):
+    """Segments whose gram may be seen twice."""
+    for b, data, parts, (lo, count, offset, h) in _buffers(batches, length, gram):
+        some = np.flatnonzero(seen_filter.passes(repeated, h)) if len(lo) else lo
+        if not len(some):
+            continue
+        lo, count, offset, h = lo[some], count[some], offset[some], h[some]
+        where = np.searchsorted([p[2] for p in parts], lo, side="right") - 1
+        doc = np.array([p[0] for p in parts])[where]
+        begin = lo - np.array([p[2] - p[1] for p in parts])[where]
+        own = [xxhash.xxh3_64_intdigest(data[s:e]) for s, e in zip(lo.tolist(), (lo + count + (length - 1)).tolist())]
+        take = pa.array(doc)
+        yield pa.RecordBatch.from_arrays(
+            [b.column(0).take(take), b.column(1).take(take), pa.array(begin, pa.int32()), pa.array(count, pa.int32()),
+             pa.array(offset, pa.int32()), pa.array(h.view(np.int64)), pa.array(np.array(own, _U).view(np.int64))],
+            [*KEY, "lo", "m", "a", "gram", "seg"])
 
 
 class BlindTrie:
@@ -263,7 +280,6 @@ def repeated_windows(gram: np.ndarray, a: np.ndarray, m: np.ndarray, n: np.ndarr
             lo = stop
 
 
-_PIECE = "gram long, seg long, a int, m int, n long, bytes binary"
 _RUNS = "gram long, seg long, a int, m int, lo int, hi int"
 
 
@@ -279,42 +295,33 @@ def _sort(batches, length: int):
                 ["gram", "seg", "a", "m", "lo", "hi"])
 
 
-def _cut_whole(batches, length: int):
-    """Segments with their bytes."""
-    for b in batches:
-        out = []
-        for text, segs in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            data = text.encode("utf-8")
-            out += [(s["gram"], s["seg"], s["a"], s["m"], s["n"], data[s["lo"]:s["lo"] + s["m"] - 1 + length]) for s in segs]
-        if out:
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], ["gram", "seg", "a", "m", "n", "bytes"])
+_PARTS = "hot boolean, part long, gram long, seg long, a int, m int, skip int, pa int, pm int, n long, bytes binary"
 
 
-_PARTS = "part long, gram long, seg long, a int, m int, skip int, pa int, pm int, n long, bytes binary"
-
-
-def _cut_parts(batches, length: int):
-    """Segments of hot grams in classes of offsets, each class under the hash of the bytes that all
-    its windows share."""
+def _cut(batches, length: int):
+    """Segments with their bytes: whole under their gram, or, of hot grams, in classes of offsets, each
+    class under the hash of the bytes that all its windows share."""
+    kinds = [pa.bool_()] + [pa.int64()] * 3 + [pa.int32()] * 5 + [pa.int64(), pa.binary()]
+    names = [c.split()[0] for c in _PARTS.split(", ")]
     for b in batches:
         out = []
         for text, segs in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             data = text.encode("utf-8")
             for s in segs:
                 a, m, lo, k = s["a"], s["m"], s["lo"], 0
+                if not s["hot"]:
+                    out.append((False, s["gram"], s["gram"], s["seg"], a, m, 0, a, m, s["n"], data[lo:lo + m - 1 + length]))
+                    continue
                 anchor = lo + a
                 while k < m:                       # window k has the anchor at offset a - k
                     kind = (a - k) // CLASS
                     end = min(m, a - kind * CLASS + 1)
                     shared = data[anchor - kind * CLASS:anchor - (kind + 1) * CLASS + 1 + length]
                     key = xxhash.xxh3_64_intdigest(shared, seed=kind) - (1 << 63)
-                    out.append((key, s["gram"], s["seg"], a, m, k, a - k, end - k, s["n"], data[lo + k:lo + end - 1 + length]))
+                    out.append((True, key, s["gram"], s["seg"], a, m, k, a - k, end - k, s["n"], data[lo + k:lo + end - 1 + length]))
                     k = end
         if out:
-            kinds = [pa.int64()] * 3 + [pa.int32()] * 5 + [pa.int64(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
-                                             [c.split()[0] for c in _PARTS.split(", ")])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
 
 
 def _sorted_runs(cut: DataFrame, length: int) -> DataFrame:
@@ -332,57 +339,73 @@ def _merged(spans: list[tuple[int, int]]) -> list[list[int]]:
 
 
 def _slim(docs: DataFrame) -> DataFrame:
-    """Keys and texts; both joins with texts take this, so that they share one shuffle of it."""
     return docs.select(*doc_key(), F.col("text").cast("string").alias("text"))
 
 
+def _repeated_grams(slim: DataFrame, length: int, gram: int) -> np.ndarray:
+    """The filter of anchor grams seen twice or more."""
+    size = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # a minimum of ``span`` hashes moves on at a random text about twice in a span
+    bits = seen_filter.bits_for(2 * size // (length - gram + 2))
+    return seen_filter.seen(slim, lambda batches: (s[3] for *_, s in _buffers(batches, length, gram)), bits, times=2)
+
+
+def _counted_windows(pieces_: DataFrame, length: int) -> DataFrame:
+    """Repeated windows of parts too large for one task, as runs of one window: counted by offset and hash."""
+    windows = F.transform(F.sequence(F.lit(0), F.col("m") - 1), lambda k: F.unhex(F.md5(F.substring(F.col("bytes"), k + 1, F.lit(length)))))
+    each = written(pieces_.select("gram", "seg", "a", "m", "n", F.posexplode(windows).alias("k", "w"))
+                   .withColumn("off", F.col("a") - F.col("k")), "windows")
+    again = written(each.groupBy("gram", "off", "w").agg(F.sum("n").alias("c")).where(F.col("c") > 1).drop("c"), "repeats")
+    return each.join(again, ["gram", "off", "w"]).select("gram", "seg", "a", "m", F.col("k").alias("lo"), F.col("k").alias("hi"))
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """_did, _tk and spans (from, to): the parts of each document that windows repeated elsewhere cover."""
     spark = docs.sparkSession
     small_batches(spark)
     slim = _slim(docs)
-    anchors = slim.mapInArrow(lambda it: _anchors(it, length, gram),
-                              "_did long, _tk long, lo int, m int, a int, gram long, seg long")
+    doc = F.xxhash64(*KEY)
+    repeated = spark.sparkContext.broadcast(_repeated_grams(slim, length, gram))
     # tables of their own, here and below: both sides of a join are then plain exchanges, whose hot partitions Spark splits
-    grams = written(anchors.groupBy("gram").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > 1).select("gram"), "repeated")
-    found = written(anchors.join(grams, "gram"), "anchors")
+    found = written(slim.mapInArrow(lambda it: _anchors(it, length, gram, repeated.value),
+                                    "_did long, _tk long, lo int, m int, a int, gram long, seg long"), "anchors")
     ident = ["gram", "seg", "a", "m"]
     distinct = written(found.groupBy(*ident).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*KEY, "lo")).alias("at")), "segments")
-    several = written(distinct.groupBy("gram").agg(F.count(F.lit(1)).alias("d")).where(F.col("d") > 1), "grams")
+    per_gram = written(distinct.groupBy("gram").agg(F.count(F.lit(1)).alias("d"), F.sum("n").alias("c")).where(F.col("c") > 1), "grams")
+    tagged = written(distinct.join(per_gram, "gram"), "tagged")
     # one distinct segment, found twice or more: all of its windows repeat
-    flagged = found.join(several.select("gram", F.lit(True).alias("mixed")), "gram", "left")
-    plain = flagged.where(F.col("mixed").isNull()).select(*KEY, F.col("lo").alias("from"), (F.col("lo") + F.col("m") - 1 + length).alias("to"))
-    # several: order the suffixes of their distinct segments
-    mixed = found.join(several.select("gram"), "gram", "left_semi")
-    distinct = distinct.join(several.select("gram"), "gram", "left_semi")
-    many = several.where(F.col("d") > hot).select("gram")
-
-    def with_text(segs: DataFrame) -> DataFrame:
-        own_ = segs.select("at._did", "at._tk", F.struct(*ident, "n", "at.lo").alias("s")).groupBy(*KEY).agg(F.collect_list("s").alias("segs"))
-        return slim.join(own_, KEY).dropDuplicates(KEY).select("text", "segs")
-
-    calm = distinct
-    if any_hot := many.limit(1).count() > 0:
-        calm = distinct.join(many, "gram", "left_anti")
-    runs = _sorted_runs(with_text(calm).mapInArrow(lambda it: _cut_whole(it, length), _PIECE), length)
-    if any_hot:
-        parts = with_text(distinct.join(many, "gram", "left_semi")).mapInArrow(lambda it: _cut_parts(it, length), _PARTS)
-        parts = written(parts.withColumn("id", F.xxhash64("bytes")), "parts")
-        pieces_ = parts.groupBy(F.col("part").alias("gram"), F.col("id").alias("seg"), F.col("pa").alias("a"), F.col("pm").alias("m"), "bytes") \
-            .agg(F.sum("n").alias("n")).select("gram", "seg", "a", "m", "n", "bytes")
-        found_ = _sorted_runs(pieces_, length).toDF("part", "id", "pa", "pm", "lo", "hi")
-        runs = runs.unionByName(parts.drop("bytes").join(found_, ["part", "id", "pa", "pm"])
+    plain = tagged.where(F.col("d") == 1).select(*ident, F.array(F.struct(F.lit(0).alias("f"), (F.col("m") - 1).alias("t"))).alias("runs"))
+    # several: order the suffixes of their distinct segments, each cut from the text of one document that has it
+    mixed = tagged.where(F.col("d") > 1).select("at._did", "at._tk", F.struct(*ident, "n", "at.lo", (F.col("d") > hot).alias("hot")).alias("s"))
+    owners = written(mixed.groupBy(*KEY).agg(F.collect_list("s").alias("segs")), "owners")
+    texts = slim.where(seen_filter.seen_rows(owners, doc)(doc)).join(owners, KEY).dropDuplicates(KEY).select("text", "segs")
+    parts = written(texts.mapInArrow(lambda it: _cut(it, length), _PARTS).withColumn("id", F.when(F.col("hot"), F.xxhash64("bytes"))), "parts")
+    runs = _sorted_runs(parts.where(~F.col("hot")).select(*ident, "n", "bytes"), length)
+    if parts.where("hot").limit(1).count():
+        some = parts.where("hot")
+        same = written(some.groupBy(F.col("part").alias("gram"), F.col("id").alias("seg"), F.col("pa").alias("a"), F.col("pm").alias("m"), "bytes")
+                       .agg(F.sum("n").alias("n")).select("gram", "seg", "a", "m", "n", "bytes"), "pieces")
+        large = written(same.groupBy("gram").agg(F.count(F.lit(1)).alias("d")).where(F.col("d") > hot).select("gram"), "large")
+        in_parts = _sorted_runs(same.join(large, "gram", "left_anti"), length).unionByName(_counted_windows(same.join(large, "gram"), length))
+        runs = runs.unionByName(some.drop("bytes").join(in_parts.toDF("part", "id", "pa", "pm", "lo", "hi"), ["part", "id", "pa", "pm"])
                                 .select(*ident, (F.col("lo") + F.col("skip")).alias("lo"), (F.col("hi") + F.col("skip")).alias("hi")))
-    per_segment = written(runs.groupBy(*ident).agg(F.collect_set(F.struct(F.col("lo").alias("f"), F.col("hi").alias("t"))).alias("runs")), "runs")
-    sorted_ = (mixed.join(per_segment, ident).select(*KEY, "lo", F.inline("runs"))
-               .select(*KEY, (F.col("lo") + F.col("f")).alias("from"), (F.col("lo") + F.col("t") + length).alias("to")))
-    return plain.unionByName(sorted_).groupBy(*KEY).agg(F.collect_set(F.struct("from", "to")).alias("spans"))
+    sorted_ = runs.groupBy(*ident).agg(F.collect_set(F.struct(F.col("lo").alias("f"), F.col("hi").alias("t"))).alias("runs"))
+    marks = written(plain.unionByName(sorted_), "runs")
+    return (found.join(marks, ident).select(*KEY, "lo", F.inline("runs"))
+            .select(*KEY, (F.col("lo") + F.col("f")).alias("from"), (F.col("lo") + F.col("t") + length).alias("to"))
+            .groupBy(*KEY).agg(F.collect_set(F.struct("from", "to")).alias("spans")))
 
 
 def drop_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """For each document doc_id, n_bytes, n_removed, n_spans and kept (the bytes that stay, binary)."""
     doc_id = F.when(F.col("_did") != NULL_ID, F.col("_did")).alias("doc_id")
-    joined = _slim(docs).join(repeated_spans(docs, length, gram, hot), KEY, "left").select(doc_id, "text", "spans")
+    slim, doc = _slim(docs), F.xxhash64(*KEY)
+    spans = written(repeated_spans(docs, length, gram, hot), "spans")
+    loses = seen_filter.seen_rows(spans, doc)(doc)
+    joined = slim.where(loses).join(spans, KEY, "left").select(doc_id, "text", "spans")
+    text, none = F.coalesce("text", F.lit("")), F.lit(0).cast("long")
+    whole = slim.where(~loses).select(doc_id, F.octet_length(text).cast("long").alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"),
+                                      F.encode(text, "UTF-8").alias("kept"))
 
     def apply(batches):
         for b in batches:
@@ -404,4 +427,4 @@ def drop_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: i
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
     return joined.mapInArrow(apply, joined.select("doc_id").schema.add("n_bytes", "long").add("n_removed", "long")
-                             .add("n_spans", "long").add("kept", "binary"))
+                             .add("n_spans", "long").add("kept", "binary")).unionByName(whole)

@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 from llm_helpers import sha
 
-from ledgerflow.llm import line_dedup, simhash, suffix_dedup
+from ledgerflow.llm import line_dedup, seen_filter, simhash, suffix_dedup
 
 
 def random_rows(n=200, seed=1):
@@ -49,6 +49,31 @@ def test_suffix_dedup(spark, small_docs):
     assert run_suffix(spark.createDataFrame([], "doc_id long, text string")) == {}
 
 
+def test_suffix_dedup_counts_windows_of_large_parts(spark, monkeypatch):
+    rng = random.Random(8)
+    word = lambda k: "".join(rng.choice("abcdefgh ") for _ in range(k))
+    shared = word(260)
+    rows = [(i, word(rng.randrange(0, 300)) + shared + word(rng.randrange(0, 300))) for i in range(60)] + [(60, shared), (60, shared), (61, word(2000))]
+    counted, real = [], suffix_dedup._counted_windows
+    monkeypatch.setattr(suffix_dedup, "_counted_windows", lambda *a: counted.append(real(*a)) or counted[-1])
+    assert run_suffix(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), hot=3) == brute_suffix(rows, 200)
+    assert counted[0].count() > 0
+
+
+def test_seen_filter(spark):
+    keys = [random.Random(i).getrandbits(63) - (1 << 62) for i in range(3000)]
+    twice, once = keys[:1000], keys[1000:2000]
+    df = spark.createDataFrame([(k,) for k in twice + once + twice], "k long").repartition(5)
+    draw = lambda batches: (b.column(0).to_numpy(zero_copy_only=False) for b in batches)
+    bits = seen_filter.bits_for(3000)
+    two, one = (seen_filter.seen(df, draw, bits, times) for times in (2, 1))
+    assert seen_filter.passes(two, np.array(twice)).all() and seen_filter.passes(one, np.array(twice + once)).all()
+    assert seen_filter.passes(two, np.array(keys[1000:])).mean() < 0.05 and seen_filter.passes(one, np.array(keys[2000:])).mean() < 0.05
+    maybe = seen_filter.seen_rows(df, df.k)
+    got = {r.k for r in spark.createDataFrame([(k,) for k in keys], "k long").where(maybe("k")).collect()}
+    assert set(twice + once) <= got and len(got) < 2100
+
+
 def test_blind_trie_orders():
     rng = random.Random(3)
     keys = ["".join(rng.choice("ab") for _ in range(12)).encode() for _ in range(300)]
