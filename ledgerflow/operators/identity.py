@@ -131,48 +131,6 @@ def match_exact(requests: DataFrame, employees: DataFrame, aliases: DataFrame,
     return out
 
 
-def create_employees(unmatched: DataFrame, next_id_from: DataFrame, order_col: str = "message_id",
-                     source: str = "whatsapp_auto_create") -> tuple[DataFrame, DataFrame]:
-    """I5 for requests no tier matched: one new employee per identity.
-
-    The identity of a request is its id phone (``id_phone``, else payout
-    phone), else its normal name, else ``Unknown``; the earliest request of
-    an identity creates the row and the later ones match it. New ids follow
-    creation order after the current maximum id. Returns ``(new_employees,
-    assignments)`` where assignments maps each request's ``message_id`` to
-    its ``employee_id``.
-    """
-    valid = valid_name("name_raw")
-    u = unmatched.withColumn("_eid", F.coalesce("id_phone", "payout_phone"))
-    full_name = F.when(valid, F.trim("name_raw")).otherwise(
-        F.coalesce("payout_phone", "id_phone", F.lit("Unknown")))
-    u = (u.withColumn("_full", full_name)
-         .withColumn("_ident", F.coalesce(F.concat(F.lit("p:"), "_eid"),
-                                          F.concat(F.lit("n:"), F.when(valid, norm_name("name_raw"))),
-                                          F.lit("unknown"))))
-    first = (u.groupBy("_ident").agg(
-        F.min_by(F.struct(order_col, "_full", "payout_phone", "_eid"), F.col(order_col)).alias("_f"),
-        F.min_by(F.when(valid, F.trim("name_raw")), F.when(valid, F.col(order_col))).alias("_first_valid")))
-    start = next_id_from.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).scalar()
-    first = dense_ids(first, [F.col("_f")[order_col], F.col("_ident")], start=start, name="id")
-    new_emp = first.select(
-        "id",
-        employee_code("id").alias("employee_code"),
-        F.coalesce("_first_valid", F.col("_f")["_full"]).alias("full_name"),
-        norm_name(F.coalesce("_first_valid", F.col("_f")["_full"])).alias("name_normalized"),
-        F.col("_f")["payout_phone"].alias("primary_phone"),
-        F.col("_f")["_eid"].alias("employee_id_phone"),
-        F.lit("active").alias("status"),
-        F.lit(source).alias("created_source"),
-        F.lit(None).cast("long").alias("canonical_employee_id"),
-        F.lit("unresolved").alias("resolution_status"),
-        F.col("_ident"),
-    )
-    assign = u.join(new_emp.select("_ident", F.col("id").alias("employee_id")), "_ident") \
-              .select(order_col, "employee_id")
-    return new_emp.drop("_ident"), assign
-
-
 def members(employees: DataFrame, canonical: DataFrame | None = None) -> DataFrame:
     """``(canonical_id, member_id)``; every row is a member of its own
     canonical row, so a canonical row lists itself."""

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.functions.text import (norm_phone, payment_ref, income_ref, period,
                                        reversal_ref)
-from ledgerflow.operators import identity
+from ledgerflow.operators import identity, matching
 from ledgerflow.operators.ids import dense_ids
 
 COMMANDS = ["cash_command", "income_command"]
@@ -100,19 +100,9 @@ def match_requests(routed: DataFrame) -> DataFrame:
     )
 
 
-def match_or_create(requests: DataFrame, employees: DataFrame, aliases: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """I1 + I5 over a batch: exact tiers against the master, then creation
-    for the rest. Returns ``(assigned_requests, new_employees)``."""
-    master = identity.prepare_master(employees)
-    canon = identity.resolve_canonical(master)
-    # hits and misses both read the match: run its joins once
-    m = identity.match_exact(requests, master, aliases, canon).persist(StorageLevel.MEMORY_AND_DISK)
-    hit = m.where(F.col("employee_id").isNotNull())
-    miss = m.where(F.col("employee_id").isNull()).drop("match_tier", "matched_id", "employee_id")
-    new_emp, assign = identity.create_employees(miss, master)
-    created = miss.join(assign, "message_id").withColumn("match_tier", F.lit("auto_created")) \
-                  .withColumn("matched_id", F.col("employee_id"))
-    return hit.unionByName(created), new_emp
+def match_or_create(requests: DataFrame, employees: DataFrame, aliases: DataFrame, similar=None) -> matching.Matched:
+    """I1, I2, I5 over a batch, in message order; ``similar`` turns the fuzzy tier on (see ``matching``)."""
+    return matching.match_in_order(requests, employees, aliases, similar=similar)
 
 
 def _payment_rows(df: DataFrame, parity: bool, created_by) -> DataFrame:
@@ -152,6 +142,15 @@ def keyed_payments(candidates: DataFrame, existing: DataFrame | None, order_col:
     return _first_per_key(rows, existing, order_col)
 
 
+def keyed_amounts(candidates: DataFrame, existing: DataFrame | None, order_col: str = "message_id",
+                  parity: bool = False) -> DataFrame:
+    """The payments T1 adds, in the columns that the ledger reads: no text is shuffled for it."""
+    per = period("txn_date")
+    rows = candidates.select(payment_ref("message_id", "employee_id", "amount", per, "payout_method", parity).alias("txn_ref"),
+                             order_col, "employee_id", "amount", "txn_category", per.alias("accounting_period"))
+    return _first_per_key(rows, existing, order_col)
+
+
 def post_payments(candidates: DataFrame, existing: DataFrame | None, order_col: str = "message_id",
                   parity: bool = False, created_by=None) -> DataFrame:
     """Key each payment (F13), keep the first of each key in the batch, drop

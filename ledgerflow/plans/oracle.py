@@ -279,18 +279,36 @@ LEFT JOIN canon c ON c.id = b.matched_id"""),
 
 
 def create_ctes() -> list[tuple[str, str]]:
-    """New employees for unmatched requests: one per identity (id phone, else
-    payout phone, else valid normal name, else Unknown), in first-message order."""
+    """I1, I2 and I5 in message order for the requests that no row of the master matches.
+
+    In the message fixture a customer's requests have the customer's phone and
+    name (kind A), the phone (B), the name (C) or neither (U). The first request
+    of a customer creates a row. A row made by A has both keys. One made by B
+    gets its name at the first A; a C before that finds no name and creates a
+    second row, which later Cs find until the first row, with the lower id, has
+    the name. One made by C has no phone: an A finds it by name until a B creates
+    a second row with the phone.
+    """
     return [
-        ("miss", f"""SELECT *, coalesce('p:' || coalesce(id_phone, payout_phone),
-  CASE WHEN {valid_name('name_raw')} THEN 'n:' || {norm_name('name_raw')} END, 'unknown') AS ident
+        ("m", """SELECT *, CASE WHEN payout_phone IS NOT NULL THEN CASE WHEN name_raw IS NOT NULL THEN 'A' ELSE 'B' END
+  WHEN name_raw IS NOT NULL THEN 'C' ELSE 'U' END AS kind,
+  CASE WHEN payout_phone IS NOT NULL THEN CAST(payout_phone[3:] AS BIGINT) - 700000000
+       WHEN name_raw IS NOT NULL THEN CAST(translate(name_raw[5:], 'abcdefghij', '0123456789') AS BIGINT) ELSE -1 END AS cust
 FROM matched WHERE employee_id IS NULL"""),
-        ("firsts", "SELECT ident, min(message_id) AS first_msg FROM miss GROUP BY ident"),
-        ("newemp", "SELECT ident, (SELECT max(id) FROM emp) + row_number() OVER (ORDER BY first_msg, ident) AS id FROM firsts"),
-        ("assigned", """SELECT * EXCLUDE (ident) FROM (
-  SELECT m.*, NULL AS ident FROM matched m WHERE m.employee_id IS NOT NULL
-  UNION ALL SELECT mi.* EXCLUDE (employee_id, match_tier, matched_id, ident), 'auto_created', n.id, n.id, mi.ident
-  FROM miss mi JOIN newemp n USING (ident)) z"""),
+        ("g", """SELECT cust, min(message_id) AS t0, arg_min(kind, message_id) AS k0, min(message_id) FILTER (kind = 'A') AS ta,
+  min(message_id) FILTER (kind = 'B') AS tb, min(message_id) FILTER (kind = 'C') AS tc FROM m GROUP BY cust"""),
+        ("made", """SELECT m.*, k0, t0, CASE
+  WHEN k0 IN ('U', 'A') THEN t0
+  WHEN k0 = 'B' THEN CASE WHEN kind <> 'C' OR coalesce(message_id > ta, false) THEN t0 ELSE tc END
+  WHEN kind = 'C' OR (kind = 'A' AND coalesce(message_id < tb, true)) THEN t0 ELSE tb END AS maker
+FROM m JOIN g USING (cust)"""),
+        ("newemp", """SELECT maker, (SELECT max(id) FROM emp) + row_number() OVER (ORDER BY maker) AS id
+FROM (SELECT DISTINCT maker FROM made) d"""),
+        ("assigned", """SELECT * FROM matched WHERE employee_id IS NOT NULL
+UNION ALL SELECT made.* EXCLUDE (kind, cust, k0, t0, maker, employee_id, match_tier, matched_id),
+  CASE WHEN message_id = maker THEN 'auto_created' WHEN kind IN ('U', 'C') OR (k0 = 'C' AND maker = t0) THEN 'exact_name'
+    ELSE 'exact_phone' END, id, id
+FROM made JOIN newemp USING (maker)"""),
     ]
 
 
