@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.functions.text import (collapse_text, employee_code, norm_name, norm_phone, py_strip,
                                        valid_name)
-from ledgerflow.operators.ids import dense_ids
+from ledgerflow.operators import fuzzy
 from ledgerflow.session import ensure_checkpoint_dir
 
 TIER_ORDER = ["exact_phone", "exact_id_phone", "alias_phone", "exact_name"]
@@ -153,7 +153,8 @@ def search(queries: DataFrame, employees: DataFrame, aliases: DataFrame,
            canonical: DataFrame | None = None) -> DataFrame:
     """I14 for a batch of ``queries(query)``: phone-like queries (six or more
     digits) probe id phone, primary phone and phone aliases; every query
-    probes exact normal name and name aliases. Hits resolve to their canonical
+    probes exact normal name and name aliases, and, from three characters of
+    normal name on, active rows whose name scores 90 or more. Hits resolve to their canonical
     row (I6) and each canonical keeps its best (lowest) priority (A18).
     Any status matches, as in the source system."""
     master = prepare_master(employees)
@@ -176,6 +177,10 @@ def search(queries: DataFrame, employees: DataFrame, aliases: DataFrame,
         hits = q.where(F.col(key).isNotNull() & (F.col(key) != "")).join(side, F.col(key) == side._v) \
                 .select("query", "id", F.lit(prio).alias("priority"), F.lit(tier).alias("match_type"))
         rows = hits if rows is None else rows.unionByName(hits)
+    named = master.where((F.col("status") == "active") & (F.col("name_normalized") != "")).select("id", F.col("name_normalized").alias("other"))
+    alike = fuzzy.similar_names(q.where(F.length("_name") >= 3).select(F.col("_name").alias("name")), named.select("other"), fuzzy.ACCEPT)
+    rows = rows.unionByName(q.join(alike, F.col("_name") == F.col("name")).join(named, "other")
+                            .select("query", "id", F.lit(6).alias("priority"), F.lit("fuzzy_name").alias("match_type")))
     if canonical is None:
         canonical = resolve_canonical(master)
     c = canonical.select(F.col("id").alias("_cid"), "canonical_id")

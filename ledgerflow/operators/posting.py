@@ -100,9 +100,9 @@ def match_requests(routed: DataFrame) -> DataFrame:
     )
 
 
-def match_or_create(requests: DataFrame, employees: DataFrame, aliases: DataFrame, similar=None) -> matching.Matched:
-    """I1, I2, I5 over a batch, in message order; ``similar`` turns the fuzzy tier on (see ``matching``)."""
-    return matching.match_in_order(requests, employees, aliases, similar=similar)
+def match_or_create(requests: DataFrame, employees: DataFrame, aliases: DataFrame, fuzzy_names: bool = True) -> matching.Matched:
+    """I1, I2, I3, I5 over a batch, in message order; the fuzzy tier can be left out (see ``matching``)."""
+    return matching.match_in_order(requests, employees, aliases, fuzzy_names=fuzzy_names)
 
 
 def _payment_rows(df: DataFrame, parity: bool, created_by) -> DataFrame:

@@ -825,11 +825,20 @@ UNION ALL SELECT 'al-' || split_part(full_name, ' ', 1) FROM fx_employees"""),
     ("qf", f"""SELECT DISTINCT query,
   CASE WHEN length(regexp_replace({o.strip('query')}, '\\P{{Nd}}', '', 'g')) >= 6 THEN {o.norm_phone(o.strip('query'))} END AS ph,
   {o.norm_name('query')} AS nm FROM qs WHERE {o.strip('query')} <> ''"""),
+    # in this fixture names score 90 or more if they share the segment and their codes of six letters are an
+    # insertion and a deletion apart: then both are the same without some letter
+    ("fz", """SELECT DISTINCT x.query, y.id
+FROM (SELECT query, split_part(nm, ' ', 1) AS seg, split_part(nm, ' ', 2) AS code, unnest(range(1, 7)) AS i FROM qf) x
+JOIN (SELECT id, split_part(name_normalized, ' ', 1) AS seg, split_part(name_normalized, ' ', 2) AS code, unnest(range(1, 7)) AS i
+      FROM emp WHERE status = 'active') y
+  ON x.seg = y.seg AND substr(x.code, 1, x.i - 1) || substr(x.code, x.i + 1) = substr(y.code, 1, y.i - 1) || substr(y.code, y.i + 1)
+WHERE length(x.code) = 6 AND x.code <> y.code"""),
     ("hits", """SELECT query, e.id, 1 AS priority, 'id_phone' AS match_type FROM qf JOIN emp e ON e.employee_id_phone = qf.ph
 UNION ALL SELECT query, e.id, 2, 'primary_phone' FROM qf JOIN emp e ON e.primary_phone = qf.ph
 UNION ALL SELECT query, a.employee_id, 3, 'alias_phone' FROM qf JOIN fx_aliases a ON a.alias_type = 'phone' AND a.alias_value = qf.ph
 UNION ALL SELECT query, e.id, 4, 'exact_name' FROM qf JOIN emp e ON e.name_normalized = qf.nm AND qf.nm <> ''
-UNION ALL SELECT query, a.employee_id, 5, 'alias_name' FROM qf JOIN fx_aliases a ON a.alias_type = 'name' AND a.alias_value = qf.nm AND qf.nm <> ''""")],
+UNION ALL SELECT query, a.employee_id, 5, 'alias_name' FROM qf JOIN fx_aliases a ON a.alias_type = 'name' AND a.alias_value = qf.nm AND qf.nm <> ''
+UNION ALL SELECT query, id, 6, 'fuzzy_name' FROM fz""")],
     """SELECT query, c.canonical_id AS employee_id, arg_min(match_type, priority) AS match_type, min(priority) AS priority
 FROM hits JOIN canon c ON c.id = hits.id GROUP BY query, c.canonical_id""", recursive=True))
 def employee_search(spark, sf):
@@ -1514,3 +1523,7 @@ def name_forms(spark, sf):
     return n.select("name", tx.norm_name("name").alias("name_normalized"), tx.search_text("name").alias("search_text"),
                     tx.collapse_text("name").alias("collapsed"), F.coalesce(tx.valid_name("name"), F.lit(False)).alias("valid"),
                     F.coalesce(tx.display_name_ok("name"), F.lit(False)).alias("display_ok"))
+
+
+# more queries, registered here so that all are in one table
+from ledgerflow.plans import people  # noqa: E402, F401

@@ -216,3 +216,67 @@ def identity_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(i % 2 == 0, "name_collision").otherwise("fuzzy_name_below_threshold").alias("match_reason"),
         F.when(i % 2 == 0, 0.95).otherwise(0.75).cast("decimal(4,3)").alias("confidence_score"),
         F.when(i % 3 == 0, "rejected").otherwise("pending").alias("review_status"))
+
+
+SYLLABLES = ["ra", "ka", "mi", "bu", "sha", "jo", "li", "na", "he", "to"]
+
+
+def _syllables(key: Column, digits: int) -> Column:
+    """A word of one syllable a digit."""
+    d = F.lpad(key.cast("string"), digits, "0")
+    table = F.array(*[F.lit(s) for s in SYLLABLES])
+    return F.concat(*[F.get(table, F.substring(d, i + 1, 1).cast("int")) for i in range(digits)])
+
+
+def _person(key: Column) -> Column:
+    """A name of two or three words; titles and family names are shared by many."""
+    title = F.get(F.array(*[F.lit(t) for t in ("md", "abdul", None, "mst", "sheikh")]), (key % 5).cast("int"))
+    return F.concat_ws(" ", title, _syllables(F.floor(key / 3) * 37 % 1000, 3), _syllables(key * 13 % 100, 2))
+
+
+def people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A master for matching and search: every other customer, some without a name, some with
+    an id phone, every 25th inactive, every 15th linked to the row before."""
+    k = F.col("c_custkey")
+    c = read_table(spark, sf_dir, "customer", ["c_custkey"]).where(k % 2 == 0)
+    return c.select(
+        (k + 1).alias("id"), employee_code(k + 1).alias("employee_code"),
+        F.when(k % 12 == 4, _phone(k, 700000000)).when(k % 48 == 6, "Unknown").otherwise(F.initcap(_person(k))).alias("full_name"),
+        _phone(k, 700000000).alias("primary_phone"),
+        F.when(k % 4 == 0, _phone(k, 710000000)).alias("employee_id_phone"),
+        F.when(k % 30 == 14, k - 1).cast("long").alias("canonical_employee_id"),
+        F.when(k % 25 == 3, "inactive").otherwise("active").alias("status"))
+
+
+def people_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phone aliases of the master, those of inactive rows among them, and a name alias each."""
+    k = F.col("c_custkey")
+    c = read_table(spark, sf_dir, "customer", ["c_custkey"]).where(k % 2 == 0)
+    return c.select((k + 1).alias("employee_id"), F.lit("phone").alias("alias_type"), _phone(k, 720000000).alias("alias_value")) \
+        .unionByName(c.select((k + 1).alias("employee_id"), F.lit("name").alias("alias_type"), F.concat(F.lit("bhai "), _person(k)).alias("alias_value")))
+
+
+def people_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Match requests, one an order: phones, id phones, aliases and names of the master, of people
+    it lacks, and of several people at once."""
+    o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"])
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    m = k % 12
+    name = F.when(m.isin(3, 4, 6, 7, 8), _person(c)).when(m.isin(9, 10), F.concat(F.lit("new "), _syllables(c % 100, 2))).when(m == 11, "n/a")
+    payout = (F.when(m.isin(0, 7), _phone(c, 700000000)).when(m.isin(1, 4), _phone(c, 730000000)).when(m == 2, _phone(c, 720000000))
+              .when(m == 5, _phone(c, 710000000)).when(m.isin(8, 9), _phone(c % 50, 740000000)))
+    id_phone = F.when(m == 1, _phone(c, 710000000)).when(m == 8, _phone(c, 730000000))
+    return o.select((k + 1).alias("message_id"), name.alias("name_raw"), payout.alias("payout_phone"), id_phone.alias("id_phone"))
+
+
+def people_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names as messages give them, one an order: in another order, without the title, with a letter
+    less or a word more, of people the master lacks, and the first word alone."""
+    o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"])
+    n, m = _person(F.col("o_custkey")), F.col("o_orderkey") % 7
+    words = F.split(n, " ")
+    return o.select(
+        (F.col("o_orderkey") + 1).alias("message_id"),
+        F.when(m == 0, n).when(m == 1, F.array_join(F.reverse(words), " ")).when(m == 2, F.array_join(F.slice(words, -2, 2), " "))
+        .when(m == 3, F.substring(n, F.lit(1), F.length(n) - 1)).when(m == 4, F.concat(n, F.lit(" mia")))
+        .when(m == 5, F.concat(F.lit("x"), n)).otherwise(F.get(words, F.lit(0))).alias("name"))

@@ -2,32 +2,21 @@
 import random
 
 import pytest
-from pyspark import cloudpickle
-from pyspark.sql import functions as F
 
-import fold as plain
-from fold import Fold, norm, token_set
+from fold import Fold, norm
 from ledgerflow.operators import matching
 
-cloudpickle.register_pickle_by_value(plain)      # the plain score runs in Spark's workers too
 EMP = ("id long, full_name string, name_normalized string, primary_phone string, employee_id_phone string, status string, "
        "canonical_employee_id long")
 ALIAS = "employee_id long, alias_type string, alias_value string"
 REQ = "message_id long, name_raw string, payout_phone string, id_phone string, amount int"
 
 
-def similar(names, others):
-    """All pairs of different names from the plain score."""
-    score = F.udf(token_set, "double")
-    return (names.crossJoin(others).where("name <> other").withColumn("score", score("name", "other"))
-            .where(F.col("score") >= matching.FUZZY_REVIEW))
-
-
 def run(spark, employees, aliases, requests, fuzzy=False):
     emp = spark.createDataFrame([(e["id"], e["name"], e["norm"], e["primary"], e["idphone"], e["status"], e["link"]) for e in employees], EMP)
     als = spark.createDataFrame([(a["employee_id"], a["alias_type"], a["alias_value"]) for a in aliases], ALIAS)
     req = spark.createDataFrame([(*r, 1) for r in requests], REQ).repartition(3)
-    return matching.match_in_order(req, emp, als, similar=similar if fuzzy else None)
+    return matching.match_in_order(req, emp, als, fuzzy_names=fuzzy)
 
 
 def check(spark, employees, aliases, requests, fuzzy=False):
@@ -70,17 +59,24 @@ def test_every_tier(spark):
     assert {t for _, _, t in got.values()} == {"exact_phone", "exact_id_phone", "alias_phone", "exact_name", "auto_created"}
 
 
-def test_a_chain_of_requests_that_wait(spark):
+@pytest.mark.parametrize("folds", [0, 4000])
+def test_a_chain_of_requests_that_wait(spark, folds, monkeypatch):
     """Each shares a name with the one before and a phone with the one after."""
+    monkeypatch.setattr(matching, "FOLD_REQUESTS", folds)
     reqs = []
-    for k in range(4):
-        reqs.append((2 * k, f"name {chr(97 + k)}", f"017000000{k:02d}", None))
-        reqs.append((2 * k + 1, f"name {chr(97 + k)}", f"017000000{k + 1:02d}", None))
+    for k in range(4 if folds == 0 else 300):
+        reqs.append((2 * k, f"name {k}x", f"01700000{k:03d}", None))
+        reqs.append((2 * k + 1, f"name {k}x", f"01700000{k + 1:03d}", None))
     check(spark, [], [], reqs)
 
 
+@pytest.mark.parametrize("folds", [0, 8, 4000])
 @pytest.mark.parametrize("seed", range(4))
-def test_random_batches(spark, seed):
+def test_random_batches(spark, seed, folds, monkeypatch):
+    """By rounds alone, by rounds and a fold of the last few, and by the fold alone."""
+    if folds == 0 and seed > 1:
+        pytest.skip("rounds alone take long")
+    monkeypatch.setattr(matching, "FOLD_REQUESTS", folds)
     rng = random.Random(seed)
     phones = [f"0170000000{k}" for k in range(7)]
     names = ["Abdul Karim", "karim", "Rahim Uddin", "rahim", "Unknown", "12", "n/a", "Babu", "Abdul Kareem", "01700000003", None]
@@ -93,3 +89,37 @@ def test_random_batches(spark, seed):
     als = [{"employee_id": v, "alias_type": t, "alias_value": x} for (t, x), v in als.items()]
     reqs = [(3 * k + rng.randrange(3), rng.choice(names), some(0.6), some(0.3)) for k in range(25)]
     check(spark, master, als, reqs, fuzzy=seed % 2 == 1)
+
+
+def test_the_whole_fixture(spark):
+    """The queries' own input, whole, against the fold, doubts and all."""
+    from ledgerflow.functions.text import norm_name
+    from ledgerflow.plans.queries import QUERIES
+    from ledgerflow.sources import fixtures as fx
+    from paths import SF_SMALL
+    master = [{"id": r.id, "name": r.full_name, "norm": r.n, "primary": r.primary_phone, "idphone": r.employee_id_phone, "status": r.status,
+               "link": r.canonical_employee_id} for r in fx.people(spark, SF_SMALL).withColumn("n", norm_name("full_name")).collect()]
+    reqs = [tuple(r) for r in fx.people_requests(spark, SF_SMALL).collect()]
+    fold = Fold(master, [r.asDict() for r in fx.people_aliases(spark, SF_SMALL).collect()], fuzzy=True)
+    want = {rid: fold.match(rid, name, p, i) for rid, name, p, i in sorted(reqs)}
+    got = {r.message_id: (r.matched_id, r.employee_id, r.match_tier) for r in QUERIES["match_in_order"](spark, SF_SMALL).collect()}
+    assert got == want
+    assert {t for *_, t in want.values()} >= {"exact_phone", "exact_id_phone", "alias_phone", "exact_name", "auto_created"}
+    assert any(x[3] == "fuzzy_name_below_threshold" for x in fold.reviews)
+    writes = QUERIES["match_writes"](spark, SF_SMALL).collect()
+    assert {r.employee_id: r.full_name for r in writes if r.kind == "employee"} == {i: fold.rows[i]["name"] for i in fold.made}
+    there = {(r.candidate_employee_id, r.suspected_match_id, r.match_reason) for r in fx.identity_reviews(spark, SF_SMALL).collect() if r.review_status == "pending"}
+    queue = QUERIES["identity_review_queue"](spark, SF_SMALL).collect()
+    assert len({r.id for r in queue}) == len(queue)
+    assert {(r.candidate_employee_id, r.suspected_match_id, r.match_reason) for r in queue if r.review_status == "pending"} == there | {x[1:4] for x in fold.reviews}
+
+
+def test_queued_once(spark):
+    cols = "id long, candidate_employee_id long, suspected_match_id long, match_reason string, review_status string"
+    there = spark.createDataFrame([(7, 1, 2, "a", "pending"), (8, 1, 3, "a", "rejected"), (9, None, 4, "a", "pending")], cols)
+    new = spark.createDataFrame([(1, 1, 2, "a", 0.8), (2, 1, 3, "a", 0.8), (3, None, 4, "a", 0.8), (4, 5, 5, "a", 0.8), (6, 1, 2, "b", 0.9), (5, 1, 2, "b", 0.7)],
+                                "message_id long, candidate_employee_id long, suspected_match_id long, match_reason string, confidence_score double")
+    out = matching.enqueue_reviews(there, new)
+    assert [(r.id, r.message_id, r.confidence_score) for r in out.orderBy("id").collect()] == [(10, 2, 0.8), (11, 5, 0.7)]
+    again = there.unionByName(out.select(*there.columns))
+    assert matching.enqueue_reviews(again, new).count() == 0
