@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from ledgerflow.functions.text import (collapse_text, employee_code, norm_name, norm_phone, py_strip,
                                        valid_name)
 from ledgerflow.operators import fuzzy
-from ledgerflow.session import ensure_checkpoint_dir
 
 TIER_ORDER = ["exact_phone", "exact_id_phone", "alias_phone", "exact_name"]
 
@@ -212,95 +211,6 @@ def canonical_profiles(employees: DataFrame, aliases: DataFrame, canonical: Data
                     .alias("aliases"), payout.alias("payout_phones"))
 
 
-def _decide_in_order(valid: DataFrame) -> DataFrame:
-    """Outcome of each request as if they were applied one by one in request
-    order: accepted unless an earlier accepted request linked its target
-    (``target_is_duplicate``) or the same row (``already_linked_in_batch``).
-
-    Each round settles every request that no earlier open request bears on, so
-    the rounds are as many as the longest chain of requests that wait for each
-    other. A round joins two aggregates with one row per linked employee; no
-    pairs of requests are formed. The state is checkpointed, so the plan stays
-    short.
-    """
-    st = valid.withColumn("outcome", F.lit(None).cast("string"))
-    ensure_checkpoint_dir(valid.sparkSession)
-    while True:
-        per = st.groupBy(F.col("duplicate_id").alias("_e")).agg(
-            F.min(F.when(F.col("outcome") == "linked", F.col("request_id"))).alias("done"),
-            F.min(F.when(F.col("outcome").isNull(), F.col("request_id"))).alias("open"))
-        own = per.select(F.col("_e").alias("_o"), F.col("done").alias("_o_done"), F.col("open").alias("_o_open"))
-        tgt = per.select(F.col("_e").alias("_t"), F.col("done").alias("_t_done"), F.col("open").alias("_t_open"))
-        r = F.col("request_id")
-        t_waits = F.coalesce(F.col("_t_open") < r, F.lit(False))
-        step = (F.when(F.col("_t_done") < r, "target_is_duplicate")
-                .when(~t_waits & (F.col("_o_done") < r), "already_linked_in_batch")
-                .when(~t_waits & (F.col("_o_open") == r), "linked"))
-        st = (st.join(own, st.duplicate_id == own._o).join(tgt, st.canonical_id == tgt._t, "left")
-              .withColumn("outcome", F.coalesce("outcome", step))
-              .select(*valid.columns, "outcome").checkpoint())
-        if st.where(F.col("outcome").isNull()).limit(1).count() == 0:
-            return st
-
-
-def link_duplicates(employees: DataFrame, decisions: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """I8 for a batch of ``decisions(request_id, duplicate_id, canonical_id,
-    score, actor)`` with unique request ids, applied in their order: rejected
-    when linking a row to itself, when either row is missing, or when the
-    target is itself a duplicate, in the master or through an earlier request;
-    a row linked twice in a batch keeps its first valid request. Returns
-    ``(new_employees, links, rejected)``; payments are never touched, only the
-    soft link."""
-    e = employees.select("id", "canonical_employee_id")
-    dup = e.select(F.col("id").alias("_d"))
-    tgt = e.select(F.col("id").alias("_t"), F.col("canonical_employee_id").alias("_t_link"))
-    j = (decisions.join(dup, decisions.duplicate_id == dup._d, "left")
-         .join(tgt, decisions.canonical_id == tgt._t, "left"))
-    j = j.withColumn("reject_reason",
-                     F.when(F.col("duplicate_id").isNull() | F.col("_d").isNull(), "duplicate_missing")
-                     .when(F.col("duplicate_id") == F.col("canonical_id"), "self_link")
-                     .when(F.col("_t").isNull(), "canonical_missing")
-                     .when(F.col("_t_link").isNotNull(), "target_is_duplicate"))
-    valid = _decide_in_order(j.where(F.col("reject_reason").isNull()).select(*decisions.columns))
-    ok = valid.where(F.col("outcome") == "linked")
-    rejected = j.where(F.col("reject_reason").isNotNull()).select("request_id", "duplicate_id", "canonical_id",
-                                                                  "reject_reason")
-    rejected = rejected.unionByName(valid.where(F.col("outcome") != "linked").select(
-        "request_id", "duplicate_id", "canonical_id", F.col("outcome").alias("reject_reason")))
-    links = ok.select(F.col("duplicate_id").alias("employee_id"), F.col("canonical_id").alias("canonical_employee_id"),
-                      F.lit("duplicate").alias("resolution_type"), F.col("score").cast("decimal(4,3)").alias("confidence_score"),
-                      F.coalesce("actor", F.lit("admin")).alias("created_by"))
-    upd = links.select(F.col("employee_id").alias("_u"), F.col("canonical_employee_id").alias("_new"))
-    targets = links.select(F.col("canonical_employee_id").alias("_c")).distinct()
-    out = (employees.join(upd, employees.id == upd._u, "left").join(targets, employees.id == targets._c, "left"))
-    cols = [c for c in employees.columns if c not in ("canonical_employee_id", "resolution_status")]
-    new = out.select(*cols,
-                     F.coalesce("_new", "canonical_employee_id").alias("canonical_employee_id"),
-                     F.when(F.col("_u").isNotNull(), "duplicate").when(F.col("_c").isNotNull(), "canonical")
-                      .otherwise(F.col("resolution_status") if "resolution_status" in employees.columns
-                                 else F.lit("unresolved")).alias("resolution_status"))
-    return new, links, rejected
-
-
-def resolve_reviews(reviews: DataFrame, decisions: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``decisions(review_id, decision, reviewer)`` on pending reviews
-    only. ``approved_merge`` links the candidate to the suspected row with
-    the stored score; ``rejected`` / ``kept_separate`` only close the review.
-    Returns ``(new_reviews, link_decisions)`` (the latter feed I8)."""
-    d = decisions.select(F.col("review_id").alias("_r"), F.col("decision").alias("_dec"), F.col("reviewer").alias("_rv"))
-    j = reviews.join(d, reviews.id == d._r, "left")
-    apply = F.col("_r").isNotNull() & (F.col("review_status") == "pending") \
-        & F.col("_dec").isin("approved_merge", "rejected", "kept_separate")
-    new = j.select(*[c for c in reviews.columns if c not in ("review_status",)],
-                   F.when(apply, F.col("_dec")).otherwise(F.col("review_status")).alias("review_status"),
-                   F.when(apply, F.col("_rv")).alias("reviewer"))
-    merges = j.where(apply & (F.col("_dec") == "approved_merge")).select(
-        F.col("id").alias("request_id"), F.col("candidate_employee_id").alias("duplicate_id"),
-        F.col("suspected_match_id").alias("canonical_id"), F.col("confidence_score").alias("score"),
-        F.col("_rv").alias("actor"))
-    return new, merges
-
-
 def text_search(employees: DataFrame, aliases: DataFrame, text: str, status: str = "active",
                 canonical_only: bool = True) -> DataFrame:
     """Employees by status (canonical rows only) whose name, id phone,

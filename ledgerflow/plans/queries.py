@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.functions import text as tx
-from ledgerflow.operators import identity, posting, reports, similarity
+from ledgerflow.operators import edits, identity, posting, reports, similarity
 from ledgerflow.operators.parse import METHOD_TAG, parse_results
 from ledgerflow.operators.topk import top_k_per_group
 from ledgerflow.plans import oracle as o
@@ -1139,34 +1139,72 @@ FROM d LEFT JOIN fx_employees dd ON dd.id = d.duplicate_id LEFT JOIN fx_employee
     # so the first valid request of a row is its accepted one
     ("firsts", "SELECT duplicate_id AS fd, min(request_id) AS fr FROM j WHERE bad IS NULL GROUP BY ALL")],
     """SELECT request_id, duplicate_id, canonical_id,
-  CASE WHEN bad IS NOT NULL THEN bad WHEN t.fr < request_id THEN 'target_is_duplicate'
-       WHEN f.fr < request_id THEN 'already_linked_in_batch' ELSE 'linked' END AS outcome
-FROM j LEFT JOIN firsts t ON t.fd = j.canonical_id LEFT JOIN firsts f ON f.fd = j.duplicate_id"""))
+  CASE WHEN bad IS NOT NULL THEN bad WHEN t.fr < request_id THEN 'target_is_duplicate' ELSE 'linked' END AS outcome
+FROM j LEFT JOIN firsts t ON t.fd = j.canonical_id"""))
 def link_duplicates_q(spark, sf):
     emp = fx.employees(spark, sf).withColumn("resolution_status", F.lit("unresolved"))
-    new, links, rejected = identity.link_duplicates(emp, _link_decisions(spark, sf))
-    d = _link_decisions(spark, sf)
-    ok = d.join(links.select(F.col("employee_id").alias("duplicate_id"), F.col("canonical_employee_id").alias("canonical_id")),
-                ["duplicate_id", "canonical_id"]).join(rejected.select("request_id"), "request_id", "left_anti")
-    return ok.select("request_id", "duplicate_id", "canonical_id", F.lit("linked").alias("outcome")).unionByName(
-        rejected.select("request_id", "duplicate_id", "canonical_id", F.col("reject_reason").alias("outcome")))
-
-
-@query("resolve_reviews", o.with_ctes(["fx_identity_reviews"], [], """SELECT id,
-  CASE WHEN review_status = 'pending' AND id % 4 = 2 THEN 'approved_merge'
-       WHEN review_status = 'pending' AND id % 4 = 0 THEN 'rejected' ELSE review_status END AS review_status,
-  review_status = 'pending' AND id % 4 = 2 AS merged
-FROM fx_identity_reviews"""))
+    out = edits.link_duplicates(emp, _link_decisions(spark, sf))
+    ok = out.audit.select("request_id", F.col("entity_id").alias("duplicate_id"),
+                          F.get_json_object("after_state", "$.canonical_employee_id").cast("long").alias("canonical_id"), F.lit("linked").alias("outcome"))
+    return ok.unionByName(out.rejected.select("request_id", "duplicate_id", "canonical_id", F.col("reject_reason").alias("outcome")))
+
+
+# merges in id order: a review's target, the row before its candidate, is a duplicate if that row's own review
+# was merged before, or if it is linked in the master
+@query("resolve_reviews", o.with_ctes(["fx_identity_reviews", "fx_employees"], [], """SELECT r.id,
+  CASE WHEN r.review_status = 'pending' AND r.id % 4 = 2 AND e.canonical_employee_id IS NULL THEN 'approved_merge'
+       WHEN r.review_status = 'pending' AND r.id % 4 = 0 THEN 'rejected' ELSE r.review_status END AS review_status,
+  r.review_status = 'pending' AND r.id % 4 = 2 AND e.canonical_employee_id IS NULL AS merged,
+  CASE WHEN r.review_status <> 'pending' AND r.id % 2 = 0 THEN 'not_pending'
+       WHEN r.id % 4 = 2 AND e.canonical_employee_id IS NOT NULL THEN 'target_is_duplicate' END AS refused
+FROM fx_identity_reviews r JOIN fx_employees e ON e.id = r.suspected_match_id"""))
 def resolve_reviews_q(spark, sf):
     r = fx.identity_reviews(spark, sf)
-    i = F.col("id")
-    dec = r.where(i % 4 == 2).select(F.col("id").alias("review_id"), F.lit("approved_merge").alias("decision"),
-                                     F.lit("admin").alias("reviewer")) \
-        .unionByName(r.where(i % 4 == 0).select(F.col("id").alias("review_id"), F.lit("rejected").alias("decision"),
-                                                F.lit("admin").alias("reviewer")))
-    new, merges = identity.resolve_reviews(r, dec)
-    m = merges.select(F.col("request_id").alias("id"), F.lit(True).alias("merged"))
-    return new.join(m, "id", "left").select("id", "review_status", F.coalesce("merged", F.lit(False)).alias("merged"))
+    dec = r.where(F.col("id") % 2 == 0).select(
+        F.col("id").alias("request_id"), F.col("id").alias("review_id"), F.when(F.col("id") % 4 == 2, "approved_merge").otherwise("rejected").alias("decision"),
+        F.lit("admin").alias("reviewer"), F.lit(None).cast("string").alias("note"))
+    out = edits.resolve_reviews(r, dec, fx.employees(spark, sf))
+    m = out.links.added.select("request_id", F.lit(True).alias("merged"))
+    no = out.rejected.select(F.col("review_id").alias("_v"), F.col("reject_reason").alias("refused"))
+    j = out.reviews.join(m, F.col("id") == F.col("request_id"), "left").join(no, F.col("id") == F.col("_v"), "left")
+    return j.select("id", "review_status", F.coalesce("merged", F.lit(False)).alias("merged"), "refused")
+
+
+@query("mark_inactive", o.with_ctes(["fx_employees"], [], """SELECT id, CASE WHEN id % 50 = 7 THEN 'inactive' ELSE status END AS status,
+  CASE WHEN id % 50 = 7 THEN 'inactive' ELSE 'unresolved' END AS resolution_status, CASE WHEN id % 50 = 7 THEN status END AS audited
+FROM fx_employees
+UNION ALL SELECT id + 10000000, 'not_found', NULL, NULL FROM fx_employees WHERE id % 100 = 9"""))
+def mark_inactive_q(spark, sf):
+    e = fx.employees(spark, sf)
+    ask = e.where(F.col("id") % 50 == 7).select("id").unionByName(e.where(F.col("id") % 100 == 9).select((F.col("id") + 10000000).alias("id")))
+    req = ask.select(F.col("id").alias("request_id"), F.col("id").alias("employee_id"), F.lit("admin").alias("actor"), F.lit("left").alias("reason"))
+    out = edits.mark_inactive(e, req)
+    was = out.audit.select(F.col("entity_id").alias("_e"), F.get_json_object("before_state", "$.status").alias("audited"))
+    none = F.lit(None).cast("string")
+    return out.table.join(was, F.col("id") == F.col("_e"), "left").select("id", "status", "resolution_status", "audited").unionByName(
+        out.rejected.select(F.col("employee_id").alias("id"), F.col("reject_reason").alias("status"), none.alias("resolution_status"), none.alias("audited")))
+
+
+@query("add_aliases", o.with_ctes(["fx_employees", "fx_aliases"], [
+    ("req", """SELECT id AS request_id, id AS employee_id, 'phone' AS alias_type, concat('01', lpad(CAST(800000000 + id AS VARCHAR), 9, '0')) AS alias_value FROM fx_employees
+UNION ALL SELECT 1000000 + id, id, 'name', concat('shared ', CAST(id % 100 AS VARCHAR)) FROM fx_employees
+UNION ALL SELECT 2000000 + id, id, 'email', 'x' FROM fx_employees WHERE id % 9 = 0
+UNION ALL SELECT 3000000 + id, id, 'employee_id', '' FROM fx_employees WHERE id % 11 = 0"""),
+    ("w", """SELECT alias_type, alias_value, min(request_id) AS first FROM req WHERE alias_type IN ('phone', 'name', 'employee_id') AND alias_value <> '' GROUP BY ALL""")],
+    """SELECT r.request_id, r.employee_id, CASE WHEN r.alias_type NOT IN ('phone', 'name', 'employee_id') THEN 'invalid_alias_type'
+  WHEN r.alias_value = '' THEN 'empty_value' WHEN w.first = r.request_id AND a.alias_value IS NULL THEN 'added' ELSE 'taken' END AS outcome
+FROM req r LEFT JOIN w USING (alias_type, alias_value)
+LEFT JOIN (SELECT DISTINCT alias_type, alias_value FROM fx_aliases) a USING (alias_type, alias_value)"""))
+def add_aliases_q(spark, sf):
+    e, i = fx.employees(spark, sf), F.col("id")
+    row = lambda at, kind, value, where: e.where(where).select((i + at).alias("request_id"), i.alias("employee_id"), F.lit(kind).alias("alias_type"),
+                                                               value.alias("alias_value"), F.lit("admin").alias("actor"))
+    req = (row(0, "phone", F.concat(F.lit("01"), F.lpad((F.lit(800000000) + i).cast("string"), 9, "0")), F.lit(True))
+           .unionByName(row(1000000, "name", F.concat(F.lit("shared "), (i % 100).cast("string")), F.lit(True)))
+           .unionByName(row(2000000, "email", F.lit("x"), i % 9 == 0)).unionByName(row(3000000, "employee_id", F.lit(""), i % 11 == 0)))
+    out = edits.add_aliases(fx.aliases(spark, sf), req)
+    return out.audit.select("request_id", F.col("entity_id").alias("employee_id"), F.lit("added").alias("outcome")).unionByName(
+        out.rejected.select("request_id", "employee_id", F.col("reject_reason").alias("outcome")))
 
 
 # ---------------------------------------------------------------------------

@@ -1,7 +1,10 @@
 """Cases where the rules are easy to get wrong: long link chains, late messages, senders, blank texts."""
+import json
+
+import pytest
 from pyspark.sql import functions as F
 
-from ledgerflow.operators import identity
+from ledgerflow.operators import edits, identity
 from ledgerflow.sources import ingest as ing
 from ledgerflow.streaming.jobs import ingest_stream
 
@@ -61,46 +64,99 @@ def _master(spark, ids, links=None):
 
 
 def _link(spark, emp, reqs):
-    """``reqs``: (request, duplicate, target) -> outcome per request."""
+    """``reqs``: (request, duplicate, target) -> outcome per refused request, link rows, links of the rows."""
     d = spark.createDataFrame([(*r, 0.9, "admin") for r in reqs],
                               "request_id long, duplicate_id long, canonical_id long, score double, actor string")
-    new, links, rejected = identity.link_duplicates(emp, d)
-    out = {r.request_id: r.reject_reason for r in rejected.collect()}
-    linked = {(r.employee_id, r.canonical_employee_id) for r in links.collect()}
-    assert len(out) + len(linked) == len(reqs)
-    return out, linked, {r.id: r.canonical_employee_id for r in new.collect()}
+    res = edits.link_duplicates(emp, d)
+    out = {r.request_id: r.reject_reason for r in res.rejected.collect()}
+    audit = [(r.request_id, r.entity_id, json.loads(r.before_state)["canonical_employee_id"], json.loads(r.after_state)["canonical_employee_id"]) for r in res.audit.collect()]
+    assert {q for q, *_ in audit} | set(out) == {r[0] for r in reqs} and len(audit) + len(out) == len(reqs)
+    return out, {(r.employee_id, r.canonical_employee_id) for r in res.added.collect()}, {r.id: r.canonical_employee_id for r in res.table.collect()}, sorted(audit)
 
 
 def test_links_in_one_batch_make_no_cycle(spark):
-    out, linked, now = _link(spark, _master(spark, [1, 2, 3]), [(1, 1, 2), (2, 2, 1), (3, 2, 3)])
+    out, linked, now, _ = _link(spark, _master(spark, [1, 2, 3]), [(1, 1, 2), (2, 2, 1), (3, 2, 3)])
     assert out == {2: "target_is_duplicate"} and linked == {(1, 2), (2, 3)}
     assert now == {1: 2, 2: 3, 3: None}
 
 
-def test_a_rejected_request_does_not_block_a_valid_one(spark):
-    out, linked, _ = _link(spark, _master(spark, [1, 2, 3], {3: 2}), [(1, 1, 1), (2, 1, 3), (3, 1, 2), (4, 1, 2), (5, 9, 1)])
-    assert linked == {(1, 2)}
-    assert out == {1: "self_link", 2: "target_is_duplicate", 4: "already_linked_in_batch", 5: "duplicate_missing"}
+def test_a_second_link_of_a_row_is_the_one_that_holds(spark):
+    out, linked, now, audit = _link(spark, _master(spark, [1, 2, 3, 4], {3: 2}), [(1, 1, 1), (2, 1, 3), (3, 1, 2), (4, 1, 4), (5, 9, 1), (6, 1, 2), (7, 3, 4)])
+    assert out == {1: "self_link", 2: "target_is_duplicate", 5: "duplicate_missing"}
+    assert linked == {(1, 2), (1, 4), (3, 4)} and now == {1: 2, 2: None, 3: 4, 4: None}
+    assert audit == [(3, 1, None, 2), (4, 1, 2, 4), (6, 1, 4, 2), (7, 3, 2, 4)]
 
 
-def test_links_equal_a_fold_over_the_requests(spark):
-    import random
-    rng = random.Random(5)
-    ids = list(range(1, 13))
-    reqs = [(n, rng.choice(ids), rng.choice(ids)) for n in range(40)]
-    link, want, expect = {}, {}, set()
+def fold_links(link, reqs):
+    link, want, rows = dict(link), {}, set()
     for n, dup, target in reqs:
         if dup == target:
             want[n] = "self_link"
         elif target in link:
             want[n] = "target_is_duplicate"
-        elif dup in link:
-            want[n] = "already_linked_in_batch"
         else:
             link[dup] = target
-            expect.add((dup, target))
-    out, linked, _ = _link(spark, _master(spark, ids), reqs)
-    assert out == want and linked == expect
+            rows.add((dup, target))
+    return link, want, rows
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_links_equal_a_fold_over_the_requests(spark, seed):
+    import random
+    rng = random.Random(seed)
+    ids = list(range(1, 25))
+    reqs = [(n, rng.choice(ids), rng.choice(ids)) for n in range(40)]
+    link, want, rows = fold_links({}, reqs)
+    out, linked, now, _ = _link(spark, _master(spark, ids), reqs)
+    assert out == want and linked == rows and now == {i: link.get(i) for i in ids}
+
+
+def test_a_long_chain_of_links_settles_in_few_steps(spark, monkeypatch):
+    """Every request waits for the next row's, which comes before it."""
+    n = 1500
+    ids = list(range(n + 1))
+    reqs = [(n - k, k, k + 1) for k in range(n)]
+    link, want, rows = fold_links({}, sorted(reqs))
+    steps, real = [], edits.stored
+    monkeypatch.setattr(edits, "stored", lambda df, name: steps.append(name) or real(df, name))
+    out, linked, now, _ = _link(spark, _master(spark, ids), reqs)
+    assert out == want and linked == rows and now == {i: link.get(i) for i in ids}
+    assert len(steps) < 25
+
+
+def test_review_decisions(spark):
+    emp = _master(spark, [1, 2, 3, 4, 5], {5: 4}).withColumn("status", F.lit("active"))
+    rev = spark.createDataFrame([(1, 2, 1, "pending", 0.8), (2, 3, 5, "pending", 0.9), (3, 4, 2, "pending", 0.9), (4, 1, 3, "rejected", 0.9), (5, None, 3, "pending", 0.7)],
+                                "id long, candidate_employee_id long, suspected_match_id long, review_status string, confidence_score double")
+    dec = spark.createDataFrame([(1, 1, "approved_merge", "a", None), (2, 1, "rejected", "a", None), (3, 2, "approved_merge", "a", "n"), (4, 2, "kept_separate", "b", "m"),
+                                 (5, 3, "approved_merge", "a", None), (6, 4, "rejected", "a", None), (7, 9, "rejected", "a", None), (8, 5, "approved_merge", "a", None),
+                                 (9, 3, "approved_merge", "a", None), (10, 5, "maybe", "a", None)],
+                                "request_id long, review_id long, decision string, reviewer string, note string")
+    out = edits.resolve_reviews(rev, dec, emp)
+    assert {r.id: (r.review_status, r.reviewer, r.review_note) for r in out.reviews.collect()} == {
+        1: ("approved_merge", "a", None), 2: ("kept_separate", "b", "m"), 3: ("pending", None, None), 4: ("rejected", None, None), 5: ("pending", None, None)}
+    assert {r.id: r.canonical_employee_id for r in out.links.table.collect()} == {1: None, 2: 1, 3: None, 4: None, 5: 4}
+    assert {r.request_id: r.reject_reason for r in out.rejected.collect()} == {
+        2: "not_pending", 3: "target_is_duplicate", 5: "target_is_duplicate", 6: "not_pending", 7: "not_found", 8: "missing_employee", 9: "target_is_duplicate", 10: "invalid_decision"}
+    rows = edits.numbered_audit(None, [out.audit]).orderBy("id").collect()
+    assert [(r.id, r.request_id, r.action) for r in rows] == [(1, 1, "link_duplicate"), (2, 1, "resolve_review"), (3, 4, "resolve_review")]
+    assert json.loads(rows[0].before_state)["canonical_employee_id"] is None and rows[0].reason == "approved_merge via review 1"
+
+
+def test_inactive_and_aliases(spark):
+    emp = _master(spark, [1, 2]).withColumns({"status": F.lit("active"), "full_name": F.lit("A"), "primary_phone": F.lit("x"), "employee_id_phone": F.lit(None).cast("string")})
+    out = edits.mark_inactive(emp, spark.createDataFrame([(1, 1, "a", "r"), (2, 7, "a", "r"), (3, 1, None, None)], "request_id long, employee_id long, actor string, reason string"))
+    assert {r.id: (r.status, r.resolution_status) for r in out.table.collect()} == {1: ("inactive", "inactive"), 2: ("active", "unresolved")}
+    assert [(r.request_id, r.reject_reason) for r in out.rejected.collect()] == [(2, "not_found")]
+    audit = {r.request_id: (json.loads(r.before_state)["status"], json.loads(r.after_state)["status"], r.actor) for r in out.audit.collect()}
+    assert audit == {1: ("active", "inactive", "a"), 3: ("inactive", "inactive", "admin")}
+    als = spark.createDataFrame([(1, "phone", "p1")], "employee_id long, alias_type string, alias_value string")
+    req = spark.createDataFrame([(1, 2, "phone", "p1", "a"), (3, 2, "name", "n", "a"), (2, 1, "name", "n", None), (4, 1, "mail", "n", "a"), (5, 1, "phone", None, "a")],
+                                "request_id long, employee_id long, alias_type string, alias_value string, actor string")
+    out = edits.add_aliases(als, req)
+    assert {tuple(r) for r in out.table.collect()} == {(1, "phone", "p1"), (1, "name", "n")}
+    assert {r.request_id: r.reject_reason for r in out.rejected.collect()} == {1: "taken", 3: "taken", 4: "invalid_alias_type", 5: "empty_value"}
+    assert [(r.request_id, r.entity_id, r.actor) for r in out.audit.collect()] == [(2, 1, "system")]
 
 
 def test_equal_candidates_post_once(spark):
