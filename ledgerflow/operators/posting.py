@@ -64,7 +64,7 @@ def route(parsed: DataFrame, authorized: DataFrame, parity: bool = False) -> Dat
         "*",
         action.alias("action"),
         reason.alias("review_reason"),
-        ~((mtype == "other") & ~from_me).alias("has_result"),
+        (~((mtype == "other") & ~from_me)).alias("has_result"),
     )
 
 

@@ -794,11 +794,28 @@ def _exact_prefix_hits(queries: DataFrame, employees: DataFrame, aliases: DataFr
 FROM (SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ts) = 1) e GROUP BY user_id""")
 def stream_event_totals(spark, sf):
     from ledgerflow.streaming import jobs
-    out = jobs.run_to_table(spark, jobs.event_totals(jobs.event_stream(spark, sf)), "event-totals")
+    out = jobs.event_totals(spark, jobs.event_stream(spark, sf), jobs.scratch_root(spark, "event-totals"))
     return out.select("user_id", "events", F.round("total_value", 6).alias("total_value"), "k_sum",
                       F.date_format("last_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("last_ts"))
 
 
+@query("stream_pipeline_ledger", ORACLE["flagship_ledger"])
+def stream_pipeline_ledger(spark, sf):
+    """The flagship's messages as a stream of three files, each a third of the messages in their order."""
+    from ledgerflow.streaming import jobs, pipeline
+    root = jobs.scratch_root(spark, "pipeline")
+    m = fx.messages(spark, sf)
+    third = m.agg(F.max("id")).first()[0] // 3 + 1
+    for k in range(3):
+        m.where(F.floor((F.col("id") - 1) / third) == k).write.mode("append").parquet(f"{root}/in")
+    stream = spark.readStream.schema(m.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    pipeline.run_pipeline(stream.withColumnRenamed("id", "seq"), f"{root}/out", fx.employees(spark, sf), fx.aliases(spark, sf),
+                          fx.authorized_senders(spark, sf), arrival_col="seq", fuzzy_names=False)
+    led = pipeline.ledger(spark, f"{root}/out")
+    return led.select("employee_id", "accounting_period", _dbl("total_paid").alias("total_paid"), _dbl("total_advance").alias("total_advance"),
+                      F.col("txn_count").cast("long").alias("txn_count"), _dbl("closing_balance").alias("closing_balance"))
+
+
 # ---------------------------------------------------------------------------
 # Search, profiles, manual payments, review decisions, state, health (I14, I16,
 # U4, T3, T8-T12, T15, T17, A13)
@@ -1564,4 +1581,4 @@ def name_forms(spark, sf):
 
 
 # more queries, registered here so that all are in one table
-from ledgerflow.plans import people  # noqa: E402, F401
+from ledgerflow.plans import decisions, people  # noqa: E402, F401
