@@ -95,12 +95,14 @@ def employee_totals(p: DataFrame, members: DataFrame) -> DataFrame:
     """A4 with Q4: per canonical employee over all its members: gross
     (reversal rows left out, as the source lists do) and net amounts, count
     and last date."""
-    j = p.join(members, p.employee_id == members.member_id)
+    # by employee first, so that members meet one row each, not every payment
+    live = ~F.col("is_reversal")
+    own = p.groupBy("employee_id").agg(
+        F.count_if(live).alias("_n"), F.sum(F.when(live, F.col("amount"))).alias("_gross"), F.sum("amount").alias("_net"),
+        F.max(F.when(live, F.col("txn_date"))).alias("_last"))
+    j = own.join(members, own.employee_id == members.member_id)
     return j.groupBy("canonical_id").agg(
-        F.count_if(~F.col("is_reversal")).alias("txn_count"),
-        F.sum(F.when(~F.col("is_reversal"), F.col("amount"))).alias("gross_amount"),
-        F.sum("amount").alias("net_amount"),
-        F.max(F.when(~F.col("is_reversal"), F.col("txn_date"))).alias("last_date"))
+        F.sum("_n").alias("txn_count"), F.sum("_gross").alias("gross_amount"), F.sum("_net").alias("net_amount"), F.max("_last").alias("last_date"))
 
 
 def employee_history(p: DataFrame, members: DataFrame, date_from: str, date_to: str) -> DataFrame:
@@ -108,10 +110,11 @@ def employee_history(p: DataFrame, members: DataFrame, date_from: str, date_to:
     date range (W10): count, total, first, last."""
     q = p.where(~F.col("is_reversal") & F.col("txn_date").between(F.lit(date_from).cast("date"),
                                                                     F.lit(date_to).cast("date")))
-    j = q.join(members, q.employee_id == members.member_id)
+    own = q.groupBy("employee_id").agg(F.count(F.lit(1)).alias("_n"), F.sum("amount").alias("_sum"),
+                                       F.min("txn_date").alias("_first"), F.max("txn_date").alias("_last"))
+    j = own.join(members, own.employee_id == members.member_id)
     return j.groupBy("canonical_id").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("amount").alias("total"),
-        F.min("txn_date").alias("first_date"), F.max("txn_date").alias("last_date"))
+        F.sum("_n").alias("n"), F.sum("_sum").alias("total"), F.min("_first").alias("first_date"), F.max("_last").alias("last_date"))
 
 
 def reconciliation(parsed: DataFrame, messages: DataFrame, payments: DataFrame, review: DataFrame,

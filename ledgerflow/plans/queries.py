@@ -1581,4 +1581,4 @@ def name_forms(spark, sf):
 
 
 # more queries, registered here so that all are in one table
-from ledgerflow.plans import decisions, people  # noqa: E402, F401
+from ledgerflow.plans import decisions, intake, people  # noqa: E402, F401
