@@ -1,4 +1,5 @@
-"""Aliases, links, deactivation and review decisions, as batches in request order.
+"""Aliases, links, deactivation, review decisions and edits, as batches in request order.
+
 
 Every operator takes a table of requests with unique, ordered request ids and returns the new
 state, what it refused with the reason, and one audit row for each change (S14).
@@ -10,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerflow.operators import identity
 from ledgerflow.operators.ids import dense_ids
 from ledgerflow.sources.scratch import stored
 
@@ -218,3 +220,104 @@ def numbered_audit(existing: DataFrame | None, rows: list[DataFrame]) -> DataFra
         out = out.unionByName(r)
     start = 0 if existing is None else existing.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
     return dense_ids(out, ["request_id", "action", "entity_id"], start=start)
+
+
+@dataclass
+class EmployeeEdits:
+    """Employees after the edits, aliases added, and each edit's outcome: ``status``, ``merged_into``, ``final_id``."""
+
+    employees: DataFrame
+    aliases: DataFrame
+    outcomes: DataFrame
+
+
+def _settle_id_phones(edits: DataFrame, employees: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Edits that give an id phone, one after the other: a phone that another active row holds makes a
+    soft merge into that row's canonical row, any other becomes the row's.
+
+    ``edits(request_id, employee_id, x)``; returns each edit with ``held`` (the row's phone before it) and
+    ``merged_into``, and (id, id phone, link) of all rows after them. An edit touches its row, the
+    phone it gives and the one the row has, and the canonical families of the row and of the phone's
+    holder; a round settles every edit that shares none of these with an earlier open one. What an
+    open edit may come to touch, it touches by way of an earlier one that shares it now. So the rounds
+    are as many as the longest chain of edits that touch the same.
+    """
+    st = stored(employees.select("id", F.col("employee_id_phone").alias("idp"), (F.col("status") == "active").alias("active"),
+                                 F.col("canonical_employee_id").alias("link")), "id-phones")
+    open_, done = stored(edits, "edits"), None
+    while not open_.limit(1).isEmpty():
+        family = stored(identity.resolve_canonical(st.withColumnRenamed("link", "canonical_employee_id")).select(F.col("id").alias("_i"), F.col("canonical_id").alias("_c")), "families")
+        held = st.select(F.col("id").alias("_e"), F.col("idp").alias("held")).join(family, F.col("_e") == F.col("_i")).select("_e", "held", F.col("_c").alias("own"))
+        o = open_.join(held, F.col("employee_id") == F.col("_e")).drop("_e")
+        keepers = st.where("active").select(F.col("id").alias("_h"), F.col("idp").alias("x")).join(o.select("x").distinct(), "x")
+        keeper = (o.join(keepers, "x").where(F.col("_h") != F.col("employee_id")).groupBy("request_id").agg(F.min("_h").alias("holder"))
+                  .join(family, F.col("holder") == F.col("_i")).select("request_id", F.col("_c").alias("target")))
+        o = stored(o.join(keeper, "request_id", "left"), "looked-up")
+        key = lambda kind, c: F.concat(F.lit(kind), F.col(c).cast("string"))
+        bears = o.select("request_id", F.explode(F.array_distinct(F.array_compact(F.array(
+            key("E", "employee_id"), key("X", "x"), key("X", "held"), key("F", "own"), key("F", "target"))))).alias("key"))
+        first = bears.groupBy("key").agg(F.min("request_id").alias("_first"))
+        waits = bears.join(first, "key").where(F.col("_first") < F.col("request_id")).select("request_id").distinct()
+        ready = o.join(waits, "request_id", "left_anti")
+        merge = F.col("target").isNotNull() & (F.col("target") != F.col("employee_id")) & ~F.col("x").eqNullSafe(F.col("held"))
+        now = stored(ready.select("request_id", "employee_id", "x", "held", F.when(merge, F.col("target")).alias("merged_into")), "settled")
+        change = now.select(F.col("employee_id").alias("_e"), F.col("x").alias("_x"), F.col("merged_into").alias("_m"))
+        st = stored(st.join(change, st.id == change._e, "left").select(
+            "id", F.when(F.col("_e").isNotNull() & F.col("_m").isNull(), F.col("_x")).otherwise(F.col("idp")).alias("idp"), "active", F.coalesce("_m", "link").alias("link")), "id-phones")
+        done = now if done is None else done.unionByName(now)
+        open_ = stored(open_.join(now.select("request_id"), "request_id", "left_anti"), "edits")
+    if done is None:
+        done = edits.select("request_id", "employee_id", "x", F.lit(None).cast("string").alias("held"), F.lit(None).cast("long").alias("merged_into"))
+    return done, st
+
+
+def edit_employees(employees: DataFrame, aliases: DataFrame, edits: DataFrame) -> EmployeeEdits:
+    """I13 for ``edits(request_id, employee_id, full_name, primary_phone, employee_id_phone, aliases)`` in request order.
+
+    A null field stays as it is; an empty name clears name and normal name; phones that are no phones
+    change nothing. Aliases (array of alias_type, alias_value) are only added, to the row merged into if
+    the edit merges: then the row's phones and normal name from before the edit become aliases of it
+    too. A merge sets the link alone: no state, no link row, no audit, payments untouched.
+    """
+    from ledgerflow.functions.text import norm_name, norm_phone, py_strip
+
+    master = identity.prepare_master(employees)
+    ids = master.select(F.col("id").alias("_id"))
+    e = edits.join(ids, edits.employee_id == ids._id, "left").withColumn("found", F.col("_id").isNotNull()).drop("_id")
+    name = F.when(F.col("full_name") != "", py_strip("full_name"))
+    e = stored(e.withColumns({
+        "_named": F.col("full_name").isNotNull(), "_name": name, "_norm": F.when(F.col("full_name") != "", norm_name("full_name")),
+        "_primary": norm_phone("primary_phone"), "_x": norm_phone("employee_id_phone")}), "employee-edits")
+    fine = e.where("found")
+    settled, st = _settle_id_phones(fine.where(F.col("_x").isNotNull()).select("request_id", "employee_id", F.col("_x").alias("x")), master)
+    settled = stored(settled.select("request_id", "held", "merged_into"), "merges")
+    # names and primary phones: the last one given
+    last = fine.groupBy("employee_id").agg(
+        F.max_by(F.struct("_name", "_norm"), F.when(F.col("_named"), F.col("request_id"))).alias("_n"), F.max(F.when(F.col("_named"), F.col("request_id"))).alias("_nr"),
+        F.max_by("_primary", F.when(F.col("_primary").isNotNull(), F.col("request_id"))).alias("_p")).withColumnRenamed("employee_id", "_e")
+    now = st.select(F.col("id").alias("_s"), F.col("idp").alias("_idp"), F.col("link").alias("_link"))
+    named = F.col("_nr").isNotNull()
+    over = {"full_name": F.when(named, F.col("_n._name")).otherwise(F.col("full_name")), "name_normalized": F.when(named, F.col("_n._norm")).otherwise(F.col("name_normalized")),
+            "primary_phone": F.coalesce("_p", "primary_phone"), "employee_id_phone": F.col("_idp"), "canonical_employee_id": F.col("_link")}
+    new = master.join(last, master.id == last._e, "left").join(now, master.id == now._s, "left").select(*[over[c].alias(c) if c in over else F.col(c) for c in master.columns])
+    # aliases in request order: those asked for, then, on a merge, the row's own from before the edit
+    out = fine.join(settled, "request_id", "left").withColumn("final_id", F.coalesce("merged_into", "employee_id"))
+    asked = out.select("request_id", "final_id", F.posexplode("aliases").alias("pos", "a")).select("request_id", "final_id", "pos", F.col("a.alias_type").alias("alias_type"), F.col("a.alias_value").alias("_v"))
+    value = F.when(F.col("alias_type") == "phone", F.coalesce(norm_phone("_v"), "_v")).when(F.col("alias_type") == "name", F.coalesce(F.when(norm_name("_v") != "", norm_name("_v")), F.col("_v"))) \
+             .otherwise(F.col("_v"))
+    asked = asked.where(F.col("alias_type").isin(ALIAS_TYPES) & (F.coalesce("_v", F.lit("")) != "")).select("request_id", "final_id", "pos", "alias_type", value.alias("alias_value"))
+    merged = out.where(F.col("merged_into").isNotNull()).select("request_id", "employee_id", "merged_into", "held")
+    earlier = fine.select(F.col("employee_id").alias("_e"), F.col("request_id").alias("_r"), "_named", "_norm", "_primary")
+    prior = merged.join(earlier, (merged.employee_id == earlier._e) & (F.col("_r") < merged.request_id)).groupBy("request_id").agg(
+        F.max_by(F.struct("_norm"), F.when(F.col("_named"), F.col("_r"))).alias("_n"), F.max_by("_primary", F.when(F.col("_primary").isNotNull(), F.col("_r"))).alias("_p"))
+    was = merged.join(prior, "request_id", "left").join(master.select(F.col("id").alias("_m"), "name_normalized", "primary_phone"), F.col("employee_id") == F.col("_m"))
+    old = F.array(F.struct(F.lit("phone").alias("t"), F.coalesce("_p", "primary_phone").alias("v")), F.struct(F.lit("phone").alias("t"), F.col("held").alias("v")),
+                  F.struct(F.lit("name").alias("t"), F.when(F.col("_n").isNotNull(), F.col("_n._norm")).otherwise(F.col("name_normalized")).alias("v")))
+    folded = was.select("request_id", F.col("merged_into").alias("final_id"), F.posexplode(old).alias("pos", "a")).where(F.coalesce("a.v", F.lit("")) != "").select(
+        "request_id", "final_id", (F.col("pos") + 1_000_000).alias("pos"), F.col("a.t").alias("alias_type"), F.col("a.v").alias("alias_value"))
+    key = ["alias_type", "alias_value"]
+    added = (asked.unionByName(folded).groupBy(*key).agg(F.min_by("final_id", F.struct("request_id", "pos")).alias("employee_id"))
+             .join(aliases.select(*key).distinct(), key, "left_anti").select("employee_id", *key))
+    outcomes = out.select("request_id", "employee_id", F.lit("ok").alias("status"), "merged_into", "final_id").unionByName(
+        e.where(~F.col("found")).select("request_id", "employee_id", F.lit("not_found").alias("status"), F.lit(None).cast("long").alias("merged_into"), F.lit(None).cast("long").alias("final_id")))
+    return EmployeeEdits(new, added, outcomes)

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerflow.operators import closing, identity, pages
+from ledgerflow.operators import closing, edits, identity, pages
 from ledgerflow.plans import oracle as o
 from ledgerflow.plans.queries import HISTORY_FROM, HISTORY_TO, _CANON, _REV, _day, _dbl, _payments_rev, query
 from ledgerflow.sources import fixtures as fx
@@ -138,3 +138,24 @@ def employee_pages(spark, sf):
         part = pages.employee_page(emp, sort, page=2, size=50).select(F.lit(sort).alias("sort"), "id", "employee_code", "total", "pages")
         out = part if out is None else out.unionByName(part)
     return out
+
+
+@query("edit_employees", o.with_ctes(["fx_employees"], [
+    ("w", """SELECT e.*, id % 10 AS d, concat('01', lpad(CAST(710000000 + id // 10 AS VARCHAR), 9, '0')) AS x, id - id % 10 + 2 AS two, id - id % 10 + 3 AS three FROM fx_employees e"""),
+    ("m", """SELECT w.*, a.status = 'active' AS on2, b.status = 'active' AS on3,
+  CASE WHEN d = 3 AND a.status = 'active' THEN two WHEN d = 4 AND a.status = 'active' THEN two WHEN d = 4 AND b.status = 'active' THEN three END AS merged
+FROM w LEFT JOIN fx_employees a ON a.id = w.two LEFT JOIN fx_employees b ON b.id = w.three""")],
+    """SELECT id, CASE WHEN d = 3 THEN concat('New ', CAST(id AS VARCHAR)) ELSE full_name END AS full_name,
+  CASE WHEN d IN (2, 3, 4) AND merged IS NULL THEN x END AS employee_id_phone, coalesce(merged, canonical_employee_id) AS canonical_employee_id,
+  CASE WHEN d IN (2, 3, 4) THEN CAST(coalesce(merged, id) AS BIGINT) END AS final_id
+FROM m"""))
+def edit_employees(spark, sf):
+    """Three rows of each ten are given one id phone, one after the other; a holder that is active takes the others in."""
+    e, i = fx.employees(spark, sf), F.col("id")
+    req = e.where((i % 10).isin(2, 3, 4)).select(
+        i.alias("request_id"), i.alias("employee_id"), F.when(i % 10 == 3, F.concat(F.lit(" New "), i.cast("string"))).alias("full_name"), _NO_TEXT().alias("primary_phone"),
+        F.concat(F.lit("+8801"), F.lpad((710000000 + F.floor(i / 10)).cast("string"), 9, "0")).alias("employee_id_phone"),
+        F.lit(None).cast("array<struct<alias_type:string,alias_value:string>>").alias("aliases"))
+    out = edits.edit_employees(e, fx.aliases(spark, sf), req)
+    f = out.outcomes.select(F.col("employee_id").alias("_f"), "final_id")
+    return out.employees.join(f, i == F.col("_f"), "left").select("id", "full_name", "employee_id_phone", "canonical_employee_id", "final_id")
