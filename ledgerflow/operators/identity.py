@@ -49,6 +49,17 @@ def resolve_canonical(employees: DataFrame) -> DataFrame:
             .select("id", F.col("p").alias("canonical_id"), F.coalesce("_end", F.lit(True)).alias("resolved")))
 
 
+def cycle_reviews(employees: DataFrame, canonical: DataFrame | None = None) -> DataFrame:
+    """Rows whose links lead into a cycle have no canonical row; they go to review beside the row they link to."""
+    if canonical is None:
+        canonical = resolve_canonical(employees)
+    lost = canonical.where(~F.col("resolved")).select("id")
+    return employees.join(lost, "id").select(
+        F.lit(None).cast("long").alias("message_id"), F.col("id").alias("candidate_employee_id"), F.col("canonical_employee_id").alias("suspected_match_id"),
+        F.lit("link_cycle").alias("match_reason"), F.lit(None).cast("decimal(4,3)").alias("confidence_score"),
+        F.lit(None).cast("string").alias("raw_name"), F.lit(None).cast("string").alias("raw_phone"))
+
+
 def prepare_master(employees: DataFrame) -> DataFrame:
     """Fill the derived columns a master table may lack (persisted: the
     master feeds the lookups, the canonical map and creation)."""

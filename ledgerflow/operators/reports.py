@@ -117,6 +117,15 @@ def employee_history(p: DataFrame, members: DataFrame, date_from: str, date_to:
         F.sum("_n").alias("n"), F.sum("_sum").alias("total"), F.min("_first").alias("first_date"), F.max("_last").alias("last_date"))
 
 
+def _with_message(parsed: DataFrame, messages: DataFrame) -> DataFrame:
+    """Parsed rows with their message's source, sender flag and month; a parse that kept these columns needs no join."""
+    keep = ["source", "is_from_me", "timestamp_wa"]
+    if not set(keep) <= set(parsed.columns):
+        m = messages.select(F.col("id").alias("_mid"), *keep)
+        parsed = parsed.drop(*keep).join(m, F.col("message_id") == F.col("_mid"))
+    return parsed.select("message_id", "message_type", "payment", "source", "is_from_me", period("timestamp_wa").alias("period"))
+
+
 def reconciliation(parsed: DataFrame, messages: DataFrame, payments: DataFrame, review: DataFrame,
                    state: DataFrame, period_: str | None = None, source: str | None = None) -> DataFrame:
     """A10: parser-detected payments = posted payments + open review amounts,
@@ -132,8 +141,7 @@ def reconciliation(parsed: DataFrame, messages: DataFrame, payments: DataFrame,
         msg_cond = msg_cond & (F.col("_mper") == period_)
     if source is not None:
         msg_cond = msg_cond & (F.col("source") == source)
-    parsed = parsed.select("message_id", "message_type", "payment")
-    pr = parsed.join(m, parsed.message_id == m._mid)
+    pr = _with_message(parsed, messages).withColumnRenamed("period", "_mper")
     parser_sum = pr.where((F.col("message_type") == "payment") & F.col("payment.amount").isNotNull()
                           & F.col("is_from_me") & msg_cond) \
         .agg(F.coalesce(F.sum("payment.amount"), F.lit(0)).cast("decimal(22,2)").alias("parser_detected_sum"))
@@ -167,8 +175,7 @@ def reconciliation_by_period_source(parsed: DataFrame, messages: DataFrame, paym
     the ledger side per accounting period (it has no source, Q10)."""
     m = messages.select(F.col("id").alias("_mid"), "source", "is_from_me",
                         period("timestamp_wa").alias("period"))
-    parsed = parsed.select("message_id", "message_type", "payment")
-    pr = parsed.join(m, parsed.message_id == m._mid).where(
+    pr = _with_message(parsed, messages).where(
         (F.col("message_type") == "payment") & F.col("payment.amount").isNotNull() & F.col("is_from_me"))
     ps = pr.groupBy("period", "source").agg(F.sum("payment.amount").alias("parser_detected_sum"))
     rv = review.join(m, review.message_id == m._mid).where(

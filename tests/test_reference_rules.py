@@ -183,3 +183,9 @@ def test_gap_scan_reads_the_whole_store_and_processed_text(spark):
     assert got == {"m0": "skipped_no_content", "m1": "backfill", "m2": "skipped_no_content", "m3": "backfill"}
     log = {r.chat_jid: r for r in ing.gap_run_log(store, archive).collect()}
     assert (log["c"].store_count, log["c"].archive_count, log["d"].archive_count) == (3000, 2998, 2998)
+
+
+def test_rows_in_a_link_cycle_go_to_review(spark):
+    emp = spark.createDataFrame([(1, 2), (2, 1), (3, 1), (4, None), (5, 4)], "id long, canonical_employee_id long")
+    got = {(r.candidate_employee_id, r.suspected_match_id, r.match_reason) for r in identity.cycle_reviews(emp).collect()}
+    assert got == {(1, 2, "link_cycle"), (2, 1, "link_cycle"), (3, 1, "link_cycle")}
