@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import gathered, small_batches
+from ledgerflow.llm.common import gathered, give_back, small_batches
 from ledgerflow.llm.encode import encoder
 from ledgerflow.llm.token_files import with_end
 
@@ -161,6 +161,7 @@ def pack(docs: DataFrame, tokenizer_path: str, drop_space: bool = False, end_id:
                 cols.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()),
                                                      pa.array(flat[take].view(np.int32))))
             yield pa.RecordBatch.from_arrays(cols, names)
+        give_back()
 
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "n_loss"] + ["ids"] * keep_ids
     return src.mapInArrow(run, ", ".join(f"{c} {'array<int>' if c == 'ids' else 'long'}" for c in names))
