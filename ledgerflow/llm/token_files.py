@@ -76,6 +76,17 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                     F.col("_metadata.row_index").alias("_row")))
 
 
+def read_metadata(spark: SparkSession, path: str) -> DataFrame:
+    """doc_id and n_tokens alone: the pages of ids are not read."""
+    return spark.read.schema(FILE_SCHEMA).parquet(path).select("doc_id", "n_tokens")
+
+
+def read_range(spark: SparkSession, path: str, first: int, last: int) -> DataFrame:
+    """Rows of the ids ``first`` to ``last``: files and row groups outside the range are left out by their
+    statistics, pages by the column index."""
+    return spark.read.schema(FILE_SCHEMA).parquet(path).where(F.col("doc_id").between(first, last))
+
+
 def token_index(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 from the files.
 

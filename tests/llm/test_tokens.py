@@ -1,9 +1,12 @@
 """Operators 1 and 4: exact ids, file order, packing limits."""
+import glob
+import re
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
 
@@ -48,6 +51,32 @@ def test_token_files(spark, tokenizers):
         at += n
 
 
+def test_token_files_properties_and_readers(spark, tokenizers):
+    """Encodings, row groups and page indexes as stated; the readers take no more than they need."""
+    path = tokenizers.path("word_bpe_49k.json")
+    out = scratch(spark, "t").removeprefix("file://")
+    docs = [(i // 2, f"word{i % 7} and more words of text number {i * 7919}, " * 40) for i in range(6000)] + [(300, "twice"), (300, "twice")]
+    token_files.write_token_files(spark.createDataFrame(docs, "doc_id long, text string"), out, path, row_group_bytes=1 << 14, page_bytes=1 << 12, page_rows=50)
+    files = [pq.ParquetFile(f) for f in sorted(glob.glob(f"{out}/*.parquet"))]
+    meta = [f.metadata for f in files if f.metadata.num_rows]
+    assert sum(m.num_rows for m in meta) == 6002 and max(m.num_row_groups for m in meta) > 1
+    last = None
+    for m in meta:
+        for g in range(m.num_row_groups):
+            ids, n, tokens = (m.row_group(g).column(c) for c in range(3))
+            assert "DELTA_BINARY_PACKED" in ids.encodings and "DELTA_BINARY_PACKED" in n.encodings and not ids.has_dictionary_page
+            assert tokens.has_dictionary_page and "RLE_DICTIONARY" in tokens.encodings and tokens.compression == "ZSTD"
+            assert all(c.has_column_index and c.has_offset_index for c in (ids, n, tokens))
+            assert last is None or ids.statistics.min >= last
+            last = ids.statistics.max
+    light = token_files.read_metadata(spark, out)
+    assert "ids" not in re.search(r"ReadSchema: (.*)", light._jdf.queryExecution().toString())[1]
+    assert light.count() == 6002 and light.agg({"n_tokens": "sum"}).first()[0] == token_files.token_index(spark, out).agg({"n_tokens": "sum"}).first()[0]
+    some = token_files.read_range(spark, out, 290, 300)
+    assert "GreaterThanOrEqual(doc_id,290)" in some._jdf.queryExecution().toString()
+    assert sorted(r.doc_id for r in some.collect()) == sorted([*range(290, 301)] * 2 + [300, 300])
+
+
 def test_token_files_empty(spark, tokenizers):
     out = scratch(spark, "t")
     token_files.write_token_files(spark.createDataFrame([], "doc_id long, text string"), out, tokenizers.path("word_bpe_49k.json"))
