@@ -144,7 +144,8 @@ def write_tree(conversations: DataFrame, tokenizer_path: str, loss_role: str = L
     key = ["p1", "p2", "k"]
     nodes = turns.groupBy(*key).agg(F.first("h1").alias("h1"), F.first("h2").alias("h2"))
     parents = nodes.where(F.col("k") > 1).select(F.col("p1").bitwiseXOR(F.col("h1")).alias("q1"), F.col("p2").bitwiseXOR(F.col("h2")).alias("q2"), (F.col("k") - 1).alias("qk"))
-    forks = parents.groupBy("q1", "q2", "qk").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("q1", "q2", "qk")
+    # tables of their own, here and below: both sides of a join are then plain exchanges, whose hot partitions Spark splits
+    forks = written(parents.groupBy("q1", "q2", "qk").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("q1", "q2", "qk"), "forks")
     # a first turn always branches; later ones where their parent has several children
     step = F.struct("k", "p1", "p2")
     first = turns.where(F.col("k") == 1).select("cid", step.alias("s"))
@@ -155,7 +156,7 @@ def write_tree(conversations: DataFrame, tokenizer_path: str, loss_role: str = L
     size = turns.groupBy("cid").agg(F.max("k").alias("turns"))
     ranks = written(path.join(size, "cid").orderBy("path", "turns", "cid").select("cid", F.monotonically_increasing_id().alias("rank")), "ranks")
     ranked = turns.select("cid", "k", "p1", "p2", "role", "text").join(ranks, "cid")
-    owners = ranked.groupBy(*key).agg(F.min("rank").alias("owner"))
+    owners = written(ranked.groupBy(*key).agg(F.min("rank").alias("owner")), "owners")
     placed = written(ranked.join(owners, key).select("cid", "rank", "k", "owner", "role", "text"), "placed")
 
     def encode(batches):
