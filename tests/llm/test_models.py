@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from llm_helpers import DOCS, sha
+from pyspark.sql import functions as F
 
 from ledgerflow.llm import chat_tree, decontaminate, divergence, hmm, toxicity
 from ledgerflow.llm.common import read_table
@@ -80,6 +81,9 @@ def test_chat_tree_empty(spark, tokenizers):
     assert chat_tree.read_conversations(spark, tree, path).count() == 0
 
 
+ENGLISH = ["the", "of", "and", "to", "in", "is", "that", "for", "it", "with"]
+
+
 def plain_base(text):
     words = [w for w in re.split(r"[\x20\x09-\x0D]+", text or "") if w]
     lines = [x for x in (text or "").split("\n") if x.strip(" \t\n\x0b\x0c\r")]
@@ -113,7 +117,7 @@ def test_divergence(spark, small_docs):
 def test_divergence_without_common_words(spark):
     rng = random.Random(11)
     word = lambda: "".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(4, 9)))
-    text = lambda common: " ".join(rng.choice(divergence.LANGUAGES["en"]) if rng.random() < common else word() for _ in range(300))
+    text = lambda common: " ".join(rng.choice(ENGLISH) if rng.random() < common else word() for _ in range(300))
     rows = [(i, text(0.21), "en", "s", 1) for i in range(40)]
     rows += [(100, text(0), "en", "s", 1), (101, text(0.02), None, "s", 1), (102, text(0.12), "en", "s", 1), (103, " ".join(word() for _ in range(50)), "en", "s", 1)]
     got = {r.doc_id: r for r in divergence.quality(spark.createDataFrame(rows, DOCS)).collect()}
@@ -125,8 +129,32 @@ def test_divergence_without_common_words(spark):
     assert divergence.keep_natural(plain).count() == 5
 
 
+def test_divergence_languages_of_the_table(spark):
+    """Any language with enough text is a reference; one without has no verdict; none named: compared with all."""
+    rng = random.Random(12)
+    words = {"en": (ENGLISH, "etaoinshrdlu"), "it": (["il", "che", "di", "e", "la", "per", "un", "non", "sono", "con"], "aeionlrtscdm"),
+             "pl": (["się", "na", "że", "nie", "jest", "do", "to", "z", "w", "i"], "aioeznrwsłżę"), "eo": (["la", "kaj", "de", "estas"], "ĉĝĵŝŭaeion")}
+
+    def text(lang, common, n=250):
+        own, letters = words[lang]
+        return " ".join(rng.choice(own) if rng.random() < common else "".join(rng.choice(letters) for _ in range(rng.randrange(4, 9))) for _ in range(n))
+
+    rows = [(1000 * k + i, text(lang, 0.25), lang, "s", 1) for k, lang in enumerate(("en", "it", "pl")) for i in range(50)]
+    rows += [(5000 + i, text("eo", 0.25), "eo", "s", 1) for i in range(5)]
+    junk = [(6000, text("it", 0), "it", "s", 1), (6001, text("pl", 0), "pl", "s", 1), (6002, text("en", 0), None, "s", 1)]
+    rows += [(6003, text("pl", 0.25), "it", "s", 1), (6004, text("it", 0.25), None, "s", 1), (6005, text("eo", 0), "eo", "s", 1)]
+    df = spark.createDataFrame(rows + junk, DOCS).repartition(4)
+    found = divergence.common_words(df.selectExpr("lang AS _lang", "text AS _t"), "_t")
+    assert set(found) == {"en", "it", "pl"} and all(set(found[k]) == set(words[k][0]) for k in found)
+    got = {r.doc_id: r for r in divergence.quality(df).collect()}
+    assert {d for d, r in got.items() if not r.kept} == {r[0] for r in junk}
+    assert got[5000].word_distance is None and got[6004].word_distance < 0.3
+
+
 def test_divergence_is_native(spark, small_docs):
-    plan = divergence.with_features(small_docs[0].withColumn("_t", small_docs[0].text), "_t")._jdf.queryExecution().executedPlan().toString()
+    src = small_docs[0].selectExpr("doc_id", "lang AS _lang", "text AS _t")
+    assert divergence.common_words(src, "_t")
+    plan = divergence.with_features(src, "_t", ["the", "und"])._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
 
 
@@ -244,3 +272,40 @@ def test_toxicity_edges(spark):
     some = spark.createDataFrame([(1, 0), (2, None), (4, 1), (4, 0), (9, 1)], "doc_id long, toxic int")
     assert toxicity.toxicity(docs, some).count() == 5
     assert toxicity.toxicity(docs.limit(0), some).count() == 0
+
+
+def test_ftrl_against_a_plain_one(spark):
+    """The updates, and the query's scores, against FTRL written out coordinate by coordinate."""
+
+    rng = random.Random(4)
+    vocab = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(rng.choice(vocab) for _ in range(rng.randrange(0, 25)))) for i in range(120)] + [(500, None), (501, "")]
+    toxic = {i: int("w7" in (t or "").split() or "w9 w3" in (t or "")) for i, t in rows}
+    fold = lambda i: zlib.crc32(str(i).encode()) % toxicity.FOLDS
+    at, doc = toxicity.features([t for _, t in rows])
+    own = {i: sorted(set(at[doc == k].tolist())) + [1 << toxicity.BITS] for k, (i, _) in enumerate(rows)}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, y) for i, y in toxic.items()], "doc_id long, toxic int")
+    order = [r.doc_id for r in docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.xxhash64("doc_id").alias("o")).orderBy("o", "doc_id").collect() if fold(r.doc_id) != toxicity.HELD_OUT]
+    z, n = {}, {}
+
+    def weight(f):
+        if abs(z.get(f, 0.0)) <= toxicity.L1:
+            return 0.0
+        return -(z[f] - math.copysign(toxicity.L1, z[f])) / ((toxicity.BETA + math.sqrt(n.get(f, 0.0))) / toxicity.ALPHA + toxicity.L2)
+
+    for _ in range(toxicity.PASSES):
+        for i in order:
+            w = {f: weight(f) for f in own[i]}
+            g = 1 / (1 + math.exp(-max(-35.0, min(35.0, sum(w.values()))))) - toxic[i]
+            for f in own[i]:
+                had = n.get(f, 0.0)
+                z[f] = z.get(f, 0.0) + g - (math.sqrt(had + g * g) - math.sqrt(had)) / toxicity.ALPHA * w[f]
+                n[f] = had + g * g
+    want = {f: weight(f) for f in z if weight(f)}
+    got = dict(toxicity.train(docs, labels))
+    assert got.keys() == want.keys() and len(want) > 3 and all(abs(got[f] - want[f]) < 1e-9 for f in want)
+    clash = docs.withColumnRenamed("text", "TEXT").withColumn("score", F.lit(1)).withColumn("toxic", F.lit("x"))
+    for r in toxicity.toxicity(clash, labels).collect():
+        total = sum(want.get(f, 0.0) for f in own[r.doc_id])
+        assert abs(r.score - 1 / (1 + math.exp(-total))) < 1e-9 and r.held_out == (fold(r.doc_id) == 0) and r.predicted == int(r.score >= 0.5)

@@ -2,12 +2,12 @@
 import math
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from string import ascii_lowercase
 
 from llm_helpers import DOCS
 from test_dedup import brute_components, plain_fingerprint
-from test_models import edit_to_part, plain_base
+from test_models import ENGLISH, edit_to_part, plain_base
 from tokenizers import Tokenizer
 
 from ledgerflow.llm import decontaminate, divergence, line_dedup, simhash
@@ -62,13 +62,18 @@ def plain_quality(docs):
                  sum(c in " \t\n\x0b\x0c\r" for c in t), sum(c in "0123456789" for c in t), sum(c in ".,;:!?'\"()-" for c in t)]
         return [*kinds, len(t) - sum(kinds)]
 
+    def tokens(t):
+        return re.findall(r"[^\W\d_]+", (t or "").lower())
+
+    having = Counter(w for t in docs.values() for w in set(tokens(t)))
+    common = sorted(sorted(having, key=lambda w: (-having[w], w))[:divergence.COMMON_WORDS])
+
     def words(t):
-        tokens = re.findall(r"[^\W\d_]+", t.lower())
-        known = [tokens.count(w) for w in divergence.COMMON]
-        return [*known, len(tokens) - sum(known)]
+        known = [tokens(t).count(w) for w in common]
+        return [*known, len(tokens(t)) - sum(known)]
     seen = {d: (chars(t or ""), words(t or "")) for d, t in docs.items()}
     ref = [[sum(x) for x in zip(*(v[k] for v in seen.values()))] for k in (0, 1)]
-    bare = [0] * len(divergence.COMMON) + [1]
+    bare = [0] * len(common) + [1]
     out = {}
     for d, t in docs.items():
         c, w = seen[d]
@@ -107,7 +112,7 @@ def plain_simhash(docs):
 def test_stages_against_brute_force(spark, tokenizers, tmp_path):
     rng = random.Random(3)
     word = lambda: "".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(4, 9)))
-    line = lambda n, common=0.25: " ".join(rng.choice(divergence.LANGUAGES["en"]) if rng.random() < common else word() for _ in range(n))
+    line = lambda n, common=0.25: " ".join(rng.choice(ENGLISH) if rng.random() < common else word() for _ in range(n))
     text = lambda n=8, common=0.25: "\n".join(line(12, common) for _ in range(n))
     docs = {i: text() for i in range(25)}
     copied = [text(), text(12)]
