@@ -71,14 +71,14 @@ ELEMENTS = {"nav": "menu", "header": "header", "footer": "footer", "aside": "sid
 ROLES = {"navigation": "menu", "menu": "menu", "menubar": "menu", "banner": "header", "contentinfo": "footer", "complementary": "side",
          "search": "form", "form": "form", "dialog": "notice", "alert": "notice", "alertdialog": "notice"}
 NAMES = {name: role for role, names in {
-    "menu": "nav navbar navigation menu breadcrumb breadcrumbs pagination pager toolbar share sharing social",
-    "header": "header masthead topbar",
-    "footer": "footer copyright colophon",
-    "side": "sidebar aside related widget widgets",
-    "ad": "ad ads adv advert adverts advertisement advertising banner promo sponsor sponsored",
-    "form": "form search searchbox newsletter subscribe login signup",
-    "notice": "cookie cookies consent gdpr notice notices popup modal",
-    "comments": "comment comments reply replies respond disqus",
+    "menu": "nav navbar navigation topnav subnav sitenav menu submenu mainmenu breadcrumb breadcrumbs pagination pager toolbar share sharing social",
+    "header": "header masthead topbar siteheader pageheader",
+    "footer": "footer sitefooter pagefooter copyright colophon imprint",
+    "side": "sidebar sidepanel aside rail related recommended recommendations trending popular widget widgets",
+    "ad": "ad ads adv advert adverts advertisement advertisements advertising adbox adsense banner promo promotion sponsor sponsors sponsored",
+    "form": "form search searchbox newsletter subscribe subscription login signin signup register",
+    "notice": "cookie cookies consent gdpr notice notices notification notifications announcement disclaimer alert toast overlay popup modal paywall",
+    "comments": "comment comments commentlist reply replies respond responses discussion disqus",
     "hidden": "hidden",
 }.items() for name in names.split()}
 NEGATIONS = frozenset("no has with without".split())

@@ -66,6 +66,9 @@ SHAPES = {
     "tag in quotes": f"<nav title='a > b'>{MENU}</nav><article data-x=\"<p>no</p>\">{BODY}</article>",
     "unlabelled": f"<div><div><a href=/a>Home</a> <a href=/b>News</a> <a href=/c>Contact us</a></div><div>{BODY}</div><div><a href=/i>Imprint</a></div></div>",
     "upper case": f"<NAV>{MENU}</NAV><ARTICLE>{BODY.replace('<p>', '<P>').replace('</p>', '</P>')}</ARTICLE><FOOTER>End of it</FOOTER>",
+    "many names": f"<div id=siteHeader>Site and motto</div><div class='top-nav menu'>{MENU}</div><div class='alert alert-info'>Site notice of today</div><article>{BODY}"
+                  f"<div class='related-posts'><p>Read this as well, it is long enough to count.</p></div><ol class=commentlist><li>Reader says so</li></ol></article>"
+                  f"<div class='right-rail'><p>Popular words of other pages, many of them.</p></div><div class=siteFooter>Imprint and more</div>",
     "table layout": f"<table><tr><td class=menu>{MENU}</td><td>{BODY}</td></tr></table>",
 }
 
