@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.functions.text import (ascii_digits, norm_method, norm_phone, py_strip,
                                        valid_name)
-from ledgerflow.operators.layout import spread
+from ledgerflow.operators.layout import dealt
 
 PARSER_VERSION = "v1"
 
@@ -194,7 +194,7 @@ def parse_messages(messages: DataFrame, text_col: str = "raw_content",
     """
     base = messages.select(F.col("id").alias("message_id"), *[F.col(x) for x in (keep or [])],
                            F.col(text_col).alias("_text"), F.col(ts_col).alias("_ts"))
-    base = spread(base)
+    base = dealt(base)
     out = parse_frame(base, "_text", "_ts")
     return out.select("message_id", *(keep or []), "message_type", "payment", "summary", "confidence",
                       F.lit(PARSER_VERSION).alias("parser_version"), F.lit(False).alias("ai_enhanced"))
