@@ -6,9 +6,8 @@ anything else) and words by common word (those of all reference languages, and
 all others). The table names its languages itself: every value of lang that has
 at least ``REFERENCE_DOCS`` documents and ``REFERENCE_SHARE`` of all, hence at
 most 1 / REFERENCE_SHARE of them, is a reference language. Its common words are
-the ``COMMON_WORDS`` words found in most of a bounded sample of its texts
-(``COMMON_SAMPLE``), and its reference is the sum of the histograms of all
-documents that name it.
+the ``COMMON_WORDS`` words found in most of the distinct texts that name it, and
+its reference is the sum of the histograms of all documents that name it.
 
 A document's verdict: the Jensen-Shannon distance (square root of the
 divergence in bits) of its character histogram to the nearest reference is at
@@ -27,8 +26,8 @@ word verdict, since short samples diverge by chance. The nearest of all
 references counts, as the language column may be null or wrong.
 
 Base counts (words are runs of characters other than space and U+0009-U+000D):
-see ``with_features``. Every step is a projection: nothing is shuffled but the
-sample's words and the reference sums (one row per language and task).
+see ``with_features``. Every step is a projection: nothing is shuffled but counts by
+language and word bucket, by word of a few buckets, and the reference sums (one row per language and task).
 
 Defined cases: null text: no words, zero counts, rejected by the base rule;
 without any reference every document passes the divergence rule; repeated rows
@@ -59,7 +58,8 @@ MIN_WORDS = 60
 MAX_CHAR_DISTANCE = 0.25
 MAX_WORD_DISTANCE = 0.45
 COMMON_WORDS = 10
-COMMON_SAMPLE = 2_000
+WORD_BUCKETS = 16_384
+OPEN_BUCKETS = 48
 REFERENCE_DOCS = 20
 REFERENCE_SHARE = 0.005
 NO_LETTERS = r"[^\p{L}]+"
@@ -82,27 +82,61 @@ def _added(column: Column) -> Column:
     return F.aggregate(column, F.lit(0).cast("long"), lambda acc, x: acc + x)
 
 
+def _words(text: Column) -> Column:
+    """The distinct words of a text."""
+    return F.array_distinct(F.array_remove(F.split(F.lower(text), NO_LETTERS), ""))
+
+
+def _bucket(word: Column) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(WORD_BUCKETS)).cast("int")
+
+
 def common_words(docs: DataFrame, text: str) -> dict[str, list[str]]:
-    """The reference languages of a table with _lang, and their common words; one row a word comes back.
+    """The reference languages of a table with _lang, and for each the ``COMMON_WORDS`` words in most
+    of its distinct texts, ties to the first in order; counted over all of them.
 
-    The words are chosen on about ``COMMON_SAMPLE`` distinct texts of each language, those with
-    certain hashes, so that no table of all words of the corpus is built; what they are
-    compared with, the histograms, is counted over all documents.
+    No table of all words of the corpus is built. Documents are counted by word bucket first
+    (``WORD_BUCKETS`` a language), and a bucket's count bounds that of each of its words. Then the words
+    of the ``OPEN_BUCKETS`` fullest buckets are counted, a text once. Where the last common word among them
+    is in no more texts than a bucket left out, the words of all buckets that reach it are counted.
     """
     least = F.greatest(F.lit(REFERENCE_DOCS), F.lit(REFERENCE_SHARE) * docs.count())
     sizes = docs.where(F.col("_lang").isNotNull()).groupBy("_lang").agg(F.count(F.lit(1)).alias("_docs")).where(F.col("_docs") >= least)
-    found = {r["_lang"]: max(1, r["_docs"] // COMMON_SAMPLE) for r in sizes.collect()}         # at most 1 / REFERENCE_SHARE rows
+    found = sorted(r["_lang"] for r in sizes.collect())         # at most 1 / REFERENCE_SHARE rows
     if not found:
         return {}
-    every = F.try_element_at(F.create_map(*[F.lit(x) for lang in sorted(found) for x in (lang, found[lang])]), F.col("_lang"))
-    sample = docs.select("_lang", F.col(text).alias("_s"), F.xxhash64(text).alias("_h")).where(F.pmod(F.col("_h"), every) == 0)
-    per_word = (sample.select("_lang", "_h", F.explode(F.array_distinct(F.array_remove(F.split(F.lower("_s"), NO_LETTERS), ""))).alias("_w")).distinct()
-                .groupBy("_lang", "_w").agg(F.count(F.lit(1)).alias("_n")))
-    top = top_k_per_group(per_word, ["_lang"], [F.desc("_n"), F.asc("_w")], COMMON_WORDS, salt_of=F.col("_w"))
-    out: dict[str, list[str]] = {lang: [] for lang in sorted(found)}
-    for r in top.select("_lang", "_w").orderBy("_lang", "_w").collect():
-        out[r["_lang"]].append(r["_w"])
-    return out
+    own = docs.where(F.col("_lang").isin(found)).select("_lang", F.col(text).alias("_s"), F.xxhash64(text).alias("_h"))
+    buckets = (own.select("_lang", F.explode(F.array_distinct(F.transform(_words(F.col("_s")), _bucket))).alias("_b"))
+               .groupBy("_lang", "_b").agg(F.count(F.lit(1)).alias("_n")))
+    buckets = written(buckets, "word-buckets")
+    order = [F.desc("_n"), F.asc("_b")]
+    fullest: dict[str, list] = {lang: [] for lang in found}
+    for r in top_k_per_group(buckets, ["_lang"], order, OPEN_BUCKETS + 1, salt_of=F.col("_b")).orderBy("_lang", *order).collect():
+        fullest[r["_lang"]].append((r["_b"], r["_n"]))
+
+    def top(words: DataFrame) -> dict[str, list]:
+        counts = words.select("_lang", "_h", "_w").distinct().groupBy("_lang", "_w").agg(F.count(F.lit(1)).alias("_n"))
+        best = top_k_per_group(counts, ["_lang"], [F.desc("_n"), F.asc("_w")], COMMON_WORDS, salt_of=F.col("_w"))
+        out: dict[str, list] = {lang: [] for lang in found}
+        for r in best.select("_lang", "_w", "_n").collect():
+            out[r["_lang"]].append((r["_w"], r["_n"]))
+        return out
+
+    def words_in(langs: list[str]) -> DataFrame:
+        return own.where(F.col("_lang").isin(langs)).select("_lang", "_h", F.explode(_words(F.col("_s"))).alias("_w"))
+
+    opened = {lang: [b for b, _ in fullest[lang][:OPEN_BUCKETS]] for lang in found}
+    its = F.try_element_at(F.create_map(*[x for lang in found for x in (F.lit(lang), F.array(*[F.lit(b) for b in opened[lang]]).cast("array<int>"))]), F.col("_lang"))
+    kept = own.select("_lang", "_h", F.explode(F.filter(_words(F.col("_s")), lambda w: F.array_contains(its, _bucket(w)))).alias("_w"))
+    out = top(kept)
+    # of these languages a bucket left out may hold a word that is as common as the last
+    last = {lang: min(n for _, n in out[lang]) if len(out[lang]) == COMMON_WORDS else 0 for lang in found}
+    short = [lang for lang in found if len(fullest[lang]) > OPEN_BUCKETS and fullest[lang][OPEN_BUCKETS][1] >= last[lang]]
+    if short:
+        reach = F.try_element_at(F.create_map(*[F.lit(x) for lang in short for x in (lang, last[lang])]), F.col("_lang"))
+        more = buckets.where(F.col("_lang").isin(short) & (F.col("_n") >= reach)).select("_lang", "_b")
+        out |= {lang: words for lang, words in top(words_in(short).withColumn("_b", _bucket(F.col("_w"))).join(F.broadcast(more), ["_lang", "_b"], "left_semi")).items() if lang in short}
+    return {lang: sorted(w for w, _ in out[lang]) for lang in found}
 
 
 def with_features(docs: DataFrame, text: str, common: list[str]) -> DataFrame:

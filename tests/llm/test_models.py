@@ -1,4 +1,5 @@
 """Operators 3, 5, 6, 7 and 10."""
+import collections
 import itertools
 import math
 import random
@@ -129,6 +130,19 @@ def test_divergence_without_common_words(spark):
     assert divergence.keep_natural(plain).count() == 5
 
 
+def test_common_words_are_counted_over_all_documents(spark, monkeypatch):
+    """Two hundred words in nearly as many documents each: the ten in most of them, also with few open buckets; copies count once."""
+    rng = random.Random(5)
+    pool = [a + b + c for a in "bdfgk" for b in "aeiou" for c in "lmnprstv"]
+    rows = [(k, " ".join(w for w in pool if rng.random() < 0.1) + (" Extra" if k % 3 else "")) for k in range(4_300)]
+    df = spark.createDataFrame([(k, "xx", t) for k, t in rows + rows[:1] * 300], "doc_id long, _lang string, _t string")
+    counts = collections.Counter(w for t in {t for _, t in rows} for w in set(t.lower().split()))
+    want = sorted(sorted(counts, key=lambda w: (-counts[w], w))[:divergence.COMMON_WORDS])
+    assert divergence.common_words(df, "_t") == {"xx": want}
+    monkeypatch.setattr(divergence, "OPEN_BUCKETS", 3)
+    assert divergence.common_words(df, "_t") == {"xx": want}
+
+
 def test_divergence_languages_of_the_table(spark):
     """Any language with enough text is a reference; one without has no verdict; none named: compared with all."""
     rng = random.Random(12)
