@@ -60,6 +60,7 @@ MAX_WORD_DISTANCE = 0.45
 COMMON_WORDS = 10
 WORD_BUCKETS = 16_384
 OPEN_BUCKETS = 48
+GUESS_TEXTS = 8_192
 REFERENCE_DOCS = 20
 REFERENCE_SHARE = 0.005
 NO_LETTERS = r"[^\p{L}]+"
@@ -95,47 +96,56 @@ def common_words(docs: DataFrame, text: str) -> dict[str, list[str]]:
     """The reference languages of a table with _lang, and for each the ``COMMON_WORDS`` words in most
     of its distinct texts, ties to the first in order; counted over all of them.
 
-    No table of all words of the corpus is built. Documents are counted by word bucket first
-    (``WORD_BUCKETS`` a language), and a bucket's count bounds that of each of its words. Then the words
-    of the ``OPEN_BUCKETS`` fullest buckets are counted, a text once. Where the last common word among them
-    is in no more texts than a bucket left out, the words of all buckets that reach it are counted.
+    No table of all words of the corpus is built and all texts are split into words once. Which words get a
+    bucket of their own is guessed first (the ``OPEN_BUCKETS`` commonest in about ``GUESS_TEXTS`` texts); the
+    guess decides no result. Then all texts are read: the guessed words are counted, a text once, and
+    all other words by word bucket (``WORD_BUCKETS`` a language), whose count bounds that of each of its words.
+    Where the last common word among the guessed is in no more texts than a bucket counts, the words of
+    all buckets that reach it are counted too.
     """
-    least = F.greatest(F.lit(REFERENCE_DOCS), F.lit(REFERENCE_SHARE) * docs.count())
+    n_docs = docs.count()
+    least = F.greatest(F.lit(REFERENCE_DOCS), F.lit(REFERENCE_SHARE) * n_docs)
     sizes = docs.where(F.col("_lang").isNotNull()).groupBy("_lang").agg(F.count(F.lit(1)).alias("_docs")).where(F.col("_docs") >= least)
     found = sorted(r["_lang"] for r in sizes.collect())         # at most 1 / REFERENCE_SHARE rows
     if not found:
         return {}
     own = docs.where(F.col("_lang").isin(found)).select("_lang", F.col(text).alias("_s"), F.xxhash64(text).alias("_h"))
-    buckets = (own.select("_lang", F.explode(F.array_distinct(F.transform(_words(F.col("_s")), _bucket))).alias("_b"))
-               .groupBy("_lang", "_b").agg(F.count(F.lit(1)).alias("_n")))
-    buckets = written(buckets, "word-buckets")
-    order = [F.desc("_n"), F.asc("_b")]
-    fullest: dict[str, list] = {lang: [] for lang in found}
-    for r in top_k_per_group(buckets, ["_lang"], order, OPEN_BUCKETS + 1, salt_of=F.col("_b")).orderBy("_lang", *order).collect():
-        fullest[r["_lang"]].append((r["_b"], r["_n"]))
-
-    def top(words: DataFrame) -> dict[str, list]:
+
+    def words_of(texts: DataFrame) -> DataFrame:
+        return texts.select("_lang", "_h", F.explode(_words(F.col("_s"))).alias("_w"))
+
+    def top(words: DataFrame, k: int) -> dict[str, list]:
         counts = words.select("_lang", "_h", "_w").distinct().groupBy("_lang", "_w").agg(F.count(F.lit(1)).alias("_n"))
-        best = top_k_per_group(counts, ["_lang"], [F.desc("_n"), F.asc("_w")], COMMON_WORDS, salt_of=F.col("_w"))
+        best = top_k_per_group(counts, ["_lang"], [F.desc("_n"), F.asc("_w")], k, salt_of=F.col("_w"))
         out: dict[str, list] = {lang: [] for lang in found}
         for r in best.select("_lang", "_w", "_n").collect():
             out[r["_lang"]].append((r["_w"], r["_n"]))
         return out
 
-    def words_in(langs: list[str]) -> DataFrame:
-        return own.where(F.col("_lang").isin(langs)).select("_lang", "_h", F.explode(_words(F.col("_s"))).alias("_w"))
-
-    opened = {lang: [b for b, _ in fullest[lang][:OPEN_BUCKETS]] for lang in found}
-    its = F.try_element_at(F.create_map(*[x for lang in found for x in (F.lit(lang), F.array(*[F.lit(b) for b in opened[lang]]).cast("array<int>"))]), F.col("_lang"))
-    kept = own.select("_lang", "_h", F.explode(F.filter(_words(F.col("_s")), lambda w: F.array_contains(its, _bucket(w)))).alias("_w"))
-    out = top(kept)
-    # of these languages a bucket left out may hold a word that is as common as the last
+    some = top(words_of(own.where(F.pmod("_h", F.lit(max(1, n_docs // GUESS_TEXTS))) == 0)), OPEN_BUCKETS)
+    own_guess = [(F.col("_lang") == lang) & F.col("_w").isin([w for w, _ in some[lang]]) for lang in found if some[lang]]
+    guessed = reduce(lambda a, b: a | b, own_guess, F.lit(False))
+    # a row for each text of a guessed word, else for each bucket
+    rows = words_of(own).select("_lang", F.when(guessed, F.col("_w")).alias("_g"), F.when(guessed, F.col("_h")).alias("_h"),
+                                F.when(~guessed, _bucket(F.col("_w"))).alias("_b"))
+    rows = rows.groupBy("_lang", "_g", "_h", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    counts = written(rows.groupBy("_lang", "_g", "_b").agg(F.sum(F.when(F.col("_g").isNotNull(), 1).otherwise(F.col("_n"))).alias("_n")), "word-counts")
+    out: dict[str, list] = {lang: [] for lang in found}
+    for r in counts.where(F.col("_g").isNotNull()).collect():     # at most OPEN_BUCKETS a language
+        out[r["_lang"]].append((r["_g"], r["_n"]))
+    first = lambda pairs: sorted(pairs, key=lambda x: (-x[1], x[0]))[:COMMON_WORDS]
+    out = {lang: first(pairs) for lang, pairs in out.items()}
+    # of these languages a bucket may hold a word that is as common as the last
     last = {lang: min(n for _, n in out[lang]) if len(out[lang]) == COMMON_WORDS else 0 for lang in found}
-    short = [lang for lang in found if len(fullest[lang]) > OPEN_BUCKETS and fullest[lang][OPEN_BUCKETS][1] >= last[lang]]
+    buckets = counts.where(F.col("_g").isNull())
+    fullest = {r["_lang"]: r["_n"] for r in buckets.groupBy("_lang").agg(F.max("_n").alias("_n")).collect()}
+    short = [lang for lang in found if lang in fullest and fullest[lang] >= last[lang]]
     if short:
         reach = F.try_element_at(F.create_map(*[F.lit(x) for lang in short for x in (lang, last[lang])]), F.col("_lang"))
         more = buckets.where(F.col("_lang").isin(short) & (F.col("_n") >= reach)).select("_lang", "_b")
-        out |= {lang: words for lang, words in top(words_in(short).withColumn("_b", _bucket(F.col("_w"))).join(F.broadcast(more), ["_lang", "_b"], "left_semi")).items() if lang in short}
+        others = words_of(own.where(F.col("_lang").isin(short))).where(~guessed).withColumn("_b", _bucket(F.col("_w")))
+        for lang, pairs in top(others.join(F.broadcast(more), ["_lang", "_b"], "left_semi"), COMMON_WORDS).items():
+            out[lang] = first(out[lang] + pairs)
     return {lang: sorted(w for w, _ in out[lang]) for lang in found}
 
 
@@ -146,7 +156,7 @@ def with_features(docs: DataFrame, text: str, common: list[str]) -> DataFrame:
     Classes are counted by taking them out of the text one after the other,
     whole runs at a time, so each step reads only what the steps before left.
 
-    _n_repeat_words: the hashes of all windows of five words go through a hash
+    _n_repeat_words: the hashes of all windows of five words (three hashed pairs each) go through a hash
     set; only where one repeats are (hash, place) pairs sorted, neighbours of
     equal hash marked and the words that their windows cover added up.
     """
@@ -171,7 +181,8 @@ def with_features(docs: DataFrame, text: str, common: list[str]) -> DataFrame:
     out = out.withColumns({
         "_n_words": F.size("_words").cast("long"),
         "_n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-        "_h": F.transform("_words", lambda w: F.xxhash64(w)),
+        # each word with the next: a window is three pairs
+        "_h": F.transform("_words", lambda w, i: F.xxhash64(w, F.get("_words", i + 1))),
         # two spaces between words, so that each has its own at both sides
         "_hits": F.concat(F.lit(" "), F.array_join(F.filter("_tokens", lambda w: w.isin(common)), "  "), F.lit(" ")),
         "_n_tokens": F.size(F.array_remove("_tokens", "")).cast("long"),
@@ -182,12 +193,12 @@ def with_features(docs: DataFrame, text: str, common: list[str]) -> DataFrame:
     h = F.col("_h")
     out = out.withColumn("_wins", F.transform(
         F.slice(h, 1, F.greatest(F.size(h) - (WINDOW - 1), F.lit(0))),
-        lambda x, i: F.xxhash64(x, *[F.get(h, i + k) for k in range(1, WINDOW)])))
+        lambda x, i: F.xxhash64(x, *[F.get(h, i + k) for k in range(2, WINDOW - 1)])))
     repeats = F.size(F.array_distinct("_wins")) < F.size("_wins")
-    out = out.withColumn("_pairs", F.when(repeats, F.array_sort(F.transform("_wins", lambda x, i: F.struct(x.alias("h"), i.alias("i"))))))
+    out = out.withColumn("_pairs", F.when(repeats, F.sort_array(F.transform("_wins", lambda x, i: F.struct(x.alias("h"), i.alias("i"))))))
     marked = F.zip_with("_pairs", F.slice("_pairs", 2, F.size("_pairs")),
                         lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"])))
-    out = out.withColumn("_places", F.array_sort(F.array_distinct(F.flatten(F.filter(marked, lambda x: x.isNotNull())))))
+    out = out.withColumn("_places", F.sort_array(F.array_distinct(F.flatten(F.filter(marked, lambda x: x.isNotNull())))))
     steps = F.zip_with("_places", F.slice("_places", 2, F.size("_places")), lambda a, b: F.least(b - a, F.lit(WINDOW)))
     out = out.withColumn("_n_repeat_words", F.when(F.col("_places").isNull(), F.lit(0).cast("long")).otherwise(_added(steps)))
     out = out.withColumn("_n_chars", F.length(t).cast("long"))

@@ -143,6 +143,30 @@ def test_common_words_are_counted_over_all_documents(spark, monkeypatch):
     assert divergence.common_words(df, "_t") == {"xx": want}
 
 
+def test_common_words_do_not_hang_on_the_guess(spark, monkeypatch):
+    """Few texts to guess from, many and none: the same words, counted over all texts, which are split into words once if the guess holds."""
+    rng = random.Random(6)
+    pool = [a + b + c for a in "bdfgk" for b in "aeiou" for c in "lmnprstv"]
+    rows = [(k, " ".join([w for i, w in enumerate(pool) if rng.random() < (0.9 - 0.02 * i if i < 20 else 0.03)])) for k in range(600)]
+    df = spark.createDataFrame([(k, "xx", t) for k, t in rows], "doc_id long, _lang string, _t string")
+    counts = collections.Counter(w for t in {t for _, t in rows} for w in set(t.split()))
+    want = sorted(sorted(counts, key=lambda w: (-counts[w], w))[:divergence.COMMON_WORDS])
+    calls = []
+    real = divergence._words
+    monkeypatch.setattr(divergence, "_words", lambda c: calls.append(1) or real(c))
+    assert divergence.common_words(df, "_t") == {"xx": want}
+    assert len(calls) == 2          # the texts of the guess, then all
+    for some in (1, 3, 20, 100):
+        monkeypatch.setattr(divergence, "GUESS_TEXTS", some)
+        assert divergence.common_words(df, "_t") == {"xx": want}
+
+
+def test_repeats_sort_without_a_comparator_in_lambda_form(spark, small_docs):
+    src = small_docs[0].selectExpr("doc_id", "lang AS _lang", "text AS _t")
+    plan = divergence.with_features(src, "_t", ["the", "und"])._jdf.queryExecution().executedPlan().toString()
+    assert "array_sort(" not in plan and "sort_array(" in plan
+
+
 def test_divergence_languages_of_the_table(spark):
     """Any language with enough text is a reference; one without has no verdict; none named: compared with all."""
     rng = random.Random(12)
