@@ -123,3 +123,41 @@ def test_queued_once(spark):
     assert [(r.id, r.message_id, r.confidence_score) for r in out.orderBy("id").collect()] == [(10, 2, 0.8), (11, 5, 0.7)]
     again = there.unionByName(out.select(*there.columns))
     assert matching.enqueue_reviews(again, new).count() == 0
+
+
+def test_long_chains_take_few_rounds(spark, monkeypatch):
+    """Each request waits for the one before: the earliest are folded before each round, so a chain three times as long as a fold takes few rounds."""
+    rounds, stored = [], matching.stored
+    monkeypatch.setattr(matching, "FOLD_REQUESTS", 40)
+    monkeypatch.setattr(matching, "stored", lambda df, name: rounds.append(name) or stored(df, name))
+    reqs = []
+    for k in range(60):
+        reqs.append((2 * k, f"name {k}x", f"01700000{k:03d}", None))
+        reqs.append((2 * k + 1, f"name {k}x", f"01700000{k + 1:03d}", None))
+    check(spark, [], [], reqs)
+    assert rounds.count("claims") <= 3
+
+
+def test_lowest_two_of_a_key(spark):
+    """Against every entry of the key, with many entries there from the start, later ones, short ones and doubts."""
+    rng = random.Random(3)
+    always = matching._ALWAYS
+    entries = [(rng.choice("ab"), k, -1, rng.choice([always, always, rng.randrange(40)]), k) for k in range(40)]
+    entries += [("a", 100 + k, k, rng.choice([always, always, k + rng.randrange(20)]), 100 + k) for k in rng.sample(range(40), 12)] + [("a", 7, 20, always, 7)]
+    entries = [(*e, rng.randrange(40) if e[3] == always and rng.random() < 0.8 else None) for e in entries]
+    creators = [("a", 5, True), ("b", 30, True), ("c", 9, True), ("c", 4, False), ("a", 33, False)]
+    renamers = [("b", 25)]
+    probes = [(rid, key) for rid in range(45) for key in "abc"]
+    out = matching._lowest_two(spark.createDataFrame(probes, "rid long, key string"), spark.createDataFrame(entries, matching._ENTRY),
+                               spark.createDataFrame(creators, "key string, u long, checks boolean"), spark.createDataFrame(renamers, "key string, u long"))
+    got = {(r.rid, r.key): (r.low and r.low.row, r.next and r.next.row, r.maker, r.wait) for r in out.collect()}
+    assert len(got) == len(probes)
+
+    def there(key, at):
+        return sorted({row for k, row, since, until, _, soft in entries if k == key and since < at <= until and (soft is None or soft >= at)})
+
+    for rid, key in probes:
+        low = (*there(key, rid), None, None)[:2]
+        maker = min((u for k, u, checks in creators if k == key and u < rid and not (checks and there(key, u))), default=None)
+        wait = any(k == key and u < rid for k, u in renamers) or any(k == key and soft is not None and max(soft, since) < rid for k, _, since, _, _, soft in entries)
+        assert got[rid, key] == (*low, maker, wait)
